@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .wire import as_col
+from .wire import as_col, literal
 
 _MARK = "\u0001"
 
@@ -36,3 +36,13 @@ def object_id(instance, objecttype, name1, name2=None) -> Column:
 def row_id(table: str, *key) -> Column:
     """Id of a row from its unique key; times enter as epoch seconds."""
     return hash60(F.lit(table), *key)
+
+
+def object_id_sql(objecttype: int, name1: str, name2: str = "''") -> str:
+    """SQL text of :func:`object_id` for the instance of the row."""
+    parts = f"CAST(instance_id AS STRING), '{objecttype}', {name1}, {name2}"
+    text = f"concat_ws({literal(_MARK)}, {parts})"
+    return (
+        f"CASE WHEN {name1} = '' AND {name2} = '' THEN 0L ELSE "
+        f"CAST(conv(substr(md5(CAST({text} AS BINARY)), 1, 15), 16, 10) AS BIGINT) END"
+    )

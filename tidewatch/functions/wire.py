@@ -26,6 +26,17 @@ LIST_KEYS = frozenset([22, 23, 112, 128, 130, 132, 171, 175, 200, 219, 222, 238,
 
 _NUL = "\u0000"  # cannot occur inside a value, so it is a safe stand-in
 _BACKSLASH = "\\"
+_BITS = {"smallint": 15, "int": 31}
+_CLEAN = {
+    "int": r"^[+-]?[0-9]{1,9}$",
+    "bigint": r"^[+-]?[0-9]{1,18}$",
+    "double": r"^[+-]?[0-9]{1,300}([.][0-9]*)?$",
+}
+_PATTERNS = {
+    "int": r"^\s*([+-]?\d+)",
+    "bigint": r"^\s*([+-]?\d+)",
+    "double": r"^\s*([+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?)",
+}
 
 
 def as_col(value) -> Column:
@@ -55,16 +66,89 @@ def unescape(value) -> Column:
     return F.when(F.contains(text, F.lit(_BACKSLASH)), out).otherwise(text)
 
 
+# ---- SQL text ---------------------------------------------------------------------------------
+# Wide tables cut out some fifty attributes.  Their expressions are assembled as SQL text and parsed in
+# one call each, which keeps building a plan cheap.
+def literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def raw_sql(key: int, body: str = "body") -> str:
+    mark = literal(f"\n{key}=")
+    newline = literal("\n")
+    return f"substring_index(substring_index({body}, {mark}, -1), {newline}, 1)"
+
+
+def unescape_sql(text: str) -> str:
+    """SQL text of :func:`unescape`."""
+    slash, nul = literal(_BACKSLASH), literal(_NUL)
+    out = f"replace({text}, {literal(_BACKSLASH * 2)}, {nul})"
+    for coded, plain in ((r"\t", "\t"), (r"\n", "\n"), (r"\r", "\r")):
+        out = f"replace({out}, {literal(coded)}, {literal(plain)})"
+    out = f"replace(replace({out}, {slash}, ''), {nul}, {slash})"
+    return f"CASE WHEN contains({text}, {slash}) THEN {out} ELSE {text} END"
+
+
+def attr_sql(key: int, body: str = "body") -> str:
+    text = raw_sql(key, body)
+    return f"({unescape_sql(text)})" if key in ESCAPED_KEYS else text
+
+
+def number_sql(text: str, kind: str) -> str:
+    """Leading number of a text, 0 when there is none.
+
+    Absent and clean values take a plain cast; a failing ``try_cast`` raises and catches inside the JVM,
+    so it is only reached by text that starts like a number and goes on differently.
+    """
+    zero = f"CAST({'0D' if kind == 'double' else '0'} AS {kind})"
+    prefix = f"nullif(regexp_extract({text}, {literal(_PATTERNS[kind])}, 1), '')"
+    return (
+        f"CASE WHEN {text} = '' THEN {zero} WHEN {text} RLIKE {literal(_CLEAN[kind])} THEN CAST({text} AS {kind}) "
+        f"ELSE coalesce(try_cast({prefix} AS {kind}), {zero}) END"
+    )
+
+
+def clamp_sql(value: str, kind: str) -> str:
+    top = 2 ** _BITS[kind]
+    return f"CAST(greatest(-{top}, least({top - 1}, {value})) AS {kind})"
+
+
+def whole_part_sql(text: str) -> str:
+    return f"substring_index({text}, '.', 1)"
+
+
+def fraction_sql(text: str) -> str:
+    return f"IF(contains({text}, '.'), substring_index({text}, '.', -1), '0')"
+
+
+def seconds_sql(text: str) -> str:
+    return number_sql(whole_part_sql(text), "bigint")
+
+
+def micros_sql(text: str) -> str:
+    return number_sql(fraction_sql(text), "int")
+
+
+def command_sql(text: str) -> tuple[str, str]:
+    """Name and arguments of a raw ``name!args`` text; marks are never escaped, so it splits before unescaping."""
+    text = f"ltrim('!', {text})"
+    name = f"substring_index({text}, '!', 1)"
+    return name, f"substr({text}, length({name}) + 2)"
+
+
 # ---- attributes -------------------------------------------------------------------------------
-def raw_attr(key: int, body="body") -> Column:
+def raw_attr(key: int, body: str = "body") -> Column:
     """Text of the last occurrence of a scalar attribute, '' when it is absent."""
-    tail = F.substring_index(as_col(body), f"\n{key}=", -1)
-    return F.substring_index(tail, "\n", 1)
+    return F.expr(raw_sql(key, body))
+
+
+def attr(key: int, body: str = "body") -> Column:
+    return F.expr(attr_sql(key, body))
 
 
-def attr(key: int, body="body") -> Column:
-    value = raw_attr(key, body)
-    return unescape(value) if key in ESCAPED_KEYS else value
+def code(key: int, body: str = "body") -> Column:
+    """Integer attribute."""
+    return F.expr(number_sql(raw_sql(key, body), "int"))
 
 
 def has_attr(key: int, body="body") -> Column:
@@ -109,30 +193,33 @@ def frame_type(frame) -> Column:
 
 
 # ---- text to numbers and times ----------------------------------------------------------------
-def _number(text: Column, pattern: str, kind: str, zero) -> Column:
-    # the plain cast settles nearly every value; the pattern is only tried where it fails
-    return F.coalesce(
-        text.try_cast(kind), F.regexp_extract(text, pattern, 1).try_cast(kind), F.lit(zero).cast(kind)
+def _number(text: Column, kind: str) -> Column:
+    zero = F.lit(0).cast(kind)
+    prefix = F.nullif(F.regexp_extract(text, _PATTERNS[kind], 1), F.lit(""))
+    return (
+        F.when(text.isNull() | (text == ""), zero)
+        .when(text.rlike(_CLEAN[kind]), text.cast(kind))
+        .otherwise(F.coalesce(prefix.try_cast(kind), zero))
     )
 
 
 def to_int(text) -> Column:
     """Leading integer of the text, 0 when there is none."""
-    return _number(as_col(text), r"^\s*([+-]?\d+)", "int", 0)
+    return _number(as_col(text), "int")
 
 
 def to_long(text) -> Column:
-    return _number(as_col(text), r"^\s*([+-]?\d+)", "bigint", 0)
+    return _number(as_col(text), "bigint")
 
 
 def to_double(text) -> Column:
-    return _number(as_col(text), r"^\s*([+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?)", "double", 0.0)
+    return _number(as_col(text), "double")
 
 
 def clamp(value: Column, kind: str) -> Column:
     """Fit a number into a narrower column type instead of failing on overflow."""
-    bits = {"smallint": 15, "int": 31}[kind]
-    return F.greatest(F.lit(-(2**bits)), F.least(F.lit(2**bits - 1), value)).cast(kind)
+    top = 2 ** _BITS[kind]
+    return F.greatest(F.lit(-top), F.least(F.lit(top - 1), value)).cast(kind)
 
 
 def timeval_sec(text) -> Column:

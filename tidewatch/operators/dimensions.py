@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import ids, wire
-from ..functions.enums import map_objecttype
+from ..functions.enums import DEFINITION_OBJECT_TYPES
 from .filters import realtime_gate
 from .lookup import per_instance
 
@@ -49,67 +49,77 @@ def assign_instance(decoded: DataFrame, instances: DataFrame) -> DataFrame:
     return decoded.join(side, "instance_name").drop("instance_name")
 
 
-def _named(objecttype: int, name1: Column, name2: Column | None = None) -> Column:
-    return F.struct(
-        F.lit(objecttype).alias("objecttype_id"),
-        name1.alias("name1"),
-        (F.lit("") if name2 is None else name2).alias("name2"),
-    )
+# Names are cut out as raw text and unescaped after they are distinct, so that the work is done once per
+# name and not once per record.  Splitting marks are never escaped, so the order does not matter.
+def _one(objecttype, name1: str, name2: str = "''") -> str:
+    return f"named_struct('objecttype_id', {objecttype}, 'name1', {name1}, 'name2', {name2})"
+
+
+def _scalar(objecttype: int, key: int, key2: int | None = None) -> str:
+    second = wire.raw_sql(key2) if key2 else "''"
+    return f"array({_one(objecttype, wire.raw_sql(key), second)})"
 
 
-def _scalar(objecttype: int, key: int, key2: int | None = None) -> Column:
-    return F.array(_named(objecttype, wire.attr(key), None if key2 is None else wire.attr(key2)))
+def _command(key: int) -> str:
+    return f"array({_one(ids.COMMAND, wire.command_sql(wire.raw_sql(key))[0])})"
 
 
-def _command(key: int) -> Column:
-    return F.array(_named(ids.COMMAND, wire.split_command(wire.attr(key))["name"]))
+def _lines(key: int) -> str:
+    return f"regexp_extract_all(body, {wire.literal(f'(?dm)^{key}=(.*)$')}, 1)"
 
 
-def _listed(objecttype: int, key: int) -> Column:
-    return F.transform(wire.attrs(key), lambda item: _named(objecttype, item))
+def _listed(objecttype: int, key: int) -> str:
+    return f"transform({_lines(key)}, x -> {_one(objecttype, 'x')})"
 
 
-def _listed_services(key: int) -> Column:
-    def one(item):
-        ref = wire.split_service_ref(item)
-        return _named(ids.SERVICE, ref["host"], ref["service"])
+def _listed_services(key: int) -> str:
+    host = "substring_index(ltrim(';', x), ';', 1)"
+    service = f"substr(ltrim(';', x), length({host}) + 2)"
+    return f"transform({_lines(key)}, x -> {_one(ids.SERVICE, host, service)})"
 
-    return F.transform(wire.attrs(key), one)
 
+def _listed_commands(key: int) -> str:
+    return f"transform({_lines(key)}, x -> {_one(ids.COMMAND, wire.command_sql('x')[0])})"
 
-def _listed_commands(key: int) -> Column:
-    return F.transform(wire.attrs(key), lambda item: _named(ids.COMMAND, wire.split_command(item)["name"]))
 
+def _code(key: int) -> str:
+    return wire.number_sql(wire.raw_sql(key), "int")
 
-def _subject(service: Column, host: Column) -> Column:
-    return F.when(service, _scalar(ids.SERVICE, 53, 114)).when(host, _scalar(ids.HOST, 53))
+
+def _subject(service: str, host: str) -> str:
+    return (
+        f"CASE WHEN {service} THEN {_scalar(ids.SERVICE, 53, 114)} WHEN {host} THEN {_scalar(ids.HOST, 53)} "
+        f"ELSE CAST(array() AS {_ARRAY}) END"
+    )
 
 
-def _code(key: int) -> Column:
-    return wire.to_int(wire.raw_attr(key))
+def _by_flag(key: int, service: int, host: int) -> str:
+    return _subject(f"{_code(key)} = {service}", f"{_code(key)} = {host}")
 
 
-def mentioned_names() -> Column:
-    """Array of (objecttype_id, name1, name2) a record mentions, by record type."""
+def _naming() -> dict[int, list[str]]:
+    """Record type -> the arrays of names its records mention."""
     period, contact, group = ids.TIMEPERIOD, ids.CONTACT, ids.CONTACTGROUP
-    handler = F.when(wire.has_attr(40), _code(40).isin(1, 3)).otherwise(wire.raw_attr(114) != "")
+    with_service = f"{wire.raw_sql(114)} <> ''"
     kind = _code(41)
-    down, has_service = kind == 9, wire.raw_attr(114) != ""
-    by_type = {
-        201: [_subject((kind == 0) | (down & has_service), (kind == 12) | (down & ~has_service))],
-        204: [_subject(handler, ~handler), _scalar(ids.COMMAND, 127)],
-        205: [_subject(_code(89) == 1, _code(89) == 0)],
+    has_type = f"contains(body, {wire.literal(chr(10) + '40=')})"
+    handler = f"IF({has_type}, {_code(40)} IN (1, 3), {with_service})"
+    return {
+        201: [_subject(f"({kind} = 0 OR ({kind} = 9 AND {with_service}))",
+                       f"({kind} = 12 OR ({kind} = 9 AND NOT {with_service}))")],
+        204: [_subject(handler, "TRUE"), _scalar(ids.COMMAND, 127)],
+        205: [_by_flag(89, 1, 0)],
         206: [_scalar(ids.SERVICE, 53, 114), _scalar(ids.COMMAND, 127)],
         207: [_scalar(ids.HOST, 53), _scalar(ids.COMMAND, 127)],
-        208: [_subject(_code(20) == 2, _code(20) == 1)],
-        209: [_subject(_code(30) == 1, _code(30) == 2)],
-        210: [_subject(_code(48) == 1, _code(48) == 0)],
+        208: [_by_flag(20, 2, 1)],
+        209: [_by_flag(30, 1, 2)],
+        210: [_by_flag(48, 1, 0)],
         212: [_scalar(ids.HOST, 53), _scalar(period, 162)],
         213: [_scalar(ids.SERVICE, 53, 114), _scalar(period, 209)],
         220: [_scalar(contact, 134)],
         221: [_scalar(ids.COMMAND, 127)],
-        222: [_subject(_code(7) == 1, _code(7) == 0)],
-        223: [_subject(_code(120) == 1, _code(120) != 1)],
+        222: [_by_flag(7, 1, 0)],
+        223: [_subject(f"{_code(120)} = 1", "TRUE")],
         224: [_scalar(contact, 134)],
         400: [_scalar(ids.HOST, 174), _command(160), _command(163), _scalar(period, 177), _scalar(period, 162),
               _listed(ids.HOST, 200), _listed(group, 130), _listed(contact, 264)],
@@ -127,84 +137,88 @@ def mentioned_names() -> Column:
         410: [_scalar(contact, 134), _scalar(period, 177), _scalar(period, 224), _listed_commands(175),
               _listed_commands(222)],
         411: [_scalar(group, 133), _listed(contact, 132)],
-        414: [active_names()],
+        414: [_active_names()],
     }
-    out = None
-    for rec_type, parts in by_type.items():
-        arrays = F.filter(
-            F.array_compact(F.concat(*[F.coalesce(p, F.array().cast(_ARRAY)) for p in parts])),
-            lambda item: (item["name1"] != "") | (item["name2"] != ""),
-        )
-        hit = F.col("rec_type") == rec_type
-        out = F.when(hit, arrays) if out is None else out.when(hit, arrays)
-    return out
 
 
-_ARRAY = "array<struct<objecttype_id:int,name1:string,name2:string>>"
-NAMING_TYPES = (201, 204, 205, 206, 207, 208, 209, 210, 212, 213, 220, 221, 222, 223, 224, *range(400, 412), 414)
-
-
-def active_names() -> Column:
-    """Names in an active-objects list: one per line, services as host and description in turn."""
-    lines = F.regexp_extract_all("body", F.lit(r"(?dm)^(\d+=.*)$"), F.lit(1))
-    pairs = F.transform(
-        lines,
-        lambda line: F.struct(
-            wire.to_int(F.substring_index(line, "=", 1)).alias("k"),
-            wire.unescape(F.regexp_extract(line, r"(?s)^\d+=(.*)$", 1)).alias("v"),
-        ),
+def _active_names() -> str:
+    """Names in an active-objects list: under keys 1, 2, ...; services as host and description in turn."""
+    cases = " ".join(f"WHEN {rec} THEN {kind}" for rec, kind in DEFINITION_OBJECT_TYPES.items())
+    kind = f"CASE {_code(269)} {cases} END"
+    pairs = (
+        f"transform(regexp_extract_all(body, {wire.literal('(?dm)^([0-9]+=.*)$')}, 1), "
+        "x -> named_struct('k', try_cast(substring_index(x, '=', 1) AS INT), "
+        "'v', substr(x, length(substring_index(x, '=', 1)) + 2)))"
     )
-    # 269 holds the type; names sit under 1, 2, ...
-    names = F.array_sort(F.filter(pairs, lambda item: item["k"].between(1, 268)))
-    kind = map_objecttype(_code(269))
-    singles = F.transform(names, lambda item: F.struct(kind.alias("objecttype_id"), item["v"].alias("name1"), F.lit("").alias("name2")))
-    count = F.size(names)
-    twos = F.when(
-        count >= 2,
-        F.transform(
-            F.sequence(F.lit(1), (count - count % 2) - 1, F.lit(2)),
-            lambda i: F.struct(
-                kind.alias("objecttype_id"),
-                F.element_at(names, i)["v"].alias("name1"),
-                F.element_at(names, i + 1)["v"].alias("name2"),
-            ),
-        ),
+    names = f"array_sort(filter({pairs}, p -> p.k BETWEEN 1 AND 268))"
+    singles = f"transform({names}, p -> {_one(kind, 'p.v')})"
+    partner = f"coalesce(get({names}, i + 1).v, '')"
+    twos = (
+        f"filter(transform({names}, (p, i) -> IF(i % 2 = 0, {_one(kind, 'p.v', partner)}, NULL)), "
+        "p -> p IS NOT NULL)"
     )
-    return F.when(kind == ids.SERVICE, twos).otherwise(singles)
+    return f"IF({_code(269)} = 402, {twos}, {singles})"
+
+
+def _pick(by_type: dict[int, list[str]], rec_types) -> Column:
+    wanted = [t for t in by_type if rec_types is None or t in rec_types]
+    branches = []
+    for t in wanted:
+        arrays = by_type[t][0] if len(by_type[t]) == 1 else f"concat({', '.join(by_type[t])})"
+        branches.append(f"WHEN {t} THEN {arrays}")
+    return F.expr(f"CASE rec_type {' '.join(branches)} END") if wanted else F.lit(None).cast(_ARRAY)
+
+
+def mentioned_names(rec_types=None) -> Column:
+    """Array of (objecttype_id, name1, name2) a record mentions, as raw text, by record type."""
+    return _pick(_naming(), rec_types)
+
+
+_ARRAY = "array<struct<objecttype_id:int,name1:string,name2:string>>"
+NAMING_TYPES = (201, 204, 205, 206, 207, 208, 209, 210, 212, 213, 220, 221, 222, 223, 224, *range(400, 412), 414)
 
 
 # record types that activate an object -> its name
-def _activated() -> Column:
-    scalars = {400: (1, 174, None), 401: (3, 172, None), 402: (2, 174, 210), 403: (4, 220, None),
-               408: (12, 127, None), 409: (9, 237, None), 410: (10, 134, None), 411: (11, 133, None)}
-    out = F.when(F.col("rec_type") == 414, active_names())
-    for rec_type, (kind, key, key2) in scalars.items():
-        out = out.when(F.col("rec_type") == rec_type, _scalar(kind, key, key2))
-    return out
+def _activating() -> dict[int, list[str]]:
+    scalars = {400: (1, 174), 401: (3, 172), 402: (2, 174, 210), 403: (4, 220), 408: (12, 127), 409: (9, 237),
+               410: (10, 134), 411: (11, 133)}
+    return {**{t: [_scalar(*name)] for t, name in scalars.items()}, 414: [_active_names()]}
 
 
 OBJECT_KEY = ["instance_id", "objecttype_id", "name1", "name2"]
 
 
-def object_names(events: DataFrame) -> DataFrame:
+def object_names(events: DataFrame, rec_types=None) -> DataFrame:
     """Distinct names, reduced inside each task before the shuffle."""
-    names = events.where(F.col("rec_type").isin(*NAMING_TYPES)).select(
-        "instance_id", F.explode(mentioned_names()).alias("n")
+    wanted = [t for t in NAMING_TYPES if rec_types is None or t in rec_types]
+    names = events.where(F.col("rec_type").isin(*wanted)).select(
+        "instance_id", F.explode(mentioned_names(wanted)).alias("n")
     )
-    return names.select("instance_id", "n.*").distinct()
+    names = names.select("instance_id", "n.*").where("name1 <> '' OR name2 <> ''")
+    return _unescaped(names.distinct())
 
 
-def activations(events: DataFrame, cutoff: DataFrame | None = None) -> DataFrame:
+def _unescaped(names: DataFrame) -> DataFrame:
+    # escaping is one-to-one for text a writer emits, so distinct names stay distinct
+    return names.withColumns({n: F.expr(wire.unescape_sql(n)) for n in ("name1", "name2")})
+
+
+ACTIVATING_TYPES = (400, 401, 402, 403, 408, 409, 410, 411, 414)
+
+
+def activations(events: DataFrame, cutoff: DataFrame | None = None, rec_types=None) -> DataFrame:
     """Last activation of each name by a definition (gated) or an active-objects list."""
-    picked = events.where(F.col("rec_type").isin(400, 401, 402, 403, 408, 409, 410, 411, 414))
-    second = F.when(F.col("rec_type") == 414, F.lit(2**62)).otherwise(wire.timeval_sec(wire.raw_attr(4)))
+    wanted = [t for t in ACTIVATING_TYPES if rec_types is None or t in rec_types]
+    picked = events.where(F.col("rec_type").isin(*wanted))
+    second = F.expr(f"IF(rec_type = 414, {2**62}, {wire.seconds_sql(wire.raw_sql(4))})")
     picked = realtime_gate(picked, cutoff, second)
-    return (
-        picked.select("instance_id", "arrival", F.explode(_activated()).alias("n"))
+    raw = (
+        picked.select("instance_id", "arrival", F.explode(_pick(_activating(), wanted)).alias("n"))
         .select("instance_id", "arrival", "n.*")
         .groupBy(*OBJECT_KEY)
         .agg(F.max("arrival").alias("activated"))
     )
+    return _unescaped(raw)
 
 
 def get_or_insert_objects(names: DataFrame, stored: DataFrame | None = None) -> DataFrame:
@@ -254,6 +268,11 @@ def build_objects(
     cutoff: DataFrame | None = None,
     restarts: DataFrame | None = None,
     stored: DataFrame | None = None,
+    rec_types=None,
 ) -> DataFrame:
-    objects = get_or_insert_objects(object_names(events), stored)
-    return mark_active(objects, activations(events, cutoff), restarts)
+    """Objects dimension.  ``rec_types`` narrows the work when the events are known to hold only some."""
+    objects = get_or_insert_objects(object_names(events, rec_types), stored)
+    activating = rec_types is None or bool(set(rec_types) & set(ACTIVATING_TYPES))
+    if not activating and restarts is None:
+        return objects
+    return mark_active(objects, activations(events, cutoff, rec_types if activating else None), restarts)

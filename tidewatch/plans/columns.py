@@ -18,7 +18,9 @@ cmd arg  command id / arguments of a ``name!args`` attribute
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from dataclasses import dataclass, field
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import ids, wire
@@ -38,38 +40,93 @@ def parse(layout: str) -> list[tuple[str, str, int | None]]:
     return out
 
 
-def attribute(kind: str, key: int) -> Column:
-    text = wire.attr(key)
+@dataclass
+class _Arrays:
+    """Attribute texts of a layout, gathered by how they are converted."""
+
+    numbers: list[str] = field(default_factory=list)
+    doubles: list[str] = field(default_factory=list)
+    texts: list[str] = field(default_factory=list)
+
+    def number(self, text: str) -> str:
+        return self._add("_n", self.numbers, text)
+
+    def double(self, text: str) -> str:
+        return self._add("_d", self.doubles, text)
+
+    def text(self, text: str) -> str:
+        return self._add("_s", self.texts, text)
+
+    @staticmethod
+    def _add(column: str, texts: list[str], text: str) -> str:
+        if text not in texts:
+            texts.append(text)
+        return f"get({column}, {texts.index(text)})"
+
+    def columns(self) -> list[Column]:
+        out = []
+        for alias, texts, convert in (
+            ("_n", self.numbers, wire.number_sql("x", "bigint")),
+            ("_d", self.doubles, wire.number_sql("x", "double")),
+            ("_s", self.texts, wire.unescape_sql("x")),
+        ):
+            if texts:
+                out.append(F.expr(f"transform(array({', '.join(texts)}), x -> {convert})").alias(alias))
+        return out
+
+
+def _attribute(kind: str, key: int, arrays: _Arrays) -> str:
+    raw = wire.raw_sql(key)
     if kind in ("i16", "i32"):
-        return wire.clamp(wire.to_long(text), TYPES[kind])
+        return wire.clamp_sql(arrays.number(raw), TYPES[kind])
     if kind == "i64":
-        return wire.to_long(text)
+        return arrays.number(raw)
     if kind == "f64":
-        return wire.to_double(text)
+        return arrays.double(raw)
     if kind == "str":
-        return text
+        return arrays.text(raw) if key in wire.ESCAPED_KEYS else raw
     if kind == "ts":
-        return wire.from_epoch(wire.to_long(text))
+        return f"timestamp_seconds({arrays.number(raw)})"
     if kind == "tv":
-        return wire.from_epoch(wire.timeval_sec(text))
+        return f"timestamp_seconds({arrays.number(wire.whole_part_sql(raw))})"
     if kind == "us":
-        return wire.timeval_usec(text)
+        return f"CAST({arrays.number(wire.fraction_sql(raw))} AS INT)"
     if kind == "cmd":
-        return ids.object_id("instance_id", ids.COMMAND, wire.split_command(text)["name"])
+        return ids.object_id_sql(ids.COMMAND, arrays.text(wire.command_sql(raw)[0]))
     if kind == "arg":
-        return wire.split_command(text)["args"]
+        return arrays.text(wire.command_sql(raw)[1])
     if kind.startswith("obj"):
-        return ids.object_id("instance_id", int(kind[3:]), text)
+        name = arrays.text(raw) if key in wire.ESCAPED_KEYS else raw
+        return ids.object_id_sql(int(kind[3:]), name)
     raise ValueError(f"unknown column kind {kind!r}")
 
 
-def project(layout: str, given: dict[str, Column]) -> list[Column]:
-    """Select list of a layout; ``=`` columns come from ``given``."""
+def project(rows: DataFrame, layout: str, given: dict[str, Column], extra=()) -> DataFrame:
+    """Select a layout from records; ``=`` columns come from ``given``, ``extra`` columns are appended.
+
+    Attributes are converted array-wise: one expression for all numbers, one for all doubles, one for
+    all texts.  Fifty separate conversions would outgrow what the JVM compiles as one method.
+    """
+    arrays = _Arrays()
     out = []
     for name, kind, key in parse(layout):
-        value = given[name] if kind == "=" else attribute(kind, key)
+        value = given[name] if kind == "=" else F.expr(_attribute(kind, key, arrays))
         out.append(value.alias(name))
-    return out
+    return rows.select("*", *arrays.columns()).select(*out, *extra)
+
+
+def attribute(kind: str, key: int) -> Column:
+    """One attribute on its own."""
+    raw = wire.raw_sql(key)
+    if kind in ("i16", "i32"):
+        return F.expr(wire.clamp_sql(wire.number_sql(raw, "bigint"), TYPES[kind]))
+    if kind == "ts":
+        return F.expr(f"timestamp_seconds({wire.number_sql(raw, 'bigint')})")
+    if kind == "str":
+        return wire.attr(key)
+    if kind.startswith("obj"):
+        return F.expr(ids.object_id_sql(int(kind[3:]), wire.attr_sql(key)))
+    raise ValueError(f"unknown column kind {kind!r}")
 
 
 def names(layout: str) -> list[str]:

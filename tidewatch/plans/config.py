@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from ..functions import ids, wire
 from . import columns
 from .current import customvar_items
-from .table import Table
+from .table import Table, named_id, service_id
 
 
 def _service(host_key: int = 174, name_key: int = 210) -> Column:
-    return ids.object_id("instance_id", ids.SERVICE, wire.attr(host_key), wire.attr(name_key))
+    return service_id(host_key, name_key)
 
 
 def _config(name, rec_type, layout, keys, id_column, given=dict, **more) -> Table:
@@ -305,9 +305,9 @@ CUSTOMVARIABLES = Table(
     """,
     kind="config", gated=True, keys=("object_id", "config_type", "varname"),
     given=lambda: {
-        "object_id": F.when(F.col("rec_type") == 400, ids.object_id("instance_id", ids.HOST, wire.attr(174)))
+        "object_id": F.when(F.col("rec_type") == 400, named_id(ids.HOST, 174))
         .when(F.col("rec_type") == 402, _service())
-        .otherwise(ids.object_id("instance_id", ids.CONTACT, wire.attr(134))),
+        .otherwise(named_id(ids.CONTACT, 134)),
         "has_been_modified": wire.clamp(F.col("_item.modified"), "smallint"),
         "varname": F.col("_item.name"),
         "varvalue": F.col("_item.value"),

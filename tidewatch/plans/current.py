@@ -10,7 +10,7 @@ from ..operators import filters, maintenance
 from ..operators.ordered import later_max, live_items
 from ..operators.upsert import upsert
 from . import history
-from .table import Context, Table, event_second, neb_type
+from .table import Table, event_second, named_id, neb_type, service_id
 
 
 def _const(value, kind="smallint"):
@@ -58,7 +58,7 @@ SERVICESTATUS = Table(
     modified_service_attributes i32 80,""" + _STATUS_TAIL + ", check_timeperiod_object_id obj9 209",
     kind="current", gated=True, keys=("service_object_id",),
     given=lambda: {
-        "service_object_id": ids.object_id("instance_id", ids.SERVICE, wire.attr(53), wire.attr(114)),
+        "service_object_id": service_id(53, 114),
     },
     id_column="servicestatus_id", id_parts=("service_object_id",),
 )
@@ -77,9 +77,9 @@ CONTACTSTATUS = Table(
 
 def _customvar_object():
     return (
-        F.when(F.col("rec_type") == 212, ids.object_id("instance_id", ids.HOST, wire.attr(53)))
-        .when(F.col("rec_type") == 213, ids.object_id("instance_id", ids.SERVICE, wire.attr(53), wire.attr(114)))
-        .otherwise(ids.object_id("instance_id", ids.CONTACT, wire.attr(134)))
+        F.when(F.col("rec_type") == 212, named_id(ids.HOST, 53))
+        .when(F.col("rec_type") == 213, service_id(53, 114))
+        .otherwise(named_id(ids.CONTACT, 134))
     )
 
 
@@ -288,7 +288,7 @@ TIMEDEVENTQUEUE = Table(
         "object_id": history.timed_event_object(),
         "op": neb_type(),
         "purge_before": F.when(
-            (neb_type() == 202) & wire.to_int(wire.raw_attr(41)).isin(0, 12), wire.to_long(wire.raw_attr(111))
+            (neb_type() == 202) & wire.code(41).isin(0, 12), F.expr(wire.number_sql(wire.raw_sql(111), "bigint"))
         ),
     },
     extra=("op", "purge_before"),

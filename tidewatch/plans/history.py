@@ -9,15 +9,18 @@ from ..functions import ids, wire
 from ..operators import filters
 from ..operators.ordered import carry_forward, later_max
 from ..operators.upsert import upsert
-from .table import EVENT, Table, event_second, host_or_service, neb_attr, neb_type
+from .table import (
+    EVENT, Table, event_second, event_usec, host_or_service, name_of, named_id, neb_attr, neb_type, service_id,
+    with_names,
+)
 
 
 def _command(key: int = 127):
-    return ids.object_id("instance_id", ids.COMMAND, wire.attr(key))
+    return named_id(ids.COMMAND, key)
 
 
 def _code(key: int):
-    return wire.to_int(wire.raw_attr(key))
+    return wire.code(key)
 
 
 ACKNOWLEDGEMENTS = Table(
@@ -72,7 +75,7 @@ EVENTHANDLERS = Table(
 
 def _handler_type():
     """The sender leaves the type out: then a named service makes it a service handler."""
-    guessed = F.when(wire.raw_attr(114) != "", 1).otherwise(0)
+    guessed = F.when(name_of(114) != "", 1).otherwise(0)
     return F.when(wire.has_attr(40), _code(40)).otherwise(guessed).cast("smallint")
 
 
@@ -89,18 +92,19 @@ NOTIFICATIONS = Table(
 )
 
 
+def _started():
+    text = wire.raw_sql(117)
+    return F.expr(wire.seconds_sql(text)), F.expr(wire.micros_sql(text))
+
+
 def _notification_id():
     subject = host_or_service(_code(89) == 1, _code(89) == 0)
-    started = wire.attr(117)
-    return ids.row_id("notifications", "instance_id", subject, wire.timeval_sec(started), wire.timeval_usec(started))
+    return ids.row_id("notifications", "instance_id", subject, *_started())
 
 
 def _contactnotification_id():
-    contact = ids.object_id("instance_id", ids.CONTACT, wire.attr(134))
-    started = wire.attr(117)
-    return ids.row_id(
-        "contactnotifications", "instance_id", contact, wire.timeval_sec(started), wire.timeval_usec(started)
-    )
+    contact = named_id(ids.CONTACT, 134)
+    return ids.row_id("contactnotifications", "instance_id", contact, *_started())
 
 
 def parent_linkage(records: DataFrame, start_type: int, parent_id, child_type: int, out: str) -> DataFrame:
@@ -109,7 +113,9 @@ def parent_linkage(records: DataFrame, start_type: int, parent_id, child_type: i
     ``records`` holds parents and children; the session is scanned in arrival order.
     """
     started = F.when((F.col("rec_type") != child_type) & (neb_type() == start_type), parent_id)
-    linked = carry_forward(records, "session", started, out)
+    # only parents pay for their id; names are dropped again before the rows are shuffled
+    marked = with_names(records).withColumn("_started", started).select(*records.columns, "_started")
+    linked = carry_forward(marked, "session", F.col("_started"), out).drop("_started")
     return linked.where(F.col("rec_type") == child_type).withColumn(out, F.coalesce(out, F.lit(0)))
 
 
@@ -160,7 +166,7 @@ SERVICECHECKS = Table(
     max_check_attempts i16 76,""" + _CHECK_TAIL,
     keep=lambda: filters.stored_service_check(neb_type()),
     given=lambda: {
-        "service_object_id": ids.object_id("instance_id", ids.SERVICE, wire.attr(53), wire.attr(114)),
+        "service_object_id": service_id(53, 114),
         "command_object_id": _command(),
     },
     id_column="servicecheck_id", date_column="start_time",
@@ -335,7 +341,7 @@ def downtime_given():
         "object_id": host_or_service(_code(30) == 1, _code(30) == 2),
         "op": neb_type(),
         "op_time": wire.from_epoch(event_second()),
-        "op_usec": wire.timeval_usec(wire.raw_attr(4)),
+        "op_usec": event_usec(),
         "cancelled": wire.cancelled_flag(neb_attr()),
     }
 
@@ -405,7 +411,7 @@ DOWNTIMEHISTORY = Table(
 # ---- timed events -----------------------------------------------------------------------------
 def timed_event_object():
     kind = _code(41)
-    service = wire.raw_attr(114) != ""
+    service = name_of(114) != ""
     downtime = kind == 9
     return host_or_service((kind == 0) | (downtime & service), (kind == 12) | (downtime & ~service))
 
@@ -414,11 +420,11 @@ def timed_given():
     return {
         "object_id": timed_event_object(),
         "queued_time": F.when(neb_type() == 200, wire.from_epoch(event_second())),
-        "queued_time_usec": F.when(neb_type() == 200, wire.timeval_usec(wire.raw_attr(4))),
+        "queued_time_usec": F.when(neb_type() == 200, event_usec()),
         "event_time": F.when(neb_type() == 202, wire.from_epoch(event_second())),
-        "event_time_usec": F.when(neb_type() == 202, wire.timeval_usec(wire.raw_attr(4))),
+        "event_time_usec": F.when(neb_type() == 202, event_usec()),
         "deletion_time": F.when(neb_type() == 201, wire.from_epoch(event_second())),
-        "deletion_time_usec": F.when(neb_type() == 201, wire.timeval_usec(wire.raw_attr(4))),
+        "deletion_time_usec": F.when(neb_type() == 201, event_usec()),
         "op": neb_type(),
     }
 

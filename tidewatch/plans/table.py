@@ -25,21 +25,46 @@ class Context:
 
 
 def neb_type() -> Column:
-    return wire.to_int(wire.raw_attr(1))
+    return wire.code(1)
 
 
 def neb_attr() -> Column:
-    return wire.to_int(wire.raw_attr(3))
+    return wire.code(3)
 
 
 def event_second() -> Column:
-    return wire.timeval_sec(wire.raw_attr(4))
+    return F.expr(wire.seconds_sql(wire.raw_sql(4)))
+
+
+def event_usec() -> Column:
+    return F.expr(wire.micros_sql(wire.raw_sql(4)))
+
+
+# attributes that name objects; cut out once per record and used in ids and conditions
+NAME_KEYS = (53, 114, 127, 134, 136, 137, 174, 210)
+
+
+def with_names(rows: DataFrame) -> DataFrame:
+    """Add the unescaped naming attributes as ``_k<key>``; the optimizer drops those not used."""
+    return rows.withColumns({f"_k{key}": wire.attr(key) for key in NAME_KEYS})
+
+
+def name_of(key: int) -> Column:
+    return F.col(f"_k{key}")
+
+
+def service_id(host_key: int, name_key: int) -> Column:
+    return F.expr(ids.object_id_sql(ids.SERVICE, f"_k{host_key}", f"_k{name_key}"))
+
+
+def named_id(objecttype: int, key: int) -> Column:
+    return F.expr(ids.object_id_sql(objecttype, f"_k{key}"))
 
 
 def host_or_service(service: Column, host: Column | None = None) -> Column:
     """Object a record is about; 0 when it says neither host nor service."""
-    as_service = ids.object_id("instance_id", ids.SERVICE, wire.attr(53), wire.attr(114))
-    as_host = ids.object_id("instance_id", ids.HOST, wire.attr(53))
+    as_service = service_id(53, 114)
+    as_host = named_id(ids.HOST, 53)
     out = F.when(service, as_service)
     if host is None:
         return out.otherwise(as_host)
@@ -100,6 +125,7 @@ class Table:
     def typed(self, picked: DataFrame) -> DataFrame:
         if self.explode is not None:
             picked = picked.select("*", F.posexplode(self.explode()).alias("_pos", "_item"))
+        picked = with_names(picked)
         given = {"instance_id": F.col("instance_id")}
         if "config_type" in self.column_names:
             given["config_type"] = F.col("config_type")
@@ -117,7 +143,7 @@ class Table:
                 F.col(c) for c in carried if c != "arrival"
             ]
         extras = [self.given()[c].alias(c) for c in self.extra]
-        out = picked.select(*columns.project(wanted, given), *extras, *carried)
+        out = columns.project(picked, wanted, given, [*extras, *carried])
         if late_id and self.id_parts:
             out = out.withColumn(late_id, self.key_id())
         return out

@@ -1,0 +1,6 @@
+"""Named queries over the driver tables, with the SQL that states their expected results."""
+
+from . import report_queries  # noqa: F401
+from .entries import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]

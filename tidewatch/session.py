@@ -7,6 +7,9 @@ import tempfile
 from pyspark.sql import SparkSession
 
 SETTINGS = {
+    # the JVM interprets methods above 8000 bytes of bytecode, so let such whole-stage methods give way to
+    # the split projections, which are compiled
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
