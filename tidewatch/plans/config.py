@@ -273,6 +273,13 @@ CONTACT_ADDRESSES = Table(
     id_column="contact_address_id", id_parts=("contact_id", "address_number"),
 )
 
+def _commands(key: int, kind: int) -> Column:
+    return F.transform(
+        wire.attrs(key),
+        lambda text: F.struct(F.lit(kind).cast("smallint").alias("kind"), wire.split_command(text).alias("command")),
+    )
+
+
 CONTACT_NOTIFICATIONCOMMANDS = Table(
     "contact_notificationcommands", (410,), """
     contact_notificationcommand_id =, instance_id =, contact_id =, notification_type =,
@@ -285,15 +292,7 @@ CONTACT_NOTIFICATIONCOMMANDS = Table(
         "command_object_id": ids.object_id("instance_id", ids.COMMAND, F.col("_item.command.name")),
         "command_args": F.col("_item.command.args"),
     },
-    explode=lambda: F.concat(*[
-        F.transform(
-            wire.attrs(key),
-            lambda text, kind=kind: F.struct(
-                F.lit(kind).cast("smallint").alias("kind"), wire.split_command(text).alias("command")
-            ),
-        )
-        for key, kind in ((175, 0), (222, 1))
-    ]),
+    explode=lambda: F.concat(_commands(175, 0), _commands(222, 1)),
     id_column="contact_notificationcommand_id",
     id_parts=("contact_id", "notification_type", "command_object_id", "command_args"),
 )

@@ -302,28 +302,38 @@ register_object_reports(
 _DOWN_SVC = "CASE WHEN o_orderkey % 2 = 1 THEN o_orderpriority ELSE '' END"
 
 
-def _downtime(op, order, where, sec="sec", author="'ops'"):
+# step of an order's story -> (operation, condition, second, author)
+DOWN_STEPS = {
+    -1: (1101, "o_orderkey % 11 = 0", "sec", "'ops'"),  # a delete before the add has no effect
+    0: (1100, "TRUE", "sec", "'ops'"),
+    3: (1103, "o_orderstatus IN ('F', 'P')", "sec + 3601", "'ops'"),
+    5: (1102, "o_orderkey % 5 = 0", "sec + 3700", "'reloaded'"),
+    6: (1104, "o_orderstatus = 'P'", "sec + 7201", "'ops'"),
+    7: (1101, "o_orderstatus = 'O' AND o_orderkey % 7 = 0", "sec", "'ops'"),
+}
+
+
+def _by_step(part: int) -> str:
+    return "CASE step " + " ".join(f"WHEN {step} THEN {parts[part]}" for step, parts in DOWN_STEPS.items()) + " END"
+
+
+def _downtime(op, order, where, sec, author):
     return Feed(209, "ord", order, {
         1: str(op), 3: "1 + o_orderkey % 3 % 2", 4: (sec, "o_orderkey % 1000000"), 30: "2 - o_orderkey % 2", 53: "host",
-        114: _DOWN_SVC, 34: "sec", 10: author, 17: "concat('order ', o_orderkey)", 117: "sec + 3600 + o_orderkey", 33: "sec + 7200 + o_orderkey",
-        46: "1", 31: "3600", 124: "o_orderkey % 4", 29: "o_orderkey",
+        114: _DOWN_SVC, 34: "sec", 10: author, 17: "concat('order ', o_orderkey)", 117: "sec + 3600 + o_orderkey",
+        33: "sec + 7200 + o_orderkey", 46: "1", 31: "3600", 124: "o_orderkey % 4", 29: "o_orderkey",
     }, where)
 
 
-DOWN_EARLY = _downtime(1101, "o_orderkey * 10 - 1", "o_orderkey % 11 = 0")
-DOWN_ADD = _downtime(1100, "o_orderkey * 10", "TRUE")
-DOWN_START = _downtime(1103, "o_orderkey * 10 + 3", "o_orderstatus IN ('F', 'P')", "sec + 3601")
-DOWN_LOAD = _downtime(1102, "o_orderkey * 10 + 5", "o_orderkey % 5 = 0", "sec + 3700", "'reloaded'")
-DOWN_STOP = _downtime(1104, "o_orderkey * 10 + 6", "o_orderstatus = 'P'", "sec + 7201")
-DOWN_DELETE = _downtime(1101, "o_orderkey * 10 + 7", "o_orderstatus = 'O' AND o_orderkey % 7 = 0")
-DOWNTIME = (DOWN_EARLY, DOWN_ADD, DOWN_START, DOWN_LOAD, DOWN_STOP, DOWN_DELETE)
 _DOWN_OBJECT = (
     f"CASE WHEN o_orderkey % 2 = 1 THEN {object_sql(2, 'host', 'o_orderpriority')} ELSE {object_sql(1, 'host')} END"
 )
 
 
 def downtime_events(spark, d):
-    return union(*[f.records(spark, d) for f in DOWNTIME])
+    steps = F.explode(F.array(*[F.lit(step) for step in DOWN_STEPS])).alias("step")
+    told = feeds.source(spark, d, "ord").select("*", steps)
+    return _downtime(_by_step(0), "o_orderkey * 10 + step", _by_step(1), _by_step(2), _by_step(3)).over(told)
 
 
 def _downtime_sql(table, id_column, where):
