@@ -50,7 +50,9 @@ def source_sql(name: str, d=Duck) -> str:
     """Base rows.  Every source has ``inst``, the instance the rows belong to."""
     t = d.table
     inst = "CAST(n.n_regionkey + 1 AS SMALLINT) AS inst"
-    if name == "ev":
+    if name in ("ev", "ev1"):
+        if name == "ev1":  # all events on one instance
+            inst = "CAST(1 AS SMALLINT) AS inst"
         us = d.micros("e.ts")
         return f"""SELECT e.event_id, {us} {d.div} 1000000 AS sec, CAST({us} % 1000000 AS INT) AS usec,
             e.user_id, c.c_name AS host, e.event_type AS svc, e.value,
