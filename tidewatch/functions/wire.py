@@ -161,26 +161,31 @@ def attrs(key: int, body="body") -> Column:
     return F.transform(found, unescape) if key in ESCAPED_KEYS else found
 
 
-def parse_kv(body="body") -> Column:
-    """MAP<INT, ARRAY<STRING>> of a whole body, for ad hoc access to any attribute."""
-    lines = F.filter(
-        F.transform(
-            F.regexp_extract_all(as_col(body), F.lit(r"(?dm)^(\d+[^\n]*)$"), F.lit(1)),
-            lambda line: F.struct(
-                F.regexp_extract(line, r"^(\d{1,9})", 1).try_cast("int").alias("k"),
-                F.regexp_extract(line, r"(?s)^[^=]*=(.*)$", 1).alias("v"),
-            ),
-        ),
-        lambda item: item["k"] <= MAX_KEY,
-    )
-    keys = F.array_distinct(F.transform(lines, lambda item: item["k"]))
-    escaped = F.array(*[F.lit(k) for k in sorted(ESCAPED_KEYS)])
+def parse_kv(body: str = "body") -> Column:
+    """MAP<INT, ARRAY<STRING>> of a whole body, for ad hoc access to any attribute.
 
-    def values(key):
-        texts = F.transform(F.filter(lines, lambda item: item["k"] == key), lambda item: item["v"])
-        return F.when(F.array_contains(escaped, key), F.transform(texts, unescape)).otherwise(texts)
-
-    return F.map_from_arrays(keys, F.transform(keys, values))
+    The lines are parsed once (bound as ``es``); a body without repeated keys, the common case, becomes
+    the map directly, otherwise the values of each key are gathered in order.
+    """
+    name = "substring_index(x, '=', 1)"
+    value = f"substr(x, length({name}) + 2)"
+    key = number_sql(name, "int")
+    escaped = f"array({', '.join(str(k) for k in sorted(ESCAPED_KEYS))})"
+    coded = f"contains(x, {literal(_BACKSLASH)}) AND array_contains({escaped}, {key})"
+    # eleven and more digits are no key; number_sql would read them as 0
+    lines = f"filter(split({body}, {literal(chr(10))}), x -> x RLIKE '^[0-9]{{1,9}}([^0-9]|$)')"
+    parsed = (
+        f"filter(transform({lines}, x -> named_struct('k', {key}, 'v', "
+        f"IF({coded}, {unescape_sql(value)}, {value}))), e -> e.k <= {MAX_KEY})"
+    )
+    keys = "transform(es, e -> e.k)"
+    plain = f"map_from_arrays({keys}, transform(es, e -> array(e.v)))"
+    gathered = (
+        f"map_from_arrays(array_distinct({keys}), transform(array_distinct({keys}), "
+        "k -> transform(filter(es, e -> e.k = k), e -> e.v)))"
+    )
+    unique = f"size(array_distinct({keys})) = size(es)"
+    return F.expr(f"transform(array({parsed}), es -> IF({unique}, {plain}, {gathered}))[0]")
 
 
 def scalar(kv, key: int) -> Column:

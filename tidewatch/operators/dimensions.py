@@ -137,7 +137,6 @@ def _naming() -> dict[int, list[str]]:
         410: [_scalar(contact, 134), _scalar(period, 177), _scalar(period, 224), _listed_commands(175),
               _listed_commands(222)],
         411: [_scalar(group, 133), _listed(contact, 132)],
-        414: [_active_names()],
     }
 
 
@@ -174,8 +173,9 @@ def mentioned_names(rec_types=None) -> Column:
     return _pick(_naming(), rec_types)
 
 
+_NAME_TYPES = {"objecttype_id": "int", "name1": "string", "name2": "string"}
 _ARRAY = "array<struct<objecttype_id:int,name1:string,name2:string>>"
-NAMING_TYPES = (201, 204, 205, 206, 207, 208, 209, 210, 212, 213, 220, 221, 222, 223, 224, *range(400, 412), 414)
+NAMING_TYPES = (201, 204, 205, 206, 207, 208, 209, 210, 212, 213, 220, 221, 222, 223, 224, *range(400, 412))
 
 
 # record types that activate an object -> its name
@@ -191,6 +191,10 @@ OBJECT_KEY = ["instance_id", "objecttype_id", "name1", "name2"]
 def object_names(events: DataFrame, rec_types=None) -> DataFrame:
     """Distinct names, reduced inside each task before the shuffle."""
     wanted = [t for t in NAMING_TYPES if rec_types is None or t in rec_types]
+    if not wanted:
+        return events.limit(0).select(
+            "instance_id", *[F.lit(None).cast(kind).alias(name) for name, kind in _NAME_TYPES.items()]
+        )
     names = events.where(F.col("rec_type").isin(*wanted)).select(
         "instance_id", F.explode(mentioned_names(wanted)).alias("n")
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .lookup import per_instance
 
@@ -47,8 +48,11 @@ def after_restart(rows: DataFrame, restarts: DataFrame | None, order="arrival")
     """Drop what arrived before the last start of its instance."""
     if restarts is None:
         return rows
+    # rows exploded from a record carry (arrival of the record, position in it)
+    kind = rows.schema[order].dataType
+    at = f"{order}.arrival" if isinstance(kind, StructType) and "arrival" in kind.names else order
     joined = per_instance(rows, restarts)
-    return joined.where(F.col("restart").isNull() | (F.col(order) > F.col("restart"))).drop("restart")
+    return joined.where(F.col("restart").isNull() | (F.col(at) > F.col("restart"))).drop("restart")
 
 
 def clear_instance(rows: DataFrame, instance_id: int) -> DataFrame:
@@ -58,21 +62,3 @@ def clear_instance(rows: DataFrame, instance_id: int) -> DataFrame:
 def deactivate_all(objects: DataFrame, instance_id: int | None = None) -> DataFrame:
     hit = F.lit(True) if instance_id is None else F.col("instance_id") == instance_id
     return objects.withColumn("is_active", F.when(hit, 0).otherwise(F.col("is_active")).cast("smallint"))
-
-
-def close_program(status: DataFrame, process_events: DataFrame) -> DataFrame:
-    """Stamp the end of a program that shut down or restarted after its last status record."""
-    ends = process_events.where(F.col("neb_type").isin(102, 103)).groupBy("instance_id").agg(
-        F.max("arrival").alias("_end"), F.max_by("event_time", "arrival").alias("_end_time")
-    )
-    ended = F.col("_end") > F.col("_created")
-    running_again = F.col("arrival") > F.col("_end")
-    return (
-        per_instance(status, ends)
-        .withColumn("program_end_time", F.when(ended, F.col("_end_time")).otherwise(F.col("program_end_time")))
-        .withColumn(
-            "is_currently_running",
-            F.when(ended & ~running_again, 0).otherwise(F.col("is_currently_running")).cast("smallint"),
-        )
-        .select(*status.columns)
-    )

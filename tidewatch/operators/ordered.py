@@ -39,9 +39,12 @@ def later_max(rows: DataFrame, group, value: Column, out: str, order="arrival",
     group, order = _names(group), _names(order)
     rows = rows.withColumn(out, value)
     summary = rows.groupBy(*group, chunk).agg(F.max(out).alias("_own"))
-    following = Window.partitionBy(*group).orderBy(chunk).rowsBetween(1, Window.unboundedFollowing)
+    # read backwards: a frame that grows from the start is aggregated incrementally, one that shrinks
+    # towards the end would be aggregated anew for every row
+    grows = (Window.unboundedPreceding, -1)
+    following = Window.partitionBy(*group).orderBy(F.col(chunk).desc()).rowsBetween(*grows)
     summary = summary.select(*group, chunk, F.max("_own").over(following).alias("_in"))
-    inside = Window.partitionBy(*group, chunk).orderBy(*order).rowsBetween(1, Window.unboundedFollowing)
+    inside = Window.partitionBy(*group, chunk).orderBy(*[F.col(c).desc() for c in order]).rowsBetween(*grows)
     return (
         rows.join(summary, [*group, chunk])
         .withColumn(out, F.greatest(F.max(out).over(inside), "_in"))

@@ -17,6 +17,7 @@ from ..plans import columns
 from ..session import prepare
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents")
+FACTS = ("orders", "lineitem", "events", "documents")
 CHUNK = 1 << 16
 
 
@@ -98,7 +99,13 @@ def source_sql(name: str, d=Duck) -> str:
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table.  One that comes in fewer splits than there are cores is spread over them; a table
+    large enough to have many splits is read as it is."""
+    table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name in FACTS and table.rdd.getNumPartitions() < cores:
+        table = table.repartition(cores)
+    return table
 
 
 def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -9,6 +9,8 @@ The cutoff for stale records is read once when the query starts and stays fixed;
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +21,8 @@ from ..plans.table import Table
 from ..sources import dump
 from .store import Store
 
+# tables written at the same time
+JOBS = 8
 # how a stored row of a folded table reads as an operation: extra column -> SQL
 STORED_AS = {
     "comments": {"is_delete": "FALSE"},
@@ -77,20 +81,36 @@ def process_batch(store: Store, frames: DataFrame, batch: int, cutoff=None, opti
         events = filters.class_filter(events, options)
     # at most some fifty record types exist
     present = {row.rec_type for row in decoded.select("rec_type").distinct().collect()}
-    restarted = 200 in present
     ctx = warehouse.context(events, cutoff)
-    for name, table in warehouse.TABLES.items():
-        if name in history.OPTIONAL and name not in optional:
-            continue
+    restarted = 200 in present and not ctx.restarts.isEmpty()
+    if not restarted:
+        ctx.restarts = None
+
+    def save(table: Table) -> None:
         touched = bool(present & set(table.rec_types))
         if table.kind == "history":
             if touched:
-                store.append_history(name, table.rows(events, ctx), batch, table.date_column)
-        elif touched or restarted:
-            store.save_snapshot(name, fold(table, store.snapshot(name, batch), events, ctx), batch)
-    objects = dimensions.build_objects(events, cutoff, ctx.restarts, store.snapshot("objects", batch))
-    store.save_snapshot("objects", objects, batch)
-    store.append_history("conninfo", aggregates.session_audit(decoded, instances), batch, None)
+                store.append_history(table.name, table.rows(events, ctx), batch, table.date_column)
+            return
+        stored = store.snapshot(table.name, batch)
+        if touched or (restarted and stored is not None):
+            store.save_snapshot(table.name, fold(table, stored, events, ctx), batch)
+
+    def save_objects() -> None:
+        stored = store.snapshot("objects", batch)
+        objects = dimensions.build_objects(events, cutoff, ctx.restarts, stored, rec_types=present)
+        store.save_snapshot("objects", objects, batch)
+
+    def save_audit() -> None:
+        store.append_history("conninfo", aggregates.session_audit(decoded, instances), batch, None)
+
+    wanted = [t for n, t in warehouse.TABLES.items() if n not in history.OPTIONAL or n in optional]
+    # the tables are independent jobs over the same decoded batch
+    with ThreadPoolExecutor(JOBS) as pool:
+        jobs = [pool.submit(save, table) for table in wanted]
+        jobs += [pool.submit(save_objects), pool.submit(save_audit)]
+        for job in jobs:
+            job.result()
 
 
 def fold(table: Table, stored: DataFrame | None, events: DataFrame, ctx) -> DataFrame:
