@@ -69,6 +69,14 @@ def test_write_dump_roundtrip(spark, tmp_path):
     assert dump.records(both).count() == 100
 
 
+def test_write_dump_keeps_instances_apart(spark, tmp_path):
+    path = dump_file(tmp_path / "d", "a.dump", session(state(1), state(2), name="x"), session(state(3), state(4), name="y"))
+    events = dump.records(dump.read_dump(spark, path)).withColumn("instance_name", F.col("header.instance_name"))
+    dump.write_dump(events.repartition(2), str(tmp_path / "out"))
+    back = dump.records(dump.read_dump(spark, str(tmp_path / "out")))
+    assert rows(back, "header.instance_name", wire.code(18)) == [("x", 1), ("x", 2), ("y", 3), ("y", 4)]
+
+
 def test_session_audit(spark, tmp_path):
     path = dump_file(tmp_path / "d", "a.dump", session(state(1), state(2), name="x", end=1700000500), session(state(3), name="y", end=1700000900))
     decoded = dump.read_dump(spark, path)

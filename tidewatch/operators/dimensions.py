@@ -19,22 +19,20 @@ def get_or_insert_instances(names: DataFrame, stored: DataFrame | None = None) -
     The id is a SMALLINT, so there are at most 32,767 names and numbering them in one row is bounded;
     more than that fails instead of wrapping.
     """
-    fresh = names.select(F.coalesce(wire.null_if_empty("instance_name"), F.lit("default")).alias("instance_name"))
-    fresh = fresh.distinct()
-    base = F.lit(0)
+    fresh = names.select(
+        F.coalesce(wire.null_if_empty("instance_name"), F.lit("default")).alias("instance_name")
+    ).distinct()
+    seen = fresh.withColumn("_stored", F.lit(0))
     if stored is not None:
         fresh = fresh.join(F.broadcast(stored.select("instance_name")), "instance_name", "left_anti")
-    numbered = fresh.agg(F.array_sort(F.collect_set("instance_name")).alias("names"))
-    if stored is not None:
-        numbered = numbered.crossJoin(stored.agg(F.coalesce(F.max("instance_id"), F.lit(0)).alias("_base")))
-        base = F.col("_base")
-    fits = F.size("names") + base <= MAX_INSTANCES
-    numbered = numbered.withColumn(
-        "names", F.when(fits, F.col("names")).otherwise(F.raise_error(F.lit("more instances than SMALLINT ids")))
-    )
-    numbered = numbered.select(F.posexplode("names").alias("pos", "instance_name"), *(["_base"] if stored is not None else []))
-    out = numbered.select(
-        (F.col("pos") + 1 + base).cast("smallint").alias("instance_id"),
+        # the highest stored id travels along as a row without a name, which the set below leaves out
+        highest = stored.select(F.lit(None).cast("string").alias("instance_name"), F.col("instance_id").cast("int").alias("_stored"))
+        seen = fresh.withColumn("_stored", F.lit(0)).unionByName(highest)
+    numbered = seen.agg(F.array_sort(F.collect_set("instance_name")).alias("names"), F.max("_stored").alias("_base"))
+    fits = F.size("names") + F.col("_base") <= MAX_INSTANCES
+    checked = F.when(fits, F.col("names")).otherwise(F.raise_error(F.lit("more instances than SMALLINT ids")))
+    out = numbered.select(F.posexplode(checked).alias("pos", "instance_name"), "_base").select(
+        (F.col("pos") + 1 + F.col("_base")).cast("smallint").alias("instance_id"),
         "instance_name",
         F.lit("").alias("instance_description"),
     )

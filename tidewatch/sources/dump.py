@@ -226,23 +226,29 @@ def union_instances(*decoded: DataFrame) -> DataFrame:
 
 
 def write_dump(events: DataFrame, path: str, mode: str = "error") -> None:
-    """Write records (``rec_type``, ``body``) back as a dump, one session per output file.
+    """Write records (``rec_type``, ``body``) back as a dump.
 
-    Each task opens its file with a session header, so that every part is a valid dump by itself.
-    ``header`` columns travel in ``instance_name`` when present.
+    With an ``instance_name`` column every (instance, chunk) becomes a session of its own, written in
+    arrival order.  Without one, every output file is one session of the instance ``default``.
     """
     framed(events).write.mode(mode).option("lineSep", RECORD_END).text(path)
 
 
 def framed(events: DataFrame) -> DataFrame:
-    """Text frames of records; the first frame of each partition carries a session header."""
-    name = F.col("instance_name") if "instance_name" in events.columns else F.lit("default")
+    """Text frames of records; the first frame of each session carries the session header."""
+    if "instance_name" in events.columns:
+        name = F.col("instance_name")
+        run = Window.partitionBy("instance_name", "chunk").orderBy("arrival")
+        first = F.row_number().over(run) == 1
+    else:
+        name = F.lit("default")
+        # the lower bits of the id count the rows of a partition
+        first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
     hello = F.concat(
         F.lit("\n\nHELLO\nPROTOCOL: 2\nAGENT: tidewatch\nAGENTVERSION: 1\nSTARTTIME: 0\n"),
         F.lit("DISPOSITION: ARCHIVED\nCONNECTION: FILE\nCONNECTTYPE: INITIAL\nINSTANCENAME: "),
         name,
         F.lit("\nSTARTDATADUMP\n\n"),
     )
-    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
     text = F.concat(F.lit("\n"), F.col("rec_type").cast("string"), F.lit(":"), F.col("body"))
     return events.select(F.when(first, F.concat(hello, text)).otherwise(text).alias("value"))
