@@ -2,11 +2,9 @@
 
 import os
 
-from pyspark.sql import functions as F
 from wiretext import dump_file, events_of, record, rows, session
 
 from test_tables import at, comment, downtime, timed
-from tidewatch.operators import dimensions
 from tidewatch.plans import reports, warehouse
 from tidewatch.streaming import ingest
 from tidewatch.streaming.store import Store
@@ -41,7 +39,7 @@ def write(folder, numbers):
         os.utime(path, (1600000000 + n, 1600000000 + n))
 
 
-def drain(spark, tmp_path, restart=False):
+def drain(spark, tmp_path):
     run = ingest.start(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp"), max_files=1, available_now=True)
     run.awaitTermination()
     return Store(spark, str(tmp_path / "out"))

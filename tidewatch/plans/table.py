@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -98,7 +98,6 @@ class Table:
     finish_with: Callable[[DataFrame, "Table"], DataFrame] | None = None
     extra: tuple[str, ...] = ()
     date_column: str | None = None
-    _names: list[str] = field(default_factory=list)
 
     @property
     def column_names(self) -> list[str]:
@@ -130,7 +129,6 @@ class Table:
         if "config_type" in self.column_names:
             given["config_type"] = F.col("config_type")
         given.update(self.given())
-        wanted = self.layout
         late_id = self.id_column
         if late_id:
             given[late_id] = F.lit(None).cast("bigint") if self.id_parts else arrival_id(self.name)
@@ -143,7 +141,7 @@ class Table:
                 F.col(c) for c in carried if c != "arrival"
             ]
         extras = [self.given()[c].alias(c) for c in self.extra]
-        out = columns.project(picked, wanted, given, [*extras, *carried])
+        out = columns.project(picked, self.layout, given, [*extras, *carried])
         if late_id and self.id_parts:
             out = out.withColumn(late_id, self.key_id())
         return out

@@ -52,7 +52,7 @@ def read_spool(spark: SparkSession, path: str) -> DataFrame:
 def spool_frames(spool: DataFrame) -> DataFrame:
     """Frames of a spool.  A chunk is always written as whole records, so each line re-frames alone."""
     pieces = F.posexplode(F.split(F.col("value"), r"\n999\n\n", -1)).alias("pos", "piece")
-    exploded = spool.select("file", "block", "seq", F.octet_length("value").alias("line_len"), pieces)
+    exploded = spool.select("file", "block", pieces)
     return exploded.where(F.length(F.trim(F.replace("piece", F.lit("\n"), F.lit("")))) > 0).select(
         F.col("piece").alias("value"), "file", "block", F.lit(None).cast("bigint").alias("file_size")
     )
