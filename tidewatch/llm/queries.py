@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, piece_codec, token_count, topk_search, url_filter
-from .common import table
+from . import chat_format, decontaminate, language_id, piece_codec, token_count, topk_search, toxicity, url_filter
+from .common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -131,3 +131,25 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op9_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query()
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.fit(docs, fold("doc_id", 4) != 2)
+    return language_id.predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "accepted")
+
+
+@query()
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), fold("doc_id", 4) != 2)
+    return toxicity.score(docs, model, threshold=0.3).select(
+        "doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", "predicted",
+        F.size("offending").alias("n_offending"))
+
+
+@query()
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
