@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, language_id, piece_codec, token_count, topk_search, toxicity, url_filter
+from . import chat_format, decontaminate, language_id, ngram_join, piece_codec, token_count, topk_search, toxicity, url_filter
 from .common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -153,3 +153,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link(spark, table(spark, sf_dir, "documents"), width=4, percent=85)
