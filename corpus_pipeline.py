@@ -1,12 +1,69 @@
-"""Filtering stages over ``documents``, each written as Parquet and read again by the next."""
+"""Filtering stages over ``documents``, each written as Parquet and read again by the next.
+
+Every stage decides on whole rows: whatever columns the documents have are carried in one struct, so that none can
+clash with the columns an operator adds.  Rows with a null id are judged like the others, except that the similarity
+join leaves them as they are; null and empty texts are neither toxic nor of any language, so the second stage drops
+them; empty tables pass through.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
+from tidewatch.llm import decontaminate, language_id, ngram_join, piece_codec, toxicity
 from tidewatch.llm.common import save, table
 
-STAGES: list = []
+
+def _packed(docs: DataFrame) -> DataFrame:
+    return docs.select(F.struct(*docs.columns).alias("_row"), "text")
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose score stays below 0.3, by a model of the labelled ones."""
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), F.lit(True))
+    return toxicity.score(_packed(docs), model, threshold=0.3).where("predicted = 0").select("_row.*")
+
+
+def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is told with enough certainty."""
+    model = language_id.fit(docs, F.lit(True))
+    return language_id.predict(_packed(docs), model).where("accepted").select("_row.*")
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The smallest document of each group linked by 0.8 of their five-word shingles.
+
+    Of several rows with its id the one with the smallest text stays.
+    """
+    linked = ngram_join.link(spark, docs, width=5, percent=80)
+    kept = linked.where("doc_id = component_id").select("doc_id").distinct()
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
+    rows = docs.join(kept, "doc_id", "left_semi").select(F.struct(*docs.columns).alias("_row"), first.alias("_first"))
+    return rows.where("_first = 1").select("_row.*").unionByName(docs.where("doc_id IS NULL"))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark, verbatim or re-parameterised."""
+    hits = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
+    return docs.join(hits, "doc_id", "left_anti").select(docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with the number and hash of their ids, and the hash of the text these decode to."""
+    coded = piece_codec.digests(_packed(docs), public_tokenizers.path("piece_bpe_32k.model"), keep=("_row",))
+    new = ("n_tokens", "ids_sha256", "decoded_sha256")
+    return coded.select(*(F.col("_row")[c].alias(c) for c in docs.columns if c not in new), *new)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("language ID", drop_unknown_language),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("benchmark decontamination", drop_contaminated),
+    ("SentencePiece encoding and decoding", encode),
+]
 #: learned models decide, which SQL can't express
 ORACLE_SQL = None
 

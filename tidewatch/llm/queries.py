@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, language_id, ngram_join, piece_codec, token_count, topk_search, toxicity, url_filter
+from . import chat_format, decontaminate, language_id, lattice_lm, ngram_join, piece_codec, token_count, topk_search, toxicity, url_filter
 from .common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -158,3 +158,12 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 @query()
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link(spark, table(spark, sf_dir, "documents"), width=4, percent=85)
+
+
+@query()
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """held_out is the fold alone: a row without an id is not learned from, yet belongs to no fold."""
+    docs = table(spark, sf_dir, "documents")
+    scored = lattice_lm.score(
+        spark, docs, public_tokenizers.path("piece_bpe_32k.model"), fold("doc_id", 7) != 2)
+    return scored.withColumn("held_out", F.coalesce(fold("doc_id", 7) == 2, F.lit(False)))
