@@ -106,7 +106,7 @@ def test_downtime(events):
         build(events, "downtimehistory"), "internal_downtime_id", "was_started", "was_cancelled",
         F.unix_timestamp("actual_end_time") - T0, "duration",
     )
-    assert history == [(1, 1, 0, None, 32767), (2, 1, 1, 4, 32767), (3, 0, 0, None, 32767)]
+    assert history == [(1, 1, 0, None, 90000), (2, 1, 1, 4, 90000), (3, 0, 0, None, 90000)]
 
 
 def test_checks(events):

@@ -58,12 +58,18 @@ def test_encode_then_parse(spark):
 
 
 def test_numbers(spark):
-    for text, want in {"12": 12, " 12x": 12, "-5.9": -5, "": 0, "x1": 0, "99999999999": 0, "+7": 7}.items():
+    for text, want in {"12": 12, " 12x": 12, "-5.9": -5, "": 0, "x1": 0, "99999999999": 2147483647, "-3000000000x": -2147483648, "+7": 7}.items():
         assert one(spark, wire.to_int("t"), t=text) == want
         assert spark.createDataFrame([(text,)], "t STRING").selectExpr(wire.number_sql("t", "int") + " AS v").first().v == want
     for text, want in {"1.5": 1.5, "1.5s": 1.5, "": 0.0, "-.5": -0.5, "1e3": 1000.0, "z": 0.0}.items():
         assert one(spark, wire.to_double("t"), t=text) == want
     assert one(spark, wire.to_long("t"), t="4294967296") == 4294967296
+    for text, want in {"9" * 20: 2**63 - 1, "-" + "9" * 60 + "x": -(2**63), "9" * 18: int("9" * 18)}.items():
+        assert one(spark, wire.to_long("t"), t=text) == want
+        assert spark.createDataFrame([(text,)], "t STRING").selectExpr(wire.number_sql("t", "bigint") + " AS v").first().v == want
+    # seconds and fractions no timestamp holds end at its range instead of failing
+    assert one(spark, wire.from_epoch(wire.to_long("t")).cast("string"), t="9" * 20).startswith("+294247")
+    assert one(spark, wire.to_timeval("t").cast("string"), t="99999999999999.12345678901234").startswith("+29424")
     assert one(spark, wire.clamp(wire.to_long("t"), "smallint"), t="40000") == 32767
 
 

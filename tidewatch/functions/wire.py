@@ -7,6 +7,8 @@ one attribute can be cut out with two native ``substring_index`` calls; nothing
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,9 +34,13 @@ _CLEAN = {
     "bigint": r"^[+-]?[0-9]{1,18}$",
     "double": r"^[+-]?[0-9]{1,300}([.][0-9]*)?$",
 }
+_ENDS = {"int": (-(2**31), 2**31 - 1), "bigint": (-(2**63), 2**63 - 1)}
+#: seconds whose microseconds fit into a timestamp
+_SECONDS = 9_223_372_036_854
 _PATTERNS = {
-    "int": r"^\s*([+-]?\d+)",
-    "bigint": r"^\s*([+-]?\d+)",
+    # as many digits as a decimal holds: with more the number is out of range all the same
+    "int": r"^\s*([+-]?\d{1,38})",
+    "bigint": r"^\s*([+-]?\d{1,38})",
     "double": r"^\s*([+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?)",
 }
 
@@ -95,16 +101,22 @@ def attr_sql(key: int, body: str = "body") -> str:
 
 
 def number_sql(text: str, kind: str) -> str:
-    """Leading number of a text, 0 when there is none.
+    """Leading number of a text, 0 when there is none; beyond its type's range it is the nearest end of it.
 
     Absent and clean values take a plain cast; a failing ``try_cast`` raises and catches inside the JVM,
     so it is only reached by text that starts like a number and goes on differently.
     """
     zero = f"CAST({'0D' if kind == 'double' else '0'} AS {kind})"
     prefix = f"nullif(regexp_extract({text}, {literal(_PATTERNS[kind])}, 1), '')"
+    if kind == "double":
+        other = f"coalesce(try_cast({prefix} AS double), {zero})"
+    else:
+        low, high = _ENDS[kind]
+        other = f"greatest({low}BD, least({high}BD, coalesce(try_cast({prefix} AS decimal(38,0)), 0BD)))"
+        other = f"CAST({other} AS {kind})"
     return (
         f"CASE WHEN {text} = '' THEN {zero} WHEN {text} RLIKE {literal(_CLEAN[kind])} THEN CAST({text} AS {kind}) "
-        f"ELSE coalesce(try_cast({prefix} AS {kind}), {zero}) END"
+        f"ELSE {other} END"
     )
 
 
@@ -201,10 +213,15 @@ def frame_type(frame) -> Column:
 def _number(text: Column, kind: str) -> Column:
     zero = F.lit(0).cast(kind)
     prefix = F.nullif(F.regexp_extract(text, _PATTERNS[kind], 1), F.lit(""))
+    other = F.coalesce(prefix.try_cast(kind), zero)
+    if kind != "double":
+        low, high = (F.lit(Decimal(end)).cast("decimal(38,0)") for end in _ENDS[kind])
+        whole = F.coalesce(prefix.try_cast("decimal(38,0)"), F.lit(Decimal(0)).cast("decimal(38,0)"))
+        other = F.greatest(low, F.least(high, whole)).cast(kind)
     return (
         F.when(text.isNull() | (text == ""), zero)
         .when(text.rlike(_CLEAN[kind]), text.cast(kind))
-        .otherwise(F.coalesce(prefix.try_cast(kind), zero))
+        .otherwise(other)
     )
 
 
@@ -239,11 +256,18 @@ def timeval_usec(text) -> Column:
 
 
 def to_timeval(text) -> Column:
-    return F.timestamp_micros(timeval_sec(text) * F.lit(1000000) + timeval_usec(text))
+    seconds = F.greatest(F.lit(-_SECONDS + 2147), F.least(F.lit(_SECONDS - 2148), timeval_sec(text)))
+    return F.timestamp_micros(seconds * F.lit(1000000) + timeval_usec(text))
 
 
 def from_epoch(seconds) -> Column:
-    return F.timestamp_seconds(as_col(seconds))
+    """Time of an epoch second; seconds beyond the range of a timestamp give its nearest end."""
+    return F.timestamp_seconds(F.greatest(F.lit(-_SECONDS), F.least(F.lit(_SECONDS), as_col(seconds))))
+
+
+def from_epoch_sql(seconds: str) -> str:
+    """SQL text of :func:`from_epoch`."""
+    return f"timestamp_seconds(greatest(-{_SECONDS}L, least({_SECONDS}L, {seconds})))"
 
 
 def to_epoch(stamp) -> Column:

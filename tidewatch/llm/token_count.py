@@ -27,7 +27,9 @@ from tokenizers import pre_tokenizers
 #: remembered stretches in a worker, some 100 bytes each; the table starts anew when it is full
 MEMO = 300_000
 #: white space beyond the ASCII kind, and characters near it: texts with these are cut as a whole
-_ODD = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -​    　﻿]")
+_ODD = re.compile("[" + "".join(map(chr, (
+    *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200C), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
+    0xFEFF))) + "]")
 _RUNS = tuple(" " + c for c in " \t\n\r\x0b\x0c")
 _CUT = re.compile(r" (?=[^\s])")
 _LOADED: dict[str, TokenCounter] = {}

@@ -41,9 +41,9 @@ def session_audit(decoded: DataFrame, instances: DataFrame) -> DataFrame:
     # partial aggregation first: a session may hold a third of all rows
     sums = live.groupBy("session").agg(
         F.first("header").alias("header"),
-        F.sum("bytes").cast("int").alias("bytes_processed"),
-        F.sum("lines").cast("int").alias("lines_processed"),
-        F.count("rec_type").cast("int").alias("entries_processed"),
+        F.sum("bytes").cast("bigint").alias("bytes_processed"),
+        F.sum("lines").cast("bigint").alias("lines_processed"),
+        F.count("rec_type").alias("entries_processed"),
     )
     ends = live.where(F.col("closes").isNotNull()).groupBy(F.col("closes").alias("session")).agg(
         F.max("end_time").alias("data_end_time")

@@ -86,11 +86,11 @@ def _attribute(kind: str, key: int, arrays: _Arrays) -> str:
     if kind == "str":
         return arrays.text(raw) if key in wire.ESCAPED_KEYS else raw
     if kind == "ts":
-        return f"timestamp_seconds({arrays.number(raw)})"
+        return wire.from_epoch_sql(arrays.number(raw))
     if kind == "tv":
-        return f"timestamp_seconds({arrays.number(wire.whole_part_sql(raw))})"
+        return wire.from_epoch_sql(arrays.number(wire.whole_part_sql(raw)))
     if kind == "us":
-        return f"CAST({arrays.number(wire.fraction_sql(raw))} AS INT)"
+        return wire.clamp_sql(arrays.number(wire.fraction_sql(raw)), "int")
     if kind == "cmd":
         return ids.object_id_sql(ids.COMMAND, arrays.text(wire.command_sql(raw)[0]))
     if kind == "arg":
@@ -121,7 +121,7 @@ def attribute(kind: str, key: int) -> Column:
     if kind in ("i16", "i32"):
         return F.expr(wire.clamp_sql(wire.number_sql(raw, "bigint"), TYPES[kind]))
     if kind == "ts":
-        return F.expr(f"timestamp_seconds({wire.number_sql(raw, 'bigint')})")
+        return F.expr(wire.from_epoch_sql(wire.number_sql(raw, "bigint")))
     if kind == "str":
         return wire.attr(key)
     if kind.startswith("obj"):

@@ -65,7 +65,7 @@ HOSTS = _config("hosts", 400, """
     stalk_on_unreachable i16 229, flap_detection_enabled i16 167, flap_detection_on_up i16 251,
     flap_detection_on_down i16 252, flap_detection_on_unreachable i16 253, low_flap_threshold f64 183,
     high_flap_threshold f64 156, process_performance_data i16 201, freshness_checks_enabled i16 168,
-    freshness_threshold i16 169, passive_checks_enabled i16 96, event_handler_enabled i16 164,
+    freshness_threshold i32 169, passive_checks_enabled i16 96, event_handler_enabled i16 164,
     active_checks_enabled i16 8, retain_status_information i16 204, retain_nonstatus_information i16 203,
     notifications_enabled i16 178, obsess_over_host i16 91, failure_prediction_enabled i16 165,
     notes str 186, notes_url str 187, action_url str 126, icon_image str 179, icon_image_alt str 180,
@@ -92,7 +92,7 @@ SERVICES = _config("services", 402, """
     is_volatile i16 221, flap_detection_enabled i16 215, flap_detection_on_ok i16 254,
     flap_detection_on_warning i16 255, flap_detection_on_unknown i16 256,
     flap_detection_on_critical i16 257, low_flap_threshold f64 184, high_flap_threshold f64 157,
-    process_performance_data i16 202, freshness_checks_enabled i16 216, freshness_threshold i16 217,
+    process_performance_data i16 202, freshness_checks_enabled i16 216, freshness_threshold i32 217,
     passive_checks_enabled i16 97, event_handler_enabled i16 212, active_checks_enabled i16 9,
     retain_status_information i16 206, retain_nonstatus_information i16 205, notifications_enabled i16 225,
     obsess_over_service i16 93, failure_prediction_enabled =, notes str 186, notes_url str 187,

@@ -59,7 +59,7 @@ EVENTHANDLERS = Table(
     "eventhandlers", (204,), """
     eventhandler_id =, instance_id =, eventhandler_type =, object_id =, state i16 118, state_type i16 121,
     start_time tv 117, start_time_usec us 117, end_time tv 33, end_time_usec us 33, command_object_id =,
-    command_args str 13, command_line str 14, timeout i16 123, early_timeout i16 32,
+    command_args str 13, command_line str 14, timeout i32 123, early_timeout i16 32,
     execution_time f64 42, return_code i16 110, output str 95, long_output str 125
     """,
     keys=("instance_id", "object_id", "start_time", "start_time_usec"),
@@ -155,7 +155,7 @@ CONTACTNOTIFICATIONMETHODS = Table(
 
 _CHECK_TAIL = """
     state i16 118, state_type i16 121, start_time tv 117, start_time_usec us 117, end_time tv 33,
-    end_time_usec us 33, command_object_id =, command_args str 13, command_line str 14, timeout i16 123,
+    end_time_usec us 33, command_object_id =, command_args str 13, command_line str 14, timeout i32 123,
     early_timeout i16 32, execution_time f64 42, latency f64 71, return_code i16 110, output str 95,
     long_output str 125, perfdata str 99
 """
@@ -187,7 +187,7 @@ HOSTCHECKS = Table(
 SYSTEMCOMMANDS = Table(
     "systemcommands", (203,), """
     systemcommand_id =, instance_id =, start_time tv 117, start_time_usec us 117, end_time tv 33,
-    end_time_usec us 33, command_line str 14, timeout i16 123, early_timeout i16 32,
+    end_time_usec us 33, command_line str 14, timeout i32 123, early_timeout i16 32,
     execution_time f64 42, return_code i16 110, output str 95, long_output str 125
     """,
     id_column="systemcommand_id", date_column="start_time",
@@ -222,10 +222,18 @@ PROCESSEVENTS = Table(
 
 
 def _log_rows(picked: DataFrame, table: Table) -> DataFrame:
-    """Live log data as sent; archived lines split, malformed ones dropped and duplicates removed."""
-    live = picked.where(F.col("rec_type") == 202)
-    archived = picked.where(F.col("rec_type") == 100)
-    return table.typed(live).unionByName(archive_rows(archived, table))
+    """Live log data as sent; archived lines split, malformed ones dropped and those stored or live left out."""
+    live = table.typed(picked.where(F.col("rec_type") == 202))
+    return live.unionByName(archive_rows(picked.where(F.col("rec_type") == 100), table, stored=live))
+
+
+def unseen_lines(rows: DataFrame, stored: DataFrame | None) -> DataFrame:
+    """Log rows of a batch without the archived lines an earlier batch has stored; live rows all stay."""
+    if stored is None:
+        return rows
+    key = ["instance_id", "logentry_time", "logentry_data"]
+    archived = rows.where("realtime_data = 0").join(stored.select(*key), key, "left_anti")
+    return rows.where("realtime_data <> 0").unionByName(archived.select(*rows.columns))
 
 
 def archive_rows(picked: DataFrame, table: Table | None = None, stored: DataFrame | None = None) -> DataFrame:
@@ -387,7 +395,7 @@ def _fold_downtime_history(rows: DataFrame, table: Table) -> DataFrame:
 
 DOWNTIMEHISTORY = Table(
     "downtimehistory", (209,),
-    "downtimehistory_id =, instance_id =," + DOWNTIME_COLUMNS.replace("DURATION", "i16") + """,
+    "downtimehistory_id =, instance_id =," + DOWNTIME_COLUMNS.replace("DURATION", "i32") + """,
     was_started =, actual_start_time =, actual_start_time_usec =, actual_end_time =,
     actual_end_time_usec =, was_cancelled =
     """,

@@ -302,33 +302,33 @@ def archive_log_dedup(spark, sf_dir):
 
 # ---- gates ------------------------------------------------------------------------------------
 def _stored_status(spark, sf_dir):
-    """Status built from the first part of the events, as an earlier session left it."""
-    early = SERVICE_STATUS.records(spark, sf_dir).where("arrival.offset % 97 = 0 AND session.number <> 3")
-    return warehouse.TABLES["servicestatus"].build(early, Context())
+    """Status built from all events, as an earlier session left it."""
+    return warehouse.TABLES["servicestatus"].build(SERVICE_STATUS.records(spark, sf_dir), Context())
 
 
-_EARLY = f"(SELECT inst, max(sec) AS cut FROM ({EV}) WHERE event_id % 97 = 0 AND inst <> 3 GROUP BY inst)"
+_STORED = f"(SELECT inst, max(sec) AS cut FROM ({EV}) GROUP BY inst)"
 AS_OF = 1706000000
 
 
-@query("latest_data_time", f"SELECT inst AS instance_id, {stamp_sql('cut')} AS latest_time FROM {_EARLY}")
+@query("latest_data_time", f"SELECT inst AS instance_id, {stamp_sql('cut')} AS latest_time FROM {_STORED}")
 def latest_data_time(spark, sf_dir):
     """Newest stored status time per instance."""
     return aggregates.latest_data_time(_stored_status(spark, sf_dir), "status_update_time")
 
 
-@query("realtime_cutoff", f"SELECT inst AS instance_id, least(cut, {AS_OF}) AS cutoff FROM {_EARLY}")
+@query("realtime_cutoff", f"SELECT inst AS instance_id, least(cut, {AS_OF}) AS cutoff FROM {_STORED}")
 def realtime_cutoff(spark, sf_dir):
     """Cutoff per instance, never after the reading time."""
     return aggregates.realtime_cutoff({"servicestatus": _stored_status(spark, sf_dir)}, F.timestamp_seconds(F.lit(AS_OF)))
 
 
 @query("realtime_gate", f"""
-    SELECT e.event_id, e.inst AS instance_id FROM ({EV}) e LEFT JOIN {_EARLY} c ON e.inst = c.inst
+    SELECT e.event_id, e.inst AS instance_id FROM ({EV}) e LEFT JOIN {_STORED} c ON e.inst = c.inst AND e.inst <> 3
     WHERE c.cut IS NULL OR e.sec >= least(c.cut, {AS_OF})""")
 def realtime_gate(spark, sf_dir):
     """Records older than the cutoff are dropped; an instance without stored data keeps all."""
-    cutoff = realtime_cutoff(spark, sf_dir)
+    stored = maintenance.clear_instance(_stored_status(spark, sf_dir), 3)
+    cutoff = aggregates.realtime_cutoff({"servicestatus": stored}, F.timestamp_seconds(F.lit(AS_OF)))
     events = SERVICE_STATUS.records(spark, sf_dir)
     return filters.realtime_gate(events, cutoff, event_second()).select(
         F.col("arrival.offset").alias("event_id"), "instance_id"
@@ -396,17 +396,17 @@ def restart_clear(spark, sf_dir):
     return table.select("service_object_id", "instance_id", "status_update_time", "current_state")
 
 
-_PROGRAM = Feed(211, "ev", "event_id", {1: "1200", 4: TV, 106: "sec - 100", 102: "event_id"}, where="k % 3 = 0")
-_ENDS = Feed(200, "ev", "event_id", {1: "102 + k % 2", 4: TV}, where="k % 3 = 1")
+_PROGRAM = Feed(211, "ev", "event_id", {1: "1200", 4: TV, 106: "sec - 100", 102: "event_id"}, where="k % 2 = 0")
+_ENDS = Feed(200, "ev", "event_id", {1: "CASE WHEN k % 4 = 1 THEN 102 ELSE 103 END", 4: TV}, where="k % 2 <> 0")
 
 
 @query("close_program", f"""
     SELECT s.inst AS instance_id, {stamp_sql('s.sec')} AS status_update_time, CAST(s.event_id AS INTEGER) AS process_id,
     CASE WHEN e.event_id > f.first_id THEN {stamp_sql('e.sec')} END AS program_end_time,
     CAST(CASE WHEN e.event_id > s.event_id THEN 0 ELSE 1 END AS SMALLINT) AS is_currently_running
-    FROM (SELECT inst, arg_max(sec, event_id) AS sec, max(event_id) AS event_id FROM ({EV}) WHERE k % 3 = 0 GROUP BY inst) s
-    JOIN (SELECT inst, min(event_id) AS first_id FROM ({EV}) WHERE k % 3 = 0 GROUP BY inst) f ON s.inst = f.inst
-    LEFT JOIN (SELECT inst, arg_max(sec, event_id) AS sec, max(event_id) AS event_id FROM ({EV}) WHERE k % 3 = 1 GROUP BY inst) e
+    FROM (SELECT inst, arg_max(sec, event_id) AS sec, max(event_id) AS event_id FROM ({EV}) WHERE k % 2 = 0 GROUP BY inst) s
+    JOIN (SELECT inst, min(event_id) AS first_id FROM ({EV}) WHERE k % 2 = 0 GROUP BY inst) f ON s.inst = f.inst
+    LEFT JOIN (SELECT inst, arg_max(sec, event_id) AS sec, max(event_id) AS event_id FROM ({EV}) WHERE k % 2 <> 0 GROUP BY inst) e
     ON s.inst = e.inst""")
 def close_program(spark, sf_dir):
     """Program status with the shutdowns and restarts that ended it."""

@@ -18,13 +18,17 @@ from .report_queries import _QUEUE_ROWS, _T_MATCH, SERVICE_STATUS, TIMED, latest
 EV1 = source_sql("ev1")
 
 
-def _drained(spark, sf_dir, feed: Feed) -> Store:
-    """Write the feed as dump files in arrival order and ingest them until none is left."""
+def _drained(spark, sf_dir, events, parts: int = 3) -> Store:
+    """Write records as dump files, one part after the other in arrival order, and ingest a part per micro-batch."""
     work = f"{ensure_checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
-    events = feed.records(spark, sf_dir)
-    ordered = events.repartitionByRange("arrival").sortWithinPartitions("arrival")
-    dump.write_dump(ordered, f"{work}/in")
-    run = ingest.start(spark, f"{work}/in", f"{work}/out", f"{work}/checkpoint", available_now=True)
+    files = spark.sparkContext.defaultParallelism
+    last = events.agg(F.max("arrival.offset")).first()[0] or 0
+    for part in range(parts):
+        here = events.where(F.expr(f"arrival.offset * {parts} div {last + 1} = {part}"))
+        here = here.repartitionByRange(files, "arrival").sortWithinPartitions("arrival")
+        dump.write_dump(here, f"{work}/in", mode="append")
+    run = ingest.start(
+        spark, f"{work}/in", f"{work}/out", f"{work}/checkpoint", max_files=files, available_now=True)
     run.awaitTermination()
     return Store(spark, f"{work}/out")
 
@@ -39,7 +43,7 @@ def _moved(feed: Feed) -> Feed:
     FROM ({EV1})""", "service_object_id").replace("* EXCLUDE (rn)", "* EXCLUDE (rn, ord)"))
 def stream_service_status(spark, sf_dir):
     """Latest service status kept by the ingest stream."""
-    store = _drained(spark, sf_dir, _moved(SERVICE_STATUS))
+    store = _drained(spark, sf_dir, _moved(SERVICE_STATUS).records(spark, sf_dir))
     return ingest.read_table(store, "servicestatus").select(
         "service_object_id", "instance_id", "status_update_time", "current_state", "output", "execution_time"
     )
@@ -55,7 +59,7 @@ def stream_service_status(spark, sf_dir):
     FROM q WHERE op = 200 AND removed IS NULL AND (purged IS NULL OR run >= purged)""")
 def stream_queue(spark, sf_dir):
     """Event queue kept by the ingest stream."""
-    store = _drained(spark, sf_dir, _moved(TIMED))
+    store = _drained(spark, sf_dir, _moved(TIMED).records(spark, sf_dir))
     return ingest.read_table(store, "timedeventqueue").drop("timedeventqueue_id")
 
 
@@ -63,17 +67,11 @@ def stream_queue(spark, sf_dir):
     SELECT DISTINCT CAST(1 AS SMALLINT) AS instance_id, {stamp_sql('sec')} AS logentry_time, concat(svc, ';', k) AS logentry_data
     FROM ({EV1})""")
 def stream_dedup(spark, sf_dir):
-    """Archived lines that arrive twice are kept once by the stream."""
-    work = f"{ensure_checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
-    line = F.expr("concat('[', sec, '] ', svc, ';', k)")
-    twice = feeds.source(spark, sf_dir, "ev1").select(F.explode(F.array(line, line)).alias("value"))
-    twice.write.text(f"{work}/in")
-    lines = spark.readStream.schema("value STRING").text(f"{work}/in").select(
-        F.lit(1).cast("smallint").alias("instance_id"), "value")
-    run = (
-        ingest.dedup_archive_stream(lines, "3650 days").writeStream.format("parquet")
-        .option("path", f"{work}/out").option("checkpointLocation", f"{work}/checkpoint")
-        .trigger(availableNow=True).start()
-    )
-    run.awaitTermination()
-    return spark.read.parquet(f"{work}/out")
+    """Archived lines that come again, in the same or a later micro-batch, are stored once."""
+    lines = Feed(100, "ev1", "event_id", {72: "concat('[', sec, '] ', svc, ';', k)"}).records(spark, sf_dir)
+    # every line a second time, where the order puts it next to other lines
+    last = lines.agg(F.max("arrival.offset")).first()[0] or 0
+    again = lines.withColumn("arrival", F.struct(
+        "arrival.batch", "arrival.file", (F.lit(last) - F.col("arrival.offset")).alias("offset")))
+    store = _drained(spark, sf_dir, lines.unionByName(again))
+    return store.history("logentries").select("instance_id", "logentry_time", "logentry_data")

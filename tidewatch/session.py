@@ -35,7 +35,7 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the shared folder the cluster names; make a local one only where none is set (tests)."""
+    """Use the shared folder the cluster names; only a local master may do without one, as in tests."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     if shared:
@@ -43,5 +43,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             context.setCheckpointDir(shared)
         return shared
     if context.getCheckpointDir() is None:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="tidewatch-checkpoint-"))
     return context.getCheckpointDir()

@@ -58,5 +58,6 @@ def spool_frames(spool: DataFrame) -> DataFrame:
     )
 
 
-def read_spool_records(spark: SparkSession, path: str) -> DataFrame:
-    return dump.decode(spool_frames(read_spool(spark, path)))
+def read_spool_records(spark: SparkSession, path: str, instance_name: str = "default") -> DataFrame:
+    """Decoded records of a spool.  A spool carries no session header, so the caller names its sender."""
+    return dump.decode(spool_frames(read_spool(spark, path)), instance_name=instance_name)

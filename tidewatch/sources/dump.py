@@ -51,12 +51,17 @@ def stream_frames(spark: SparkSession, directory: str, max_files: int = 1000) ->
     return _place(reader.load(directory))
 
 
+#: endings of files that are decompressed while they are read, so that their size says nothing of their text
+_COMPRESSED = r"(?i)\.(gz|gzip|bz2|zst|zstd|lz4|snappy|deflate)$"
+
+
 def _place(text: DataFrame) -> DataFrame:
+    """``file_size`` is NULL where it is not the number of text bytes."""
     return text.select(
         "value",
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
-        F.col("_metadata.file_size").alias("file_size"),
+        F.when(~F.col("_metadata.file_path").rlike(_COMPRESSED), F.col("_metadata.file_size")).alias("file_size"),
     )
 
 
@@ -100,9 +105,11 @@ def record_text(frame) -> Column:
     return F.substring_index(text, "\nSTARTDATADUMP\n", -1)
 
 
-def decode(frames: DataFrame, keep_types=None, batch: int = 0) -> DataFrame:
+def decode(frames: DataFrame, keep_types=None, batch: int = 0, instance_name: str | None = None) -> DataFrame:
     """Frames -> one row per record.
 
+    ``instance_name`` names the sender of records that come without a session header, as spooled ones do.
+
     Columns: ``arrival`` (batch, file, offset), ``chunk`` (bounded run of arrivals), ``session`` (file, number
     of the session in its file), ``header``, ``config_type``, ``rec_type``, ``body``, ``bytes``,
     ``lines``, ``end_time`` and ``closes`` (set on the row that closes a session) and ``reject``, the
@@ -136,7 +143,11 @@ def decode(frames: DataFrame, keep_types=None, batch: int = 0) -> DataFrame:
         .withColumn("header", F.coalesce(F.last("header", ignorenulls=True).over(upto), "header_in"))
         .withColumn("config_type", F.coalesce(F.last("dump", ignorenulls=True).over(upto), "dump_in", F.lit(0)))
     )
-    unterminated = F.col("offset") + F.col("len") > F.col("file_size")
+    if instance_name is not None:
+        header = {"protocol": F.lit(wire.PROTOCOL_VERSION), "instance_name": F.lit(instance_name)}
+        fields = [header.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in carried.schema["header"].dataType]
+        carried = carried.withColumn("header", F.coalesce("header", F.struct(*fields)))
+    unterminated = F.coalesce(F.col("offset") + F.col("len") > F.col("file_size"), F.lit(False))
     reject = (
         F.when(F.col("header").isNull() & F.col("is_text"), "no session")
         .when(F.col("header.protocol") != wire.PROTOCOL_VERSION, "protocol")

@@ -4,7 +4,8 @@ A dump file is always read whole by one micro-batch, so sessions, configuration
 never cross a batch boundary and need no state of their own.  What does cross it - current rows, objects,
 instances - is the previous snapshot, folded with the batch by the same functions the batch build uses.
 
-The cutoff for stale records is read once when the query starts and stays fixed; it is not a watermark.
+The cutoff for stale records is read once, before the first batch after a start, from the snapshots older than that
+batch, and stays fixed; it is not a watermark.  A batch that failed half-way thus finds the cutoff it had before.
 """
 
 from __future__ import annotations
@@ -46,21 +47,23 @@ def start(
 ):
     """Start the ingest query.  ``available_now`` drains what is there and stops."""
     store = Store(spark, root)
-    cutoff = stored_cutoff(store)
+    cutoffs: list[DataFrame | None] = []
 
     def run(frames: DataFrame, batch: int) -> None:
-        process_batch(store, frames, batch, cutoff, options, optional)
+        if not cutoffs:
+            cutoffs.append(stored_cutoff(store, before=batch))
+        process_batch(store, frames, batch, cutoffs[0], options, optional)
 
     writer = dump.stream_frames(spark, source_dir, max_files).writeStream.foreachBatch(run)
     writer = writer.option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
-def stored_cutoff(store: Store, as_of=None) -> DataFrame | None:
-    """Cutoff per instance from the snapshots present now, pinned as local rows (one per instance)."""
+def stored_cutoff(store: Store, as_of=None, before: int | None = None) -> DataFrame | None:
+    """Cutoff per instance from the snapshots present now (older than batch ``before``), pinned as local rows."""
     tables = {}
     for name in aggregates.REALTIME_FIELDS:
-        rows = store.snapshot(name)
+        rows = store.snapshot(name, before)
         if rows is not None:
             tables[name] = rows
     if not tables:
@@ -90,7 +93,10 @@ def process_batch(store: Store, frames: DataFrame, batch: int, cutoff=None, opti
         touched = bool(present & set(table.rec_types))
         if table.kind == "history":
             if touched:
-                store.append_history(table.name, table.rows(events, ctx), batch, table.date_column)
+                rows = table.rows(events, ctx)
+                if table.name == "logentries" and 100 in present:
+                    rows = history.unseen_lines(rows, store.history(table.name, before=batch))
+                store.append_history(table.name, rows, batch, table.date_column)
             return
         stored = store.snapshot(table.name, batch)
         if touched or (restarted and stored is not None):
@@ -111,6 +117,9 @@ def process_batch(store: Store, frames: DataFrame, batch: int, cutoff=None, opti
         jobs += [pool.submit(save_objects), pool.submit(save_audit)]
         for job in jobs:
             job.result()
+    # the snapshot before this batch stays, so that the batch can be repeated
+    for name in [*(t.name for t in wanted if t.kind != "history"), "objects", "instances"]:
+        store.drop_old_snapshots(name)
 
 
 def fold(table: Table, stored: DataFrame | None, events: DataFrame, ctx) -> DataFrame:
@@ -149,23 +158,3 @@ def read_table(store: Store, name: str, since=None) -> DataFrame:
 
 def read_tables(store: Store, names) -> dict[str, DataFrame]:
     return {name: read_table(store, name) for name in names}
-
-
-def dedup_archive_stream(lines: DataFrame, delay: str = "10 minutes") -> DataFrame:
-    """Streamed archive lines, each (instance, time, text) once within the watermark.
-
-    ``lines`` has ``instance_id`` and ``value``; a line seen again after ``delay`` of event time is caught
-    by the stored-rows check of the batch import instead.
-    """
-    parsed = lines.withColumn("_line", wire.log_split("value")).where(F.col("_line").isNotNull())
-    typed = parsed.select(
-        "instance_id", wire.from_epoch("_line.epoch").alias("logentry_time"), F.col("_line.text").alias("logentry_data")
-    )
-    return typed.withWatermark("logentry_time", delay).dropDuplicatesWithinWatermark(
-        ["instance_id", "logentry_time", "logentry_data"]
-    )
-
-
-def dedup_records(events: DataFrame) -> DataFrame:
-    """Records read twice (same file and offset) once."""
-    return events.dropDuplicates(["arrival"])

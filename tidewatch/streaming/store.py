@@ -24,9 +24,9 @@ class Store:
         folder = jvm.org.apache.hadoop.fs.Path(path)
         return folder.getFileSystem(self.spark._jsc.hadoopConfiguration()), folder
 
-    def versions(self, table: str) -> list[int]:
-        """Numbers of the complete snapshots of a table."""
-        fs, folder = self._folder(f"{self.root}/current/{table}")
+    def _complete(self, path: str) -> list[int]:
+        """Numbers of the ``name=N`` folders whose write has been committed."""
+        fs, folder = self._folder(path)
         if not fs.exists(folder):
             return []
         jvm = self.spark._jvm
@@ -37,6 +37,10 @@ class Store:
                 found.append(int(path.getName().split("=")[1]))
         return sorted(found)
 
+    def versions(self, table: str) -> list[int]:
+        """Numbers of the complete snapshots of a table."""
+        return self._complete(f"{self.root}/current/{table}")
+
     def snapshot(self, table: str, before: int | None = None) -> DataFrame | None:
         """Latest snapshot, or the latest one older than batch ``before``."""
         known = [v for v in self.versions(table) if before is None or v < before]
@@ -63,12 +67,13 @@ class Store:
         dated = rows.withColumn("event_date", F.to_date(date_column))
         dated.hint("rebalance", "event_date").write.mode("overwrite").partitionBy("event_date").parquet(path)
 
-    def history(self, table: str, since=None) -> DataFrame | None:
-        """Typed rows of all batches; ``since`` prunes older days."""
-        fs, folder = self._folder(f"{self.root}/history/{table}")
-        if not fs.exists(folder):
+    def history(self, table: str, since=None, before: int | None = None) -> DataFrame | None:
+        """Typed rows of all complete batches, or those before batch ``before``; ``since`` prunes older days."""
+        root = f"{self.root}/history/{table}"
+        batches = [b for b in self._complete(root) if before is None or b < before]
+        if not batches:
             return None
-        rows = self.spark.read.parquet(f"{self.root}/history/{table}")
+        rows = self.spark.read.option("basePath", root).parquet(*[f"{root}/batch={b}" for b in batches])
         if since is not None and "event_date" in rows.columns:
             rows = rows.where(F.col("event_date") >= F.lit(since).cast("date"))
         return rows.drop("batch", "event_date")
