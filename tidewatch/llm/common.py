@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,3 +30,24 @@ def save(spark: SparkSession, frame: DataFrame, label: str) -> DataFrame:
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{label}-{uuid.uuid4().hex}"
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+class Memo(dict):
+    """Values by key, computed where missing, in two generations of at most ``size`` entries.
+
+    When the younger one is full it becomes the older one, so what is met often stays known.
+    """
+
+    def __init__(self, compute: Callable, size: int):
+        super().__init__()
+        self.compute, self.size, self.older = compute, size, {}
+
+    def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.compute(key)
+        if len(self) >= self.size:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value

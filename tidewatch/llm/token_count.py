@@ -24,8 +24,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import pre_tokenizers
 
-#: remembered stretches in a worker, some 100 bytes each; the table starts anew when it is full
-MEMO = 300_000
+from .common import Memo
+
+#: remembered stretches in a generation of a worker's table, some 110 bytes each
+MEMO = 500_000
+#: letters that are one pre-token, with a mark that is another
+_WORD = re.compile("[A-Za-z]+[,.]?")
 #: white space beyond the ASCII kind, and characters near it: texts with these are cut as a whole
 _ODD = re.compile("[" + "".join(map(chr, (
     *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200C), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
@@ -39,13 +43,16 @@ def _merge_count(symbols: list[str], ranks: dict[tuple[str, str], int]) -> int:
     """Number of symbols left when the pair of lowest rank, leftmost first, is merged until none is known."""
     n = len(symbols)
     if n < 24:
-        while len(symbols) > 1:
-            found = [ranks.get(pair, 1 << 60) for pair in zip(symbols, symbols[1:])]
-            least = min(found)
-            if least == 1 << 60:
-                break
+        get, none = ranks.get, 1 << 60
+        found = [get(pair, none) for pair in zip(symbols, symbols[1:])]
+        while found and (least := min(found)) < none:
             at = found.index(least)
-            symbols[at:at + 2] = [symbols[at] + symbols[at + 1]]
+            symbols[at] += symbols.pop(at + 1)
+            del found[at]
+            if at:
+                found[at - 1] = get((symbols[at - 1], symbols[at]), none)
+            if at < len(found):
+                found[at] = get((symbols[at], symbols[at + 1]), none)
         return len(symbols)
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
     heap = [(rank, i, a, b) for i, (a, b) in enumerate(zip(symbols, symbols[1:])) if (rank := ranks.get((a, b))) is not None]
@@ -67,20 +74,6 @@ def _merge_count(symbols: list[str], ranks: dict[tuple[str, str], int]) -> int:
     return left
 
 
-class _Memo(dict):
-    """Counts by stretch, computed where missing, emptied when full."""
-
-    def __init__(self, compute):
-        super().__init__()
-        self.compute = compute
-
-    def __missing__(self, stretch: str) -> int:
-        if len(self) >= MEMO:
-            self.clear()
-        value = self[stretch] = self.compute(stretch)
-        return value
-
-
 class TokenCounter:
     """``spec`` is the text of a tokenizer file: byte-level BPE without normaliser or prefix space."""
 
@@ -97,12 +90,22 @@ class TokenCounter:
         special = sorted((t["content"] for t in parsed["added_tokens"]), key=len, reverse=True)
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
         self.special_strings = special
-        self.led = _Memo(lambda stretch: self.stretch(" " + stretch))
+        self.space = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(" ")[0][0]
+        self.plain_marks = cutter.get("use_regex", True) and {",", "."} <= self.whole
+        self.led = Memo(self._led, MEMO)
 
     def prove(self, vocabulary) -> frozenset[str]:
         """The vocabulary strings that encode alone as one token."""
         return frozenset(s for s in vocabulary if _merge_count(list(s), self.ranks) == 1)
 
+    def _led(self, word: str) -> int:
+        """Tokens of a word with the space before it."""
+        if self.plain_marks and _WORD.fullmatch(word):
+            marks = not word[-1].isalpha()
+            piece = self.space + (word[:-1] if marks else word)
+            return marks + (1 if piece in self.whole else _merge_count(list(piece), self.ranks))
+        return self.stretch(" " + word)
+
     def stretch(self, text: str) -> int:
         """Tokens of a text without special strings."""
         total = 0
