@@ -13,7 +13,7 @@ from ..operators.upsert import upsert
 from ..plans import history, warehouse
 from ..plans.table import Context, event_second
 from ..session import ensure_checkpoint_dir
-from ..sources import dump
+from ..sources import archive, dump
 from . import feeds
 from .entries import query
 from .feeds import Feed, object_sql, row_sql, source_sql, stamp_sql, union
@@ -67,16 +67,18 @@ def decode_multivalue(spark, sf_dir):
     )
 
 
-@query("dump_roundtrip", f"""
+_NUMBERED = Feed(223, "ev", "event_id", {**STATE.fields, 18: "event_id"})
+_DECODED_SQL = f"""
     SELECT event_id, CAST(223 AS INTEGER) AS rec_type, host, {SUBJECT} AS service, CAST(k % 4 AS INTEGER) AS state,
     concat(svc, chr(10), chr(9), chr(92), 'n') AS long_output, 'default' AS instance_name, CAST(NULL AS VARCHAR) AS reject
-    FROM ({EV})""")
-def dump_roundtrip(spark, sf_dir):
-    """Records written as protocol dump files and decoded again."""
-    path = f"{ensure_checkpoint_dir(spark)}/dump-{uuid.uuid4().hex}"
-    feed = Feed(223, "ev", "event_id", {**STATE.fields, 18: "event_id"})
-    dump.write_dump(feed.records(spark, sf_dir), path)
-    decoded = dump.read_dump(spark, path)
+    FROM ({EV})"""
+
+
+def _folder(spark, kind: str) -> str:
+    return f"{ensure_checkpoint_dir(spark)}/{kind}-{uuid.uuid4().hex}"
+
+
+def _decoded(decoded):
     return decoded.select(
         F.expr(wire.number_sql(wire.raw_sql(18), "bigint")).alias("event_id"), "rec_type", wire.attr(53).alias("host"),
         wire.attr(114).alias("service"), wire.code(118).alias("state"), wire.attr(125).alias("long_output"),
@@ -84,6 +86,50 @@ def dump_roundtrip(spark, sf_dir):
     )
 
 
+@query("dump_roundtrip", _DECODED_SQL)
+def dump_roundtrip(spark, sf_dir):
+    """Records written as protocol dump files and decoded again."""
+    path = _folder(spark, "dump")
+    dump.write_dump(_NUMBERED.records(spark, sf_dir), path)
+    return _decoded(dump.read_dump(spark, path))
+
+
+@query("dump_compressed", _DECODED_SQL)
+def dump_compressed(spark, sf_dir):
+    """The same from compressed files, whose size is not that of their text."""
+    path = _folder(spark, "dump")
+    dump.write_dump(_NUMBERED.records(spark, sf_dir), path, compression="gzip")
+    return _decoded(dump.read_dump(spark, path))
+
+
+@query("spool_records", _DECODED_SQL.replace("'default'", "'sender'"))
+def spool_records(spark, sf_dir):
+    """Records of a spool: one escaped record a line, without any session header."""
+    path = _folder(spark, "spool")
+    records = _NUMBERED.records(spark, sf_dir)
+    text = F.concat(F.lit("\n"), F.col("rec_type").cast("string"), F.lit(":"), "body", F.lit(dump.RECORD_END))
+    records.select(wire.escape(text).alias("value")).write.text(path)
+    return _decoded(archive.read_spool_records(spark, path, "sender"))
+
+
+@query("union_instances", f"""
+    SELECT name AS instance_name, count(*) AS n FROM ({EV}), (SELECT unnest(['east', 'west']) AS name)
+    WHERE name = 'east' OR k % 2 = 0 GROUP BY name""")
+def union_instances(spark, sf_dir):
+    """Records of two senders side by side, apart by their session headers."""
+    records, parts = _NUMBERED.records(spark, sf_dir), []
+    for name, rows in (("east", records), ("west", _even(spark, sf_dir))):
+        path = _folder(spark, "dump")
+        dump.write_dump(rows.withColumn("instance_name", F.lit(name)), path)
+        parts.append(dump.read_dump(spark, path))
+    both = dump.records(dump.union_instances(*parts))
+    return both.groupBy(F.col("header.instance_name").alias("instance_name")).agg(F.count("*").alias("n"))
+
+
+def _even(spark, sf_dir):
+    return Feed(223, "ev", "event_id", _NUMBERED.fields, where="k % 2 = 0").records(spark, sf_dir)
+
+
 @query("session_audit", f"""
     SELECT CAST(1 AS SMALLINT) AS instance_id, 'tidewatch' AS agent_name, 'ARCHIVED' AS disposition,
     count(*) AS entries FROM ({EV})""")
@@ -292,6 +338,19 @@ def archive_log_import(spark, sf_dir):
     return history.archive_rows(_archive_events(spark, sf_dir)).drop("arrival")
 
 
+@query("archive_log_files", f"""
+    SELECT DISTINCT CAST(1 AS SMALLINT) AS instance_id, {stamp_sql('sec')} AS logentry_time, concat(svc, ';', k) AS logentry_data
+    FROM ({EV})""")
+def archive_log_files(spark, sf_dir):
+    """Archived log files read line by line, malformed and repeated lines left out."""
+    path = _folder(spark, "archive")
+    line = F.expr("concat('[', sec, '] ', svc, ';', k)")
+    bad = F.expr("concat('no bracket ', k)")
+    feeds.source(spark, sf_dir, "ev").select(F.explode(F.array(line, line, bad)).alias("value")).write.text(path)
+    events = archive.read_archive_log(spark, path).withColumn("instance_id", F.lit(1).cast("smallint"))
+    return history.archive_rows(events).select("instance_id", "logentry_time", "logentry_data")
+
+
 @query("archive_log_dedup", f"SELECT * FROM ({_ARCHIVE_SQL}) WHERE NOT (logentry_data LIKE 'view;%')")
 def archive_log_dedup(spark, sf_dir):
     """Lines stored by an earlier import are skipped."""

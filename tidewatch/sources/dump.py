@@ -236,13 +236,14 @@ def union_instances(*decoded: DataFrame) -> DataFrame:
     return out
 
 
-def write_dump(events: DataFrame, path: str, mode: str = "error") -> None:
+def write_dump(events: DataFrame, path: str, mode: str = "error", compression: str = "none") -> None:
     """Write records (``rec_type``, ``body``) back as a dump.
 
     With an ``instance_name`` column every (instance, chunk) becomes a session of its own, written in
     arrival order.  Without one, every output file is one session of the instance ``default``.
     """
-    framed(events).write.mode(mode).option("lineSep", RECORD_END).text(path)
+    writer = framed(events).write.mode(mode).option("lineSep", RECORD_END).option("compression", compression)
+    writer.text(path)
 
 
 def framed(events: DataFrame) -> DataFrame:
