@@ -25,11 +25,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import Memo
+
 MARK = "▁"
 #: piece types of the model file (fixed values)
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-#: remembered stretches in a worker, some 400 bytes each; the table starts anew when it is full
-MEMO = 150_000
+#: remembered stretches in a generation of a worker's table, some 300 bytes each, with spans more
+MEMO = 300_000
 _STRETCH = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 _LOADED: dict[str, PieceModel] = {}
 
@@ -98,26 +100,12 @@ class CharMap:
 
 @dataclass(frozen=True)
 class Stretch:
-    """Codes of one stretch of text: ids, their decimal text, decoded text, and source bytes of each piece."""
+    """Codes of one stretch of text, the source bytes of each, and the bytes of all."""
     ids: tuple[int, ...]
-    id_text: str
-    decoded: str
     spans: tuple[tuple[int, int], ...]
     size: int
 
 
-class _Memo(dict):
-    def __init__(self, compute):
-        super().__init__()
-        self.compute = compute
-
-    def __missing__(self, stretch: str) -> Stretch:
-        if len(self) >= MEMO:
-            self.clear()
-        value = self[stretch] = self.compute(stretch)
-        return value
-
-
 class PieceModel:
     """A BPE model with byte fallback, read from the bytes of its file."""
 
@@ -149,12 +137,15 @@ class PieceModel:
         self.end = self.pieces.index(end)
         frozen = sorted((p for p, i in self.known.items() if self.types[i] == USER_DEFINED), key=len, reverse=True)
         self.frozen = re.compile("|".join(map(re.escape, frozen))) if frozen else None
+        self.simple = not frozen and UNUSED not in self.types and max(self.scores, default=0.0) <= 0
+        self.ranked = {p: -self.scores[i] for p, i in self.known.items()}  # the least is the best
         self.apart = (
             not self.map.units and not frozen and self.dummy_prefix and not self.trim and self.escape
             and not any(re.search(f"[^{MARK}]{MARK}", p) for p in self.known)
         )
-        self.marked = _Memo(self._stretch)
-        self.led = _Memo(lambda word: self._stretch(MARK + word))
+        self.marked = Memo(self._stretch, MEMO)
+        self.digested = Memo(self._digest, MEMO)
+        self.led = Memo(lambda word: self._digest(MARK + word), MEMO)
 
     # normalisation
 
@@ -193,6 +184,12 @@ class PieceModel:
     def merge(self, symbols: list[str]) -> list[tuple[str, int, int]]:
         """(piece, first, last + 1 symbol) after merging the best pair, leftmost first, until none is known."""
         n = len(symbols)
+        if n < 24 and self.simple:
+            out, at = [], 0
+            for piece in self._merge_few(list(symbols)):
+                out.append((piece, at, at + len(piece)))
+                at += len(piece)
+            return out
         symbols, ends = list(symbols), list(range(1, n + 1))
         before = list(range(-1, n - 1))
         known, scores, types = self.known, self.scores, self.types
@@ -227,6 +224,20 @@ class PieceModel:
                 self._restore(piece, i, ends[i], undone, out)
         return out
 
+    def _merge_few(self, symbols: list[str]) -> list[str]:
+        """The pieces of a short stretch, for models without frozen and unused pieces."""
+        get, none = self.ranked.get, float("inf")
+        found = [get(a + b, none) for a, b in zip(symbols, symbols[1:])]
+        while found and (best := min(found)) < none:
+            at = found.index(best)
+            symbols[at] += symbols.pop(at + 1)
+            del found[at]
+            if at:
+                found[at - 1] = get(symbols[at - 1] + symbols[at], none)
+            if at < len(found):
+                found[at] = get(symbols[at] + symbols[at + 1], none)
+        return symbols
+
     def _restore(self, piece, first, last, undone, out) -> None:
         """Pieces the model marks as unused are taken apart again."""
         if piece in undone and self.types[self.known[piece]] == UNUSED:
@@ -258,14 +269,16 @@ class PieceModel:
             at += size
         codes = list(self._codes(list(marked), spans))
         ids = tuple(i for i, _ in codes)
-        return Stretch(ids, " ".join(map(str, ids)), self._surface(ids), tuple(s for _, s in codes), at)
+        return Stretch(ids, tuple(s for _, s in codes), at)
 
-    def _stretches(self, text: str) -> list[Stretch]:
-        """Only for models whose stretches stand apart, and texts without a literal mark."""
-        words = text.split(" ")
-        if "" not in words[:-1]:
-            return list(map(self.led.__getitem__, words))
-        return list(map(self.marked.__getitem__, _STRETCH.findall(MARK + text.replace(" ", MARK))))
+    def _digest(self, marked: str) -> tuple[int, str, str]:
+        """(number of ids, their decimal text, decoded text) of a stretch."""
+        ids = None
+        if len(marked) < 24 and self.simple:
+            ids = list(map(self.known.get, self._merge_few(list(marked))))
+        if ids is None or None in ids:  # long, or with characters that become bytes
+            ids = self._stretch(marked).ids
+        return len(ids), " ".join(map(str, ids)), self._surface(ids)
 
     def encode(self, text: str | None) -> tuple[list[int], list[tuple[int, int]]]:
         """Ids with the end id, and each id's (begin, end) in the bytes of the text; the end id has an empty span."""
@@ -273,7 +286,7 @@ class PieceModel:
         spans: list[tuple[int, int]] = []
         if text and self.apart and MARK not in text:
             at = -1  # the first mark stands for no byte
-            for part in self._stretches(text):
+            for part in map(self.marked.__getitem__, _STRETCH.findall(MARK + text.replace(" ", MARK))):
                 ids += part.ids
                 spans += [(max(0, at + a), at + b) for a, b in part.spans]
                 at += part.size
@@ -287,10 +300,14 @@ class PieceModel:
     def digest(self, text: str | None) -> tuple[int, str, str]:
         """(number of ids, hash of their decimal text, hash of the decoded text)."""
         if text and self.apart and MARK not in text:
-            parts = self._stretches(text)
-            count = sum([len(p.ids) for p in parts]) + 1
-            id_text = " ".join([p.id_text for p in parts]) + f" {self.end}"
-            decoded = "".join([p.decoded for p in parts])[1:]  # without the mark of the added prefix
+            words = text.split(" ")
+            if "" not in words[:-1]:
+                parts = map(self.led.__getitem__, words)
+            else:
+                parts = map(self.digested.__getitem__, _STRETCH.findall(MARK + text.replace(" ", MARK)))
+            counts, id_texts, surfaces = zip(*parts)
+            count, id_text = sum(counts) + 1, f"{' '.join(id_texts)} {self.end}"
+            decoded = "".join(surfaces)[1:]  # without the mark of the added prefix
         else:
             ids = self.encode(text)[0]
             count, id_text, decoded = len(ids), " ".join(map(str, ids)), self.decode(ids)
@@ -384,8 +401,8 @@ def decode(rows: DataFrame, model_file: str, key: str = "doc_id", ids: str = "id
     return rows.select(F.col(key), decoded(F.col(ids)).alias("text"))
 
 
-def digests(rows: DataFrame, model_file: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Key, n_tokens, ids_sha256 and decoded_sha256: codes and round trip of every row without storing them."""
+def digests(rows: DataFrame, model_file: str, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
+    """The columns to keep, n_tokens, ids_sha256 and decoded_sha256: codes and round trip without storing them."""
     blob = _broadcast(rows, model_file)
 
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
@@ -394,4 +411,4 @@ def digests(rows: DataFrame, model_file: str, key: str = "doc_id", text: str = "
         for texts in batches:
             yield pd.DataFrame([model.digest(t) for t in texts], columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return rows.select(F.col(key), digested(F.col(text)).alias("_d")).select(key, "_d.*")
+    return rows.select(*keep, digested(F.col(text)).alias("_d")).select(*keep, "_d.*")
