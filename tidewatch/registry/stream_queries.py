@@ -3,19 +3,21 @@
 from __future__ import annotations
 
 import uuid
+from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
 
+from ..plans import warehouse
 from ..session import ensure_checkpoint_dir
 from ..sources import dump
 from ..streaming import ingest
 from ..streaming.store import Store
-from . import feeds
 from .entries import query
 from .feeds import Feed, object_sql, source_sql, stamp_sql
 from .report_queries import _QUEUE_ROWS, _T_MATCH, SERVICE_STATUS, TIMED, latest_sql
+from .table_queries import SERVICE_CHECK
 
-EV1 = source_sql("ev1")
+EV, EV1 = source_sql("ev"), source_sql("ev1")
 
 
 def _drained(spark, sf_dir, events, parts: int = 3) -> Store:
@@ -63,6 +65,19 @@ def stream_queue(spark, sf_dir):
     return ingest.read_table(store, "timedeventqueue").drop("timedeventqueue_id")
 
 
+@query("trim_store", f"""
+    SELECT DISTINCT inst AS instance_id, {stamp_sql('sec')} AS start_time FROM ({EV}) WHERE k % 5 IN (0, 1) AND sec >= 1706443200 - 10080 * 60""")
+def trim_store(spark, sf_dir):
+    """Stored service checks after retention: old days are deleted, the rest of the boundary day is not read."""
+    store = Store(spark, f"{ensure_checkpoint_dir(spark)}/store-{uuid.uuid4().hex}")
+    table = warehouse.TABLES["servicechecks"]
+    rows = table.rows(SERVICE_CHECK.records(spark, sf_dir))
+    store.append_history(table.name, rows, 0, table.date_column)
+    as_of = datetime(2024, 1, 28, 12, tzinfo=timezone.utc)
+    ingest.trim_store(store, as_of)
+    return ingest.read_trimmed(store, table.name, as_of).select("instance_id", "start_time").distinct()
+
+
 @query("stream_dedup", f"""
     SELECT DISTINCT CAST(1 AS SMALLINT) AS instance_id, {stamp_sql('sec')} AS logentry_time, concat(svc, ';', k) AS logentry_data
     FROM ({EV1})""")

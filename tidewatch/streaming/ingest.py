@@ -11,6 +11,7 @@ batch, and stays fixed; it is not a watermark.  A batch that failed half-way thu
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -158,3 +159,23 @@ def read_table(store: Store, name: str, since=None) -> DataFrame:
 
 def read_tables(store: Store, names) -> dict[str, DataFrame]:
     return {name: read_table(store, name) for name in names}
+
+
+def trim_store(store: Store, as_of: datetime, minutes: dict[str, int] | None = None) -> dict[str, list[str]]:
+    """Apply retention to the stored histories: whole days beyond a table's age are deleted.
+
+    Rows of the day in which the age ends stay stored; :func:`read_trimmed` leaves them out.
+    """
+    gone = {}
+    for name, (field, default) in maintenance.RETENTION.items():
+        age = (minutes or {}).get(name, default)
+        if age and warehouse.TABLES[name].date_column == field:
+            gone[name] = store.drop_days(name, (as_of - timedelta(minutes=age)).date())
+    return gone
+
+
+def read_trimmed(store: Store, name: str, as_of: datetime, minutes: int | None = None) -> DataFrame:
+    """A history without rows beyond its age; days that are gone are not read."""
+    age = maintenance.RETENTION[name][1] if minutes is None else minutes
+    since = (as_of - timedelta(minutes=age)).date() if age else None
+    return maintenance.trim(read_table(store, name, since), name, F.lit(as_of), minutes)

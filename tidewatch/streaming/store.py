@@ -10,6 +10,8 @@ after a failure gives the same result.
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,6 +69,20 @@ class Store:
         dated = rows.withColumn("event_date", F.to_date(date_column))
         dated.hint("rebalance", "event_date").write.mode("overwrite").partitionBy("event_date").parquet(path)
 
+    def drop_days(self, table: str, before: date) -> list[str]:
+        """Delete the partitions of a history that hold whole days before a date; gives their folders."""
+        root = f"{self.root}/history/{table}"
+        jvm, gone = self.spark._jvm, []
+        for batch in self._complete(root):
+            fs, folder = self._folder(f"{root}/batch={batch}")
+            for status in fs.listStatus(folder):
+                name = status.getPath().getName()
+                day = name.removeprefix("event_date=")
+                if name != day and day < before.isoformat() and day[:1].isdigit():
+                    fs.delete(jvm.org.apache.hadoop.fs.Path(folder, name), True)
+                    gone.append(f"batch={batch}/{name}")
+        return gone
+
     def history(self, table: str, since=None, before: int | None = None) -> DataFrame | None:
         """Typed rows of all complete batches, or those before batch ``before``; ``since`` prunes older days."""
         root = f"{self.root}/history/{table}"
