@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,7 +30,8 @@ WIDTH, SHORTEST = 8, 4
 #: windows of the benchmark that are sent to the workers to drop what can't match before the join (16 MB); beyond
 #: this many the documents' windows all go to the join
 MAX_SENT_WINDOWS = 2_000_000
-MEMO = 200_000
+#: remembered words in a worker, some 150 bytes each; the table starts anew when it is full
+MEMO = 500_000
 #: number words and units (fixed values)
 NUMBER_WORDS = frozenset(
     "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen "
@@ -46,23 +47,25 @@ _CORE = re.compile(r"\w(?:.*\w)?", re.S)
 _WINDOW = "length int, pos int, hash long, types string, slots array<string>"
 
 
-class Words:
-    """Codes of raw words (what stands between white space), remembered in a table of bounded size."""
+class Words(dict):
+    """Numbers of raw words (what stands between white space), and what is known of each number.
 
-    def __init__(self):
-        self.memo: dict[str, tuple[int, int, int, bool]] = {}
-
-    def look(self, raw: str) -> tuple[int, int, int, bool]:
-        """(code as it stands, code within a sentence, kind of slot there, ends a sentence); code 0: no word.
+    ``plain``: code as it stands (0: no word); ``inside``: code within a sentence; ``kind``: slot there (0 none,
+    1 number, 2 unit, 3 name); ``ends``: whether it ends a sentence.
+    """
 
-        Kinds: 0 plain, 1 number, 2 unit, 3 name; within a sentence only names differ.
-        """
-        found = self.memo.get(raw)
-        if found is None:
-            if len(self.memo) >= MEMO:
-                self.memo.clear()
-            found = self.memo[raw] = self._look(raw)
-        return found
+    def __init__(self):
+        super().__init__()
+        self.plain, self.inside = np.zeros(1024, dtype=np.uint64), np.zeros(1024, dtype=np.uint64)
+        self.kind, self.ends = np.zeros(1024, dtype=np.int8), np.zeros(1024, dtype=bool)
+
+    def __missing__(self, raw: str) -> int:
+        number = self[raw] = len(self)
+        if number >= len(self.plain):
+            for name in ("plain", "inside", "kind", "ends"):
+                setattr(self, name, np.resize(getattr(self, name), 2 * number))
+        self.plain[number], self.inside[number], self.kind[number], self.ends[number] = self._look(raw)
+        return number
 
     @staticmethod
     def _look(raw: str) -> tuple[int, int, int, bool]:
@@ -72,46 +75,37 @@ class Words:
             return 0, 0, 0, ends
         word = core[0]
         low = word.lower()
-        plain = _code(low)
         if word[0].isdigit() or low in NUMBER_WORDS:
             return _code(NUMBER), _code(NUMBER), 1, ends
         if low in UNITS:
             return _code(UNIT), _code(UNIT), 2, ends
         if len(word) > 1 and word[0].isupper() and word[1:].islower():
-            return plain, _code(NAME), 3, ends
+            return _code(low), _code(NAME), 3, ends
+        plain = _code(low)
         return plain, plain, 0, ends
 
 
 def _code(word: str) -> int:
     """64-bit hash of a word, never 0."""
-    value = 0xCBF29CE484222325
-    for byte in word.encode():
-        value = (value ^ byte) * 0x100000001B3 & 0xFFFFFFFFFFFFFFFF
-    return value or 1
+    return xxhash.xxh64_intdigest(word) or 1
 
 
-def read(words: Words, text: str) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
-    """Raw words, codes without names, template codes and slot kinds of a text."""
+def read(words: Words, text: str) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Raw words; place among them, code without names, template code and slot kind of each word."""
+    if len(words) >= MEMO:
+        words.clear()
     raw = text.replace("\n", " .\n ").split() if "\n" in text else text.split()
-    if not raw:
-        none = np.zeros(0, dtype=np.uint64)
-        return [], none, none, np.zeros(0, dtype=np.int64)
-    memo, look = words.memo, words.look
-    found = [memo.get(w) or look(w) for w in raw]
-    as_is, within, kinds, ends = zip(*found)
-    as_is, within = np.array(as_is, dtype=np.uint64), np.array(within, dtype=np.uint64)
-    kinds, ends = np.array(kinds), np.array(ends)
-    keep = as_is != 0
-    starts = np.zeros(len(raw), dtype=bool)
+    numbers = np.fromiter(map(words.__getitem__, raw), dtype=np.int64, count=len(raw))
+    plain, ends = words.plain[numbers], words.ends[numbers]
+    keep = np.flatnonzero(plain)
+    numbers, plain = numbers[keep], plain[keep]
+    kinds = words.kind[numbers]
     # a word starts a sentence if, since the last word, something ended one
-    last = np.maximum.accumulate(np.where(keep, np.arange(len(raw)), -1))
-    before = np.concatenate([[-1], last[:-1]])
-    ended = np.concatenate([[0], np.cumsum(ends)])
-    starts = (before < 0) | (ended[np.arange(len(raw))] - ended[np.maximum(before, 0)] > 0)
-    names = (kinds == 3) & ~starts
-    template = np.where(names, within, as_is)
-    kinds = np.where((kinds == 3) & starts, 0, kinds)
-    return [raw[i] for i in np.flatnonzero(keep)], as_is[keep], template[keep], kinds[keep]
+    ended = np.concatenate([[0], np.cumsum(ends)])[keep]
+    starts = np.concatenate([[True], ended[1:] > ended[:-1]])[:len(keep)]
+    names = kinds == 3
+    kinds[names & starts] = 0
+    return raw, keep, plain, np.where(names & ~starts, words.inside[numbers], plain), kinds
 
 
 def window_hashes(codes: np.ndarray, length: int) -> np.ndarray:
@@ -130,7 +124,7 @@ def text_windows(words: Words, text: str | None, lengths: list[int], sent: np.nd
     """(length, position, hash, kinds, slot values) of the windows that can match."""
     if not text:
         return
-    raw, plain, template, kinds = read(words, text)
+    raw, places, plain, template, kinds = read(words, text)
     for length in lengths:
         whole = window_hashes(template, length)
         views = [(whole, kinds)]
@@ -146,7 +140,7 @@ def text_windows(words: Words, text: str | None, lengths: list[int], sent: np.nd
                 usable &= sent[at] == hashes if len(sent) else False
             for i in np.flatnonzero(usable):
                 part = slots[i:i + length]
-                filler = [_CORE.search(raw[i + k])[0].lower() for k in np.flatnonzero(part)]
+                filler = [_CORE.search(raw[places[i + k]])[0].lower() for k in np.flatnonzero(part)]
                 yield length, int(i), int(hashes[i].view(np.int64)), "".join(map(str, part)), filler
 
 
@@ -174,7 +168,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
     @F.pandas_udf("int")
     def size(texts: pd.Series) -> pd.Series:
         words = Words()
-        return pd.Series([min(width, len(read(words, t)[0])) if t else 0 for t in texts], dtype="int32")
+        return pd.Series([min(width, len(read(words, t)[1])) if t else 0 for t in texts], dtype="int32")
 
     lengths = sorted(r[0] for r in items.select(size("text").alias("n")).where(f"n >= {SHORTEST}").distinct().collect())
     sized = items.withColumn("n", size("text"))
