@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewatch.llm import decontaminate, language_id, ngram_join, piece_codec, toxicity
-from tidewatch.llm.common import save, table
+from tidewatch.llm.common import save, sent_if_small, table
 
 
 def _packed(docs: DataFrame) -> DataFrame:
@@ -37,11 +37,16 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     Of several rows with its id the one with the smallest text stays.
     """
-    linked = ngram_join.link(spark, docs, width=5, percent=80)
-    kept = linked.where("doc_id = component_id").select("doc_id").distinct()
+    linked = save(spark, ngram_join.link(spark, docs, width=5, percent=80).select("doc_id", "component_id"), "linked")
+    others = linked.where("doc_id <> component_id").select("doc_id").distinct()
+    rows = docs.join(sent_if_small(others, ngram_join.SENT_IDS), "doc_id", "left_anti").select(docs.columns)
+    again = linked.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if again.isEmpty():
+        return rows
     first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    rows = docs.join(kept, "doc_id", "left_semi").select(F.struct(*docs.columns).alias("_row"), first.alias("_first"))
-    return rows.where("_first = 1").select("_row.*").unionByName(docs.where("doc_id IS NULL"))
+    several = rows.join(again, "doc_id", "left_semi").select(F.struct(*docs.columns).alias("_row"), first.alias("_first"))
+    return rows.join(again, "doc_id", "left_anti").select(docs.columns).unionByName(
+        several.where("_first = 1").select("_row.*"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -32,6 +32,11 @@ def save(spark: SparkSession, frame: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def sent_if_small(frame: DataFrame, most: int) -> DataFrame:
+    """A frame of keys marked for broadcast if it has at most ``most`` rows; otherwise the planner joins it."""
+    return F.broadcast(frame) if frame.count() <= most else frame
+
+
 class Memo(dict):
     """Values by key, computed where missing, in two generations of at most ``size`` entries.
 

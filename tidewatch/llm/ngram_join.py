@@ -3,16 +3,18 @@
 Two sets of sizes x and y reach the similarity only if they share T = ceil(p (x + y) / (100 + p)) shingles, at least
 ceil(p x / 100) of either.  So of a document's inverted lists, taken from short to long, all but T - 1 are *short*:
 whoever shares T shingles stands on one of them.  Spark sorts the (shingle, document) rows of the short lists;
-documents with equal sets were folded into one before.
-
-The search goes in two rounds.  First the smallest document of each short list asks for the others on it, which
-links a group of near copies through one of them instead of in pairs.  Then only lists whose documents still lie in
-different components are searched again, by all their documents outside the list's largest component: every link that
-could join two components has such an end.  A search heap-merges the query's short lists, counts how often each
+documents with equal sets were folded into one before.  Candidates whose shingles, counted in classes, leave no room
+for T are dropped before any text moves.
+
+The search goes in three rounds.  First each document is asked for by one other, the smallest that leads one of its
+short lists, which links most of a group of near copies without pairing them.  Then the leader of each short list asks
+for those on it that still lie in other components.  Last, lists whose documents lie in different components are
+searched by all their documents outside the list's largest component: every link that could join two components has
+such an end.  A search heap-merges the query's short lists, counts how often each
 candidate stands on them, and probes the long ones by binary search in the candidate's sorted shingles until T is
 reached or out of reach.
 
-List lengths are estimated from a sample of ``SAMPLE`` documents; this orders the lists and does not touch the result.
+List lengths are estimated from a share of the documents; this orders the lists and does not touch the result.
 
 Edge cases: a text with fewer words than a shingle is one shingle of all of them; null and empty texts have no
 shingles and are linked with nothing; rows with one id are one node; a null id takes no part in the search, and its
@@ -30,13 +32,17 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import save
+from .common import save, sent_if_small
 from .components import components
 
-#: documents from which the list lengths are estimated, and the most shingles that are told apart as frequent (4 MB)
-SAMPLE, FREQUENT = 4096, 500_000
+#: share of the documents from which list lengths are estimated, and the most shingles told apart as frequent (8 MB)
+SAMPLE, FREQUENT = 1 / 16, 1_000_000
 #: candidates of a query that one search handles; a query with more is searched in several parts
 PART = 256
+#: ids that are sent to where the rows are read (some 20 MB); more of them are joined
+SENT_IDS = 500_000
+#: classes a document's shingles are counted in, which bounds what two documents can share
+CLASSES = 128
 MEMO = 400_000
 _ROWS = 256
 
@@ -88,6 +94,28 @@ def _lists(values: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64)))
 
 
+def _sketch(shingles: np.ndarray) -> bytes:
+    """How many shingles fall into each class, 255 for that many or more."""
+    counts = np.bincount((shingles >> np.uint64(40)).astype(np.int64) % CLASSES, minlength=CLASSES)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def _plausible(percent: int):
+    """Rows (a, b, keys, both sizes, both sketches): those whose classes leave room for the required overlap."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x, y = (np.asarray(batch.column(i), dtype=np.int64) for i in (3, 4))
+            left, right = (np.frombuffer(b"".join(batch.column(i).to_pylist()), dtype=np.uint8).reshape(-1, CLASSES)
+                           for i in (5, 6))
+            most = np.minimum(left, right).sum(axis=1, dtype=np.int64)
+            full = (np.maximum(left, right) == 255).any(axis=1)  # counts that are not known
+            keep = full | (most * (100 + percent) >= percent * (x + y))
+            yield batch.select([0, 1, 2]).filter(pa.array(keep))
+    return run
+
+
 def _describe(width: int, percent: int, frequent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(width)
@@ -100,15 +128,14 @@ def _describe(width: int, percent: int, frequent):
                     part.column(0), pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(np.array([p >> 64 for p in prints], dtype=np.uint64).view(np.int64)),
                     pa.array(np.array([p & (1 << 64) - 1 for p in prints], dtype=np.uint64).view(np.int64)),
+                    pa.array([_sketch(s) for s in sets], pa.binary()),
                     _lists([_short(s, frequent.value, percent) for s in sets]),
-                ], names=["doc", "n", "f1", "f2", "keys"])
+                ], names=["doc", "n", "f1", "f2", "sketch", "keys"])
     return run
 
 
 def _frequent(docs: DataFrame, width: int) -> np.ndarray:
     """Shingles that occur repeatedly in a sample, sorted."""
-    total = docs.count()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(width)
         for batch in batches:
@@ -117,9 +144,9 @@ def _frequent(docs: DataFrame, width: int) -> np.ndarray:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).view(np.int64))], names=["key"])
 
     place = (F.xxhash64("doc").cast("double") / 2.0**64) + 0.5
-    rows = docs.where(place < min(1.0, SAMPLE / max(1, total))).mapInArrow(run, "key long")
+    rows = docs.where(place < SAMPLE).mapInArrow(run, "key long")
     found = rows.groupBy("key").count().where("count > 1").orderBy(F.desc("count"), "key").limit(FREQUENT)
-    return np.sort(np.array([r[0] for r in found.select("key").collect()], dtype=np.int64).view(np.uint64))
+    return np.sort(np.asarray(found.select("key").toArrow().column(0), dtype=np.int64).view(np.uint64))
 
 
 def _shared_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,16 +267,23 @@ def _search(width: int, percent: int):
     return run
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+def _verified(spark: SparkSession, pairs: DataFrame, docs: DataFrame, sets: DataFrame, width: int,
+              percent: int) -> DataFrame:
     """Links among rows (a, b, key), where a asks for b, which it meets on the short list key."""
+    sketches = sets.select("doc", "n", "sketch").distinct()
     asked = pairs.groupBy("a", "b").agg(F.collect_list("key").alias("keys"))
-    parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / F.lit(4 * PART)).cast("int").alias("parts"))
-    asked = asked.join(parts, "a").withColumn("part", F.pmod(F.xxhash64("b"), "parts").cast("int"))
+    asked = asked.join(sketches.toDF("a", "na", "sa"), "a").join(sketches.toDF("b", "nb", "sb"), "b").select(
+        "a", "b", "keys", "na", "nb", "sa", "sb").mapInArrow(_plausible(percent), "a long, b long, keys array<long>")
+    asked = save(spark, asked, "asked")
+    parts = asked.groupBy("a").agg(F.ceil(F.count("*") / F.lit(4 * PART)).cast("int").alias("parts"))
+    members = asked.join(parts, "a").withColumn("part", F.pmod(F.xxhash64("b"), "parts").cast("int"))
     queries = parts.select(
         "a", F.col("a").alias("b"), F.array().cast("array<bigint>").alias("keys"),
         F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    rows = asked.select("a", "b", "keys", "part").unionByName(queries).join(
-        docs.withColumnRenamed("doc", "b"), "b").select("a", "part", "b", "text", "keys")
+    members = members.select("a", "b", "keys", "part").unionByName(queries)
+    wanted = save(spark, asked.select("a").union(asked.select("b")).distinct().toDF("doc"), "wanted")
+    docs = docs.join(sent_if_small(wanted, SENT_IDS), "doc", "left_semi")
+    rows = members.join(docs.withColumnRenamed("doc", "b"), "b").select("a", "part", "b", "text", "keys")
     rows = rows.repartition("a", "part").sortWithinPartitions("a", "part", F.col("b") != F.col("a"), "b")
     return rows.mapInArrow(_search(width, percent), "a long, b long")
 
@@ -264,17 +298,28 @@ def link(spark: SparkSession, docs: DataFrame, width: int = 5, percent: int = 80
     docs = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
     frequent = spark.sparkContext.broadcast(_frequent(docs, width))
     sets = save(spark, docs.mapInArrow(
-        _describe(width, percent, frequent), "doc long, n long, f1 long, f2 long, keys array<long>"), "sets")
+        _describe(width, percent, frequent), "doc long, n long, f1 long, f2 long, sketch binary, keys array<long>"),
+        "sets")
     # documents with equal sets stand for each other: the smallest is searched for
     classes = sets.where("n > 0").groupBy("f1", "f2").agg(F.min("doc").alias("rep"))
-    searched = sets.join(classes.select(F.col("rep").alias("doc")).distinct(), "doc", "left_semi")
+    copies = save(spark, sets.select("doc", "f1", "f2").join(classes, ["f1", "f2"]).where("doc <> rep").select(
+        "doc", "f1", "f2").distinct(), "copies")
+    searched = sets.where("doc IS NOT NULL").join(sent_if_small(copies, SENT_IDS), ["doc", "f1", "f2"], "left_anti")
     short = searched.select(F.explode("keys").alias("key"), "doc", "n").repartition("key")
     lists = save(spark, short.sortWithinPartitions("key", "doc").mapInArrow(
         _shared_lists, "key long, doc long, n long, hub long, hub_n long"), "lists")
 
-    first = lists.where((F.col("hub") != F.col("doc")) & _sized(F.col("n"), F.col("hub_n"), percent)).select(
+    led = lists.where((F.col("hub") != F.col("doc")) & _sized(F.col("n"), F.col("hub_n"), percent)).select(
         F.col("hub").alias("a"), F.col("doc").alias("b"), "key")
-    links = save(spark, _verified(first, docs, width, percent), "links")
+    nearest = led.groupBy("b").agg(F.min_by(F.struct("a", "key"), F.struct("a", "key")).alias("_m")).select(
+        "_m.a", "b", "_m.key")
+    links = save(spark, _verified(spark, nearest, docs, sets, width, percent), "links")
+    named = components(spark, links)
+
+    apart = led.join(named.toDF("a", "_ca"), "a", "left").join(named.toDF("b", "_cb"), "b", "left").where(
+        F.coalesce("_ca", "a") != F.coalesce("_cb", "b")).select("a", "b", "key")
+    apart = save(spark, apart.join(nearest.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+    links = save(spark, links.union(_verified(spark, apart, docs, sets, width, percent)), "links")
     named = components(spark, links)
 
     rows = lists.join(named.withColumnRenamed("node", "doc"), "doc", "left").withColumn(
@@ -283,10 +328,11 @@ def link(spark: SparkSession, docs: DataFrame, width: int = 5, percent: int = 80
     rows = rows.join(mixed.select("key"), "key", "left_semi").select("key", "component", "doc", "n", "hub")
     opened = rows.repartition("key").sortWithinPartitions("key", "component", "doc").mapInArrow(
         _open_pairs(percent), "a long, b long, key long")
-    done = first.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).distinct()
+    done = nearest.select("a", "b").union(apart.select("a", "b")).select(
+        F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).distinct()
     opened = save(spark, opened.join(
         done, (F.least("a", "b") == F.col("lo")) & (F.greatest("a", "b") == F.col("hi")), "left_anti"), "pairs")
-    more = save(spark, _verified(opened, docs, width, percent), "links")
+    more = save(spark, _verified(spark, opened, docs, sets, width, percent), "links")
     named = components(spark, links.union(more))
 
     owners = classes.join(named, classes["rep"] == named["node"], "left").select(
