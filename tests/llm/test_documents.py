@@ -107,6 +107,21 @@ def test_contamination_against_a_plain_search(spark):
     assert got == want and want
 
 
+def _kinds(spark, item, *texts):
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = decontaminate.contaminated(d, spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
+    return {r.doc_id: r.kind for r in got}
+
+
+def test_contamination_verbatim_beside_an_altered_slot(spark):
+    words = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(40)]
+    words[5] = "12"
+    quoted = [*words[:5], "13", *words[6:20]]
+    twice = [*words[:30], "12", *words[31:]]
+    assert _kinds(spark, " ".join(words), " ".join(quoted)) == {0: "verbatim"}
+    assert _kinds(spark, " ".join(twice), " ".join([*twice[:30], "13", *twice[31:]])) == {0: "verbatim"}
+
+
 def test_lattice_against_enumeration():
     pieces = lattice_lm.Pieces.from_model(PieceModel(open(PIECES, "rb").read()))
     lattice, weight = lattice_lm.Lattice(pieces), dict(zip(pieces.texts, pieces.weights))

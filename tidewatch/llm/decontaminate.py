@@ -5,10 +5,13 @@ Windows of ``width`` template words of the benchmark are hash-joined with those
 numbers or names were exchanged still meets its original.  The slots of the joined windows are then checked: along one
 alignment, equal values of the benchmark must have equal values in the document and different ones different values.
 
-A document's words are also read without placeholders, since a name written in another case is still a verbatim copy.
-A window needs as many plain words as placeholders to count by itself.
+Each text is read in several views.  The literal view has no slots.  The template view has names within a sentence,
+numbers and units as slots; once more with names as words, since a name written in another case is still the same.  Windows need as many plain
+words as slots.
 
-Verbatim hits (every slot equal) count from one window on; re-parameterised ones from half of an item's windows.
+A literal window is a verbatim hit if no slot of its alignment differs, or if it holds a value itself (a number, unit or
+name); of windows without a value beside differing slots it takes two, that is one word more than a window, since a
+question with other values shares its wording too.  Re-parameterised hits count from half of an item's windows on one alignment.
 Items shorter than a window are one window of their own length, with at least ``SHORTEST`` words.
 
 Edge cases: null and empty texts and null ids have no windows; repeated rows add no further pairs; other columns
@@ -27,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 WIDTH, SHORTEST = 8, 4
-#: windows of the benchmark that are sent to the workers to drop what can't match before the join (16 MB); beyond
+#: windows of the benchmark that are sent to the workers to drop what can't match before the join (50 MB); beyond
 #: this many the documents' windows all go to the join
 MAX_SENT_WINDOWS = 2_000_000
 #: remembered words in a worker, some 150 bytes each; the table starts anew when it is full
@@ -43,46 +46,47 @@ UNITS = frozenset(
     "months year years dollar dollars euro euros cent cents percent degree degrees celsius fahrenheit kelvin watt watts "
     "kw volt volts joule joules newton newtons hertz hz kmh mph".split())
 NUMBER, UNIT, NAME = "\x01number", "\x01unit", "\x01name"
+#: views of a text as bits; VALUED marks literal windows that hold a value
+LITERAL, TEMPLATE, VALUED = 1, 2, 32
+#: views whose windows are counted together
+READINGS = (TEMPLATE,)
 _CORE = re.compile(r"\w(?:.*\w)?", re.S)
-_WINDOW = "length int, pos int, hash long, types string, slots array<string>"
+_WINDOW = "length int, pos int, stop int, hash long, types string, slots array<string>, views int"
 
 
 class Words(dict):
     """Numbers of raw words (what stands between white space), and what is known of each number.
 
-    ``plain``: code as it stands (0: no word); ``inside``: code within a sentence; ``kind``: slot there (0 none,
-    1 number, 2 unit, 3 name); ``ends``: whether it ends a sentence.
+    ``literal``: code of the lower-cased core (0: no word); ``kind``: slot it can be (0 none, 1 number, 2 unit,
+    3 name); ``ends``: whether it ends a sentence.
     """
 
     def __init__(self):
         super().__init__()
-        self.plain, self.inside = np.zeros(1024, dtype=np.uint64), np.zeros(1024, dtype=np.uint64)
+        self.literal = np.zeros(1024, dtype=np.uint64)
         self.kind, self.ends = np.zeros(1024, dtype=np.int8), np.zeros(1024, dtype=bool)
 
     def __missing__(self, raw: str) -> int:
         number = self[raw] = len(self)
-        if number >= len(self.plain):
-            for name in ("plain", "inside", "kind", "ends"):
+        if number >= len(self.literal):
+            for name in ("literal", "kind", "ends"):
                 setattr(self, name, np.resize(getattr(self, name), 2 * number))
-        self.plain[number], self.inside[number], self.kind[number], self.ends[number] = self._look(raw)
+        self.literal[number], self.kind[number], self.ends[number] = self._look(raw)
         return number
 
     @staticmethod
-    def _look(raw: str) -> tuple[int, int, int, bool]:
+    def _look(raw: str) -> tuple[int, int, bool]:
         core = _CORE.search(raw)
         ends = raw.rstrip("\"')]»”")[-1:] in (".", "!", "?", ":")
         if core is None:
-            return 0, 0, 0, ends
+            return 0, 0, ends
         word = core[0]
         low = word.lower()
         if word[0].isdigit() or low in NUMBER_WORDS:
-            return _code(NUMBER), _code(NUMBER), 1, ends
+            return _code(low), 1, ends
         if low in UNITS:
-            return _code(UNIT), _code(UNIT), 2, ends
-        if len(word) > 1 and word[0].isupper() and word[1:].islower():
-            return _code(low), _code(NAME), 3, ends
-        plain = _code(low)
-        return plain, plain, 0, ends
+            return _code(low), 2, ends
+        return _code(low), 3 if len(word) > 1 and word[0].isupper() and word[1:].islower() else 0, ends
 
 
 def _code(word: str) -> int:
@@ -90,22 +94,21 @@ def _code(word: str) -> int:
     return xxhash.xxh64_intdigest(word) or 1
 
 
+_SLOT_CODES = np.array([0, _code(NUMBER), _code(UNIT), _code(NAME)], dtype=np.uint64)
+
+
 def read(words: Words, text: str) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Raw words; place among them, code without names, template code and slot kind of each word."""
+    """Raw words; place among them, literal code and slot kind of each word, and whether it starts a sentence."""
     if len(words) >= MEMO:
         words.clear()
     raw = text.replace("\n", " .\n ").split() if "\n" in text else text.split()
     numbers = np.fromiter(map(words.__getitem__, raw), dtype=np.int64, count=len(raw))
-    plain, ends = words.plain[numbers], words.ends[numbers]
-    keep = np.flatnonzero(plain)
-    numbers, plain = numbers[keep], plain[keep]
-    kinds = words.kind[numbers]
+    literal, ends = words.literal[numbers], words.ends[numbers]
+    keep = np.flatnonzero(literal)
     # a word starts a sentence if, since the last word, something ended one
     ended = np.concatenate([[0], np.cumsum(ends)])[keep]
     starts = np.concatenate([[True], ended[1:] > ended[:-1]])[:len(keep)]
-    names = kinds == 3
-    kinds[names & starts] = 0
-    return raw, keep, plain, np.where(names & ~starts, words.inside[numbers], plain), kinds
+    return raw, keep, literal[keep], words.kind[numbers[keep]], starts
 
 
 def window_hashes(codes: np.ndarray, length: int) -> np.ndarray:
@@ -120,85 +123,141 @@ def window_hashes(codes: np.ndarray, length: int) -> np.ndarray:
     return total
 
 
-def text_windows(words: Words, text: str | None, lengths: list[int], sent: np.ndarray | None):
-    """(length, position, hash, kinds, slot values) of the windows that can match."""
+def sifted(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes in order, and which last bits occur in them."""
+    sieve = np.zeros(1 << (16 * len(hashes)).bit_length(), dtype=bool)
+    sieve[hashes & np.uint64(len(sieve) - 1)] = True
+    return np.sort(hashes), sieve
+
+
+def _views(kinds: np.ndarray, starts: np.ndarray) -> list[list]:
+    """(slot kind of each word, first word of each token, views this is): what is alike is listed once."""
+    names = kinds == 3
+    inside, freed = np.where(names & starts, 0, kinds), np.where(names, 0, kinds)
+    every = np.arange(len(kinds))
+    out = [[np.zeros_like(kinds), every, LITERAL]]
+
+    def add(slots: np.ndarray, first: np.ndarray, bit: int) -> None:
+        for view in out:
+            if len(view[1]) == len(first) and np.array_equal(view[0], slots):
+                view[2] |= bit
+                return
+        out.append([slots, first, bit])
+
+    for slots, bit in ((inside, TEMPLATE), (freed, TEMPLATE)):
+        add(slots, every, bit)
+    return out
+
+
+def text_windows(words: Words, text: str | None, lengths: list[int] | None, sent: tuple | None,
+                 width: int = WIDTH):
+    """(length, first and last word, hash, kinds, slot values, views) of the windows that can match.
+
+    Without ``lengths`` each view has its windows of ``width``, or the one window of a shorter text.
+    """
     if not text:
         return
-    raw, places, plain, template, kinds = read(words, text)
-    for length in lengths:
-        whole = window_hashes(template, length)
-        views = [(whole, kinds)]
-        if (kinds == 3).any():
-            views.append((window_hashes(plain, length), np.where(kinds == 3, 0, kinds)))
-        for number, (hashes, slots) in enumerate(views):
-            filled = np.concatenate([[0], np.cumsum(slots > 0)])
-            usable = 2 * (filled[length:] - filled[:len(hashes)]) <= length if len(hashes) else np.zeros(0, bool)
-            if number:  # only where it differs from the template
-                usable &= hashes != whole
-            if sent is not None and len(hashes):
-                at = np.minimum(np.searchsorted(sent, hashes), len(sent) - 1)
-                usable &= sent[at] == hashes if len(sent) else False
-            for i in np.flatnonzero(usable):
+    raw, places, literal, kinds, starts = read(words, text)
+    if not len(places):
+        return
+    valued = np.concatenate([[0], np.cumsum((kinds > 0) & ~(starts & (kinds == 3)))])
+    found: dict[tuple, int] = {}
+    for slots, first, bits in _views(kinds, starts):
+        after = np.append(first[1:], len(places))
+        slots, plain = slots[first], literal[first]
+        codes = np.where(slots > 0, _SLOT_CODES[slots], plain) if bits != LITERAL else plain
+        filled = np.concatenate([[0], np.cumsum(slots > 0)])
+        for length in lengths or [min(width, len(first))]:
+            if length < SHORTEST or length > len(first):
+                continue
+            hashes = window_hashes(codes, length)
+            full = valued if bits & LITERAL else filled
+            at = np.flatnonzero(2 * (full[length:] - full[:len(hashes)]) <= length)
+            if sent is not None:
+                values, sieve = sent
+                at = at[sieve[hashes[at] & np.uint64(len(sieve) - 1)]]
+                some = hashes[at]
+                at = at[values[np.minimum(np.searchsorted(values, some), len(values) - 1)] == some]
+            for i in at:
                 part = slots[i:i + length]
-                filler = [_CORE.search(raw[places[i + k]])[0].lower() for k in np.flatnonzero(part)]
-                yield length, int(i), int(hashes[i].view(np.int64)), "".join(map(str, part)), filler
+                begin, end = int(first[i]), int(after[i + length - 1])
+                filler = tuple(
+                    " ".join(_CORE.search(raw[places[w]])[0].lower() for w in range(first[i + k], after[i + k]))
+                    for k in np.flatnonzero(part))
+                key = length, begin, end - 1, int(hashes[i].view(np.int64)), "".join(map(str, part)), filler
+                more = VALUED if bits & LITERAL and valued[end] > valued[begin] else 0
+                found[key] = found.get(key, 0) | bits | more
+    for key, bits in found.items():
+        yield *key[:5], list(key[5]), bits
 
 
-def _windows(rows: DataFrame, key: str, text: str, lengths: list[int], sent) -> DataFrame:
+def _windows(rows: DataFrame, key: str, text: str, lengths: list[int] | None, sent, width: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = Words()
         for batch in batches:
             for start in range(0, len(batch), 256):
                 part = batch.iloc[start:start + 256]
                 out = [(k, *w) for k, t in zip(part["key"], part["text"])
-                       for w in text_windows(words, t, lengths, sent.value if sent else None)]
-                yield pd.DataFrame(out, columns=["key", "length", "pos", "hash", "types", "slots"])
+                       for w in text_windows(words, t, lengths, sent.value if sent else None, width)]
+                yield pd.DataFrame(out, columns=["key", "length", "pos", "stop", "hash", "types", "slots", "views"])
 
     return rows.where(F.col(key).isNotNull()).select(
         F.col(key).cast("long").alias("key"), F.col(text).alias("text")).mapInPandas(run, f"key long, {_WINDOW}")
 
 
+def _one_to_one(pairs):
+    """Whether equal values have equal counterparts and different ones different ones."""
+    left, right = (F.array_distinct(F.transform(pairs, lambda p: p[side])) for side in ("b", "d"))
+    return (F.size(left) == F.size(pairs)) & (F.size(right) == F.size(pairs))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text",
                  item: str = "item_id", item_text: str = "text", width: int = WIDTH,
                  max_sent: int = MAX_SENT_WINDOWS) -> DataFrame:
     """key, item, n_windows (matched on the best alignment), item_windows, first_word, last_word and kind."""
-    items = benchmark.select(F.col(item).cast("long").alias("key"), F.col(item_text).alias("text")).where(
-        "key IS NOT NULL")
+    known = _windows(benchmark, item, item_text, None, None, width).select(
+        F.col("key").alias("_item"), "length", F.col("pos").alias("_at"), "hash", "types",
+        F.col("slots").alias("_slots"), F.col("views").alias("_views")).distinct().persist()
 
-    @F.pandas_udf("int")
-    def size(texts: pd.Series) -> pd.Series:
-        words = Words()
-        return pd.Series([min(width, len(read(words, t)[1])) if t else 0 for t in texts], dtype="int32")
-
-    lengths = sorted(r[0] for r in items.select(size("text").alias("n")).where(f"n >= {SHORTEST}").distinct().collect())
-    sized = items.withColumn("n", size("text"))
-    known = _windows(sized, "key", "text", lengths or [width], None).join(
-        sized.select("key", F.col("n").alias("length")).distinct(), ["key", "length"])
-    known = known.select(
-        F.col("key").alias("_item"), "length", F.col("pos").alias("_at"), "hash", F.col("types"),
-        F.col("slots").alias("_slots")).distinct().persist()
-    totals = known.groupBy("_item").agg(F.countDistinct("_at").alias("item_windows"))
+    def seen(column: str, bits: int):
+        return F.col(column).bitwiseAND(F.lit(bits)) > 0
+
+    totals = known.groupBy("_item").agg(
+        F.countDistinct("_at").alias("item_windows"),
+        F.size(F.collect_set(F.when(seen("_views", TEMPLATE), F.col("_at")))).alias("_templates"))
+    lengths = sorted(r[0] for r in known.select("length").distinct().collect()) or [width]
     few = known.select("hash").distinct().limit(max_sent + 1)
     hashes = np.array([r[0] for r in few.collect()], dtype=np.int64).view(np.uint64)
-    sent = docs.sparkSession.sparkContext.broadcast(np.sort(hashes)) if len(hashes) <= max_sent else None
-    found = _windows(docs, key, text, lengths or [width], sent).withColumnRenamed("key", "_doc")
+    sent = docs.sparkSession.sparkContext.broadcast(sifted(hashes)) if len(hashes) <= max_sent else None
+    found = _windows(docs, key, text, lengths, sent, width).withColumnRenamed("key", "_doc")
+
+    hits = found.join(known, ["length", "hash", "types"]).withColumn("_both", F.col("views").bitwiseAND(F.col("_views")))
+    hits = hits.select("_doc", "_item", "pos", "stop", "_at", (F.col("pos") - F.col("_at")).alias("_line"), "_views",
+                       "_both", F.arrays_zip(F.col("_slots").alias("b"), F.col("slots").alias("d")).alias("_pairs"))
+
+    def read_by(bits: int):
+        return F.struct(
+            F.collect_set(F.when(seen("_both", bits), F.col("_at"))).alias("ats"),
+            F.array_distinct(F.flatten(F.collect_set(F.when(seen("_both", bits), F.col("_pairs"))))).alias("pairs"))
 
-    hits = found.join(known, ["length", "hash", "types"])
-    pairs = F.arrays_zip(F.col("_slots").alias("b"), F.col("slots").alias("d"))
-    lines = hits.select("_doc", "_item", "pos", "_at", (F.col("pos") - F.col("_at")).alias("_line"), "length",
-                        pairs.alias("_pairs"))
     # one row for each alignment of a document with an item; its windows are bounded by the item's length
-    lines = lines.groupBy("_doc", "_item", "_line").agg(
-        F.countDistinct("_at").alias("n_windows"), F.min("pos").alias("first_word"),
-        F.max(F.col("pos") + F.col("length") - 1).alias("last_word"),
-        F.array_distinct(F.flatten(F.collect_set("_pairs"))).alias("_pairs"))
-    left = F.array_distinct(F.transform("_pairs", lambda p: p["b"]))
-    right = F.array_distinct(F.transform("_pairs", lambda p: p["d"]))
-    same = F.forall("_pairs", lambda p: p["b"] == p["d"])
-    consistent = (F.size(left) == F.size("_pairs")) & (F.size(right) == F.size("_pairs"))
-    judged = lines.join(totals, "_item").withColumn(
-        "kind", F.when(same, "verbatim").when(
-            consistent & (2 * F.col("n_windows") >= F.col("item_windows")), "reparameterised")).where("kind IS NOT NULL")
+    lines = hits.groupBy("_doc", "_item", "_line").agg(
+        F.size(F.collect_set("_at")).alias("_own"), F.min("pos").alias("first_word"), F.max("stop").alias("last_word"),
+        F.size(F.collect_set(F.when(seen("_both", LITERAL), F.col("_at")))).alias("_literal"),
+        F.max(seen("_both", LITERAL) & seen("_views", VALUED)).alias("_valued"),
+        *(read_by(bits).alias(f"_read{i}") for i, bits in enumerate(READINGS)))
+    unlike = F.exists("_read0.pairs", lambda p: p["b"] != p["d"])
+    verbatim = F.col("_valued") | (F.col("_literal") >= 2) | ((F.size("_read0.ats") > 0) & ~unlike)
+    judged = lines.join(totals, "_item")
+    counts = []
+    for i, bits in enumerate(READINGS):
+        ats = F.when(_one_to_one(F.col(f"_read{i}.pairs")), F.col(f"_read{i}.ats"))
+        total = F.col("_templates")
+        counts.append(F.when((F.size(ats) > 0) & (2 * F.size(ats) >= total), F.size(ats)))
+    judged = judged.withColumn("_joined", counts[0]).withColumn(
+        "kind", F.when(verbatim, "verbatim").when(F.col("_joined").isNotNull(), "reparameterised"))
+    judged = judged.where("kind IS NOT NULL").withColumn(
+        "n_windows", F.when(F.col("kind") == "verbatim", F.col("_own")).otherwise(F.greatest("_own", "_joined")))
     best = judged.groupBy("_doc", "_item").agg(F.max_by(
         F.struct("n_windows", "item_windows", "first_word", "last_word", "kind"),
         F.struct(F.col("kind") == "verbatim", "n_windows", -F.col("_line"))).alias("_b"))
