@@ -121,6 +121,12 @@ def test_contamination_verbatim_beside_an_altered_slot(spark):
     assert _kinds(spark, " ".join(words), " ".join(quoted)) == {0: "verbatim"}
     assert _kinds(spark, " ".join(twice), " ".join([*twice[:30], "13", *twice[31:]])) == {0: "verbatim"}
 
+def test_contamination_names_at_sentence_starts(spark):
+    item = "Tom has 5 apples. Tom buys 3 more apples. How many apples does Tom have now?"
+    assert _kinds(
+        spark, item, "Anna has 7 apples. Anna buys 4 more apples. How many apples does Anna have now?",
+        "Anna has 7 apples. Clara buys 4 more apples. How many apples does Anna have now?") == {0: "reparameterised"}
+
 
 def test_lattice_against_enumeration():
     pieces = lattice_lm.Pieces.from_model(PieceModel(open(PIECES, "rb").read()))

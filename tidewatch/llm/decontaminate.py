@@ -6,7 +6,8 @@ numbers or names were exchanged still meets its original.  The slots of the join
 alignment, equal values of the benchmark must have equal values in the document and different ones different values.
 
 Each text is read in several views.  The literal view has no slots.  The template view has names within a sentence,
-numbers and units as slots; once more with names as words, since a name written in another case is still the same.  Windows need as many plain
+numbers and units as slots; once more with names as words, since a name written in another case is still the same; and
+once more with capitalised words that start a sentence as names, where the slot check decides.  Windows need as many plain
 words as slots.
 
 A literal window is a verbatim hit if no slot of its alignment differs, or if it holds a value itself (a number, unit or
@@ -47,9 +48,9 @@ UNITS = frozenset(
     "kw volt volts joule joules newton newtons hertz hz kmh mph".split())
 NUMBER, UNIT, NAME = "\x01number", "\x01unit", "\x01name"
 #: views of a text as bits; VALUED marks literal windows that hold a value
-LITERAL, TEMPLATE, VALUED = 1, 2, 32
+LITERAL, TEMPLATE, STARTS, VALUED = 1, 2, 4, 32
 #: views whose windows are counted together
-READINGS = (TEMPLATE,)
+READINGS = (TEMPLATE, TEMPLATE | STARTS)
 _CORE = re.compile(r"\w(?:.*\w)?", re.S)
 _WINDOW = "length int, pos int, stop int, hash long, types string, slots array<string>, views int"
 
@@ -144,7 +145,7 @@ def _views(kinds: np.ndarray, starts: np.ndarray) -> list[list]:
                 return
         out.append([slots, first, bit])
 
-    for slots, bit in ((inside, TEMPLATE), (freed, TEMPLATE)):
+    for slots, bit in ((inside, TEMPLATE), (freed, TEMPLATE), (kinds, STARTS)):
         add(slots, every, bit)
     return out
 
@@ -254,7 +255,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
         ats = F.when(_one_to_one(F.col(f"_read{i}.pairs")), F.col(f"_read{i}.ats"))
         total = F.col("_templates")
         counts.append(F.when((F.size(ats) > 0) & (2 * F.size(ats) >= total), F.size(ats)))
-    judged = judged.withColumn("_joined", counts[0]).withColumn(
+    judged = judged.withColumn("_joined", F.greatest(*counts)).withColumn(
         "kind", F.when(verbatim, "verbatim").when(F.col("_joined").isNotNull(), "reparameterised"))
     judged = judged.where("kind IS NOT NULL").withColumn(
         "n_windows", F.when(F.col("kind") == "verbatim", F.col("_own")).otherwise(F.greatest("_own", "_joined")))
