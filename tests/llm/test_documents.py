@@ -127,6 +127,9 @@ def test_contamination_names_at_sentence_starts(spark):
         spark, item, "Anna has 7 apples. Anna buys 4 more apples. How many apples does Anna have now?",
         "Anna has 7 apples. Clara buys 4 more apples. How many apples does Anna have now?") == {0: "reparameterised"}
 
+def test_contamination_of_number_runs(spark):
+    assert _kinds(spark, "Compute 12 34 56 78 90", "so: compute 12 34 56 78 90 now", "compute 12 34 56 78 91") == {0: "verbatim"}
+
 
 def test_lattice_against_enumeration():
     pieces = lattice_lm.Pieces.from_model(PieceModel(open(PIECES, "rb").read()))

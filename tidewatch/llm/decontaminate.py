@@ -7,7 +7,7 @@ alignment, equal values of the benchmark must have equal values in the document
 
 Each text is read in several views.  The literal view has no slots.  The template view has names within a sentence,
 numbers and units as slots; once more with names as words, since a name written in another case is still the same; and
-once more with capitalised words that start a sentence as names, where the slot check decides.  Windows need as many plain
+once more with capitalised words that start a sentence as names, where the slot check decides.  Windows with slots need as many plain
 words as slots.
 
 A literal window is a verbatim hit if no slot of its alignment differs, or if it holds a value itself (a number, unit or
@@ -172,8 +172,7 @@ def text_windows(words: Words, text: str | None, lengths: list[int] | None, sent
             if length < SHORTEST or length > len(first):
                 continue
             hashes = window_hashes(codes, length)
-            full = valued if bits & LITERAL else filled
-            at = np.flatnonzero(2 * (full[length:] - full[:len(hashes)]) <= length)
+            at = np.flatnonzero(2 * (filled[length:] - filled[:len(hashes)]) <= length)
             if sent is not None:
                 values, sieve = sent
                 at = at[sieve[hashes[at] & np.uint64(len(sieve) - 1)]]
