@@ -121,16 +121,37 @@ def test_contamination_verbatim_beside_an_altered_slot(spark):
     assert _kinds(spark, " ".join(words), " ".join(quoted)) == {0: "verbatim"}
     assert _kinds(spark, " ".join(twice), " ".join([*twice[:30], "13", *twice[31:]])) == {0: "verbatim"}
 
+
 def test_contamination_names_at_sentence_starts(spark):
     item = "Tom has 5 apples. Tom buys 3 more apples. How many apples does Tom have now?"
     assert _kinds(
         spark, item, "Anna has 7 apples. Anna buys 4 more apples. How many apples does Anna have now?",
         "Anna has 7 apples. Clara buys 4 more apples. How many apples does Anna have now?") == {0: "reparameterised"}
 
+
 def test_contamination_of_number_runs(spark):
     assert _kinds(spark, "Compute 12 34 56 78 90", "so: compute 12 34 56 78 90 now", "compute 12 34 56 78 91") == {0: "verbatim"}
 
 
+def test_contamination_by_values_of_another_length(spark):
+    words = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(30)]
+    a, b = " ".join(words[:14]), " ".join(words[15:])
+    a, b = a.replace("wac", "5"), b.replace("wba", "8")  # every literal window of eight but few holds an altered value
+    a, b = a.replace("wai", "6"), b.replace("wbc", "9")
+
+    def text(place, more=0):
+        for old in "5689":
+            place = place.replace(f" {old} ", f" {int(old) + more} ")
+        return place
+
+    item = f"{a} New York {b}"
+    assert _kinds(spark, item, text(f"{a} Paris {b}", 10)).get(0)
+    short = "they drove from New York to the coast with 3 dogs and then came home by train"
+    assert _kinds(spark, short, "they drove from Paris to the coast with 4 dogs and then came home by train") == {0: "reparameterised"}
+    short = "they paid 25 for the old boat with 3 sails and then went home by train"
+    assert _kinds(spark, short, "they paid twenty six for the old boat with 4 sails and then went home by train") == {0: "reparameterised"}
+
+
 def test_lattice_against_enumeration():
     pieces = lattice_lm.Pieces.from_model(PieceModel(open(PIECES, "rb").read()))
     lattice, weight = lattice_lm.Lattice(pieces), dict(zip(pieces.texts, pieces.weights))

@@ -7,12 +7,14 @@ alignment, equal values of the benchmark must have equal values in the document
 
 Each text is read in several views.  The literal view has no slots.  The template view has names within a sentence,
 numbers and units as slots; once more with names as words, since a name written in another case is still the same; and
-once more with capitalised words that start a sentence as names, where the slot check decides.  Windows with slots need as many plain
+once more with capitalised words that start a sentence as names, where the slot check decides.  A value may have another
+number of words, so each of these is also read with runs of equal slots as one.  Windows with slots need as many plain
 words as slots.
 
 A literal window is a verbatim hit if no slot of its alignment differs, or if it holds a value itself (a number, unit or
 name); of windows without a value beside differing slots it takes two, that is one word more than a window, since a
-question with other values shares its wording too.  Re-parameterised hits count from half of an item's windows on one alignment.
+question with other values shares its wording too.  Re-parameterised hits count from half of an item's windows, on an
+alignment together with those up to ``SHIFT`` words away, as far as the slots agree.
 Items shorter than a window are one window of their own length, with at least ``SHORTEST`` words.
 
 Edge cases: null and empty texts and null ids have no windows; repeated rows add no further pairs; other columns
@@ -27,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 WIDTH, SHORTEST = 8, 4
@@ -48,9 +50,11 @@ UNITS = frozenset(
     "kw volt volts joule joules newton newtons hertz hz kmh mph".split())
 NUMBER, UNIT, NAME = "\x01number", "\x01unit", "\x01name"
 #: views of a text as bits; VALUED marks literal windows that hold a value
-LITERAL, TEMPLATE, STARTS, VALUED = 1, 2, 4, 32
+LITERAL, TEMPLATE, STARTS, RUNS, RUN_STARTS, VALUED = 1, 2, 4, 8, 16, 32
 #: views whose windows are counted together
-READINGS = (TEMPLATE, TEMPLATE | STARTS)
+READINGS = (TEMPLATE, TEMPLATE | STARTS, RUNS, RUNS | RUN_STARTS)
+#: alignments so many words apart can belong to one passage
+SHIFT = 16
 _CORE = re.compile(r"\w(?:.*\w)?", re.S)
 _WINDOW = "length int, pos int, stop int, hash long, types string, slots array<string>, views int"
 
@@ -145,8 +149,10 @@ def _views(kinds: np.ndarray, starts: np.ndarray) -> list[list]:
                 return
         out.append([slots, first, bit])
 
-    for slots, bit in ((inside, TEMPLATE), (freed, TEMPLATE), (kinds, STARTS)):
+    for slots, bit, run_bit in ((inside, TEMPLATE, RUNS), (freed, TEMPLATE, RUNS), (kinds, STARTS, RUN_STARTS)):
         add(slots, every, bit)
+        same = (slots[1:] > 0) & (slots[1:] == slots[:-1]) & ~starts[1:]
+        add(slots, np.flatnonzero(np.concatenate([[True], ~same])) if same.any() else every, run_bit)
     return out
 
 
@@ -211,6 +217,18 @@ def _one_to_one(pairs):
     return (F.size(left) == F.size(pairs)) & (F.size(right) == F.size(pairs))
 
 
+def _joined(base, others):
+    """Item windows of a line and of those others that keep its slots one to one, the fullest first."""
+    def extend(so_far, line):
+        pairs = F.array_distinct(F.concat(so_far["pairs"], line["pairs"]))
+        return F.when(_one_to_one(pairs), F.struct(
+            F.array_union(so_far["ats"], line["ats"]).alias("ats"), pairs.alias("pairs"))).otherwise(so_far)
+
+    order = F.sort_array(F.transform(others, lambda o: F.struct(
+        (-F.size(o["ats"])).alias("n"), o["ats"].alias("ats"), o["pairs"].alias("pairs"))))
+    return F.aggregate(order, base, extend)["ats"]
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text",
                  item: str = "item_id", item_text: str = "text", width: int = WIDTH,
                  max_sent: int = MAX_SENT_WINDOWS) -> DataFrame:
@@ -224,7 +242,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
 
     totals = known.groupBy("_item").agg(
         F.countDistinct("_at").alias("item_windows"),
-        F.size(F.collect_set(F.when(seen("_views", TEMPLATE), F.col("_at")))).alias("_templates"))
+        F.size(F.collect_set(F.when(seen("_views", TEMPLATE), F.col("_at")))).alias("_templates"),
+        F.size(F.collect_set(F.when(seen("_views", RUNS), F.col("_at")))).alias("_runs"))
     lengths = sorted(r[0] for r in known.select("length").distinct().collect()) or [width]
     few = known.select("hash").distinct().limit(max_sent + 1)
     hashes = np.array([r[0] for r in few.collect()], dtype=np.int64).view(np.uint64)
@@ -248,11 +267,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
         *(read_by(bits).alias(f"_read{i}") for i, bits in enumerate(READINGS)))
     unlike = F.exists("_read0.pairs", lambda p: p["b"] != p["d"])
     verbatim = F.col("_valued") | (F.col("_literal") >= 2) | ((F.size("_read0.ats") > 0) & ~unlike)
+    near = Window.partitionBy("_doc", "_item").orderBy("_line")
+    sides = (near.rangeBetween(-SHIFT, -1), near.rangeBetween(1, SHIFT))
     judged = lines.join(totals, "_item")
+    for i, bits in enumerate(READINGS):
+        name = f"_read{i}"
+        others = F.concat(*(F.collect_list(name).over(side) for side in sides))
+        judged = judged.withColumn(f"_near{i}", others)
     counts = []
     for i, bits in enumerate(READINGS):
-        ats = F.when(_one_to_one(F.col(f"_read{i}.pairs")), F.col(f"_read{i}.ats"))
-        total = F.col("_templates")
+        ats = F.when(_one_to_one(F.col(f"_read{i}.pairs")), _joined(F.col(f"_read{i}"), F.col(f"_near{i}")))
+        total = F.col("_templates" if bits & TEMPLATE else "_runs")
         counts.append(F.when((F.size(ats) > 0) & (2 * F.size(ats) >= total), F.size(ats)))
     judged = judged.withColumn("_joined", F.greatest(*counts)).withColumn(
         "kind", F.when(verbatim, "verbatim").when(F.col("_joined").isNotNull(), "reparameterised"))
