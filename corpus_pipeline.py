@@ -56,9 +56,9 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with the number and hash of their ids, and the hash of the text these decode to."""
+    """The documents with the number and hash of their ids, and the hashes of the text these decode to and of their spans."""
     coded = piece_codec.digests(_packed(docs), public_tokenizers.path("piece_bpe_32k.model"), keep=("_row",))
-    new = ("n_tokens", "ids_sha256", "decoded_sha256")
+    new = ("n_tokens", "ids_sha256", "decoded_sha256", "spans_sha256")
     return coded.select(*(F.col("_row")[c].alias(c) for c in docs.columns if c not in new), *new)
 
 

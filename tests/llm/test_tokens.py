@@ -50,6 +50,15 @@ def test_codes_spans_and_decoding(spark, documents, texts):
         assert all(a == b for a, b in zip(row.ends, row.begins[1:]))
 
 
+def test_digests_are_those_of_encoding_and_decoding(spark, documents, texts):
+    model = piece_codec.PieceModel(open(PIECES, "rb").read())
+    for row in piece_codec.digests(documents, PIECES).where("doc_id IS NOT NULL").collect():
+        ids, spans = model.encode(texts[row.doc_id])
+        bounds = b"".join(bound.to_bytes(8, "little") for span in spans for bound in span)
+        assert row.spans_sha256 == hashlib.sha256(bounds).hexdigest()
+        assert row.decoded_sha256 == hashlib.sha256(model.decode(ids).encode()).hexdigest()
+
+
 def test_stretches_change_nothing(texts):
     model = piece_codec.PieceModel(open(PIECES, "rb").read())
     assert model.apart

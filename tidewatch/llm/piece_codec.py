@@ -21,6 +21,7 @@ import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -100,10 +101,9 @@ class CharMap:
 
 @dataclass(frozen=True)
 class Stretch:
-    """Codes of one stretch of text, the source bytes of each, and the bytes of all."""
+    """Codes of one stretch of text and the number of source bytes of each; their spans follow each other."""
     ids: tuple[int, ...]
-    spans: tuple[tuple[int, int], ...]
-    size: int
+    sizes: tuple[int, ...]
 
 
 class PieceModel:
@@ -141,11 +141,16 @@ class PieceModel:
         self.ranked = {p: -self.scores[i] for p, i in self.known.items()}  # the least is the best
         self.apart = (
             not self.map.units and not frozen and self.dummy_prefix and not self.trim and self.escape
-            and not any(re.search(f"[^{MARK}]{MARK}", p) for p in self.known)
+            and MARK in self.known and not any(re.search(f"[^{MARK}]{MARK}", p) for p in self.known)
         )
         self.marked = Memo(self._stretch, MEMO)
-        self.digested = Memo(self._digest, MEMO)
-        self.led = Memo(lambda word: self._digest(MARK + word), MEMO)
+        self.numerals = [str(i) for i in range(len(self.pieces))]
+        #: text of each piece by itself; bytes beyond ASCII have none, since they are joined into characters
+        self.surfaces = [
+            None if t == BYTE else self.unknown_text if t == UNKNOWN else "" if t == CONTROL else p.replace(MARK, " ")
+            for p, t in zip(self.pieces, self.types)]
+        for i, byte in self.byte_of.items():
+            self.surfaces[i] = chr(byte) if byte < 128 else None
 
     # normalisation
 
@@ -267,57 +272,51 @@ class PieceModel:
             size = 1 if char == MARK else len(char.encode())
             spans.append((at, at + size))
             at += size
-        codes = list(self._codes(list(marked), spans))
-        ids = tuple(i for i, _ in codes)
-        return Stretch(ids, tuple(s for _, s in codes), at)
-
-    def _digest(self, marked: str) -> tuple[int, str, str]:
-        """(number of ids, their decimal text, decoded text) of a stretch."""
-        ids = None
-        if len(marked) < 24 and self.simple:
-            ids = list(map(self.known.get, self._merge_few(list(marked))))
-        if ids is None or None in ids:  # long, or with characters that become bytes
-            ids = self._stretch(marked).ids
-        return len(ids), " ".join(map(str, ids)), self._surface(ids)
+        ids, spans = zip(*self._codes(list(marked), spans))
+        return Stretch(ids, tuple(b - a for a, b in spans))
 
-    def encode(self, text: str | None) -> tuple[list[int], list[tuple[int, int]]]:
-        """Ids with the end id, and each id's (begin, end) in the bytes of the text; the end id has an empty span."""
+    def _encoded(self, text: str | None) -> tuple[list[int], np.ndarray]:
+        """Ids with the end id, and a row (begin, end) in the bytes of the text for each; that of the end id is empty."""
         ids: list[int] = []
-        spans: list[tuple[int, int]] = []
         if text and self.apart and MARK not in text:
-            at = -1  # the first mark stands for no byte
+            sizes: list[int] = []
             for part in map(self.marked.__getitem__, _STRETCH.findall(MARK + text.replace(" ", MARK))):
                 ids += part.ids
-                spans += [(max(0, at + a), at + b) for a, b in part.spans]
-                at += part.size
-        elif text:
-            for code, span in self._codes(*self.normalize(text)):
+                sizes += part.sizes
+            sizes[0] -= 1  # the first mark stands for no byte
+            bounds = np.zeros((len(ids) + 1, 2), dtype="<i8")
+            np.cumsum(sizes, out=bounds[:-1, 1])
+            bounds[-1, 1] = bounds[-2, 1]
+            bounds[1:, 0] = bounds[:-1, 1]
+        else:
+            spans: list[tuple[int, int]] = []
+            for code, span in self._codes(*self.normalize(text)) if text else ():
                 ids.append(code)
                 spans.append(span)
-        size = len(text.encode()) if text else 0
-        return ids + [self.end], spans + [(size, size)]
+            size = len(text.encode()) if text else 0
+            bounds = np.array([*spans, (size, size)], dtype="<i8")
+        ids.append(self.end)
+        return ids, bounds
 
-    def digest(self, text: str | None) -> tuple[int, str, str]:
-        """(number of ids, hash of their decimal text, hash of the decoded text)."""
-        if text and self.apart and MARK not in text:
-            words = text.split(" ")
-            if "" not in words[:-1]:
-                parts = map(self.led.__getitem__, words)
-            else:
-                parts = map(self.digested.__getitem__, _STRETCH.findall(MARK + text.replace(" ", MARK)))
-            counts, id_texts, surfaces = zip(*parts)
-            count, id_text = sum(counts) + 1, f"{' '.join(id_texts)} {self.end}"
-            decoded = "".join(surfaces)[1:]  # without the mark of the added prefix
-        else:
-            ids = self.encode(text)[0]
-            count, id_text, decoded = len(ids), " ".join(map(str, ids)), self.decode(ids)
-        return count, hashlib.sha256(id_text.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
+    def encode(self, text: str | None) -> tuple[list[int], list[tuple[int, int]]]:
+        """Ids with the end id, and each id's (begin, end) in the bytes of the text; the end id has an empty span."""
+        ids, bounds = self._encoded(text)
+        return ids, list(map(tuple, bounds.tolist()))
+
+    def digest(self, text: str | None) -> tuple[int, str, str, str]:
+        """(number of ids, hash of their decimal text, of the text they decode to, and of begin and end of each span)."""
+        ids, bounds = self._encoded(text)
+        return (len(ids), *(hashlib.sha256(x).hexdigest() for x in (
+            " ".join(map(self.numerals.__getitem__, ids)).encode(), self.decode(ids).encode(), bounds.tobytes())))
 
     # decoding
 
     def _surface(self, ids) -> str:
         """Text of the ids, marks as spaces, byte pieces joined into characters."""
-        out, raw = [], bytearray()
+        try:
+            return "".join(map(self.surfaces.__getitem__, ids))
+        except TypeError:
+            out, raw = [], bytearray()
         for i in ids:
             if i in self.byte_of:
                 raw.append(self.byte_of[i])
@@ -325,19 +324,16 @@ class PieceModel:
             if raw:
                 out.append(_characters(raw))
                 raw = bytearray()
-            if self.types[i] == UNKNOWN:
-                out.append(self.unknown_text)
-            elif self.types[i] != CONTROL:
-                out.append(self.pieces[i].replace(MARK, " "))
+            out.append(self.surfaces[i])
         if raw:
             out.append(_characters(raw))
         return "".join(out)
 
     def decode(self, ids) -> str:
         """Text of the ids; control pieces have none, and the added prefix goes."""
-        seen = [i for i in ids if self.types[i] != CONTROL]
+        first = next((i for i in ids if self.types[i] != CONTROL), None)
         text = self._surface(ids)
-        if (self.dummy_prefix or self.trim) and seen and self.pieces[seen[0]].startswith(MARK):
+        if (self.dummy_prefix or self.trim) and first is not None and self.pieces[first].startswith(MARK):
             return text[1:]
         return text
 
@@ -402,13 +398,16 @@ def decode(rows: DataFrame, model_file: str, key: str = "doc_id", ids: str = "id
 
 
 def digests(rows: DataFrame, model_file: str, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
-    """The columns to keep, n_tokens, ids_sha256 and decoded_sha256: codes and round trip without storing them."""
+    """The columns to keep, and of the codes n_tokens, ids_sha256, decoded_sha256 (of the text they decode to) and
+    spans_sha256 (of begin and end of each code), without storing them."""
     blob = _broadcast(rows, model_file)
 
-    @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
+    @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string, spans_sha256 string")
     def digested(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = _model(blob.value)
         for texts in batches:
-            yield pd.DataFrame([model.digest(t) for t in texts], columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+            yield pd.DataFrame(
+                [model.digest(t) for t in texts],
+                columns=["n_tokens", "ids_sha256", "decoded_sha256", "spans_sha256"])
 
     return rows.select(*keep, digested(F.col(text)).alias("_d")).select(*keep, "_d.*")
