@@ -8,13 +8,24 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, language_id, lattice_lm, ngram_join, piece_codec, token_count, topk_search, toxicity, url_filter
+from . import (
+    chat_format, decontaminate, language_id, lattice_lm, merkle, ngram_join, piece_codec, token_count, topk_search,
+    toxicity, url_filter,
+)
 from .common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def crc32_sql(text: str) -> str:
+    """Unsigned crc32 of an ASCII text as DuckDB SQL."""
+    return f"""xor(list_reduce(
+        list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split({text}, ''), lambda ch: CAST(ascii(ch) AS BIGINT))),
+        lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)),
+            lambda s, i: CASE WHEN s % 2 = 1 THEN xor(s >> 1, 3988292384) ELSE s >> 1 END)), 4294967295)"""
+
+
 def query(sql: str | None = None):
     def register(build):
         QUERIES[build.__name__] = build
@@ -167,3 +178,65 @@ def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = lattice_lm.score(
         spark, docs, public_tokenizers.path("piece_bpe_32k.model"), fold("doc_id", 7) != 2)
     return scored.withColumn("held_out", F.coalesce(fold("doc_id", 7) == 2, F.lit(False)))
+
+
+_FIELD_SQL = "CASE WHEN {0} IS NULL THEN '-' ELSE octet_length(encode(CAST({0} AS VARCHAR))) || ':' || {0} END"
+
+
+def _leaf_sql(text: str) -> str:
+    return f"sha256({' || '.join(_FIELD_SQL.format(c) for c in ('doc_id', 'source', 'lang', 'n_chars', text))})"
+
+
+@query(f"""
+WITH RECURSIVE leaves AS (
+    SELECT doc_id, source, {_leaf_sql('text')} AS leaf,
+        CASE WHEN {crc32_sql('CAST(doc_id AS VARCHAR)')} % 2 = 0 THEN {_leaf_sql("replace(text, chr(10), '')")}
+            ELSE {_leaf_sql('text')} END AS changed,
+        row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST) - 1 AS pos,
+        count(*) OVER (PARTITION BY source) AS n
+    FROM documents),
+up(level, source, pos, digest, n) AS (
+    SELECT 0, source, pos, leaf, n FROM leaves
+    UNION ALL
+    SELECT level + 1, source, pos // 3, sha256(string_agg(digest, '' ORDER BY pos)), (any_value(n) + 2) // 3
+    FROM up WHERE n > 1 GROUP BY level, source, pos // 3),
+subroots AS (
+    SELECT source, digest AS subroot, level AS height, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos,
+        count(*) OVER () AS n FROM up WHERE n = 1),
+top(level, pos, digest, n) AS (
+    SELECT 0, pos, subroot, n FROM subroots
+    UNION ALL
+    SELECT level + 1, pos // 3, sha256(string_agg(digest, '' ORDER BY pos)), (any_value(n) + 2) // 3
+    FROM top WHERE n > 1 GROUP BY level, pos // 3),
+nodes AS (
+    SELECT 'below ' || coalesce('+' || source, '') AS tree, level, pos, digest FROM up
+    UNION ALL SELECT 'top', level, pos, digest FROM top),
+runs AS (SELECT tree, level, pos // 3 AS run, list(digest ORDER BY pos) AS digests FROM nodes GROUP BY tree, level, pos // 3),
+-- every leaf climbs its own tree, then that of the subroots
+way AS (
+    SELECT l.doc_id, l.source, l.leaf, l.changed, s.subroot, s.height, s.pos AS top_pos, l.pos,
+        (SELECT max(level) FROM top) AS top_height FROM leaves l JOIN subroots s ON l.source IS NOT DISTINCT FROM s.source),
+steps AS (
+    SELECT way.*, step, 'below ' || coalesce('+' || source, '') AS tree, step AS level, pos // CAST(3 ** step AS BIGINT) AS place
+    FROM way, range(64) t(step) WHERE step < height
+    UNION ALL
+    SELECT way.*, height + step, 'top', step, top_pos // CAST(3 ** step AS BIGINT) FROM way, range(64) t(step) WHERE step < top_height),
+met AS (
+    SELECT doc_id, source, leaf, step, digests[:place % 3] AS lefts, digests[place % 3 + 2:] AS rights
+    FROM steps JOIN runs ON steps.tree = runs.tree AND steps.level = runs.level AND steps.place // 3 = runs.run),
+gathered AS (
+    SELECT doc_id, source, leaf, list([array_to_string(lefts, ''), array_to_string(rights, '')] ORDER BY step) AS sides
+    FROM met GROUP BY doc_id, source, leaf),
+folded AS (
+    SELECT way.doc_id, way.leaf, way.subroot, (SELECT digest FROM top WHERE n = 1) AS root,
+        sha256(array_to_string(flatten(coalesce(sides, [])), '')) AS proof_sha256,
+        list_reduce(list_prepend(['', changed], coalesce(sides, [])), lambda a, b: ['', sha256(b[1] || a[2] || b[2])])[2] AS folded_root
+    FROM way LEFT JOIN gathered g ON way.doc_id IS NOT DISTINCT FROM g.doc_id AND way.leaf = g.leaf)
+SELECT *, folded_root = root AS verified FROM folded
+""")
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line feeds are deleted from texts whose crc32(doc_id) is even; a row without an id is left alone."""
+    return merkle.manifest(
+        spark, table(spark, sf_dir, "documents"), group="source", key="doc_id",
+        fields=["doc_id", "source", "lang", "n_chars", "text"],
+        changed={"text": F.replace("text", F.lit("\n"), F.lit(""))}, where=fold("doc_id", 2) == 0)
