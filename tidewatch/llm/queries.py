@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    chat_format, decontaminate, language_id, lattice_lm, merkle, ngram_join, piece_codec, token_count, topk_search,
-    toxicity, url_filter,
+    chat_format, decontaminate, language_id, lattice_lm, merkle, ngram_join, piece_codec, prefix_trie,
+    token_count, topk_search, toxicity, url_filter,
 )
 from .common import fold, table
 
@@ -240,3 +240,44 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, table(spark, sf_dir, "documents"), group="source", key="doc_id",
         fields=["doc_id", "source", "lang", "n_chars", "text"],
         changed={"text": F.replace("text", F.lit("\n"), F.lit(""))}, where=fold("doc_id", 2) == 0)
+
+
+@query(f"""
+WITH t AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS pos
+    FROM conversations WHERE conv_id IS NOT NULL),
+c AS (
+    SELECT conv_id, count(*) AS n, {crc32_sql('CAST(conv_id AS VARCHAR)')} % 9 AS h, conv_id - conv_id % 5 AS base
+    FROM t GROUP BY conv_id),
+k AS (SELECT c.*, least(c.h, coalesce(b.n, 0)) AS taken FROM c LEFT JOIN c b ON b.conv_id = c.base),
+r AS (
+    SELECT k.conv_id, pos + 1 AS depth, role, text FROM k JOIN t ON t.conv_id = k.base AND pos < h
+    UNION ALL
+    SELECT k.conv_id, taken + pos - h + 1, role, text FROM k JOIN t ON t.conv_id = k.conv_id AND pos >= h),
+p AS (
+    SELECT conv_id, depth, text, list([role, text]) OVER (PARTITION BY conv_id ORDER BY depth) AS path FROM r
+    UNION ALL
+    SELECT conv_id, 0, '', CAST([] AS VARCHAR[][]) FROM k),
+g AS (
+    SELECT depth, path, min(conv_id) AS conv_id, count(*) AS n_convs, octet_length(encode(any_value(text))) AS n_bytes
+    FROM p GROUP BY depth, path),
+m AS (
+    SELECT p.conv_id AS member, p.depth, g.conv_id AS node, p.depth = max(p.depth) OVER (PARTITION BY p.conv_id) AS is_last
+    FROM p JOIN g USING (depth, path)),
+up AS (SELECT g.conv_id, g.depth, m.node AS parent FROM g LEFT JOIN m ON m.member = g.conv_id AND m.depth = g.depth - 1),
+kids AS (SELECT parent AS conv_id, depth - 1 AS depth, count(*) AS n FROM up WHERE parent IS NOT NULL GROUP BY 1, 2),
+below AS (
+    SELECT m.node AS conv_id, m.depth, count(*) FILTER (kids.n IS NULL) AS n_leaves, sum((g.n_convs - 1) * g.n_bytes) AS saved
+    FROM g JOIN m ON m.member = g.conv_id AND m.depth <= g.depth
+    LEFT JOIN kids ON kids.conv_id = g.conv_id AND kids.depth = g.depth GROUP BY 1, 2),
+ends AS (
+    SELECT node AS conv_id, depth, sha256(coalesce(string_agg(CAST(member AS VARCHAR), ',' ORDER BY member) FILTER (is_last), '')) AS digest
+    FROM m GROUP BY 1, 2)
+SELECT g.conv_id, CAST(g.depth AS BIGINT) AS depth, up.parent AS parent_conv_id, g.n_convs, coalesce(kids.n, 0) AS n_children, n_leaves,
+    CAST(saved AS BIGINT) AS saved_tokens, digest AS ends_sha256
+FROM g JOIN up USING (conv_id, depth) JOIN below USING (conv_id, depth) JOIN ends USING (conv_id, depth)
+LEFT JOIN kids USING (conv_id, depth)
+""")
+def op12_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.rebuilt_trie(spark, table(spark, sf_dir, "conversations"))

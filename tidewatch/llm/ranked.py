@@ -34,3 +34,16 @@ def ranked(spark: SparkSession, rows: DataFrame, key: str, order: list, ranges:
         F.sum("_here").over(Window.partitionBy(key)).alias("_n"))
     joined = placed.join(sent_if_small(save(spark, runs, "runs"), SENT_RUNS), [key, "_range"])
     return joined.select(*rows.columns, (F.col("_seq") + F.col("_shift")).alias("_pos"), "_n")
+
+
+def looked_up(rows: DataFrame, values: DataFrame, key: str, weight: str, total: int) -> DataFrame:
+    """The rows with the columns of ``values``, which holds each key once; rows without a match are left out.
+
+    ``weight`` is the number of rows of a key and ``total`` that of all.  Fewer than 1000 keys can hold more than a
+    thousandth of the rows each; these are broadcast, so that no task gets a hot key's rows by a shuffle.
+    """
+    often = F.col(weight) * 1000 > total
+    rest = values.where(~often).drop(weight)
+    hot = F.broadcast(values.where(often).drop(weight))
+    cold = rows.join(hot.select(key), key, "left_anti").join(rest, key)
+    return rows.join(hot, key).unionByName(cold)
