@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    chat_format, decontaminate, language_id, lattice_lm, merkle, ngram_join, piece_codec, prefix_trie,
+    chat_format, decontaminate, language_id, lattice_lm, main_text, merkle, ngram_join, piece_codec, prefix_trie,
     token_count, topk_search, toxicity, url_filter,
 )
 from .common import fold, table
@@ -281,3 +281,19 @@ LEFT JOIN kids USING (conv_id, depth)
 """)
 def op12_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.rebuilt_trie(spark, table(spark, sf_dir, "conversations"))
+
+
+# what the pages of the tables hold: one article of p, h1, b and br elements, and references to five characters
+@query("""
+WITH body AS (
+    SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)(</article>|$)', 1) AS markup FROM pages),
+plain AS (
+    SELECT page_id, url, regexp_replace(regexp_replace(markup, '</?(p|h1|br)[^>]*>', ' ', 'g'), '<[^>]*>', '', 'g') AS text FROM body),
+read AS (
+    SELECT page_id, url, regexp_replace(replace(replace(regexp_replace(text, '&quot;?', '"', 'g'), '&lt;', '<'), '&gt;', '>'),
+        '&amp;?', '&', 'g') AS text FROM plain)
+SELECT page_id, url, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS text, length(trim(regexp_replace(text, '\\s+', ' ', 'g'))) AS n_chars
+FROM read
+""")
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
