@@ -2,26 +2,32 @@
 
 A dump file is always read whole by one micro-batch, so sessions, configuration dumps and parent ids
 never cross a batch boundary and need no state of their own.  What does cross it - current rows, objects,
-instances - is the previous snapshot, folded with the batch by the same functions the batch build uses.
+instances - is what the last commit left, folded with the batch by the same functions the batch build uses.
 
-The cutoff for stale records is read once, before the first batch after a start, from the snapshots older than that
-batch, and stays fixed; it is not a watermark.  A batch that failed half-way thus finds the cutoff it had before.
+Several queries may feed one store, and a query may come back with a new checkpoint: every batch is a commit of its
+writer (see :mod:`store`).  Records of history tables that come again, in a file sent twice or after a reconnect, are
+recognised by their content and stored once.
+
+The cutoff for stale records is read once, before the first batch after a start, from what was committed then,
+and stays fixed; it is not a watermark.
 """
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import wire
 from ..operators import aggregates, dimensions, filters, maintenance
 from ..plans import history, warehouse
-from ..plans.table import Table
+from ..plans.table import Context, Table, event_second
 from ..sources import dump
-from .store import Store
+from .store import Conflict, State, Store
 
 # tables written at the same time
 JOBS = 8
@@ -34,6 +40,15 @@ STORED_AS = {
     "timedeventqueue": {"op": "200", "purge_before": "CAST(NULL AS BIGINT)"},
     "programstatus": {"op": "CAST(NULL AS INT)"},
 }
+# what the operations on a folded table agree in, so that buckets can be folded by themselves; other folded tables
+# are folded by instance
+FOLDED_BY = {"comments": history.COMMENT_KEYS, "scheduleddowntime": ("object_id", "entry_time")}
+#: content of stored records
+KEYS = "record_keys"
+#: replayed (key, session) pairs sent to all workers; more are joined by a shuffle
+SENT_REPLAYS = 200_000
+#: batches that may hold rows of a closed day before its files are made one
+DAY_FILES = 24
 
 
 def start(
@@ -45,26 +60,40 @@ def start(
     options: int = -1,
     optional=(),
     available_now: bool = False,
+    ages: dict[str, int] | None = None,
+    clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc),
+    trim_seconds: float = 60,
+    buckets: int = 16,
+    drop_replays: bool = True,
 ):
-    """Start the ingest query.  ``available_now`` drains what is there and stops."""
-    store = Store(spark, root)
+    """Start the ingest query.  ``available_now`` drains what is there and stops.
+
+    ``ages`` switches retention on (minutes by table, the default age for tables it leaves out, 0 keeps everything); it
+    runs after a batch, at most once in ``trim_seconds``.
+    """
+    store = Store(spark, root, buckets=buckets)
+    store.writer = store.writer_of(checkpoint)
     cutoffs: list[DataFrame | None] = []
+    trimmed = [float("-inf")]
 
     def run(frames: DataFrame, batch: int) -> None:
         if not cutoffs:
-            cutoffs.append(stored_cutoff(store, before=batch))
-        process_batch(store, frames, batch, cutoffs[0], options, optional)
+            cutoffs.append(stored_cutoff(store))
+        process_batch(store, frames, batch, cutoffs[0], options, optional, drop_replays)
+        if ages is not None and time.monotonic() - trimmed[0] >= trim_seconds:
+            trimmed[0] = time.monotonic()
+            maintain(store, clock(), ages)
 
     writer = dump.stream_frames(spark, source_dir, max_files).writeStream.foreachBatch(run)
     writer = writer.option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
-def stored_cutoff(store: Store, as_of=None, before: int | None = None) -> DataFrame | None:
-    """Cutoff per instance from the snapshots present now (older than batch ``before``), pinned as local rows."""
-    tables = {}
+def stored_cutoff(store: Store, as_of=None) -> DataFrame | None:
+    """Cutoff per instance from what is committed now, pinned as local rows."""
+    state, tables = store.state(), {}
     for name in aggregates.REALTIME_FIELDS:
-        rows = store.snapshot(name, before)
+        rows = store.snapshot(name, state)
         if rows is not None:
             tables[name] = rows
     if not tables:
@@ -74,53 +103,175 @@ def stored_cutoff(store: Store, as_of=None, before: int | None = None) -> DataFr
     return store.spark.createDataFrame(cutoff.collect(), cutoff.schema)
 
 
-def process_batch(store: Store, frames: DataFrame, batch: int, cutoff=None, options: int = -1, optional=()) -> None:
-    """All tables of one micro-batch.  Safe to repeat."""
-    decoded = store.save_decoded(dump.decode(frames, batch=batch), batch)
-    names = decoded.where(F.col("header.protocol") == wire.PROTOCOL_VERSION).select("header.instance_name")
-    store.save_snapshot("instances", dimensions.get_or_insert_instances(names, store.snapshot("instances", batch)), batch)
-    instances = store.snapshot("instances", batch + 1)
+def process_batch(store: Store, frames: DataFrame, batch: int, cutoff=None, options: int = -1, optional=(),
+                  drop_replays: bool = True) -> State:
+    """All tables of one micro-batch, as one commit.
+
+    A batch that is committed already is left alone; one that met another writer's batch of the same instances is
+    computed anew from what that one left.
+    """
+    while True:
+        base = store.state()
+        if base.has(store.writer, batch):
+            return base
+        try:
+            after = _commit_batch(store, base, frames, batch, cutoff, options, optional, drop_replays)
+        except Conflict:
+            continue
+        store.drop_old()
+        return after
+
+
+def bucket_keys(table: Table) -> tuple[str, ...]:
+    return table.keys if table.finish_with is None else FOLDED_BY.get(table.name, ())
+
+
+def _cells_of(store: Store, rows: DataFrame, keys) -> set[str]:
+    """Cells that rows fall into: at most instances x buckets."""
+    hit = rows.select("instance_id", store.bucket(keys).alias("bucket")).distinct().collect()
+    return {f"{r.instance_id}/{r.bucket}" for r in hit}
+
+
+def _commit_batch(store: Store, base: State, frames: DataFrame, batch: int, cutoff, options: int, optional,
+                  drop_replays: bool) -> State:
+    # commits are numbered over all writers, so arrivals order rows of different ones
+    decoded = store.save_decoded(dump.decode(frames, batch=base.number + 1), batch)
+    instances, added = _instances(store, base, decoded, batch)
     events = dimensions.assign_instance(dump.records(decoded), instances)
     if options >= 0:
         events = filters.class_filter(events, options)
-    # at most some fifty record types exist
-    present = {row.rec_type for row in decoded.select("rec_type").distinct().collect()}
+    if drop_replays:
+        events = first_deliveries(store, base, events, batch)
+    # at most some fifty record types and 32,767 instances exist
+    found = decoded.groupBy("rec_type").agg(F.collect_set("header.instance_name").alias("names")).collect()
+    present = {r.rec_type for r in found}
+    numbers = {r.instance_name: r.instance_id for r in instances.collect()}
+    senders = sorted({numbers[n] for r in found for n in r.names if n in numbers})
     ctx = warehouse.context(events, cutoff)
-    restarted = 200 in present and not ctx.restarts.isEmpty()
+    restarted = {str(r.instance_id) for r in ctx.restarts.select("instance_id").collect()} if 200 in present else set()
     if not restarted:
         ctx.restarts = None
 
-    def save(table: Table) -> None:
+    def cleared(name: str) -> set[str]:
+        return {c for c in store._cells(base, name) if c.split("/")[0] in restarted} if restarted else set()
+
+    def save(table: Table) -> tuple[str, dict[str, str]] | None:
         touched = bool(present & set(table.rec_types))
         if table.kind == "history":
             if touched:
                 rows = table.rows(events, ctx)
                 if table.name == "logentries" and 100 in present:
-                    rows = history.unseen_lines(rows, store.history(table.name, before=batch))
+                    rows = history.unseen_lines(rows, _stored_lines(store, base, rows))
                 store.append_history(table.name, rows, batch, table.date_column)
-            return
-        stored = store.snapshot(table.name, batch)
-        if touched or (restarted and stored is not None):
-            store.save_snapshot(table.name, fold(table, stored, events, ctx), batch)
-
-    def save_objects() -> None:
-        stored = store.snapshot("objects", batch)
+            return None
+        keys = bucket_keys(table)
+        cells = cleared(table.name) | (_cells_of(store, table.rows(events, ctx), keys) if touched else set())
+        if not cells:
+            return None
+        rows = fold(table, store.snapshot(table.name, base, cells), events, ctx)
+        return table.name, store.save_cells(table.name, rows, batch, keys, cells)
+
+    def save_objects() -> tuple[str, dict[str, str]] | None:
+        named = dimensions.get_or_insert_objects(dimensions.object_names(events, present)).select("object_id", "instance_id")
+        if present & set(dimensions.ACTIVATING_TYPES):
+            on = dimensions.get_or_insert_objects(dimensions.activations(events, cutoff, present))
+            named = named.unionByName(on.select("object_id", "instance_id"))
+        cells = cleared("objects") | _cells_of(store, named, ("object_id",))
+        if not cells:
+            return None
+        stored = store.snapshot("objects", base, cells)
         objects = dimensions.build_objects(events, cutoff, ctx.restarts, stored, rec_types=present)
-        store.save_snapshot("objects", objects, batch)
+        return "objects", store.save_cells("objects", objects, batch, ("object_id",), cells)
 
     def save_audit() -> None:
         store.append_history("conninfo", aggregates.session_audit(decoded, instances), batch, None)
 
     wanted = [t for n, t in warehouse.TABLES.items() if n not in history.OPTIONAL or n in optional]
+    cells = dict(added)
     # the tables are independent jobs over the same decoded batch
     with ThreadPoolExecutor(JOBS) as pool:
         jobs = [pool.submit(save, table) for table in wanted]
         jobs += [pool.submit(save_objects), pool.submit(save_audit)]
         for job in jobs:
-            job.result()
-    # the snapshot before this batch stays, so that the batch can be repeated
-    for name in [*(t.name for t in wanted if t.kind != "history"), "objects", "instances"]:
-        store.drop_old_snapshots(name)
+            if made := job.result():
+                cells[made[0]] = made[1]
+    return store.commit(base, batch, cells, senders, shared=tuple(added))
+
+
+def _instances(store: Store, base: State, decoded: DataFrame, batch: int) -> tuple[DataFrame, dict]:
+    """Instances with those the batch names first, and the cells written for these."""
+    stored = read_instances(store, base)
+    names = decoded.where(F.col("header.protocol") == wire.PROTOCOL_VERSION).select("header.instance_name")
+    known = dimensions.get_or_insert_instances(names, stored)
+    # at most 32,767 rows
+    rows = known.collect()
+    local = store.spark.createDataFrame(rows, known.schema)
+    if stored is not None and len(rows) == stored.count():
+        return local, {}
+    # one cell for all of them
+    one = local.select(F.lit(0).cast("smallint").alias("instance_id"), F.col("instance_id").alias("id"), "instance_name",
+                       "instance_description").coalesce(1)
+    return local, {"instances": store.save_cells("instances", one, batch, (), {"0/0"})}
+
+
+def read_instances(store: Store, state: State | None = None) -> DataFrame | None:
+    rows = store.snapshot("instances", state)
+    return None if rows is None else rows.select(F.col("id").alias("instance_id"), "instance_name", "instance_description")
+
+
+# ---- replays ------------------------------------------------------------------------------------
+#: records of these types are stored once however often they are sent; archived lines have a rule of their own
+KEYED_TYPES = sorted({t for table in history.HISTORY.values() for t in table.rec_types} - {100})
+
+
+def _content_key(events: DataFrame) -> DataFrame:
+    """The records of history tables with a key of what they say: sender, type and text."""
+    said = F.concat_ws("\n", F.col("instance_id").cast("string"), F.col("rec_type").cast("string"), "body")
+    return events.where(F.col("rec_type").isin(*KEYED_TYPES)).withColumn("key", F.unhex(F.md5(said.cast("binary"))))
+
+
+def first_deliveries(store: Store, base: State, events: DataFrame, batch: int) -> DataFrame:
+    """Events without records of history tables that an earlier session has delivered.
+
+    Equal records of one session are told apart by their number: a session that sends a record n times brings
+    those beyond the most that any session before it sent.  Counts are stored by day of the record, and only the
+    days of the batch are read again.
+    """
+    keyed = _content_key(events)
+    counted = keyed.groupBy("key", "session").agg(
+        F.count("*").alias("n"), F.min("arrival").alias("first"), F.min(wire.from_epoch(event_second())).alias("_time"))
+    store.append_history(KEYS, counted.withColumn("instant", F.col("_time")).drop("_time"), batch, "instant")
+    here = store.spark.read.schema(counted.drop("_time").schema).parquet(
+        f"{store.root}/history/{KEYS}/writer={store.writer}/batch={batch}")
+    days = store.days_of(KEYS, batch)
+    earlier = store.history(KEYS, days=days, state=base)
+    before = Window.partitionBy("key").orderBy("first").rowsBetween(Window.unboundedPreceding, -1)
+    counted = here.withColumn("_sent", F.coalesce(F.max("n").over(before), F.lit(0)))
+    if earlier is not None:
+        known = earlier.groupBy("key").agg(F.max("n").alias("_known"))
+        counted = counted.join(known, "key", "left").withColumn("_sent", F.greatest("_sent", F.coalesce("_known", F.lit(0))))
+    again = counted.where("_sent > 0").select("key", "session", "_sent", "n")
+    path = f"{store.root}/decoded/writer={store.writer}/replays={batch}"
+    again.write.mode("overwrite").parquet(path)
+    again = store.spark.read.schema(again.schema).parquet(path)
+    many = again.count()
+    if not many:
+        return events
+    sent = F.broadcast(again) if many <= SENT_REPLAYS else again
+    marked = keyed.join(sent, ["key", "session"], "left")
+    # only where a session sends a record more often than before does it matter which ones are new
+    nth = F.row_number().over(Window.partitionBy("key", "session").orderBy("arrival"))
+    more = marked.where("_sent IS NOT NULL AND n > _sent").withColumn("_nth", nth).where("_nth > _sent")
+    kept = marked.where("_sent IS NULL").select(events.columns).unionByName(more.select(events.columns))
+    return events.where(~F.col("rec_type").isin(*KEYED_TYPES)).unionByName(kept)
+
+
+def _stored_lines(store: Store, base: State, rows: DataFrame) -> DataFrame | None:
+    """Stored log lines of the days that a batch's archived lines name."""
+    if not store.has_history("logentries", base):
+        return None
+    named = rows.where("realtime_data = 0").select(F.to_date("entry_time").alias("day")).distinct().collect()
+    return store.history("logentries", days=[r.day for r in named if r.day is not None], state=base)
 
 
 def fold(table: Table, stored: DataFrame | None, events: DataFrame, ctx) -> DataFrame:
@@ -145,37 +296,74 @@ def as_operations(table: Table, stored: DataFrame, like: DataFrame) -> DataFrame
     return stored
 
 
-def read_table(store: Store, name: str, since=None) -> DataFrame:
-    """A table as it stands: the latest snapshot, or the folded history rows."""
-    if name in ("objects", "instances"):
-        return store.snapshot(name)
+def read_table(store: Store, name: str, since=None, state: State | None = None) -> DataFrame:
+    """A table as it stands: its cells, or the folded history rows."""
+    if name == "instances":
+        return read_instances(store, state)
+    if name == "objects":
+        return store.snapshot(name, state)
     if name == "conninfo":
-        return store.history(name)
+        return store.history(name, state=state)
     table = warehouse.TABLES[name]
     if table.kind == "history":
-        return table.finish(store.history(name, since))
-    return store.snapshot(name).select(*table.column_names)
+        return table.finish(store.history(name, since, state=state))
+    return store.snapshot(name, state).select(*table.column_names)
 
 
 def read_tables(store: Store, names) -> dict[str, DataFrame]:
-    return {name: read_table(store, name) for name in names}
+    """Tables as one commit left them, whatever is committed meanwhile."""
+    state = store.state()
+    return {name: read_table(store, name, state=state) for name in names}
 
 
-def trim_store(store: Store, as_of: datetime, minutes: dict[str, int] | None = None) -> dict[str, list[str]]:
-    """Apply retention to the stored histories: whole days beyond a table's age are deleted.
+# ---- retention ----------------------------------------------------------------------------------
+def maintain(store: Store, as_of: datetime, ages: dict[str, int] | None = None) -> dict[str, list[str]]:
+    """Apply retention to the stored histories and tidy closed days; gives the folders that were deleted.
 
-    Rows of the day in which the age ends stay stored; :func:`read_trimmed` leaves them out.
+    Days beyond a table's age are dropped whole, the day in which it ends is written anew without its older rows, and
+    a day before yesterday that many batches wrote to becomes one folder.  Content keys go with the longest age.
     """
-    gone = {}
-    for name, (field, default) in maintenance.RETENTION.items():
-        age = (minutes or {}).get(name, default)
-        if age and warehouse.TABLES[name].date_column == field:
-            gone[name] = store.drop_days(name, (as_of - timedelta(minutes=age)).date())
-    return gone
+    state = store.state()
+    changed: dict[str, dict[str, list]] = {}
+    since: dict[str, str] = {}
+    bounds = {}
+    for name, (column, default) in maintenance.RETENTION.items():
+        age = (ages or {}).get(name, default)
+        if warehouse.TABLES[name].date_column == column and store.has_history(name, state):
+            bounds[name] = (column, as_of - timedelta(minutes=age) if age else None)
+    kept_all = any(not (ages or {}).get(n, d) for n, (_, d) in maintenance.RETENTION.items())
+    if not kept_all and store.has_history(KEYS, state):
+        longest = max((ages or {}).get(n, d) for n, (_, d) in maintenance.RETENTION.items())
+        bounds[KEYS] = ("instant", as_of - timedelta(minutes=longest))
+    closed = (as_of.date() - timedelta(days=1)).isoformat()
+    for name, (column, bound) in bounds.items():
+        days, first = store.stored_days(name, state), ""
+        if bound is not None:
+            first = bound.date().isoformat()
+            if any(day < first for day in days):
+                since[name] = first
+        for day, batches in days.items():
+            rows = store.history(name, days=[date.fromisoformat(day)], state=state)
+            if bound is not None and day == first:
+                old = F.col(column) < F.lit(bound)
+                if rows.where(old).isEmpty() and len(batches) <= DAY_FILES:
+                    continue
+                rows = rows.where(~old)
+            elif day < first or day >= closed or len(batches) <= DAY_FILES:
+                continue
+            changed.setdefault(name, {})[day] = store.make_day(name, day, rows, state)
+    if changed or since:
+        store.commit_days(changed, since)
+    return {name: store.sweep_days(name) for name in bounds}
+
+
+def trim_store(store: Store, as_of: datetime, minutes: dict[str, int] | None = None) -> dict[str, list[str]]:
+    """:func:`maintain` under its older name."""
+    return maintain(store, as_of, minutes)
 
 
 def read_trimmed(store: Store, name: str, as_of: datetime, minutes: int | None = None) -> DataFrame:
-    """A history without rows beyond its age; days that are gone are not read."""
+    """A history without rows beyond its age, whether or not retention has run; days that are gone are not read."""
     age = maintenance.RETENTION[name][1] if minutes is None else minutes
     since = (as_of - timedelta(minutes=age)).date() if age else None
     return maintenance.trim(read_table(store, name, since), name, F.lit(as_of), minutes)
