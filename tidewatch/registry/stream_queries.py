@@ -13,16 +13,20 @@ from ..sources import dump
 from ..streaming import ingest
 from ..streaming.store import Store
 from .entries import query
-from .feeds import Feed, object_sql, source_sql, stamp_sql
+from .feeds import Feed, object_sql, source_sql, stamp_sql, union
 from .report_queries import _QUEUE_ROWS, _T_MATCH, SERVICE_STATUS, TIMED, latest_sql
 from .table_queries import SERVICE_CHECK
 
 EV, EV1 = source_sql("ev"), source_sql("ev1")
 
 
-def _drained(spark, sf_dir, events, parts: int = 3) -> Store:
+def _work(spark) -> str:
+    return f"{ensure_checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
+
+
+def _drained(spark, sf_dir, events, parts: int = 3, **more) -> Store:
     """Write records as dump files, one part after the other in arrival order, and ingest a part per micro-batch."""
-    work = f"{ensure_checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
+    work = _work(spark)
     files = spark.sparkContext.defaultParallelism
     last = events.agg(F.max("arrival.offset")).first()[0] or 0
     for part in range(parts):
@@ -30,11 +34,24 @@ def _drained(spark, sf_dir, events, parts: int = 3) -> Store:
         here = here.repartitionByRange(files, "arrival").sortWithinPartitions("arrival")
         dump.write_dump(here, f"{work}/in", mode="append")
     run = ingest.start(
-        spark, f"{work}/in", f"{work}/out", f"{work}/checkpoint", max_files=files, available_now=True)
+        spark, f"{work}/in", f"{work}/out", f"{work}/checkpoint", max_files=files, available_now=True, **more)
     run.awaitTermination()
     return Store(spark, f"{work}/out")
 
 
+def _fed(spark, work: str, sender: str, events) -> Store:
+    """Drain records, sent by the instances they name, through an ingest query of their own into a shared store."""
+    dump.write_dump(events.withColumn("instance_name", F.concat(F.lit("i"), "instance_id")), f"{work}/{sender}")
+    ingest.start(spark, f"{work}/{sender}", f"{work}/out", f"{work}/checkpoint-{sender}", available_now=True).awaitTermination()
+    return Store(spark, f"{work}/out")
+
+
+def _named(store: Store, rows):
+    """Rows with the names of their instances."""
+    names = F.broadcast(ingest.read_table(store, "instances").select("instance_id", "instance_name"))
+    return rows.join(names, "instance_id")
+
+
 def _moved(feed: Feed) -> Feed:
     return Feed(feed.rec_type, "ev1", feed.order, feed.fields, feed.where, feed.config_type)
 
@@ -65,17 +82,88 @@ def stream_queue(spark, sf_dir):
     return ingest.read_table(store, "timedeventqueue").drop("timedeventqueue_id")
 
 
-@query("trim_store", f"""
-    SELECT DISTINCT inst AS instance_id, {stamp_sql('sec')} AS start_time FROM ({EV}) WHERE k % 5 IN (0, 1) AND sec >= 1706443200 - 10080 * 60""")
+# one record of each table with an age, told apart by the event's number: table -> (record type, fields, age in minutes)
+_TICK = ("sec", "event_id % 1000000")
+_AGED = {
+    "timedevents": (201, {1: "200", 4: _TICK, 41: "9", 111: "sec", 53: "host"}, 5760),
+    "systemcommands": (203, {1: "401", 4: _TICK, 117: _TICK}, 10080),
+    "servicechecks": (206, {1: "701", 4: _TICK, 117: _TICK, 53: "host", 114: "svc"}, 10090),
+    "hostchecks": (207, {1: "801", 4: _TICK, 117: _TICK, 53: "host"}, 12345),
+    "eventhandlers": (204, {1: "501", 4: _TICK, 117: _TICK, 53: "host"}, 17000),
+    "externalcommands": (217, {1: "1400", 4: _TICK, 34: "sec", 15: "svc", 13: "event_id"}, 20000),
+    "notifications": (205, {1: "600", 4: _TICK, 117: _TICK, 53: "host"}, 23000),
+    "contactnotifications": (220, {1: "602", 4: _TICK, 117: _TICK, 134: "host"}, 26000),
+    "contactnotificationmethods": (221, {1: "604", 4: _TICK, 117: _TICK, 134: "host"}, 29000),
+    "logentries": (202, {1: "300", 4: _TICK, 73: "sec", 74: "1", 72: "concat(svc, ';', event_id)"}, 32000),
+    "acknowledgements": (222, {1: "1700", 4: _TICK, 53: "host"}, 0),
+}
+_NOW = 1706443200
+
+
+@query("trim_store", " UNION ALL ".join(f"""
+    SELECT '{name}' AS table_name, {stamp_sql('sec')} AS event_time FROM ({EV1})
+    WHERE event_id % {len(_AGED)} = {i}{f' AND sec >= {_NOW - age * 60}' if age else ''}"""
+    for i, (name, (_, _, age)) in enumerate(_AGED.items())))
 def trim_store(spark, sf_dir):
-    """Stored service checks after retention: old days are deleted, the rest of the boundary day is not read."""
-    store = Store(spark, f"{ensure_checkpoint_dir(spark)}/store-{uuid.uuid4().hex}")
-    table = warehouse.TABLES["servicechecks"]
-    rows = table.rows(SERVICE_CHECK.records(spark, sf_dir))
-    store.append_history(table.name, rows, 0, table.date_column)
-    as_of = datetime(2024, 1, 28, 12, tzinfo=timezone.utc)
-    ingest.trim_store(store, as_of)
-    return ingest.read_trimmed(store, table.name, as_of).select("instance_id", "start_time").distinct()
+    """All eleven tables with an age, ingested with retention running after every batch; one of them keeps everything."""
+    feeds = [
+        Feed(kind, "ev1", "event_id", fields, where=f"event_id % {len(_AGED)} = {i}").records(spark, sf_dir)
+        for i, (kind, fields, _) in enumerate(_AGED.values())
+    ]
+    store = _drained(
+        spark, sf_dir, union(*feeds), optional=("timedevents",), ages={name: age for name, (_, _, age) in _AGED.items()},
+        clock=lambda: datetime.fromtimestamp(_NOW, timezone.utc), trim_seconds=0)
+    return union(*(
+        ingest.read_table(store, name).select(F.lit(name).alias("table_name"), F.col(warehouse.TABLES[name].date_column).alias("event_time"))
+        for name in _AGED
+    ))
+
+
+_NUMBERED_CHECK = Feed(206, "ev", "event_id", {**SERVICE_CHECK.fields, 14: "concat('check ', event_id)"})
+_CHECK_SQL = f"""SELECT concat('i', inst) AS instance_name, {stamp_sql('sec')} AS start_time, concat('check ', event_id) AS command_line
+    FROM ({EV}) WHERE k % 5 IN (0, 1)"""
+
+
+@query("stream_two_writers", _CHECK_SQL)
+def stream_two_writers(spark, sf_dir):
+    """Two ingest queries, each with its own instances and checkpoint, into one store; then one of them starts afresh."""
+    events, work = _NUMBERED_CHECK.records(spark, sf_dir), _work(spark)
+    odd = events.where("instance_id % 2 = 1")
+    _fed(spark, work, "odd", odd)
+    store = _fed(spark, work, "even", events.where("instance_id % 2 = 0"))
+    ingest.start(spark, f"{work}/odd", f"{work}/out", f"{work}/checkpoint-afresh", available_now=True).awaitTermination()
+    return _named(store, ingest.read_table(store, "servicechecks")).select("instance_name", "start_time", "command_line")
+
+
+@query("stream_replay", _CHECK_SQL + f"""
+    UNION ALL SELECT concat('i', inst), {stamp_sql('sec')}, concat('state ', event_id) FROM ({EV}) WHERE k % 10 <> 0""")
+def stream_replay(spark, sf_dir):
+    """Append tables after every file has been delivered twice, in different batches and sessions."""
+    states = Feed(223, "ev", "event_id", {
+        1: "CASE WHEN k % 10 = 0 THEN 1800 ELSE 1801 END", 4: ("sec", "usec"), 120: "0", 53: "host", 95: "concat('state ', event_id)"})
+    events, work = union(_NUMBERED_CHECK.records(spark, sf_dir), states.records(spark, sf_dir)), _work(spark)
+    _fed(spark, work, "first", events)
+    # other files and sessions of the same records, in chunks of another size
+    again = events.withColumn("chunk", F.struct("chunk.file", F.expr("arrival.offset div 3000").cast("bigint").alias("n")))
+    store = _fed(spark, work, "again", again)
+    checks = ingest.read_table(store, "servicechecks").select("instance_id", "start_time", "command_line")
+    changes = ingest.read_table(store, "statehistory").select("instance_id", F.col("state_time"), F.col("output"))
+    return _named(store, checks.union(changes)).select("instance_name", "start_time", "command_line")
+
+
+@query("clear_instance_store", latest_sql(f"""
+    SELECT inst AS instance_id, {object_sql(2, 'host', 'svc')} AS service_object_id, {stamp_sql('sec')} AS status_update_time,
+    concat(svc, ' is ', k) AS output, 0 AS changed_files, event_id AS ord FROM ({EV}) WHERE inst <> 3""", "service_object_id").replace(
+        "* EXCLUDE (rn)", "* EXCLUDE (rn, ord)"))
+def clear_instance_store(spark, sf_dir):
+    """Service status after one instance was cleared in place, with the number of files of the others that changed."""
+    store = _fed(spark, _work(spark), "all", SERVICE_STATUS.records(spark, sf_dir))
+    before = store.cells("servicestatus")
+    store.clear_instance(3)
+    after = store.cells("servicestatus")
+    changed = sum(after.get(c) != f for c, f in before.items() if not c.startswith("3/"))
+    return ingest.read_table(store, "servicestatus").select(
+        "instance_id", "service_object_id", "status_update_time", "output", F.lit(changed).alias("changed_files"))
 
 
 @query("stream_dedup", f"""
