@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import ids, wire
 from ..functions.enums import DEFINITION_OBJECT_TYPES
+from . import filters
 from .filters import realtime_gate
 from .lookup import per_instance
 
@@ -186,16 +187,30 @@ def _activating() -> dict[int, list[str]]:
 OBJECT_KEY = ["instance_id", "objecttype_id", "name1", "name2"]
 
 
-def object_names(events: DataFrame, rec_types=None) -> DataFrame:
-    """Distinct names, reduced inside each task before the shuffle."""
+# current state and definitions beyond the cutoff are dropped before their names are looked at; histories are not
+GATED_NAMES = (212, 213, 224, *range(400, 412))
+
+
+# record type -> which of its records are stored; records that no table stores name nothing
+STORED_NAMES = {
+    201: filters.awake_timed_event, 206: filters.stored_service_check, 207: filters.stored_host_check,
+    223: filters.finished_state_change,
+}
+
+
+def object_names(events: DataFrame, rec_types=None, cutoff: DataFrame | None = None) -> DataFrame:
+    """Distinct names of the records that are stored, reduced inside each task before the shuffle."""
     wanted = [t for t in NAMING_TYPES if rec_types is None or t in rec_types]
     if not wanted:
         return events.limit(0).select(
             "instance_id", *[F.lit(None).cast(kind).alias(name) for name, kind in _NAME_TYPES.items()]
         )
-    names = events.where(F.col("rec_type").isin(*wanted)).select(
-        "instance_id", F.explode(mentioned_names(wanted)).alias("n")
-    )
+    stored = events.where(F.col("rec_type").isin(*wanted))
+    for kind in sorted(set(wanted) & set(STORED_NAMES)):
+        stored = stored.where((F.col("rec_type") != kind) | STORED_NAMES[kind](wire.code(1)))
+    gated = ", ".join(map(str, GATED_NAMES))
+    second = F.expr(f"IF(rec_type IN ({gated}), {wire.seconds_sql(wire.raw_sql(4))}, {2**62})")
+    names = realtime_gate(stored, cutoff, second).select("instance_id", F.explode(mentioned_names(wanted)).alias("n"))
     names = names.select("instance_id", "n.*").where("name1 <> '' OR name2 <> ''")
     return _unescaped(names.distinct())
 
@@ -273,7 +288,7 @@ def build_objects(
     rec_types=None,
 ) -> DataFrame:
     """Objects dimension.  ``rec_types`` narrows the work when the events are known to hold only some."""
-    objects = get_or_insert_objects(object_names(events, rec_types), stored)
+    objects = get_or_insert_objects(object_names(events, rec_types, cutoff), stored)
     activating = rec_types is None or bool(set(rec_types) & set(ACTIVATING_TYPES))
     if not activating and restarts is None:
         return objects

@@ -239,6 +239,36 @@ def object_get_or_insert(spark, sf_dir):
     return dimensions.get_or_insert_objects(names, stored)
 
 
+# records of several kinds, named apart; those of instances 1 and 2 meet a cutoff, others have none
+_CUTOFF = 1705000000
+_NAMED = [
+    Feed(213, "ev", "event_id", {1: "1202", 4: TV, 53: "concat('s', host)", 114: "concat(svc, k)"}),
+    Feed(206, "ev", "event_id", {1: "700 + k % 5", 4: TV, 53: "concat('c', host)", 114: "concat(svc, k)"}),
+    Feed(207, "ev", "event_id", {1: "800 + k % 6", 4: TV, 53: "concat('h', host, k)"}),
+    Feed(223, "ev", "event_id", {1: "1800 + k % 2", 4: TV, 120: "0", 53: "concat('t', host, k)"}),
+    Feed(201, "ev", "event_id", {1: "CASE WHEN k % 3 = 0 THEN 205 ELSE 200 END", 4: TV, 41: "12", 111: "sec", 53: "concat('q', host, k)"}),
+    Feed(401, "host", "c_custkey", {4: ("1700000000", "0"), 172: "c_mktsegment", 171: ["concat('g', host)"]}),
+]
+_GATE_SQL = f"(inst > 2 OR sec >= {_CUTOFF})"
+
+
+@query("objects_gated", f"""
+    SELECT {object_sql('otype', 'name1', 'name2')} AS object_id, inst AS instance_id, CAST(otype AS SMALLINT) AS objecttype_id,
+    nullif(name1, '') AS name1, nullif(name2, '') AS name2 FROM (
+    SELECT DISTINCT inst, 2 AS otype, concat('s', host) AS name1, concat(svc, k) AS name2 FROM ({EV}) WHERE {_GATE_SQL}
+    UNION SELECT DISTINCT inst, 2, concat('c', host), concat(svc, k) FROM ({EV}) WHERE k % 5 IN (0, 1)
+    UNION SELECT DISTINCT inst, 1, concat('h', host, k), '' FROM ({EV}) WHERE k % 6 NOT IN (4, 5)
+    UNION SELECT DISTINCT inst, 1, concat('t', host, k), '' FROM ({EV}) WHERE k % 2 = 1
+    UNION SELECT DISTINCT inst, 1, concat('q', host, k), '' FROM ({EV}) WHERE k % 3 <> 0
+    UNION SELECT DISTINCT inst, 3, c_mktsegment, '' FROM ({source_sql('host')}) WHERE inst > 2
+    UNION SELECT DISTINCT inst, 1, concat('g', host), '' FROM ({source_sql('host')}) WHERE inst > 2)""")
+def objects_gated(spark, sf_dir):
+    """Objects of records that get past their gates: stale state and definitions and unstored checks name nothing."""
+    events = feeds.union(*(feed.records(spark, sf_dir) for feed in _NAMED))
+    cutoff = spark.createDataFrame([(1, _CUTOFF), (2, _CUTOFF)], "instance_id short, cutoff long")
+    return dimensions.build_objects(events, cutoff).select("object_id", "instance_id", "objecttype_id", "name1", "name2")
+
+
 @query("name_null_safe", f"""
     SELECT DISTINCT inst AS instance_id, CASE WHEN k % 2 = 1 THEN 2 ELSE 1 END AS objecttype_id, host AS name1,
     nullif({SUBJECT}, '') AS name2,

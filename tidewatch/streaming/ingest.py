@@ -172,7 +172,7 @@ def _commit_batch(store: Store, base: State, frames: DataFrame, batch: int, cuto
         return table.name, store.save_cells(table.name, rows, batch, keys, cells)
 
     def save_objects() -> tuple[str, dict[str, str]] | None:
-        named = dimensions.get_or_insert_objects(dimensions.object_names(events, present)).select("object_id", "instance_id")
+        named = dimensions.get_or_insert_objects(dimensions.object_names(events, present, cutoff)).select("object_id", "instance_id")
         if present & set(dimensions.ACTIVATING_TYPES):
             on = dimensions.get_or_insert_objects(dimensions.activations(events, cutoff, present))
             named = named.unionByName(on.select("object_id", "instance_id"))
