@@ -4,31 +4,38 @@ A sentence's logit is a bias plus the weights of its distinct words and of their
 unless none of its distinct sentences is (noisy-or).  Weights are trained from document labels alone, by proximal
 gradient steps that leave most features at zero, and then locate the offending sentences.
 
-The classifier is fitted on a sample bounded per label (``per_label`` documents, chosen by a hash of the key);
-its words, some 1.5 MB per thousand documents, are held by the driver.  Scores cover every row and whole texts.
+The classifier is fitted on a sample of labelled documents bounded in number (``per_label`` for each label, chosen by
+a hash of the key) and in size (``most_bytes`` of text, whole documents in that order).  Workers cut it into hashes
+of features, Spark counts these, and the driver gets the numbers of the features that occur in ``least`` documents, four
+bytes each.  Scores cover every row and whole texts.
 
-Edge cases: null and empty texts get the score of a document without sentences, 0; without labels of both kinds
+Edge cases: of several texts with one key the smallest is learned from; null and empty texts get the score of a document without sentences, 0; without labels of both kinds
 every score is 0; null keys and labels are not learned from; several labels of a key count as toxic if one does;
 repeated rows are scored one by one; other columns are ignored.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+import xxhash
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import save
+
 #: sentence ends as line feeds, other ASCII punctuation as spaces; lengths stay
 _PLAIN = bytes(10 if chr(c) in ".!?\n\r" else 32 if c < 128 and not chr(c).isalnum() else c for c in range(256))
 #: bytes of the word beginnings that are features of their own
 BEGINNINGS = (4, 5, 6, 7, 8)
 #: remembered words in a worker, some 100 bytes each; the table starts anew when it is full
 MEMO = 200_000
+#: longest word remembered
+REMEMBERED = 64
 
 
 def _lower(text: str) -> bytes:
@@ -44,6 +51,11 @@ def features(word: bytes) -> list[bytes]:
     return [word, *(word[:n] + b"*" for n in BEGINNINGS if len(word) >= n)]
 
 
+def codes(word: bytes) -> list[int]:
+    """The features as signed 64-bit hashes."""
+    return [xxhash.xxh3_64_intdigest(f) - 2**63 for f in features(word)]
+
+
 def sentences(text: str | None) -> list[tuple[int, bytes]]:
     """(first byte, words) of each stretch between sentence ends."""
     at, found = 0, []
@@ -56,22 +68,25 @@ def sentences(text: str | None) -> list[tuple[int, bytes]]:
 
 @dataclass
 class ToxicityModel:
-    weights: dict[bytes, float] = field(default_factory=dict)
+    #: weight by hash of the feature
+    weights: dict[int, float] = field(default_factory=dict)
     bias: float | None = None
     #: words seen lately: their features with a weight
-    memo: dict[bytes, tuple[bytes, ...]] = field(default_factory=dict, repr=False)
-
-    def _weighted(self, word: bytes) -> tuple[bytes, ...]:
-        if len(self.memo) >= MEMO:
-            self.memo.clear()
-        found = self.memo[word] = tuple(f for f in features(word) if f in self.weights)
+    memo: dict[bytes, tuple[int, ...]] = field(default_factory=dict, repr=False)
+
+    def _weighted(self, word: bytes) -> tuple[int, ...]:
+        found = tuple(f for f in codes(word) if f in self.weights)
+        if len(word) <= REMEMBERED:
+            if len(self.memo) >= MEMO:
+                self.memo.clear()
+            self.memo[word] = found
         return found
 
     def sentence_logits(self, text: str | None) -> list[tuple[int, int, float]]:
         """(first byte, byte after, logit) of each sentence."""
         memo, rare, out = self.memo, self._weighted, []
         for at, words in sentences(text):
-            found: set[bytes] = set()
+            found: set[int] = set()
             for word in words.split():
                 known = memo.get(word)
                 if known is None:
@@ -98,40 +113,24 @@ class ToxicityModel:
         return min(1.0, max(0.0, total)), found
 
 
-def train(texts: list[list[bytes]], labels: list[int], share: float | None = None, least: int = 3, steps: int = 150,
-          rate: float = 0.2, sparsity: float = 1e-4) -> ToxicityModel:
-    """``texts``: sentences of each document; ``share``: toxic share where the sample comes from (else its own)."""
-    if len(set(labels)) < 2:
-        return ToxicityModel()
-    known: dict[bytes, list[bytes]] = {}
-    bags = []  # features of each distinct sentence of each document
-    for doc in texts:
-        bags.append([
-            sorted({f for w in set(s.split()) for f in known.setdefault(w, features(w))}) for s in dict.fromkeys(doc)
-        ])
-    seen = Counter(f for doc in bags for f in {f for s in doc for f in s})
-    words = sorted(f for f, n in seen.items() if n >= least)
-    place = {w: i for i, w in enumerate(words)}
-    tokens, owners, docs = [], [], []
-    for d, doc in enumerate(bags):
-        for bag in doc:
-            found = [place[f] for f in bag if f in place]
-            tokens += found
-            owners += [len(docs)] * len(found)
-            docs.append(d)
-    tokens, owners, docs = (np.array(x, dtype=np.int32) for x in (tokens, owners, docs))
-    y = np.array(labels, dtype=float)
-    share = y.mean() if share is None else share
+def train(tokens: np.ndarray, owners: np.ndarray, docs: np.ndarray, labels: np.ndarray, n: int, share: float,
+          steps: int = 150, rate: float = 0.2, sparsity: float = 1e-4) -> tuple[np.ndarray, float]:
+    """Weights of ``n`` features and a bias.
+
+    ``tokens``: the features of each sentence, one after the other; ``owners``: the sentence of each token; ``docs``: the
+    document of each sentence; ``share``: how much of what the sample comes from is toxic.
+    """
+    y = labels.astype(float)
     weigh = np.where(y == 1, share / max(1, (y == 1).sum()), (1 - share) / max(1, (y == 0).sum()))
-    weights, bias = np.zeros(len(words)), -6.0
-    mean, spread, bias_mean, bias_spread = np.zeros(len(words)), np.zeros(len(words)), 0.0, 0.0
+    weights, bias = np.zeros(n), -6.0
+    mean, spread, bias_mean, bias_spread = np.zeros(n), np.zeros(n), 0.0, 0.0
     for step in range(1, steps + 1):
         z = bias + np.bincount(owners, weights[tokens], minlength=len(docs))
         clean = np.bincount(docs, np.logaddexp(0.0, z), minlength=len(y))  # -log P(no toxic sentence)
         toxic = np.maximum(-np.expm1(-clean), 1e-9)
         # d loss / d z = sigmoid(z) * (1 for clean documents, -(1 - toxic) / toxic for toxic ones)
         back = (weigh * np.where(y == 1, -np.exp(-clean) / toxic, 1.0))[docs] * np.exp(-np.logaddexp(0.0, -z))
-        slope, bias_slope = np.bincount(tokens, back[owners], minlength=len(words)), back.sum()
+        slope, bias_slope = np.bincount(tokens, back[owners], minlength=n), back.sum()
         mean, spread = 0.9 * mean + 0.1 * slope, 0.99 * spread + 0.01 * slope**2
         bias_mean, bias_spread = 0.9 * bias_mean + 0.1 * bias_slope, 0.99 * bias_spread + 0.01 * bias_slope**2
         fix, fix2 = 1 - 0.9**step, 1 - 0.99**step
@@ -139,11 +138,49 @@ def train(texts: list[list[bytes]], labels: list[int], share: float | None = Non
         weights -= scale * mean / fix
         weights = np.maximum(weights - scale * sparsity, 0.0)
         bias -= rate * bias_mean / fix / (np.sqrt(bias_spread / fix2) + 1e-4)
-    return ToxicityModel({w: float(x) for w, x in zip(words, weights) if x}, float(bias))
+    return weights, float(bias)
+
+
+def cut(texts: pd.Series) -> pd.DataFrame:
+    """(codes, sizes) of each text: the distinct features of every distinct sentence, and how many each has."""
+    known: dict[bytes, list[int]] = {}
+    out = []
+    for text in texts:
+        flat, sizes = [], []
+        for words in dict.fromkeys(s for _, s in sentences(text)):
+            found: set[int] = set()
+            for word in set(words.split()):
+                if word not in known:
+                    if len(known) >= MEMO:
+                        known.clear()
+                    known[word] = codes(word)
+                found.update(known[word])
+            flat += sorted(found)
+            sizes.append(len(found))
+        out.append((np.array(flat, dtype=np.int64), np.array(sizes, dtype=np.int32)))
+    return pd.DataFrame(out, columns=["codes", "sizes"])
+
+
+def _numbered(vocabulary: np.ndarray):
+    """Documents with their features' numbers as bytes, unknown ones left out."""
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tokens, sizes = [], []
+            for flat, each in zip(batch.column("codes"), batch.column("sizes")):
+                flat, each = flat.values.to_numpy(), each.values.to_numpy()
+                place = np.searchsorted(vocabulary, flat)
+                hit = vocabulary[np.minimum(place, len(vocabulary) - 1)] == flat if len(vocabulary) else np.zeros(len(flat), bool)
+                owner = np.repeat(np.arange(len(each)), each)[hit]
+                tokens.append(place[hit].astype(np.int32).tobytes())
+                sizes.append(np.bincount(owner, minlength=len(each)).astype(np.int32).tobytes())
+            yield pa.record_batch(
+                [batch.column("key").cast(pa.string()), batch.column("_label"), pa.array(tokens, pa.binary()), pa.array(sizes, pa.binary())],
+                names=["key", "_label", "tokens", "sizes"])
+    return number
 
 
 def fit(rows: DataFrame, labels: DataFrame, learn: Column, key: str = "doc_id", text: str = "text",
-        label: str = "toxic", per_label: int = 2000) -> ToxicityModel:
+        label: str = "toxic", per_label: int = 2000, most_bytes: int = 32 << 20, least: int = 3) -> ToxicityModel:
     """Fit on about ``per_label`` documents of each label, among the labelled keys for which ``learn`` holds."""
     known = labels.where(learn & F.col(key).isNotNull() & F.col(label).isNotNull()).groupBy(key).agg(
         F.max(F.col(label).cast("int")).alias("_label")).where("_label IN (0, 1)")
@@ -154,16 +191,32 @@ def fit(rows: DataFrame, labels: DataFrame, learn: Column, key: str = "doc_id",
     share = F.when(F.col("_label") == 1, per_label / sizes[1]).otherwise(per_label / sizes[0])
     # some per_label keys of each label: a bound that does not grow with the tables
     chosen = known.where(place < share)
-
-    @F.pandas_udf("array<binary>")
-    def cut(texts: pd.Series) -> pd.Series:
-        return pd.Series([[s for _, s in sentences(t)] for t in texts])
-
-    sample = rows.select(F.col(key), F.col(text)).join(F.broadcast(chosen), key).select(
-        F.col(key).alias("key"), "_label", cut(F.col(text)).alias("sentences"))
-    got = sorted(sample.collect(), key=lambda r: (r["key"], len(r["sentences"])))
-    return train([[bytes(s) for s in r["sentences"]] for r in got], [r["_label"] for r in got],
-                 share=sizes[1] / (sizes[0] + sizes[1]))
+    sample = rows.select(F.col(key), F.col(text).alias("_text")).join(F.broadcast(chosen), key).groupBy(
+        F.col(key).cast("string").alias("key"), "_label", place.alias("_place")).agg(F.min("_text").alias("_text"))
+    pieces = F.pandas_udf(cut, "codes array<long>, sizes array<int>")
+    spark = rows.sparkSession
+    sample = save(spark, sample.select(
+        "key", "_label", "_place", F.coalesce(F.octet_length("_text"), F.lit(0)).alias("_bytes"), pieces("_text").alias("p")).select(
+        "key", "_label", "_place", "_bytes", "p.*"), "toxic-sample")
+    # a window over the sizes of some 2 * per_label documents
+    upto = F.sum("_bytes").over(Window.orderBy("_place", "key"))
+    fits = sample.select("key", "_place", "_bytes").withColumn("_upto", upto).where(F.col("_upto") <= most_bytes).select("key")
+    sample = sample.join(F.broadcast(fits), "key").select("key", "_label", "codes", "sizes")
+    often = sample.select(F.explode(F.array_distinct("codes")).alias("code")).groupBy("code").count().where(F.col("count") >= least)
+    vocabulary = np.sort(often.select("code").toArrow().column("code").to_numpy())
+    got = sample.mapInArrow(_numbered(vocabulary), "key string, _label int, tokens binary, sizes binary").toArrow()
+    order = np.argsort(np.array(got.column("key").to_pylist(), dtype=object), kind="stable")
+    tags = got.column("_label").to_numpy()[order]
+    if len(set(tags.tolist())) < 2:
+        return ToxicityModel()
+    parts = [(got.column("tokens")[i].as_buffer(), got.column("sizes")[i].as_buffer()) for i in map(int, order)]
+    tokens = np.concatenate([np.frombuffer(t, dtype=np.int32) for t, _ in parts])
+    each = [np.frombuffer(s, dtype=np.int32) for _, s in parts]
+    counts = np.concatenate(each)
+    owners = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
+    docs = np.repeat(np.arange(len(each), dtype=np.int32), [len(s) for s in each])
+    weights, bias = train(tokens, owners, docs, tags, len(vocabulary), sizes[1] / (sizes[0] + sizes[1]))
+    return ToxicityModel({int(vocabulary[i]): float(weights[i]) for i in np.flatnonzero(weights)}, bias)
 
 
 def score(rows: DataFrame, model: ToxicityModel, text: str = "text", threshold: float = 0.3) -> DataFrame:
