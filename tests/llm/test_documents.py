@@ -67,6 +67,16 @@ def test_join_edge_rows(spark):
     assert ngram_join.link(spark, frame.limit(0)).count() == 0
 
 
+def test_join_of_unlike_texts_with_one_id(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(5, a), (5, b), (2, a + " word"), (3, b + " word"), (4, c), (4, ""), (4, ""), (9, c), (None, b), (6, a), (7, "else"), (7, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = ngram_join.link(spark, frame, width=4, percent=85).collect()
+    assert sorted(((r.doc_id or 0, r.n_shingles, r.component_id) for r in got)) == sorted([
+        (5, 57, 2), (5, 57, 2), (2, 58, 2), (3, 58, 2), (4, 57, 4), (4, 0, 4), (4, 0, 4), (9, 57, 4), (0, 57, 2), (6, 57, 2),
+        (7, 1, 7), (7, 0, 7)])
+
+
 def test_divide_skip_keeps_what_reaches_the_overlap():
     query = np.arange(0, 100, dtype=np.uint64)
     near, far = np.arange(5, 105, dtype=np.uint64), np.arange(50, 150, dtype=np.uint64)

@@ -17,7 +17,8 @@ reached or out of reach.
 List lengths are estimated from a share of the documents; this orders the lists and does not touch the result.
 
 Edge cases: a text with fewer words than a shingle is one shingle of all of them; null and empty texts have no
-shingles and are linked with nothing; rows with one id are one node; a null id takes no part in the search, and its
+shingles and are linked with nothing; rows with one id are one node, so that unlike texts with one id join what either is
+linked with (each of them searches under a key of its own); a null id takes no part in the search, and its
 component is that of equal sets, if any; repeated rows are kept; other columns are ignored.
 """
 
@@ -296,6 +297,38 @@ def link(spark: SparkSession, docs: DataFrame, width: int = 5, percent: int = 80
          text: str = "text") -> DataFrame:
     """Key, n_shingles and component_id (smallest key reachable by links) of every row."""
     docs = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
+    content = F.xxhash64("text")
+    shared = save(spark, docs.where("doc IS NOT NULL").groupBy("doc").agg(F.min(content).alias("lo"), F.max(content).alias("hi")).where(
+        "lo <> hi").select("doc"), "shared")
+    if shared.isEmpty():
+        return _link(spark, docs, width, percent).toDF(key, "n_shingles", "component_id")
+    # unlike texts of one id search under a key of their own; afterwards the id joins their components
+    marked = docs.join(sent_if_small(shared.withColumn("several", F.lit(True)), SENT_IDS), "doc", "left")
+    nodes = save(spark, marked.select(
+        F.when(F.col("several"), F.xxhash64("doc", "text")).otherwise(F.col("doc")).alias("node"), "doc", "several", "text"), "nodes")
+    found = _link(spark, nodes.select(F.col("node").alias("doc"), "text"), width, percent).toDF("node", "n", "part")
+    ids = nodes.select("node", "doc", "several").where("node IS NOT NULL").distinct()
+    # rows without an id only follow the component of an equal set
+    known = save(spark, found.where("node IS NOT NULL").distinct().join(ids, "node"), "parts")
+    several = known.where("several AND n > 0").groupBy("doc").agg(F.min("part").alias("b"))
+    joined = components(spark, known.where("several AND n > 0").join(several, "doc").select(F.col("part").alias("a"), "b").where("a <> b"))
+    named = known.where("n > 0").join(joined.toDF("part", "_whole"), "part", "left").select(
+        "doc", "part", F.coalesce("_whole", "part").alias("whole"))
+    least = named.groupBy("whole").agg(F.min("doc").alias("component_id"))
+    final = named.select("part", "whole").distinct().join(least, "whole").select("part", "component_id")
+    final = save(spark, final, "final")
+    counts = nodes.where("node IS NOT NULL").groupBy("node").agg(F.count("*").alias("times"))
+    result = known.select("node", "doc", "n", "part").join(counts, "node")
+    result = result.join(sent_if_small(final, SENT_IDS), "part", "left").select(
+        "doc", "n", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc")).alias("component_id"),
+        F.explode(F.sequence(F.lit(1), F.col("times"))).alias("_time")).drop("_time")
+    nameless = found.where("node IS NULL").join(sent_if_small(final, SENT_IDS), "part", "left").select(
+        F.lit(None).cast("long").alias("doc"), "n", "component_id")
+    return result.unionByName(nameless).toDF(key, "n_shingles", "component_id")
+
+
+def _link(spark: SparkSession, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """doc, n_shingles and component_id of rows (doc, text) where an id has one text."""
     frequent = spark.sparkContext.broadcast(_frequent(docs, width))
     sets = save(spark, docs.mapInArrow(
         _describe(width, percent, frequent), "doc long, n long, f1 long, f2 long, sketch binary, keys array<long>"),
@@ -338,4 +371,4 @@ def link(spark: SparkSession, docs: DataFrame, width: int = 5, percent: int = 80
     owners = classes.join(named, classes["rep"] == named["node"], "left").select(
         "f1", "f2", F.coalesce("component", "rep").alias("component_id"))
     return sets.select("doc", "n", "f1", "f2").join(owners, ["f1", "f2"], "left").select(
-        F.col("doc").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc").alias("component_id"))
+        "doc", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc").alias("component_id"))
