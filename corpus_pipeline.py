@@ -50,9 +50,11 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark, verbatim or re-parameterised."""
-    hits = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(hits, "doc_id", "left_anti").select(docs.columns)
+    """Documents without a passage of the benchmark, verbatim or re-parameterised; a row without an id goes by its text."""
+    rows = docs.select(
+        F.coalesce("doc_id", F.xxhash64("text")).alias("doc_id"), "text", F.struct(*docs.columns).alias("_row"))
+    hits = decontaminate.contaminated(rows.select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return rows.join(hits.select("doc_id").distinct(), "doc_id", "left_anti").select("_row.*")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
