@@ -37,8 +37,12 @@ def sent_if_small(frame: DataFrame, most: int) -> DataFrame:
     return F.broadcast(frame) if frame.count() <= most else frame
 
 
+#: longest key a memo keeps, in characters: a text without spaces is one key
+REMEMBERED = 64
+
+
 class Memo(dict):
-    """Values by key, computed where missing, in two generations of at most ``size`` entries.
+    """Values by key, computed where missing, in two generations of at most ``size`` entries of short keys.
 
     When the younger one is full it becomes the older one, so what is met often stays known.
     """
@@ -51,6 +55,8 @@ class Memo(dict):
         value = self.older.get(key)
         if value is None:
             value = self.compute(key)
+            if len(key) > REMEMBERED:
+                return value
         if len(self) >= self.size:
             self.older = dict(self)
             self.clear()

@@ -32,7 +32,7 @@ MARK = "▁"
 #: piece types of the model file (fixed values)
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: remembered stretches in a generation of a worker's table, some 300 bytes each, with spans more
-MEMO = 300_000
+MEMO = 200_000
 _STRETCH = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 _LOADED: dict[str, PieceModel] = {}
 
@@ -99,11 +99,15 @@ class CharMap:
         return found[0], self.pool[found[1]:self.pool.index(b"\0", found[1])]
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, slots=True)
 class Stretch:
-    """Codes of one stretch of text and the number of source bytes of each; their spans follow each other."""
-    ids: tuple[int, ...]
-    sizes: tuple[int, ...]
+    """Codes of one stretch of text, as decimal text, the number of source bytes of each and the text they decode to.
+
+    The spans of the codes follow each other, and no byte piece meets one of the next stretch.
+    """
+    numerals: str
+    sizes: bytes
+    surface: str
 
 
 class PieceModel:
@@ -273,23 +277,33 @@ class PieceModel:
             spans.append((at, at + size))
             at += size
         ids, spans = zip(*self._codes(list(marked), spans))
-        return Stretch(ids, tuple(b - a for a, b in spans))
+        return Stretch(
+            " ".join(map(self.numerals.__getitem__, ids)), np.array([b - a for a, b in spans], dtype="<u2").tobytes(),
+            self._surface(ids))
+
+    def _stretches(self, text: str | None) -> list[Stretch] | None:
+        """Stretches of a text that can be coded apart; None for another text."""
+        if not text or not self.apart or MARK in text:
+            return None
+        return list(map(self.marked.__getitem__, _STRETCH.findall(MARK + text.replace(" ", MARK))))
+
+    @staticmethod
+    def _bounds(parts: list[Stretch]) -> np.ndarray:
+        sizes = np.frombuffer(b"".join([p.sizes for p in parts]), dtype="<u2").astype("<i8")
+        sizes[0] -= 1  # the first mark stands for no byte
+        bounds = np.zeros((len(sizes) + 1, 2), dtype="<i8")
+        np.cumsum(sizes, out=bounds[:-1, 1])
+        bounds[-1, 1] = bounds[-2, 1]
+        bounds[1:, 0] = bounds[:-1, 1]
+        return bounds
 
     def _encoded(self, text: str | None) -> tuple[list[int], np.ndarray]:
         """Ids with the end id, and a row (begin, end) in the bytes of the text for each; that of the end id is empty."""
-        ids: list[int] = []
-        if text and self.apart and MARK not in text:
-            sizes: list[int] = []
-            for part in map(self.marked.__getitem__, _STRETCH.findall(MARK + text.replace(" ", MARK))):
-                ids += part.ids
-                sizes += part.sizes
-            sizes[0] -= 1  # the first mark stands for no byte
-            bounds = np.zeros((len(ids) + 1, 2), dtype="<i8")
-            np.cumsum(sizes, out=bounds[:-1, 1])
-            bounds[-1, 1] = bounds[-2, 1]
-            bounds[1:, 0] = bounds[:-1, 1]
+        parts = self._stretches(text)
+        if parts is not None:
+            ids, bounds = [int(i) for p in parts for i in p.numerals.split()], self._bounds(parts)
         else:
-            spans: list[tuple[int, int]] = []
+            ids, spans = [], []
             for code, span in self._codes(*self.normalize(text)) if text else ():
                 ids.append(code)
                 spans.append(span)
@@ -305,9 +319,16 @@ class PieceModel:
 
     def digest(self, text: str | None) -> tuple[int, str, str, str]:
         """(number of ids, hash of their decimal text, of the text they decode to, and of begin and end of each span)."""
-        ids, bounds = self._encoded(text)
-        return (len(ids), *(hashlib.sha256(x).hexdigest() for x in (
-            " ".join(map(self.numerals.__getitem__, ids)).encode(), self.decode(ids).encode(), bounds.tobytes())))
+        parts = self._stretches(text)
+        if parts is not None:
+            # each stretch is decoded once and remembered with its codes; the prefix the model adds goes
+            bounds = self._bounds(parts)
+            decimal = " ".join([p.numerals for p in parts] + [self.numerals[self.end]])
+            decoded = "".join([p.surface for p in parts])[1:]
+        else:
+            ids, bounds = self._encoded(text)
+            decimal, decoded = " ".join(map(self.numerals.__getitem__, ids)), self.decode(ids)
+        return (len(bounds), *(hashlib.sha256(x).hexdigest() for x in (decimal.encode(), decoded.encode(), bounds.tobytes())))
 
     # decoding
 
