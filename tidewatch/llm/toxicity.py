@@ -33,7 +33,9 @@ _PLAIN = bytes(10 if chr(c) in ".!?\n\r" else 32 if c < 128 and not chr(c).isaln
 #: bytes of the word beginnings that are features of their own
 BEGINNINGS = (4, 5, 6, 7, 8)
 #: remembered words in a worker, some 100 bytes each; the table starts anew when it is full
-MEMO = 200_000
+MEMO = 100_000
+#: rows cut at a time
+_ROWS = 128
 #: longest word remembered
 REMEMBERED = 64
 
@@ -141,24 +143,37 @@ def train(tokens: np.ndarray, owners: np.ndarray, docs: np.ndarray, labels: np.n
     return weights, float(bias)
 
 
-def cut(texts: pd.Series) -> pd.DataFrame:
-    """(codes, sizes) of each text: the distinct features of every distinct sentence, and how many each has."""
+def cut(text: str | None, known: dict[bytes, list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """(codes, sizes) of a text: the distinct features of every distinct sentence, and how many each has."""
+    flat, sizes = [], []
+    for words in dict.fromkeys(s for _, s in sentences(text)):
+        found: set[int] = set()
+        for word in set(words.split()):
+            if word not in known:
+                if len(known) >= MEMO:
+                    known.clear()
+                known[word] = codes(word)
+            found.update(known[word])
+        flat += sorted(found)
+        sizes.append(len(found))
+    return np.array(flat, dtype=np.int64), np.array(sizes, dtype=np.int32)
+
+
+def _lists(values: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, values)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(values)))
+
+
+def _cut_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (key, label, place, bytes, text) with features in place of texts, in small batches."""
     known: dict[bytes, list[int]] = {}
-    out = []
-    for text in texts:
-        flat, sizes = [], []
-        for words in dict.fromkeys(s for _, s in sentences(text)):
-            found: set[int] = set()
-            for word in set(words.split()):
-                if word not in known:
-                    if len(known) >= MEMO:
-                        known.clear()
-                    known[word] = codes(word)
-                found.update(known[word])
-            flat += sorted(found)
-            sizes.append(len(found))
-        out.append((np.array(flat, dtype=np.int64), np.array(sizes, dtype=np.int32)))
-    return pd.DataFrame(out, columns=["codes", "sizes"])
+    for batch in batches:
+        for at in range(0, batch.num_rows, _ROWS):
+            part = batch.slice(at, _ROWS)
+            done = [cut(t.as_py(), known) for t in part.column(4)]
+            yield pa.RecordBatch.from_arrays(
+                [*part.columns[:4], _lists([d[0] for d in done]), _lists([d[1] for d in done])],
+                names=["key", "_label", "_place", "_bytes", "codes", "sizes"])
 
 
 def _numbered(vocabulary: np.ndarray):
@@ -193,11 +208,10 @@ def fit(rows: DataFrame, labels: DataFrame, learn: Column, key: str = "doc_id",
     chosen = known.where(place < share)
     sample = rows.select(F.col(key), F.col(text).alias("_text")).join(F.broadcast(chosen), key).groupBy(
         F.col(key).cast("string").alias("key"), "_label", place.alias("_place")).agg(F.min("_text").alias("_text"))
-    pieces = F.pandas_udf(cut, "codes array<long>, sizes array<int>")
     spark = rows.sparkSession
     sample = save(spark, sample.select(
-        "key", "_label", "_place", F.coalesce(F.octet_length("_text"), F.lit(0)).alias("_bytes"), pieces("_text").alias("p")).select(
-        "key", "_label", "_place", "_bytes", "p.*"), "toxic-sample")
+        "key", "_label", "_place", F.coalesce(F.octet_length("_text"), F.lit(0)).alias("_bytes"), "_text").mapInArrow(
+        _cut_rows, "key string, _label int, _place double, _bytes int, codes array<long>, sizes array<int>"), "toxic-sample")
     # a window over the sizes of some 2 * per_label documents
     upto = F.sum("_bytes").over(Window.orderBy("_place", "key"))
     fits = sample.select("key", "_place", "_bytes").withColumn("_upto", upto).where(F.col("_upto") <= most_bytes).select("key")
