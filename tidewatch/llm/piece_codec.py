@@ -18,6 +18,7 @@ import hashlib
 import heapq
 import re
 import struct
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,6 +34,8 @@ MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: remembered stretches in a generation of a worker's table, some 300 bytes each, with spans more
 MEMO = 200_000
+#: symbols from which on a heap finds the best pair
+FEW = 24
 _STRETCH = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 _LOADED: dict[str, PieceModel] = {}
 
@@ -99,6 +102,10 @@ class CharMap:
         return found[0], self.pool[found[1]:self.pool.index(b"\0", found[1])]
 
 
+#: bytes of a mark beyond the one it stands for
+_MARK_EXTRA = len(MARK.encode()) - 1
+
+
 @dataclass(frozen=True, slots=True)
 class Stretch:
     """Codes of one stretch of text, as decimal text, the number of source bytes of each and the text they decode to.
@@ -193,7 +200,7 @@ class PieceModel:
     def merge(self, symbols: list[str]) -> list[tuple[str, int, int]]:
         """(piece, first, last + 1 symbol) after merging the best pair, leftmost first, until none is known."""
         n = len(symbols)
-        if n < 24 and self.simple:
+        if n < FEW and self.simple:
             out, at = [], 0
             for piece in self._merge_few(list(symbols)):
                 out.append((piece, at, at + len(piece)))
@@ -237,14 +244,18 @@ class PieceModel:
         """The pieces of a short stretch, for models without frozen and unused pieces."""
         get, none = self.ranked.get, float("inf")
         found = [get(a + b, none) for a, b in zip(symbols, symbols[1:])]
-        while found and (best := min(found)) < none:
+        while found:
+            best = min(found)
+            if best == none:
+                break
             at = found.index(best)
-            symbols[at] += symbols.pop(at + 1)
+            both = symbols[at] + symbols[at + 1]
+            symbols[at:at + 2] = [both]
             del found[at]
             if at:
-                found[at - 1] = get(symbols[at - 1] + symbols[at], none)
+                found[at - 1] = get(symbols[at - 1] + both, none)
             if at < len(found):
-                found[at] = get(symbols[at] + symbols[at + 1], none)
+                found[at] = get(both + symbols[at + 1], none)
         return symbols
 
     def _restore(self, piece, first, last, undone, out) -> None:
@@ -271,15 +282,31 @@ class PieceModel:
 
     def _stretch(self, marked: str) -> Stretch:
         """Codes of a stretch of marked text whose marks stand for one byte each."""
-        at, spans = 0, []
-        for char in marked:
-            size = 1 if char == MARK else len(char.encode())
-            spans.append((at, at + size))
-            at += size
-        ids, spans = zip(*self._codes(list(marked), spans))
-        return Stretch(
-            " ".join(map(self.numerals.__getitem__, ids)), np.array([b - a for a, b in spans], dtype="<u2").tobytes(),
-            self._surface(ids))
+        ids: list[int] = []
+        sizes: list[int] = []
+        if self.simple and len(marked) < FEW:
+            known = self.known.get
+            for piece in self._merge_few(list(marked)):
+                code = known(piece)
+                if code is not None:
+                    ids.append(code)
+                    sizes.append(len(piece) if piece.isascii() else len(piece.encode()) - _MARK_EXTRA * piece.count(MARK))
+                elif self.fallback:
+                    ids += [self.bytes[byte] for byte in piece.encode()]
+                    sizes += [1] * len(piece.encode())
+                else:
+                    ids.append(self.unknown)
+                    sizes.append(len(piece.encode()))
+        else:
+            at, spans = 0, []
+            for char in marked:
+                size = 1 if char == MARK else len(char.encode())
+                spans.append((at, at + size))
+                at += size
+            for code, (begin, end) in self._codes(list(marked), spans):
+                ids.append(code)
+                sizes.append(end - begin)
+        return Stretch(" ".join([self.numerals[i] for i in ids]), array("H", sizes).tobytes(), self._surface(ids))
 
     def _stretches(self, text: str | None) -> list[Stretch] | None:
         """Stretches of a text that can be coded apart; None for another text."""
@@ -289,7 +316,7 @@ class PieceModel:
 
     @staticmethod
     def _bounds(parts: list[Stretch]) -> np.ndarray:
-        sizes = np.frombuffer(b"".join([p.sizes for p in parts]), dtype="<u2").astype("<i8")
+        sizes = np.frombuffer(b"".join([p.sizes for p in parts]), dtype=np.uint16).astype("<i8")
         sizes[0] -= 1  # the first mark stands for no byte
         bounds = np.zeros((len(sizes) + 1, 2), dtype="<i8")
         np.cumsum(sizes, out=bounds[:-1, 1])
