@@ -112,6 +112,20 @@ def spool_records(spark, sf_dir):
     return _decoded(archive.read_spool_records(spark, path, "sender"))
 
 
+@query("protocol_check", f"""
+    SELECT event_id, CASE WHEN k % 2 = 0 THEN 'protocol' END AS reject FROM ({EV})""")
+def protocol_check(spark, sf_dir):
+    """Records of sessions that speak another protocol are rejected, those of the right one are not."""
+    records, path = _NUMBERED.records(spark, sf_dir), _folder(spark, "dump")
+    for mode, rows, version in (("error", records.join(_even(spark, sf_dir).select("arrival"), "arrival", "left_anti"), "2"),
+                                ("append", _even(spark, sf_dir), "1")):
+        text = dump.framed(rows.select("rec_type", "body", "arrival")).select(
+            F.replace("value", F.lit("PROTOCOL: 2"), F.lit(f"PROTOCOL: {version}")).alias("value"))
+        text.write.mode(mode).option("lineSep", dump.RECORD_END).text(path)
+    read = dump.read_dump(spark, path).where("rec_type = 223")
+    return read.select(wire.code(18).cast("bigint").alias("event_id"), "reject")
+
+
 @query("union_instances", f"""
     SELECT name AS instance_name, count(*) AS n FROM ({EV}), (SELECT unnest(['east', 'west']) AS name)
     WHERE name = 'east' OR k % 2 = 0 GROUP BY name""")

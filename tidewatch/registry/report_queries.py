@@ -575,3 +575,33 @@ def contactgroup_membership(spark, sf_dir):
     events = union(CONTACT_GROUP.records(spark, sf_dir), CONTACT_DEF.records(spark, sf_dir))
     return reports.report("contactgroup_membership", tables_for(
         spark, sf_dir, events, ("contactgroups", "contactgroup_members", "contacts")))
+
+
+# ---- the order of reports: what a limit keeps -----------------------------------------------------
+@query("newest_states", f"""
+    SELECT statehistory_id, state_time, state_time_usec, object_id FROM ({_STATE_ROWS}) WHERE k % 10 <> 0
+    ORDER BY state_time DESC, state_time_usec DESC, statehistory_id DESC LIMIT 250""")
+def newest_states(spark, sf_dir):
+    """The 250 newest state changes."""
+    tables = tables_for(spark, sf_dir, STATE.records(spark, sf_dir), ("statehistory",))
+    return reports.report("state_history", tables, limit=250).select("statehistory_id", "state_time", "state_time_usec", "object_id")
+
+
+@query("first_services", f"""
+    SELECT i.instance_name, host AS host_name, svc AS service_description
+    FROM ({feeds.source_sql('svc')}) t LEFT JOIN ({INSTANCES_SQL}) i ON t.inst = i.instance_id WHERE c_custkey % 2 = 1
+    ORDER BY instance_name, host_name, service_description LIMIT 100""")
+def first_services(spark, sf_dir):
+    """The first hundred services by name."""
+    tables = tables_for(spark, sf_dir, SERVICE_DEF.records(spark, sf_dir), ("services",))
+    return reports.report("services", tables, limit=100).select("instance_name", "host_name", "service_description")
+
+
+@query("queue_head", f"""
+    SELECT event_type, scheduled_time, recurring_event, object_id FROM ({_QUEUE_SQL})
+    ORDER BY scheduled_time, timedeventqueue_id LIMIT 20""")
+def queue_head(spark, sf_dir):
+    """The twenty events that are due next."""
+    tables = tables_for(spark, sf_dir, TIMED.records(spark, sf_dir), ("timedeventqueue",))
+    return reports.report("timed_event_queue", tables, limit=20).select(
+        "event_type", "scheduled_time", "recurring_event", "object_id")
