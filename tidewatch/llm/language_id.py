@@ -131,30 +131,35 @@ def train(counts: list[tuple[np.ndarray, np.ndarray]], labels: list[str], dim: i
 
 
 def fit(rows: DataFrame, learn: Column, key: str = "doc_id", text: str = "text", lang: str = "lang",
-        per_language: int = 600, max_languages: int = 200) -> LanguageModel:
-    """Fit on about ``per_language`` rows of each of the ``max_languages`` most frequent languages where ``learn``."""
+        per_language: int = 600, most_rows: int = 120_000) -> LanguageModel:
+    """Fit on about ``per_language`` rows of every language where ``learn``, on fewer of each if that makes ``most_rows``."""
     labelled = rows.where(learn & F.col(lang).isNotNull() & F.col(key).isNotNull())
-    sizes = labelled.groupBy(F.col(lang).alias("lang")).count().orderBy(F.desc("count"), "lang").limit(max_languages)
-    shares = {r["lang"]: min(1.0, per_language / r["count"]) for r in sizes.collect()}
-    if not shares:
+    sizes = {r["lang"]: r["count"] for r in labelled.groupBy(F.col(lang).alias("lang")).count().collect()}
+    if not sizes:
         return train([], [])
+    each = min(per_language, max(1, most_rows // len(sizes)))
+    shares = {name: min(1.0, each / sizes[name]) for name in sorted(sizes)}
     place = (F.xxhash64(F.col(key)).cast("double") / 2.0**64) + 0.5
     share = F.create_map(*[F.lit(x) for pair in shares.items() for x in pair])[F.col(lang)]
 
-    @F.pandas_udf("buckets array<int>, counts array<int>")
+    @F.pandas_udf("buckets binary, counts binary")
     def features(texts: pd.Series) -> pd.DataFrame:
         found = []
         for t in texts:
             counts = bucket_counts(t) if has_letter(t) else np.zeros(0, dtype=np.int64)
             at = np.flatnonzero(counts)
-            found.append((at.astype(np.int32), counts[at].astype(np.int32)))
+            found.append((at.astype(np.int32).tobytes(), counts[at].astype(np.float32).tobytes()))
         return pd.DataFrame(found, columns=["buckets", "counts"])
 
     sample = labelled.where(place < share).select(
         F.col(key).alias("key"), F.col(lang).alias("lang"), features(F.col(text)).alias("f"))
-    got = sorted((r for r in sample.collect() if r["f"]["buckets"]), key=lambda r: (r["key"], r["lang"]))
-    pairs = [(np.array(r["f"]["buckets"]), np.array(r["f"]["counts"], dtype=np.float32)) for r in got]
-    return train(pairs, [r["lang"] for r in got])
+    # a few hundred numbers a row, as they come
+    got = sample.select("key", "lang", "f.*").where(F.octet_length("buckets") > 0).toArrow()
+    keys, names = got.column("key").to_pylist(), got.column("lang").to_pylist()
+    order = sorted(range(len(keys)), key=lambda i: (keys[i], names[i]))
+    pairs = [(np.frombuffer(got.column("buckets")[i].as_buffer(), dtype=np.int32),
+              np.frombuffer(got.column("counts")[i].as_buffer(), dtype=np.float32)) for i in order]
+    return train(pairs, [names[i] for i in order])
 
 
 def predict(rows: DataFrame, model: LanguageModel, key: str = "doc_id", text: str = "text") -> DataFrame:
