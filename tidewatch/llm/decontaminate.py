@@ -28,6 +28,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,6 +40,8 @@ WIDTH, SHORTEST = 8, 4
 MAX_SENT_WINDOWS = 2_000_000
 #: remembered words in a worker, some 150 bytes each; the table starts anew when it is full
 MEMO = 500_000
+#: characters of the texts that are read together, beside those of the last one
+READ_TOGETHER = 1 << 21
 #: number words and units (fixed values)
 NUMBER_WORDS = frozenset(
     "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen "
@@ -70,28 +74,45 @@ class Words(dict):
         super().__init__()
         self.literal = np.zeros(1024, dtype=np.uint64)
         self.kind, self.ends = np.zeros(1024, dtype=np.int8), np.zeros(1024, dtype=bool)
+        self._fresh: list[tuple[int, int, bool]] = []
 
     def __missing__(self, raw: str) -> int:
         number = self[raw] = len(self)
-        if number >= len(self.literal):
-            for name in ("literal", "kind", "ends"):
-                setattr(self, name, np.resize(getattr(self, name), 2 * number))
-        self.literal[number], self.kind[number], self.ends[number] = self._look(raw)
+        self._fresh.append(self._look(raw))
         return number
 
+    def numbers(self, raw: list[str]) -> np.ndarray:
+        """Number of each word; the arrays then hold what is known of all of them."""
+        out = np.fromiter(map(self.__getitem__, raw), dtype=np.int64, count=len(raw))
+        if self._fresh:
+            end, columns = len(self), list(zip(*self._fresh))
+            for name, column in zip(("literal", "kind", "ends"), columns):
+                array = getattr(self, name)
+                if end > len(array):
+                    array = np.resize(array, 2 * end)
+                    setattr(self, name, array)
+                array[end - len(column):end] = column
+            self._fresh.clear()
+        return out
+
     @staticmethod
     def _look(raw: str) -> tuple[int, int, bool]:
-        core = _CORE.search(raw)
-        ends = raw.rstrip("\"')]»”")[-1:] in (".", "!", "?", ":")
-        if core is None:
-            return 0, 0, ends
-        word = core[0]
+        ends = False
+        if raw.isalnum():  # a core as it is; the common case
+            word = raw
+        else:
+            core = _CORE.search(raw)
+            ends = raw.rstrip("\"')]»”")[-1:] in (".", "!", "?", ":")
+            if core is None:
+                return 0, 0, ends
+            word = core[0]
         low = word.lower()
+        code = xxhash.xxh64_intdigest(low) or 1
         if word[0].isdigit() or low in NUMBER_WORDS:
-            return _code(low), 1, ends
+            return code, 1, ends
         if low in UNITS:
-            return _code(low), 2, ends
-        return _code(low), 3 if len(word) > 1 and word[0].isupper() and word[1:].islower() else 0, ends
+            return code, 2, ends
+        return code, 3 if len(word) > 1 and word[0].isupper() and word[1:].islower() else 0, ends
 
 
 def _code(word: str) -> int:
@@ -102,18 +123,30 @@ def _code(word: str) -> int:
 _SLOT_CODES = np.array([0, _code(NUMBER), _code(UNIT), _code(NAME)], dtype=np.uint64)
 
 
-def read(words: Words, text: str) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Raw words; place among them, literal code and slot kind of each word, and whether it starts a sentence."""
+def read(words: Words, texts: list[str]) -> Iterator[tuple[np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray]]:
+    """For each text its words as places in a list of raw words, that list, and of each word the literal code, the
+    slot kind and whether it starts a sentence.
+
+    The texts are split together, so that a word is looked up once for all of them.
+    """
     if len(words) >= MEMO:
         words.clear()
-    raw = text.replace("\n", " .\n ").split() if "\n" in text else text.split()
-    numbers = np.fromiter(map(words.__getitem__, raw), dtype=np.int64, count=len(raw))
-    literal, ends = words.literal[numbers], words.ends[numbers]
+    marked = [t.replace("\n", " .\n ") if "\n" in t else t for t in texts]
+    split = pc.utf8_split_whitespace(pa.array(marked, pa.large_string()))
+    bounds = split.offsets.to_numpy()
+    coded = split.values.dictionary_encode()
+    raw, places = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+    numbers = words.numbers(raw)[places]
+    literal = words.literal[numbers]
     keep = np.flatnonzero(literal)
-    # a word starts a sentence if, since the last word, something ended one
-    ended = np.concatenate([[0], np.cumsum(ends)])[keep]
+    # a word starts a sentence if, since the last word of the text, something ended one
+    ended = np.cumsum(words.ends[numbers])[keep] - words.ends[numbers[keep]]
     starts = np.concatenate([[True], ended[1:] > ended[:-1]])[:len(keep)]
-    return raw, keep, literal[keep], words.kind[numbers[keep]], starts
+    bounds = np.searchsorted(keep, bounds)
+    starts[bounds[:-1][bounds[:-1] < bounds[1:]]] = True
+    places, literal, kinds = places[keep], literal[keep], words.kind[numbers[keep]]
+    for begin, end in zip(bounds[:-1], bounds[1:]):
+        yield places[begin:end], raw, literal[begin:end], kinds[begin:end], starts[begin:end]
 
 
 def window_hashes(codes: np.ndarray, length: int) -> np.ndarray:
@@ -156,15 +189,12 @@ def _views(kinds: np.ndarray, starts: np.ndarray) -> list[list]:
     return out
 
 
-def text_windows(words: Words, text: str | None, lengths: list[int] | None, sent: tuple | None,
-                 width: int = WIDTH):
-    """(length, first and last word, hash, kinds, slot values, views) of the windows that can match.
+def text_windows(words: tuple, lengths: list[int] | None, sent: tuple | None, width: int = WIDTH):
+    """(length, first and last word, hash, kinds, slot values, views) of the windows of a read text that can match.
 
     Without ``lengths`` each view has its windows of ``width``, or the one window of a shorter text.
     """
-    if not text:
-        return
-    raw, places, literal, kinds, starts = read(words, text)
+    places, raw, literal, kinds, starts = words
     if not len(places):
         return
     valued = np.concatenate([[0], np.cumsum((kinds > 0) & ~(starts & (kinds == 3)))])
@@ -178,11 +208,12 @@ def text_windows(words: Words, text: str | None, lengths: list[int] | None, sent
             if length < SHORTEST or length > len(first):
                 continue
             hashes = window_hashes(codes, length)
-            at = np.flatnonzero(2 * (filled[length:] - filled[:len(hashes)]) <= length)
-            if sent is not None:
-                values, sieve = sent
-                at = at[sieve[hashes[at] & np.uint64(len(sieve) - 1)]]
-                some = hashes[at]
+            some = np.full(len(hashes), True) if sent is None else sent[1][hashes & np.uint64(len(sent[1]) - 1)]
+            if bits != LITERAL:
+                some &= 2 * (filled[length:] - filled[:len(hashes)]) <= length
+            at = np.flatnonzero(some)
+            if sent is not None and len(at):
+                values, some = sent[0], hashes[at]
                 at = at[values[np.minimum(np.searchsorted(values, some), len(values) - 1)] == some]
             for i in at:
                 part = slots[i:i + length]
@@ -201,10 +232,11 @@ def _windows(rows: DataFrame, key: str, text: str, lengths: list[int] | None, se
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = Words()
         for batch in batches:
-            for start in range(0, len(batch), 256):
-                part = batch.iloc[start:start + 256]
-                out = [(k, *w) for k, t in zip(part["key"], part["text"])
-                       for w in text_windows(words, t, lengths, sent.value if sent else None, width)]
+            batch = batch[batch["text"].notna()]
+            read_first = batch["text"].str.len().cumsum() // READ_TOGETHER
+            for _, part in batch.groupby(read_first):
+                out = [(k, *w) for k, t in zip(part["key"], read(words, part["text"].tolist()))
+                       for w in text_windows(t, lengths, sent.value if sent else None, width)]
                 yield pd.DataFrame(out, columns=["key", "length", "pos", "stop", "hash", "types", "slots", "views"])
 
     return rows.where(F.col(key).isNotNull()).select(
