@@ -5,7 +5,7 @@ the url's path starts with the rule's path.  Of the fitting rules the longest (h
 together) decides; equal lengths go to the longer host, then to ``block``.
 
 Edge cases: a null url, or one without ``://``, has an empty host and path and fits only a rule with both empty;
-an empty path does not start with ``/``; repeated rows are judged one by one; an empty table gives an empty
+an empty path does not start with ``/``; a rule with a null action, host or path fits nothing; repeated rows are judged one by one; an empty table gives an empty
 result.  Other columns of the input are ignored.
 """
 
@@ -92,7 +92,8 @@ def judge_urls(pages: DataFrame, rules: DataFrame, key: str = "page_id", url: st
     ``rules`` has the columns action, host and path.  Up to ``max_trie_rules`` of them are sent to the workers as
     one trie; a larger set is joined with the urls on their host suffixes, with the same result.
     """
-    few = rules.select("action", "host", "path").limit(max_trie_rules + 1).collect()
+    rules = rules.select("action", "host", "path").dropna()
+    few = rules.limit(max_trie_rules + 1).collect()
     if len(few) > max_trie_rules:
         return _judge_by_join(pages, rules, key, url, default)
     trie = pages.sparkSession.sparkContext.broadcast(UrlTrie(tuple(row) for row in few))
@@ -110,7 +111,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, key: str = "page_id", url: st
 
 
 def _judge_by_join(pages: DataFrame, rules: DataFrame, key: str, url: str, default: str) -> DataFrame:
-    rest = F.when(F.instr(url, "://") > 0, F.substring_index(F.regexp_extract(url, r"(?s)^.*?://([^?#]*)", 1), "\0", 1))
+    rest = F.when(F.instr(url, "://") > 0, F.regexp_extract(url, r"(?s)^.*?://([^?#]*)", 1))
     parts = pages.select(
         F.col(key), F.coalesce(rest, F.lit("")).alias("_rest")
     ).select(
