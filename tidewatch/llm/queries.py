@@ -98,18 +98,21 @@ FROM shown JOIN common USING (pair_id) GROUP BY pair_id
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each conversation against itself with its last answer exchanged for that of its neighbour (conv_id XOR 1).
 
-    Without a neighbour, or where the neighbour has no answer, the rejected side has none either.
+    Without a neighbour, or where the neighbour has no answer, the rejected side has none either.  Answers that tie in the
+    last turn are all exchanged; answers without a turn are not.
     """
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").where("conv_id IS NOT NULL")
     last = rows.where(F.col("role") == "assistant").groupBy("conv_id").agg(
-        F.max("turn").alias("last"), F.max_by("text", "turn").alias("answer"))
+        F.max("turn").alias("last"), F.collect_list(F.struct("turn", "text")).alias("answers"))
     chosen = rows.withColumnRenamed("conv_id", "pair_id")
-    before = rows.join(last, "conv_id", "left").where("last IS NULL OR turn < last").select(
+    before = rows.join(last.drop("answers"), "conv_id", "left").where("last IS NULL OR turn < last").select(
         F.col("conv_id").alias("pair_id"), "turn", "role", "text")
     known = rows.select(F.col("conv_id").alias("pair_id")).distinct()
     borrowed = last.select(
         F.col("conv_id").bitwiseXOR(F.lit(1)).alias("pair_id"), (F.lit(1000000000) + F.col("last")).alias("turn"),
-        F.lit("assistant").alias("role"), F.col("answer").alias("text")).join(known, "pair_id", "left_semi")
+        F.lit("assistant").alias("role"),
+        F.explode(F.filter("answers", lambda a: a["turn"] == F.col("last"))).alias("_answer")
+    ).select("pair_id", "turn", "role", F.col("_answer.text").alias("text")).join(known, "pair_id", "left_semi")
     pairs = chat_format.format_preferences(chosen, before.unionByName(borrowed))
     return pairs.select(
         "pair_id", "n_prompt_turns", "prompt", chat_format.render(F.col("chosen")).alias("chosen"),
