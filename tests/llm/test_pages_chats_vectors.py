@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidewatch.llm import chat_format, topk_search, url_filter
+from tidewatch.llm import chat_format, queries, topk_search, url_filter
 
 RULES = [
     ("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
@@ -40,6 +40,16 @@ def test_url_rules(spark, most):
     assert url_filter.judge_urls(pages.limit(0), rules, max_trie_rules=most).count() == 0
 
 
+@pytest.mark.parametrize("most", [1000, 2])
+def test_url_with_nul_and_rules_with_nulls(spark, most):
+    pages = spark.createDataFrame([(1, "http://a\0b.com/x\0y"), (2, "http://q.org/")], "page_id long, url string")
+    rules = spark.createDataFrame(
+        [("block", "com", "/x\0"), ("block", None, "/"), ("block", "org", None), (None, "org", "/")],
+        "action string, host string, path string")
+    got = sorted(tuple(r) for r in url_filter.judge_urls(pages, rules, max_trie_rules=most).collect())
+    assert got == [(1, "a\0b.com", "/x\0y", "com/x\0", "block"), (2, "q.org", "/", None, "allow")]
+
+
 def test_url_trie_against_all_rules(spark):
     rnd = random.Random(1)
     host = lambda: ".".join(rnd.choice("abc") for _ in range(rnd.randint(1, 3)))
@@ -76,6 +86,27 @@ def test_preferences(spark):
     assert chat_format.format_preferences(chosen.limit(0), rejected.limit(0)).count() == 0
 
 
+def test_exchanged_answers_that_tie(spark, tmp_path):
+    """All answers of the last turn are exchanged, those without a turn are not."""
+    rows = [(2, 0, "user", "q"), (2, 1, "assistant", "a"), (2, 1, "assistant", "b"), (2, 1, "assistant", "b"),
+            (3, 0, "user", "q"), (3, 1, "assistant", "c"), (3, 1, "assistant", None), (4, None, "assistant", "x"),
+            (5, 0, "user", "y")]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(
+        str(tmp_path / "conversations.parquet"))
+    got = {r.pair_id: r for r in queries.op2_chat_formatting(spark, str(tmp_path)).collect()}
+    turn = "<|im_start|>assistant\n{}<|im_end|>\n".format
+    assert got[2].chosen == turn("a") + turn("b") + turn("b") and got[2].rejected == turn("") + turn("c")
+    assert got[3].chosen == turn("") + turn("c") and got[3].rejected == turn("a") + turn("b") + turn("b")
+    assert got[4].rejected == "" and got[5].rejected == ""
+    duckdb = pytest.importorskip("duckdb").connect()
+    duckdb.execute("SET default_null_order = 'nulls_first'")  # as Spark orders a null among tied turns
+    duckdb.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    want = duckdb.execute(queries.ORACLES["op2_chat_formatting"])
+    names = [c[0] for c in want.description]
+    assert {r[names.index("pair_id")]: r for r in want.fetchall()} == {
+        p: tuple(r[n] for n in names) for p, r in got.items()}
+
+
 def test_top_k_against_all_pairs(spark):
     rnd = random.Random(2)
     rows = [(i, [rnd.choice([0.0, 0.5, -0.25, rnd.random()]) for _ in range(rnd.choice([3, 4]))]) for i in range(300)]

@@ -17,7 +17,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,6 +26,8 @@ _HITS = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", p
 _LONG = 9.2e18
 #: rows and components of a packed block, and query rows of a block
 BLOCK_ROWS, BLOCK_CELLS, QUERY_ROWS = 4096, 1 << 20, 1024
+#: groups of candidate blocks a shuffle task
+GROUPS_A_TASK = 4
 
 
 def quantise(values: np.ndarray, scale: float) -> np.ndarray:
@@ -152,20 +153,22 @@ def top_k(rows: DataFrame, queries: Column, k: int = 5, key: str = "vec_id", vec
     blocks = -(-asking.count() // QUERY_ROWS) or 1
 
     def pack_queries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId()  # one block for each of the partitions below
+        # each partition is one block of queries
         got = pa.Table.from_batches(batches, pa.schema([("id", pa.int64()), ("vector", pa.list_(pa.float64()))]))
         got = got.combine_chunks()
         if got.num_rows:
             packed = sparse_rows(got.column(0).combine_chunks(), got.column(1).combine_chunks(), scale)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([number], pa.int32()), *_blobs(*packed).columns],
-                schema=pa.schema([("block", pa.int32()), *[(f"q_{f.name}", f.type) for f in _ARROW_BLOCK]]))
+                _blobs(*packed).columns, schema=pa.schema([(f"q_{f.name}", f.type) for f in _ARROW_BLOCK]))
 
     asked = asking.repartition(blocks).mapInArrow(
-        pack_queries, "block int, q_ids binary, q_starts binary, q_terms binary, q_weights binary")
-    units = pairs.mapInArrow(pack(scale), _BLOCK).withColumn(
-        "block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    ).join(asked, "block").drop("block")
+        pack_queries, "q_ids binary, q_starts binary, q_terms binary, q_weights binary")
+    # candidates move once, to groups that spread over all tasks; the few blocks of queries are copied to every group
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    groups = GROUPS_A_TASK * tasks
+    spread = pairs.mapInArrow(pack(scale), _BLOCK).withColumn("group", F.pmod(F.xxhash64("ids"), F.lit(groups)))
+    copied = asked.withColumn("group", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))))
+    units = spread.repartition(tasks, "group").join(copied.repartition(tasks, "group"), "group").drop("group")
     hits = units.mapInArrow(_search(k), "query_id long, vec_id long, score long")
     ranked = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return hits.withColumn("rank", ranked).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
