@@ -6,6 +6,7 @@ from wiretext import dump_file, events_of, record, rows, session
 
 from test_tables import at, comment, downtime, timed
 from tidewatch.plans import reports, warehouse
+from tidewatch.sources import dump
 from tidewatch.streaming import ingest
 from tidewatch.streaming.store import Store
 
@@ -82,3 +83,35 @@ def test_stream_equals_batch(spark, tmp_path):
     assert store.commits() == [4]
     assert rows(ingest.read_table(store, "servicestatus"), "current_state") == [(1,), (2,), (7,)]
     assert ingest.read_table(store, "servicechecks", since="2023-11-15").count() == 0
+
+
+def status(second, state):
+    return record(213, at(second), (53, "h"), (114, "s"), (27, state))
+
+
+def test_order_of_rotated_files(spark, tmp_path):
+    """Numbers in names count as numbers, or the time a file was last written does; ids depend on neither."""
+    definition = record(402, at(0), (174, "h"), (210, "s"))
+    for name, state, time in (("f2", 1, 30), ("f10", 2, 10), ("f1", 3, 20)):
+        path = dump_file(tmp_path / "in", f"{name}.dump", session(definition, status(5, state)))
+        os.utime(path, (1600000000 + time, 1600000000 + time))
+    found = {}
+    for by_time, last in ((False, 2), (True, 1)):
+        out = tmp_path / f"out{by_time}"
+        run = ingest.start(spark, str(tmp_path / "in"), str(out), f"{out}-cp", available_now=True, by_time=by_time)
+        run.awaitTermination()
+        status_rows = ingest.read_table(Store(spark, str(out)), "servicestatus")
+        assert rows(status_rows, "current_state") == [(last,)]
+        decoded = dump.records(dump.read_dump(spark, str(tmp_path / "in"), by_time=by_time)).where("rec_type = 213")
+        order = [os.path.basename(r.file) for r in decoded.orderBy("arrival").select("arrival.file").collect()]
+        assert order == [f"{n}.dump" for n in (("f10", "f1", "f2") if by_time else ("f1", "f2", "f10"))]
+        found[by_time] = rows(decoded, "arrival.file", "arrival.offset")
+    assert found[False] == found[True]
+
+
+def test_file_ranks(spark):
+    names = ["a/f1", "a/f1.gz", "a/f02", "a/f2", "a/f2b", "a/f10", "a/f10/x", "a/f9999999999", "a/g", "a1", "a01"]
+    ranked = spark.createDataFrame([(n,) for n in names], "file string").withColumn("rank", dump.file_rank("file"))
+    got = [r.file for r in ranked.orderBy("rank").collect()]
+    assert got == ["a/f1", "a/f1.gz", "a/f02", "a/f2", "a/f2b", "a/f10", "a/f10/x", "a/f9999999999", "a/g", "a01", "a1"]
+    assert ranked.select("rank").distinct().count() == len(names)

@@ -51,13 +51,14 @@ def load_dump(
     cutoff: DataFrame | None = None,
     options: int = -1,
     work_dir: str | None = None,
+    by_time: bool = False,
 ) -> dict[str, DataFrame]:
-    """Dump files -> tables, with the session audit and the rejects.
+    """Dump files -> tables, with the session audit and the rejects.  ``by_time`` orders the files as last written.
 
     The decoded layer is written once, partitioned by record type, so the tables do not decode the text
     again and each reads one partition.
     """
-    decoded = saved_decoded(spark, dump.read_dump(spark, paths), work_dir)
+    decoded = saved_decoded(spark, dump.read_dump(spark, paths, by_time=by_time), work_dir)
     names = decoded.where(F.col("header.protocol") == wire.PROTOCOL_VERSION).select("header.instance_name")
     instances = dimensions.get_or_insert_instances(names, stored_instances)
     events = dimensions.assign_instance(dump.records(decoded), instances)

@@ -23,7 +23,8 @@ def read_archive_log(spark: SparkSession, paths, instance_name: str = "default")
     )
     return archive_records(
         text.withColumn(
-            "arrival", F.struct(F.lit(0).cast("bigint").alias("batch"), "file", F.col("block").alias("offset"))
+            "arrival", F.struct(
+                F.lit(0).cast("bigint").alias("batch"), F.col("file").alias("rank"), "file", F.col("block").alias("offset"))
         ),
         instance_name,
     ).withColumn("chunk", F.struct("arrival.file", F.col("arrival.offset").alias("n")))
@@ -54,7 +55,8 @@ def spool_frames(spool: DataFrame) -> DataFrame:
     pieces = F.posexplode(F.split(F.col("value"), r"\n999\n\n", -1)).alias("pos", "piece")
     exploded = spool.select("file", "block", pieces)
     return exploded.where(F.length(F.trim(F.replace("piece", F.lit("\n"), F.lit("")))) > 0).select(
-        F.col("piece").alias("value"), "file", "block", F.lit(None).cast("bigint").alias("file_size")
+        F.col("piece").alias("value"), "file", "block", F.lit(None).cast("bigint").alias("file_size"),
+        F.lit(None).cast("timestamp").alias("file_time"),
     )
 
 

@@ -10,6 +10,10 @@ session header, the configuration dump it belongs to, its byte offset) is resolv
 
 The byte offset of a record in its file is its arrival position.  It does not depend on how the file
 was split, so ids and replays agree between runs.
+
+Files follow one another by ``file_rank``: by name with numbers compared as numbers, so that ``f2`` comes before ``f10``,
+or, where asked for, by the time they were last written first.  The rank orders and does not name: ids are made of path
+and offset, so they don't change with it.
 """
 
 from __future__ import annotations
@@ -62,9 +66,29 @@ def _place(text: DataFrame) -> DataFrame:
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.when(~F.col("_metadata.file_path").rlike(_COMPRESSED), F.col("_metadata.file_size")).alias("file_size"),
+        F.col("_metadata.file_modification_time").alias("file_time"),
     )
 
 
+#: digits that numbers in file names are brought to for comparison
+_DIGITS = 18
+
+
+def file_rank(path, time=None) -> Column:
+    """Text that orders files by path with numbers compared as numbers (up to 18 digits), after ``time`` if given.
+
+    Different paths have different ranks: names that differ in leading zeros only follow one another as they are.
+    """
+    path = wire.as_col(path)
+    padded = F.regexp_replace(path, r"(\d+)", "0" * _DIGITS + "$1")
+    natural = F.regexp_replace(padded, rf"\d+(\d{{{_DIGITS}}})(?!\d)", "$1")
+    # 0x01 comes before whatever a longer path goes on with
+    parts = [natural, F.lit("\x01"), path]
+    if time is not None:
+        parts.insert(0, F.lpad(F.coalesce(F.unix_micros(time), F.lit(0)).cast("string"), 20, "0"))
+    return F.concat(*parts)
+
+
 def parse_header(frame) -> Column:
     """Session header carried by a frame (its last one), NULL when there is none."""
     text = F.concat(F.lit("\n"), wire.as_col(frame))
@@ -105,12 +129,14 @@ def record_text(frame) -> Column:
     return F.substring_index(text, "\nSTARTDATADUMP\n", -1)
 
 
-def decode(frames: DataFrame, keep_types=None, batch: int = 0, instance_name: str | None = None) -> DataFrame:
+def decode(frames: DataFrame, keep_types=None, batch: int = 0, instance_name: str | None = None,
+           by_time: bool = False) -> DataFrame:
     """Frames -> one row per record.
 
-    ``instance_name`` names the sender of records that come without a session header, as spooled ones do.
+    ``instance_name`` names the sender of records that come without a session header, as spooled ones do.  ``by_time``
+    puts the files in the order they were last written, which rotated files keep unless they were copied.
 
-    Columns: ``arrival`` (batch, file, offset), ``chunk`` (bounded run of arrivals), ``session`` (file, number
+    Columns: ``arrival`` (batch, rank of the file, file, offset), ``chunk`` (bounded run of arrivals), ``session`` (file, number
     of the session in its file), ``header``, ``config_type``, ``rec_type``, ``body``, ``bytes``,
     ``lines``, ``end_time`` and ``closes`` (set on the row that closes a session) and ``reject``, the
     reason why a row is not a usable record.  ``keep_types`` drops the text of other record types before the shuffle.
@@ -132,7 +158,7 @@ def decode(frames: DataFrame, keep_types=None, batch: int = 0, instance_name: st
     if keep_types is not None:
         kept = F.col("rec_type").isin(list(keep_types))
         framed = framed.withColumn("body", F.when(kept, F.col("body")))
-    splits = _split_summary(framed)
+    splits = _split_summary(framed, by_time)
     here = Window.partitionBy("file", "block").orderBy("seq")
     upto = here.rowsBetween(Window.unboundedPreceding, 0)
     before = here.rowsBetween(Window.unboundedPreceding, -1)
@@ -156,8 +182,8 @@ def decode(frames: DataFrame, keep_types=None, batch: int = 0, instance_name: st
         .when(~F.col("rec_type").isin(KNOWN_TYPES), "unknown type")
     )
     return carried.select(
-        F.struct(F.lit(batch).cast("bigint").alias("batch"), "file", "offset").alias("arrival"),
-        F.struct("file", F.expr(f"offset div {CHUNK_BYTES}").alias("n")).alias("chunk"),
+        F.struct(F.lit(batch).cast("bigint").alias("batch"), "rank", "file", "offset").alias("arrival"),
+        F.struct(F.col("rank").alias("file"), F.expr(f"offset div {CHUNK_BYTES}").alias("n")).alias("chunk"),
         F.struct("file", "number").alias("session"),
         "header",
         F.col("config_type").cast("smallint").alias("config_type"),
@@ -195,18 +221,20 @@ def _dump_mark() -> Column:
     ).when(F.col("header").isNotNull(), 0)
 
 
-def _split_summary(framed: DataFrame) -> DataFrame:
+def _split_summary(framed: DataFrame, by_time: bool) -> DataFrame:
     """What each input split inherits from the splits before it: one row per split."""
     per_split = framed.groupBy("file", "block").agg(
         F.sum("len").alias("len"),
         F.sum("hellos").alias("hellos"),
         F.max_by("header", F.when(F.col("header").isNotNull(), F.col("seq"))).alias("header"),
         F.max_by("dump", F.when(F.col("dump").isNotNull(), F.col("seq"))).alias("dump"),
+        *([F.max("file_time").alias("file_time")] if by_time else []),
     )
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     return per_split.select(
         "file",
         "block",
+        file_rank("file", F.col("file_time") if by_time else None).alias("rank"),
         F.coalesce(F.sum("len").over(before), F.lit(0)).alias("base"),
         F.coalesce(F.sum("hellos").over(before), F.lit(0)).alias("hellos_in"),
         F.last("header", ignorenulls=True).over(before).alias("header_in"),
@@ -214,9 +242,9 @@ def _split_summary(framed: DataFrame) -> DataFrame:
     )
 
 
-def read_dump(spark: SparkSession, paths, keep_types=None) -> DataFrame:
+def read_dump(spark: SparkSession, paths, keep_types=None, by_time: bool = False) -> DataFrame:
     """All rows of some dump files, rejects included."""
-    return decode(read_frames(spark, paths), keep_types)
+    return decode(read_frames(spark, paths), keep_types, by_time=by_time)
 
 
 def records(decoded: DataFrame) -> DataFrame:

@@ -65,11 +65,13 @@ def start(
     trim_seconds: float = 60,
     buckets: int = 16,
     drop_replays: bool = True,
+    by_time: bool = False,
 ):
     """Start the ingest query.  ``available_now`` drains what is there and stops.
 
     ``ages`` switches retention on (minutes by table, the default age for tables it leaves out, 0 keeps everything); it
-    runs after a batch, at most once in ``trim_seconds``.
+    runs after a batch, at most once in ``trim_seconds``.  ``by_time`` puts the files of a batch in the order they were last
+    written instead of that of their names.
     """
     store = Store(spark, root, buckets=buckets)
     store.writer = store.writer_of(checkpoint)
@@ -79,7 +81,7 @@ def start(
     def run(frames: DataFrame, batch: int) -> None:
         if not cutoffs:
             cutoffs.append(stored_cutoff(store))
-        process_batch(store, frames, batch, cutoffs[0], options, optional, drop_replays)
+        process_batch(store, frames, batch, cutoffs[0], options, optional, drop_replays, by_time)
         if ages is not None and time.monotonic() - trimmed[0] >= trim_seconds:
             trimmed[0] = time.monotonic()
             maintain(store, clock(), ages)
@@ -104,7 +106,7 @@ def stored_cutoff(store: Store, as_of=None) -> DataFrame | None:
 
 
 def process_batch(store: Store, frames: DataFrame, batch: int, cutoff=None, options: int = -1, optional=(),
-                  drop_replays: bool = True) -> State:
+                  drop_replays: bool = True, by_time: bool = False) -> State:
     """All tables of one micro-batch, as one commit.
 
     A batch that is committed already is left alone; one that met another writer's batch of the same instances is
@@ -115,7 +117,7 @@ def process_batch(store: Store, frames: DataFrame, batch: int, cutoff=None, opti
         if base.has(store.writer, batch):
             return base
         try:
-            after = _commit_batch(store, base, frames, batch, cutoff, options, optional, drop_replays)
+            after = _commit_batch(store, base, frames, batch, cutoff, options, optional, drop_replays, by_time)
         except Conflict:
             continue
         store.drop_old()
@@ -133,9 +135,9 @@ def _cells_of(store: Store, rows: DataFrame, keys) -> set[str]:
 
 
 def _commit_batch(store: Store, base: State, frames: DataFrame, batch: int, cutoff, options: int, optional,
-                  drop_replays: bool) -> State:
+                  drop_replays: bool, by_time: bool) -> State:
     # commits are numbered over all writers, so arrivals order rows of different ones
-    decoded = store.save_decoded(dump.decode(frames, batch=base.number + 1), batch)
+    decoded = store.save_decoded(dump.decode(frames, batch=base.number + 1, by_time=by_time), batch)
     instances, added = _instances(store, base, decoded, batch)
     events = dimensions.assign_instance(dump.records(decoded), instances)
     if options >= 0:
