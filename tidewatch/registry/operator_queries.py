@@ -140,6 +140,25 @@ def union_instances(spark, sf_dir):
     return both.groupBy(F.col("header.instance_name").alias("instance_name")).agg(F.count("*").alias("n"))
 
 
+@query("file_order", f"""
+    SELECT host, service, max(event_id) AS event_id, arg_max(state, event_id) AS state, count(*) AS n
+    FROM ({_DECODED_SQL}) GROUP BY host, service""")
+def file_order(spark, sf_dir):
+    """The last record of each service over eleven rotated files, of which the one numbered 10 is the latest."""
+    path, records = _folder(spark, "dump"), _NUMBERED.records(spark, sf_dir)
+    last = records.agg(F.max("arrival.offset")).first()[0] or 0
+    for number in range(11):
+        rotation = records.where(F.expr(f"arrival.offset * 11 div {last + 1} = {number}"))
+        rotation = rotation.repartitionByRange(4, "arrival").sortWithinPartitions("arrival")
+        dump.write_dump(rotation, f"{path}/f{number}")
+    read = dump.records(dump.read_dump(spark, f"{path}/f*")).where("rec_type = 223").select(
+        "arrival", F.expr(wire.number_sql(wire.raw_sql(18), "bigint")).alias("event_id"), wire.attr(53).alias("host"),
+        wire.attr(114).alias("service"), wire.code(118).alias("state"))
+    return read.groupBy("host", "service").agg(
+        F.max_by("event_id", "arrival").alias("event_id"), F.max_by("state", "arrival").alias("state"),
+        F.count("*").alias("n"))
+
+
 def _even(spark, sf_dir):
     return Feed(223, "ev", "event_id", _NUMBERED.fields, where="k % 2 = 0").records(spark, sf_dir)
 
