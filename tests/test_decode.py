@@ -77,6 +77,23 @@ def test_write_dump_keeps_instances_apart(spark, tmp_path):
     assert rows(back, "header.instance_name", wire.code(18)) == [("x", 1), ("x", 2), ("y", 3), ("y", 4)]
 
 
+def test_write_dump_keeps_order_over_chunks(spark, tmp_path):
+    path = dump_file(tmp_path / "d", "a.dump", *[session(*[state(n) for n in range(60)], name=name) for name in "xy"])
+    events = dump.records(dump.read_dump(spark, path)).withColumn("instance_name", F.col("header.instance_name"))
+    chunk = F.struct("chunk.file", (F.col("arrival.offset") / 300).cast("bigint").alias("n"))
+    with_adaptive = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        dump.write_dump(events.withColumn("chunk", chunk).repartition(3), str(tmp_path / "out"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", with_adaptive)
+    back = dump.records(dump.read_dump(spark, str(tmp_path / "out")))
+    told = back.select("arrival", F.col("header.instance_name").alias("name"), wire.code(18).alias("n")).orderBy("arrival").collect()
+    assert len({r.arrival.file for r in told}) > 1
+    for name in "xy":
+        assert [r.n for r in told if r.name == name] == list(range(60))
+
+
 def test_session_audit(spark, tmp_path):
     path = dump_file(tmp_path / "d", "a.dump", session(state(1), state(2), name="x", end=1700000500), session(state(3), name="y", end=1700000900))
     decoded = dump.read_dump(spark, path)

@@ -268,7 +268,8 @@ def write_dump(events: DataFrame, path: str, mode: str = "error", compression: s
     """Write records (``rec_type``, ``body``) back as a dump.
 
     With an ``instance_name`` column every (instance, chunk) becomes a session of its own, written in
-    arrival order.  Without one, every output file is one session of the instance ``default``.
+    arrival order, and the files follow one another by chunk, so that a reader finds each instance's records in arrival
+    order.  Without one, every output file is one session of the instance ``default``.
     """
     writer = framed(events).write.mode(mode).option("lineSep", RECORD_END).option("compression", compression)
     writer.text(path)
@@ -278,7 +279,9 @@ def framed(events: DataFrame) -> DataFrame:
     """Text frames of records; the first frame of each session carries the session header."""
     if "instance_name" in events.columns:
         name = F.col("instance_name")
-        run = Window.partitionBy("instance_name", "chunk").orderBy("arrival")
+        # the numbers of the output files are those of the ranges; a hash would put an instance's chunks in any order
+        events = events.repartitionByRange("chunk", "instance_name")
+        run = Window.partitionBy("chunk", "instance_name").orderBy("arrival")
         first = F.row_number().over(run) == 1
     else:
         name = F.lit("default")
