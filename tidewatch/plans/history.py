@@ -113,8 +113,10 @@ def parent_linkage(records: DataFrame, start_type: int, parent_id, child_type: i
     ``records`` holds parents and children; the session is scanned in arrival order.
     """
     started = F.when((F.col("rec_type") != child_type) & (neb_type() == start_type), parent_id)
-    # only parents pay for their id; names are dropped again before the rows are shuffled
-    marked = with_names(records).withColumn("_started", started).select(*records.columns, "_started")
+    # only parents pay for their id; names, and the text of parents, are dropped again before the rows are shuffled
+    told = F.when(F.col("rec_type") == child_type, F.col("body")).alias("body")
+    kept = [told if c == "body" else F.col(c) for c in records.columns]
+    marked = with_names(records).withColumn("_started", started).select(*kept, "_started")
     linked = carry_forward(marked, "session", F.col("_started"), out).drop("_started")
     return linked.where(F.col("rec_type") == child_type).withColumn(out, F.coalesce(out, F.lit(0)))
 

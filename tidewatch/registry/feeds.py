@@ -129,6 +129,8 @@ class Feed:
     fields: dict = field(hash=False)
     where: str = "TRUE"
     config_type: str = "0"
+    #: span of ``order`` that makes a chunk; wider where the orders lie far apart, for a chunk is a run of many records
+    chunk: int = CHUNK
 
     def records(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         base = source(spark, sf_dir, self.source)
@@ -148,7 +150,7 @@ class Feed:
         return base.where(self.where).select(
             F.col("inst").alias("instance_id"),
             F.struct(F.lit(0).cast("bigint").alias("batch"), F.lit("").alias("file"), order.alias("offset")).alias("arrival"),
-            F.struct(F.lit("").alias("file"), F.floor(order / CHUNK).alias("n")).alias("chunk"),
+            F.struct(F.lit("").alias("file"), F.expr(f"({self.order}) div {self.chunk}L").cast("bigint").alias("n")).alias("chunk"),
             F.struct(F.lit("").alias("file"), F.col("inst").cast("bigint").alias("number")).alias("session"),
             F.lit(self.rec_type).alias("rec_type"),
             F.expr(self.config_type).cast("smallint").alias("config_type"),

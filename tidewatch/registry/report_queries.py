@@ -141,12 +141,16 @@ _PRIORITY = "CASE WHEN o_orderkey % 2 = 1 THEN o_orderpriority ELSE '' END"
 _ORDER_TIME = ("sec", "o_orderkey % 1000000")
 
 
+# the records of 8192 orders make a chunk
+_ORDERS = 8192 * 10000000000
+
+
 def _notification(op, order, told):
     return Feed(205, "ord", order, {
         1: str(op), 4: _ORDER_TIME, 89: "o_orderkey % 2", 117: _ORDER_TIME, 33: ("sec + 60", "o_orderkey % 1000000"),
         53: "host", 114: _PRIORITY, 87: "o_orderkey % 8", 118: "o_orderkey % 3", 95: "o_orderstatus",
         125: "concat('total ', o_orderstatus, ' = ', o_orderkey)", 36: "o_orderkey % 5 % 2", 24: told,
-    })
+    }, chunk=_ORDERS)
 
 
 NOTIFY_START = _notification(600, "o_orderkey * 10000000000", "0")
@@ -181,11 +185,11 @@ _LINE_ORDER = "o_orderkey * 10000000000 + 1000 + (l_partkey * 10 + l_linenumber)
 _LINE_TIME = ("sec", "l_partkey % 1000000")
 CONTACTED = Feed(220, "line", _LINE_ORDER, {
     1: "602", 4: _LINE_TIME, 117: _LINE_TIME, 33: ("sec + 1", "l_linenumber"), 53: "host", 134: "contact",
-})
+}, chunk=_ORDERS)
 METHOD = Feed(221, "line", f"{_LINE_ORDER} + 1", {
     1: "604", 4: _LINE_TIME, 117: _LINE_TIME, 33: ("sec + 2", "l_linenumber"), 53: "host", 134: "contact",
     127: "concat('notify_by_', l_linenumber)", 13: "concat('x!', l_partkey)",
-})
+}, chunk=_ORDERS)
 
 
 def contact_events(spark, d):
