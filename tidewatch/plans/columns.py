@@ -40,6 +40,13 @@ def parse(layout: str) -> list[tuple[str, str, int | None]]:
     return out
 
 
+# what plain numbers, joined by newlines, never hold: any text without it is ``[+-]?digits`` (or with a fraction) of safe length
+_ODD = {
+    "bigint": r"[^0-9+\n-]|[0-9]{19}|[0-9][+-]|[+-]([+\n-]|$)",
+    "double": r"[^0-9.+\n-]|[0-9]{301}|[0-9.][+-]|[+-]([.+\n-]|$)|(^|\n)[.]|[.][0-9]*[.]",
+}
+
+
 @dataclass
 class _Arrays:
     """Attribute texts of a layout, gathered by how they are converted."""
@@ -49,10 +56,10 @@ class _Arrays:
     texts: list[str] = field(default_factory=list)
 
     def number(self, text: str) -> str:
-        return self._add("_n", self.numbers, text)
+        return f"coalesce({self._add('_n', self.numbers, text)}, 0L)"
 
     def double(self, text: str) -> str:
-        return self._add("_d", self.doubles, text)
+        return f"coalesce({self._add('_d', self.doubles, text)}, 0D)"
 
     def text(self, text: str) -> str:
         return self._add("_s", self.texts, text)
@@ -63,16 +70,23 @@ class _Arrays:
             texts.append(text)
         return f"get({column}, {texts.index(text)})"
 
-    def columns(self) -> list[Column]:
-        out = []
-        for alias, texts, convert in (
-            ("_n", self.numbers, wire.number_sql("x", "bigint")),
-            ("_d", self.doubles, wire.number_sql("x", "double")),
-            ("_s", self.texts, wire.unescape_sql("x")),
-        ):
+    def over(self, rows: DataFrame) -> DataFrame:
+        """Add the converted arrays.  A function over array elements is interpreted, so it is left to records that need it:
+        an array of plain numbers is cast as a whole, and text without a backslash stays as it is."""
+        raw, out = [], []
+        for alias, texts, kind in (("_n", self.numbers, "bigint"), ("_d", self.doubles, "double")):
             if texts:
-                out.append(F.expr(f"transform(array({', '.join(texts)}), x -> {convert})").alias(alias))
-        return out
+                # absent numbers are NULL here and 0 where they are read
+                raw.append(F.expr(f"array({', '.join(f"nullif({t}, '')" for t in texts)})").alias(f"{alias}t"))
+                slow = f"transform({alias}t, x -> {wire.number_sql('x', kind)})"
+                odd = f"array_join({alias}t, {wire.literal(chr(10))}) RLIKE {wire.literal(_ODD[kind])}"
+                out.append(F.expr(f"CASE WHEN {odd} THEN {slow} ELSE try_cast({alias}t AS array<{kind}>) END").alias(alias))
+        if self.texts:
+            texts = f"array({', '.join(self.texts)})"
+            slash = wire.literal("\\")
+            coded = f"transform({texts}, x -> {wire.unescape_sql('x')})"
+            out.append(F.expr(f"CASE WHEN contains(body, {slash}) THEN {coded} ELSE {texts} END").alias("_s"))
+        return rows.select("*", *raw).select("*", *out)
 
 
 def _attribute(kind: str, key: int, arrays: _Arrays) -> str:
@@ -112,7 +126,7 @@ def project(rows: DataFrame, layout: str, given: dict[str, Column], extra=()) ->
     for name, kind, key in parse(layout):
         value = given[name] if kind == "=" else F.expr(_attribute(kind, key, arrays))
         out.append(value.alias(name))
-    return rows.select("*", *arrays.columns()).select(*out, *extra)
+    return arrays.over(rows).select(*out, *extra)
 
 
 def attribute(kind: str, key: int) -> Column:
