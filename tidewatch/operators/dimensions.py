@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -158,6 +160,15 @@ def _active_names() -> str:
     return f"IF({_code(269)} = 402, {twos}, {singles})"
 
 
+def _of_kinds(by_type: dict[int, list[str]], kinds) -> dict[int, list[str]]:
+    """The arrays that may hold names of some object types."""
+    def holds(text: str) -> bool:
+        return any(int(kind) in kinds for kind in re.findall(r"'objecttype_id', (\d+),", text))
+
+    kept = {t: [text for text in texts if holds(text)] for t, texts in by_type.items()}
+    return {t: texts for t, texts in kept.items() if texts}
+
+
 def _pick(by_type: dict[int, list[str]], rec_types) -> Column:
     wanted = [t for t in by_type if rec_types is None or t in rec_types]
     branches = []
@@ -167,9 +178,12 @@ def _pick(by_type: dict[int, list[str]], rec_types) -> Column:
     return F.expr(f"CASE rec_type {' '.join(branches)} END") if wanted else F.lit(None).cast(_ARRAY)
 
 
-def mentioned_names(rec_types=None) -> Column:
-    """Array of (objecttype_id, name1, name2) a record mentions, as raw text, by record type."""
-    return _pick(_naming(), rec_types)
+def mentioned_names(rec_types=None, kinds=None) -> Column:
+    """Array of (objecttype_id, name1, name2) a record mentions, as raw text, by record type.
+
+    With ``kinds`` the names of other object types may be left out.
+    """
+    return _pick(_naming() if kinds is None else _of_kinds(_naming(), kinds), rec_types)
 
 
 _NAME_TYPES = {"objecttype_id": "int", "name1": "string", "name2": "string"}
@@ -198,9 +212,10 @@ STORED_NAMES = {
 }
 
 
-def object_names(events: DataFrame, rec_types=None, cutoff: DataFrame | None = None) -> DataFrame:
-    """Distinct names of the records that are stored, reduced inside each task before the shuffle."""
-    wanted = [t for t in NAMING_TYPES if rec_types is None or t in rec_types]
+def object_names(events: DataFrame, rec_types=None, cutoff: DataFrame | None = None, kinds=None) -> DataFrame:
+    """Distinct names (of some object types) of the records that are stored, reduced inside each task before the shuffle."""
+    naming = _naming() if kinds is None else _of_kinds(_naming(), kinds)
+    wanted = [t for t in NAMING_TYPES if t in naming and (rec_types is None or t in rec_types)]
     if not wanted:
         return events.limit(0).select(
             "instance_id", *[F.lit(None).cast(kind).alias(name) for name, kind in _NAME_TYPES.items()]
@@ -210,8 +225,10 @@ def object_names(events: DataFrame, rec_types=None, cutoff: DataFrame | None = N
         stored = stored.where((F.col("rec_type") != kind) | STORED_NAMES[kind](wire.code(1)))
     gated = ", ".join(map(str, GATED_NAMES))
     second = F.expr(f"IF(rec_type IN ({gated}), {wire.seconds_sql(wire.raw_sql(4))}, {2**62})")
-    names = realtime_gate(stored, cutoff, second).select("instance_id", F.explode(mentioned_names(wanted)).alias("n"))
+    names = realtime_gate(stored, cutoff, second).select("instance_id", F.explode(mentioned_names(wanted, kinds)).alias("n"))
     names = names.select("instance_id", "n.*").where("name1 <> '' OR name2 <> ''")
+    if kinds is not None:
+        names = names.where(F.col("objecttype_id").isin(*kinds))
     return _unescaped(names.distinct())
 
 
@@ -286,9 +303,11 @@ def build_objects(
     restarts: DataFrame | None = None,
     stored: DataFrame | None = None,
     rec_types=None,
+    kinds=None,
 ) -> DataFrame:
-    """Objects dimension.  ``rec_types`` narrows the work when the events are known to hold only some."""
-    objects = get_or_insert_objects(object_names(events, rec_types, cutoff), stored)
+    """Objects dimension.  ``rec_types`` narrows the work when the events are known to hold only some, ``kinds`` the result
+    to some object types."""
+    objects = get_or_insert_objects(object_names(events, rec_types, cutoff, kinds), stored)
     activating = rec_types is None or bool(set(rec_types) & set(ACTIVATING_TYPES))
     if not activating and restarts is None:
         return objects

@@ -143,5 +143,10 @@ def attribute(kind: str, key: int) -> Column:
     raise ValueError(f"unknown column kind {kind!r}")
 
 
+def part(layout: str, wanted) -> str:
+    """The layout of some of the columns, in the same order."""
+    return ",".join(" ".join(map(str, item if item[2] is not None else item[:2])) for item in parse(layout) if item[0] in wanted)
+
+
 def names(layout: str) -> list[str]:
     return [name for name, _, _ in parse(layout)]

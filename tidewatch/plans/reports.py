@@ -72,6 +72,43 @@ OTHER_REPORTS = (
 REPORTS = tuple(sorted([*OBJECT_REPORTS, *OTHER_REPORTS]))
 
 
+def _used_members(group: str, member: str, entity: str) -> dict[str, tuple[str, ...]]:
+    return {
+        f"{group}s": ("instance_id", f"{group}_id", f"{group}_object_id", "alias", "config_type"),
+        f"{group}_members": (f"{group}_id", member), entity: (member, "config_type"),
+    }
+
+
+_NOTIFIED = ("notification_id", "instance_id", "object_id")
+#: report -> table -> the columns it reads; of other tables it reads all
+USED = {
+    "contacts": {"contacts": ("instance_id", "contact_object_id", "config_type")},
+    "contact_status": {"contacts": ("instance_id", "contact_object_id", "config_type")},
+    "hosts": {"hosts": ("instance_id", "host_object_id", "config_type")},
+    "host_status": {"hosts": ("instance_id", "host_object_id", "config_type")},
+    "services": {"services": ("instance_id", "host_object_id", "service_object_id", "config_type")},
+    "service_status": {"services": ("instance_id", "host_object_id", "service_object_id", "config_type")},
+    "hostgroup_membership": _used_members("hostgroup", "host_object_id", "hosts"),
+    "servicegroup_membership": _used_members("servicegroup", "service_object_id", "services"),
+    "contactgroup_membership": _used_members("contactgroup", "contact_object_id", "contacts"),
+    "contact_notifications": {"notifications": _NOTIFIED},
+    "contact_notification_methods": {"notifications": _NOTIFIED},
+}
+
+
+#: report -> the object types whose names it shows
+KINDS = {
+    "contacts": (10,), "contact_status": (10,), "hosts": (1,), "host_status": (1,), "services": (2,), "service_status": (2,),
+    "hostgroup_membership": (3, 1), "servicegroup_membership": (4, 2), "contactgroup_membership": (11, 10),
+    **{name: (spec.objecttype,) for name, spec in OBJECT_REPORTS.items() if spec.objecttype is not None},
+}
+
+
+def used(name: str, table: str) -> tuple[str, ...] | None:
+    """Columns of a table that a report reads, None for all."""
+    return USED.get(name, {}).get(table)
+
+
 def _sorted(rows: DataFrame, order, limit: int | None) -> DataFrame:
     keys = [F.col(c[1:]).desc() if c.startswith("-") else F.col(c).asc() for c in order]
     out = rows.orderBy(*keys)

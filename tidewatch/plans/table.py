@@ -14,6 +14,8 @@ from ..operators.upsert import upsert
 from . import columns
 
 EVENT = ("arrival", "chunk", "session")
+#: what a record's columns are cut out of
+RECORD = ("instance_id", "rec_type", "config_type", "arrival", "body")
 
 
 @dataclass
@@ -114,14 +116,51 @@ class Table:
             out = maintenance.after_restart(out, ctx.restarts)
         return out
 
-    def rows(self, events: DataFrame, ctx: Context | None = None) -> DataFrame:
-        """Typed rows with their arrival, before updates are folded together."""
+    @property
+    def late(self) -> bool:
+        """Whether the records that decide about a row can be found by its keys and arrival alone."""
+        return bool(self.keys) and self.finish_with is None and self.rows_from is None and self.explode is None
+
+    def rows(self, events: DataFrame, ctx: Context | None = None, only=None) -> DataFrame:
+        """Typed rows with their arrival, before updates are folded together.
+
+        ``only`` names the columns that are wanted; of plain tables no others are cut out of the records.
+        """
         picked = self.select_records(events, ctx)
         if self.rows_from is not None:
             return self.rows_from(picked, self)
-        return self.typed(picked)
-
-    def typed(self, picked: DataFrame) -> DataFrame:
+        return self.typed(picked, only)
+
+    def latest(self, events: DataFrame, ctx: Context | None = None, only=None) -> DataFrame:
+        """Rows with updates folded together as far as that is an upsert by keys, with the arrival of the last one.
+
+        Records are told apart by their keys, and only those that decide about a row are decoded further.
+        """
+        if not self.late:
+            return self.rows(events, ctx, only)
+        wanted = [c for c in self.column_names if only is None or c in only]
+        updated = [c for c in wanted if c not in self.keys and c not in self.insert_only and c != self.id_column]
+        kept = [c for c in wanted if c in self.insert_only]
+        picked = self.select_records(events, ctx)
+        record = F.struct(*[c for c in RECORD if c in picked.columns])
+        keyed = self.typed(picked, self.keys, [record.alias("_record")]).select(*self.keys, "arrival", "_record")
+        found = [F.max("arrival").alias("arrival")]
+        if updated:
+            found.append(F.max_by("_record", "arrival").alias("_last"))
+        if kept:
+            found.append(F.min_by("_record", "arrival").alias("_first"))
+        out, done = keyed.groupBy(*self.keys).agg(*found), [*self.keys, "arrival"]
+        for source, names in (("_last", updated), ("_first", kept)):
+            if names:
+                rest = F.struct(*done, *(["_first"] if source == "_last" and kept else [])).alias("_done")
+                out = self.typed(out.select(f"{source}.*", rest), names, [F.col("_done")], plain=True).select("_done.*", *names)
+                done += names
+        if self.id_column in wanted:
+            out = out.withColumn(self.id_column, self.key_id() if self.id_parts else arrival_id(self.name))
+        return out.select(*wanted, *[c for c in self.keys if c not in wanted], "arrival")
+
+    def typed(self, picked: DataFrame, only=None, more=(), plain: bool = False) -> DataFrame:
+        """Layout columns of records (those of ``only``), ``more`` columns and, unless ``plain``, the place of the record."""
         if self.explode is not None:
             picked = picked.select("*", F.posexplode(self.explode()).alias("_pos", "_item"))
         picked = with_names(picked)
@@ -129,7 +168,10 @@ class Table:
         if "config_type" in self.column_names:
             given["config_type"] = F.col("config_type")
         given.update(self.given())
-        late_id = self.id_column
+        late_id, layout = self.id_column, self.layout
+        if only is not None:
+            late_id = late_id if late_id in only else None
+            layout = columns.part(layout, {*only, *(self.id_parts if late_id else ())})
         if late_id:
             given[late_id] = F.lit(None).cast("bigint") if self.id_parts else arrival_id(self.name)
             if not self.id_parts and self.explode is not None:
@@ -140,8 +182,8 @@ class Table:
             carried = [F.struct(F.col("arrival"), F.col("_pos")).alias("arrival")] + [
                 F.col(c) for c in carried if c != "arrival"
             ]
-        extras = [self.given()[c].alias(c) for c in self.extra]
-        out = columns.project(picked, self.layout, given, [*extras, *carried])
+        extras = [self.given()[c].alias(c) for c in self.extra if only is None]
+        out = columns.project(picked, layout, given, [*extras, *([] if plain else carried), *more])
         if late_id and self.id_parts:
             out = out.withColumn(late_id, self.key_id())
         return out
@@ -163,8 +205,12 @@ class Table:
         kept = [c for c in EVENT if c in out.columns] if keep_order else []
         return out.select(*self.column_names, *kept)
 
-    def build(self, events: DataFrame, ctx: Context | None = None) -> DataFrame:
-        return self.finish(self.rows(events, ctx))
+    def build(self, events: DataFrame, ctx: Context | None = None, only=None) -> DataFrame:
+        """The table, or some columns of it."""
+        wanted = [c for c in self.column_names if only is None or c in only]
+        if self.late:
+            return self.latest(events, ctx, only).select(*wanted)
+        return self.finish(self.rows(events, ctx)).select(*wanted)
 
 
 def _id_part(name: str) -> Column:

@@ -16,10 +16,10 @@ SUBJECT = "CASE WHEN k % 2 = 1 THEN svc ELSE '' END"
 AS_OF_SEC = 1705320000  # 2024-01-15 12:00:00
 
 
-def tables_for(spark, sf_dir, events, names):
-    out = {n: warehouse.TABLES[n].build(events, Context()) for n in names}
+def tables_for(spark, sf_dir, events, names, report=None):
+    out = {n: warehouse.TABLES[n].build(events, Context(), reports.used(report, n)) for n in names}
     rec_types = {t for n in names for t in warehouse.TABLES[n].rec_types}
-    out["objects"] = dimensions.build_objects(events, rec_types=rec_types)
+    out["objects"] = dimensions.build_objects(events, rec_types=rec_types, kinds=reports.KINDS.get(report))
     out["instances"] = feeds.instances(spark, sf_dir)
     return out
 
@@ -62,7 +62,7 @@ def register_object_reports(names, table, make_events, rows_sql, extra_tables=()
     for name in names:
         def run(spark, sf_dir, name=name):
             events = make_events(spark, sf_dir)
-            tables = tables_for(spark, sf_dir, events, (table, *extra_tables))
+            tables = tables_for(spark, sf_dir, events, (table, *extra_tables), name)
             return reports.report(name, tables, as_of=F.timestamp_seconds(F.lit(AS_OF_SEC)))
 
         run.__doc__ = f"Report {name} over {table}."
@@ -217,7 +217,8 @@ def contact_notifications(spark, sf_dir):
     """Contact notifications with the notification they belong to."""
     events = contact_events(spark, sf_dir)
     return reports.report(
-        "contact_notifications", tables_for(spark, sf_dir, events, ("notifications", "contactnotifications"))
+        "contact_notifications",
+        tables_for(spark, sf_dir, events, ("notifications", "contactnotifications"), "contact_notifications")
     )
 
 
@@ -248,7 +249,8 @@ def contact_notification_methods(spark, sf_dir):
     """How each contact was notified."""
     events = contact_events(spark, sf_dir)
     return reports.report("contact_notification_methods", tables_for(
-        spark, sf_dir, events, ("notifications", "contactnotifications", "contactnotificationmethods")))
+        spark, sf_dir, events, ("notifications", "contactnotifications", "contactnotificationmethods"),
+        "contact_notification_methods"))
 
 
 # ---- comments: events add, load and delete ------------------------------------------------------
@@ -451,7 +453,7 @@ CONTACT_DEF = Feed(410, "contact", "s_suppkey", {
     WHERE c_custkey % 2 = 1""")
 def hosts(spark, sf_dir):
     """Hosts with a retained definition."""
-    return reports.report("hosts", tables_for(spark, sf_dir, HOST_DEF.records(spark, sf_dir), ("hosts",)))
+    return reports.report("hosts", tables_for(spark, sf_dir, HOST_DEF.records(spark, sf_dir), ("hosts",), "hosts"))
 
 
 @query("services", f"""SELECT t.inst AS instance_id, i.instance_name, {object_sql(1, 'host')} AS host_object_id,
@@ -460,7 +462,7 @@ def hosts(spark, sf_dir):
     WHERE c_custkey % 2 = 1""")
 def services(spark, sf_dir):
     """Services with a retained definition."""
-    return reports.report("services", tables_for(spark, sf_dir, SERVICE_DEF.records(spark, sf_dir), ("services",)))
+    return reports.report("services", tables_for(spark, sf_dir, SERVICE_DEF.records(spark, sf_dir), ("services",), "services"))
 
 
 @query("contacts", f"""SELECT t.inst AS instance_id, i.instance_name, {object_sql(10, 'contact')} AS contact_object_id,
@@ -468,7 +470,7 @@ def services(spark, sf_dir):
     LEFT JOIN ({INSTANCES_SQL}) i ON t.inst = i.instance_id WHERE s_suppkey % 2 = 1""")
 def contacts(spark, sf_dir):
     """Contacts with a retained definition."""
-    return reports.report("contacts", tables_for(spark, sf_dir, CONTACT_DEF.records(spark, sf_dir), ("contacts",)))
+    return reports.report("contacts", tables_for(spark, sf_dir, CONTACT_DEF.records(spark, sf_dir), ("contacts",), "contacts"))
 
 
 # ---- status -----------------------------------------------------------------------------------
@@ -508,7 +510,7 @@ def status_sql(feed, table, id_column, key, key_sql, ident, extra, keep):
 def service_status(spark, sf_dir):
     """Latest status of every service with a retained definition (flagship)."""
     events = union(SERVICE_STATUS.records(spark, sf_dir), SERVICE_DEF.records(spark, sf_dir))
-    return reports.report("service_status", tables_for(spark, sf_dir, events, ("servicestatus", "services")))
+    return reports.report("service_status", tables_for(spark, sf_dir, events, ("servicestatus", "services"), "service_status"))
 
 
 @query("host_status", status_sql(
@@ -517,7 +519,7 @@ def service_status(spark, sf_dir):
 def host_status(spark, sf_dir):
     """Latest status of every host with a retained definition."""
     events = union(HOST_STATUS.records(spark, sf_dir), HOST_DEF.records(spark, sf_dir))
-    return reports.report("host_status", tables_for(spark, sf_dir, events, ("hoststatus", "hosts")))
+    return reports.report("host_status", tables_for(spark, sf_dir, events, ("hoststatus", "hosts"), "host_status"))
 
 
 @query("contact_status", status_sql(
@@ -526,7 +528,7 @@ def host_status(spark, sf_dir):
 def contact_status(spark, sf_dir):
     """Latest status of every contact with a retained definition."""
     events = union(CONTACT_STATUS.records(spark, sf_dir), CONTACT_DEF.records(spark, sf_dir))
-    return reports.report("contact_status", tables_for(spark, sf_dir, events, ("contactstatus", "contacts")))
+    return reports.report("contact_status", tables_for(spark, sf_dir, events, ("contactstatus", "contacts"), "contact_status"))
 
 
 # ---- membership: each member sends its group's definition with itself listed --------------------
@@ -558,7 +560,8 @@ def hostgroup_membership(spark, sf_dir):
     """Hosts of each host group."""
     events = union(HOST_GROUP.records(spark, sf_dir), HOST_DEF.records(spark, sf_dir))
     return reports.report(
-        "hostgroup_membership", tables_for(spark, sf_dir, events, ("hostgroups", "hostgroup_members", "hosts")))
+        "hostgroup_membership",
+        tables_for(spark, sf_dir, events, ("hostgroups", "hostgroup_members", "hosts"), "hostgroup_membership"))
 
 
 @query("servicegroup_membership", membership_sql(
@@ -568,7 +571,7 @@ def servicegroup_membership(spark, sf_dir):
     """Services of each service group."""
     events = union(SERVICE_GROUP.records(spark, sf_dir), SERVICE_DEF.records(spark, sf_dir))
     return reports.report("servicegroup_membership", tables_for(
-        spark, sf_dir, events, ("servicegroups", "servicegroup_members", "services")))
+        spark, sf_dir, events, ("servicegroups", "servicegroup_members", "services"), "servicegroup_membership"))
 
 
 @query("contactgroup_membership", membership_sql(
@@ -578,7 +581,7 @@ def contactgroup_membership(spark, sf_dir):
     """Contacts of each contact group."""
     events = union(CONTACT_GROUP.records(spark, sf_dir), CONTACT_DEF.records(spark, sf_dir))
     return reports.report("contactgroup_membership", tables_for(
-        spark, sf_dir, events, ("contactgroups", "contactgroup_members", "contacts")))
+        spark, sf_dir, events, ("contactgroups", "contactgroup_members", "contacts"), "contactgroup_membership"))
 
 
 # ---- the order of reports: what a limit keeps -----------------------------------------------------
