@@ -557,7 +557,7 @@ def flapping_comment_time(spark, sf_dir):
     SELECT event_id, {stamp_sql('sec')} AS start_time FROM ({EV}) WHERE k % 5 IN (0, 1) AND sec >= 1706400000 - 10080 * 60""")
 def trim_history(spark, sf_dir):
     """Service checks younger than their retention age at a fixed time."""
-    rows = warehouse.TABLES["servicechecks"].rows(SERVICE_CHECK.records(spark, sf_dir))
+    rows = warehouse.TABLES["servicechecks"].rows(SERVICE_CHECK.records(spark, sf_dir), only=("start_time",))
     kept = maintenance.trim(rows, "servicechecks", F.timestamp_seconds(F.lit(1706400000)))
     return kept.select(F.col("arrival.offset").alias("event_id"), "start_time")
 
@@ -585,8 +585,8 @@ def deactivate_all(spark, sf_dir):
     FROM h LEFT JOIN s ON h.inst = s.inst""")
 def runtime_totals(spark, sf_dir):
     """Totals of hosts and services per instance."""
-    hosts = warehouse.TABLES["hosts"].build(HOST_DEF.records(spark, sf_dir))
-    services = warehouse.TABLES["services"].build(SERVICE_DEF.records(spark, sf_dir))
+    hosts = warehouse.TABLES["hosts"].build(HOST_DEF.records(spark, sf_dir), only=("instance_id",))
+    services = warehouse.TABLES["services"].build(SERVICE_DEF.records(spark, sf_dir), only=("instance_id",))
     return aggregates.runtime_totals(hosts, services)
 
 
