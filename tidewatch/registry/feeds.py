@@ -7,6 +7,7 @@ and table builders; ``typed_sql`` states the plain values the decoded rows must
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -177,6 +178,23 @@ def union(*frames: DataFrame) -> DataFrame:
     return out
 
 
+def in_parts(events: DataFrame, parts: int, files: int) -> Iterator[DataFrame]:
+    """Records in equal spans of their order, each dealt to ``files`` partitions that follow one another.
+
+    The bounds of the partitions are taken from the order alone, so no record is made for them.
+    """
+    offset = F.col("arrival.offset")
+    last = events.agg(F.max(offset)).first()[0] or 0
+    part = F.expr(f"arrival.offset * {parts} div {last + 1}")
+    shares = [i / files for i in range(1, files)] or [1.0]
+    bounds = dict(events.groupBy(part.alias("part")).agg(F.percentile_approx(offset, shares)).collect())
+    for number in range(parts):
+        place = F.lit(0)
+        for bound in sorted(set(bounds.get(number, [])))[:files - 1]:
+            place = place + (offset > bound).cast("int")
+        yield events.where(part == number).repartitionById(files, place).sortWithinPartitions("arrival")
+
+
 # ---- oracle fragments -------------------------------------------------------------------------
 def hash_sql(*parts: str) -> str:
     texts = ", ".join(f"CAST({p} AS VARCHAR)" for p in parts)

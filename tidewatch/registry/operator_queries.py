@@ -16,7 +16,7 @@ from ..session import ensure_checkpoint_dir
 from ..sources import archive, dump
 from . import feeds
 from .entries import query
-from .feeds import Feed, object_sql, row_sql, source_sql, stamp_sql, union
+from .feeds import Feed, in_parts, object_sql, row_sql, source_sql, stamp_sql, union
 from .report_queries import (
     COMMENT, FLAPPING, HOST_DEF, SERVICE_DEF, SERVICE_STATUS, STATE, SUBJECT, TV, latest_sql,
 )
@@ -146,10 +146,7 @@ def union_instances(spark, sf_dir):
 def file_order(spark, sf_dir):
     """The last record of each service over eleven rotated files, of which the one numbered 10 is the latest."""
     path, records = _folder(spark, "dump"), _NUMBERED.records(spark, sf_dir)
-    last = records.agg(F.max("arrival.offset")).first()[0] or 0
-    for number in range(11):
-        rotation = records.where(F.expr(f"arrival.offset * 11 div {last + 1} = {number}"))
-        rotation = rotation.repartitionByRange(4, "arrival").sortWithinPartitions("arrival")
+    for number, rotation in enumerate(in_parts(records, 11, 4)):
         dump.write_dump(rotation, f"{path}/f{number}")
     read = dump.records(dump.read_dump(spark, f"{path}/f*")).where("rec_type = 223").select(
         "arrival", F.expr(wire.number_sql(wire.raw_sql(18), "bigint")).alias("event_id"), wire.attr(53).alias("host"),

@@ -13,7 +13,7 @@ from ..sources import dump
 from ..streaming import ingest
 from ..streaming.store import Store
 from .entries import query
-from .feeds import Feed, object_sql, source_sql, stamp_sql, union
+from .feeds import Feed, in_parts, object_sql, source_sql, stamp_sql, union
 from .report_queries import _QUEUE_ROWS, _T_MATCH, SERVICE_STATUS, TIMED, latest_sql
 from .table_queries import SERVICE_CHECK
 
@@ -28,20 +28,18 @@ def _drained(spark, sf_dir, events, parts: int = 3, **more) -> Store:
     """Write records as dump files, one part after the other in arrival order, and ingest a part per micro-batch."""
     work = _work(spark)
     files = spark.sparkContext.defaultParallelism
-    last = events.agg(F.max("arrival.offset")).first()[0] or 0
-    for part in range(parts):
-        here = events.where(F.expr(f"arrival.offset * {parts} div {last + 1} = {part}"))
-        here = here.repartitionByRange(files, "arrival").sortWithinPartitions("arrival")
-        dump.write_dump(here, f"{work}/in", mode="append")
+    for part in in_parts(events, parts, files):
+        dump.write_dump(part, f"{work}/in", mode="append")
     run = ingest.start(
         spark, f"{work}/in", f"{work}/out", f"{work}/checkpoint", max_files=files, available_now=True, **more)
     run.awaitTermination()
     return Store(spark, f"{work}/out")
 
 
-def _fed(spark, work: str, sender: str, events) -> Store:
+def _fed(spark, work: str, sender: str, events, compression: str = "none") -> Store:
     """Drain records, sent by the instances they name, through an ingest query of their own into a shared store."""
-    dump.write_dump(events.withColumn("instance_name", F.concat(F.lit("i"), "instance_id")), f"{work}/{sender}")
+    named = events.withColumn("instance_name", F.concat(F.lit("i"), "instance_id"))
+    dump.write_dump(named, f"{work}/{sender}", compression=compression)
     ingest.start(spark, f"{work}/{sender}", f"{work}/out", f"{work}/checkpoint-{sender}", available_now=True).awaitTermination()
     return Store(spark, f"{work}/out")
 
@@ -138,14 +136,14 @@ def stream_two_writers(spark, sf_dir):
 @query("stream_replay", _CHECK_SQL + f"""
     UNION ALL SELECT concat('i', inst), {stamp_sql('sec')}, concat('state ', event_id) FROM ({EV}) WHERE k % 10 <> 0""")
 def stream_replay(spark, sf_dir):
-    """Append tables after every file has been delivered twice, in different batches and sessions."""
+    """Append tables after every compressed file has been delivered twice, in different batches and sessions."""
     states = Feed(223, "ev", "event_id", {
         1: "CASE WHEN k % 10 = 0 THEN 1800 ELSE 1801 END", 4: ("sec", "usec"), 120: "0", 53: "host", 95: "concat('state ', event_id)"})
     events, work = union(_NUMBERED_CHECK.records(spark, sf_dir), states.records(spark, sf_dir)), _work(spark)
-    _fed(spark, work, "first", events)
+    _fed(spark, work, "first", events, "gzip")
     # other files and sessions of the same records, in chunks of another size
     again = events.withColumn("chunk", F.struct("chunk.file", F.expr("arrival.offset div 3000").cast("bigint").alias("n")))
-    store = _fed(spark, work, "again", again)
+    store = _fed(spark, work, "again", again, "gzip")
     checks = ingest.read_table(store, "servicechecks").select("instance_id", "start_time", "command_line")
     changes = ingest.read_table(store, "statehistory").select("instance_id", F.col("state_time"), F.col("output"))
     return _named(store, checks.union(changes)).select("instance_name", "start_time", "command_line")

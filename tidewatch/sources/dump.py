@@ -162,12 +162,17 @@ def decode(frames: DataFrame, keep_types=None, batch: int = 0, instance_name: st
     here = Window.partitionBy("file", "block").orderBy("seq")
     upto = here.rowsBetween(Window.unboundedPreceding, 0)
     before = here.rowsBetween(Window.unboundedPreceding, -1)
+    # what the split inherits is added behind the windows, so that it is neither shuffled nor sorted with every record
     carried = (
-        framed.join(splits, ["file", "block"])
-        .withColumn("offset", F.col("base") + F.coalesce(F.sum("len").over(before), F.lit(0)))
-        .withColumn("number", F.col("hellos_in") + F.sum("hellos").over(upto))
-        .withColumn("header", F.coalesce(F.last("header", ignorenulls=True).over(upto), "header_in"))
-        .withColumn("config_type", F.coalesce(F.last("dump", ignorenulls=True).over(upto), "dump_in", F.lit(0)))
+        framed.withColumn("_before", F.coalesce(F.sum("len").over(before), F.lit(0)))
+        .withColumn("_hellos", F.sum("hellos").over(upto))
+        .withColumn("_header", F.last("header", ignorenulls=True).over(upto))
+        .withColumn("_dump", F.last("dump", ignorenulls=True).over(upto))
+        .join(splits, ["file", "block"])
+        .withColumn("offset", F.col("base") + F.col("_before"))
+        .withColumn("number", F.col("hellos_in") + F.col("_hellos"))
+        .withColumn("header", F.coalesce("_header", "header_in"))
+        .withColumn("config_type", F.coalesce("_dump", "dump_in", F.lit(0)))
     )
     if instance_name is not None:
         header = {"protocol": F.lit(wire.PROTOCOL_VERSION), "instance_name": F.lit(instance_name)}

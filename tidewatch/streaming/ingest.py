@@ -27,7 +27,7 @@ from ..operators import aggregates, dimensions, filters, maintenance
 from ..plans import history, warehouse
 from ..plans.table import Context, Table, event_second
 from ..sources import dump
-from .store import Conflict, State, Store
+from .store import CODEC, Conflict, State, Store
 
 # tables written at the same time
 JOBS = 8
@@ -45,7 +45,7 @@ STORED_AS = {
 FOLDED_BY = {"comments": history.COMMENT_KEYS, "scheduleddowntime": ("object_id", "entry_time")}
 #: content of stored records
 KEYS = "record_keys"
-#: replayed (key, session) pairs sent to all workers; more are joined by a shuffle
+#: sessions with replays that are sent to all workers; more are joined by a shuffle
 SENT_REPLAYS = 200_000
 #: batches that may hold rows of a closed day before its files are made one
 DAY_FILES = 24
@@ -167,7 +167,8 @@ def _commit_batch(store: Store, base: State, frames: DataFrame, batch: int, cuto
                 store.append_history(table.name, rows, batch, table.date_column)
             return None
         keys = bucket_keys(table)
-        cells = cleared(table.name) | (_cells_of(store, table.rows(events, ctx), keys) if touched else set())
+        cells = cleared(table.name) | (
+            _cells_of(store, table.rows(events, ctx, ("instance_id", *keys)), keys) if touched else set())
         if not cells:
             return None
         rows = fold(table, store.snapshot(table.name, base, cells), events, ctx)
@@ -237,35 +238,54 @@ def first_deliveries(store: Store, base: State, events: DataFrame, batch: int) -
 
     Equal records of one session are told apart by their number: a session that sends a record n times brings
     those beyond the most that any session before it sent.  Counts are stored by day of the record, and only the
-    days of the batch are read again.
+    days of the batch are read again.  Sessions that bring nothing new are left out as a whole; records are looked up
+    one by one only in sessions that repeat some and bring others, and what these bring is written once.
     """
-    keyed = _content_key(events)
-    counted = keyed.groupBy("key", "session").agg(
-        F.count("*").alias("n"), F.min("arrival").alias("first"), F.min(wire.from_epoch(event_second())).alias("_time"))
-    store.append_history(KEYS, counted.withColumn("instant", F.col("_time")).drop("_time"), batch, "instant")
+    # the files of one batch, at most ``max_files``, by number in their order; numbers stand for their names in the counts
+    files = sorted(r[:] for r in events.select("arrival.rank", "arrival.file").distinct().collect())
+    numbers = F.broadcast(store.spark.createDataFrame(
+        [(i, file) for i, (_, file) in enumerate(files)], "file_no int, _name string"))
+    keyed = _content_key(events).join(numbers, F.col("session.file") == F.col("_name")).withColumn("session_no", F.col("session.number"))
+    session = ["file_no", "session_no"]
+    counted = keyed.groupBy("key", *session).agg(
+        F.count("*").alias("n"), F.min("arrival.offset").alias("first"), F.min(wire.from_epoch(event_second())).alias("_time"))
+    store.append_history(KEYS, counted.withColumn("instant", F.col("_time")).drop("_time"), batch, "instant", spread=False)
     here = store.spark.read.schema(counted.drop("_time").schema).parquet(
         f"{store.root}/history/{KEYS}/writer={store.writer}/batch={batch}")
     days = store.days_of(KEYS, batch)
     earlier = store.history(KEYS, days=days, state=base)
-    before = Window.partitionBy("key").orderBy("first").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("key").orderBy("file_no", "first").rowsBetween(Window.unboundedPreceding, -1)
     counted = here.withColumn("_sent", F.coalesce(F.max("n").over(before), F.lit(0)))
     if earlier is not None:
         known = earlier.groupBy("key").agg(F.max("n").alias("_known"))
         counted = counted.join(known, "key", "left").withColumn("_sent", F.greatest("_sent", F.coalesce("_known", F.lit(0))))
-    again = counted.where("_sent > 0").select("key", "session", "_sent", "n")
-    path = f"{store.root}/decoded/writer={store.writer}/replays={batch}"
-    again.write.mode("overwrite").parquet(path)
-    again = store.spark.read.schema(again.schema).parquet(path)
-    many = again.count()
-    if not many:
+    folder = f"{store.root}/decoded/writer={store.writer}"
+    again = _saved(store, counted.where("_sent > 0").select("key", *session, "_sent", "n"), f"{folder}/replays={batch}")
+    met = again.groupBy(*session).agg(F.count_if(F.col("n") <= F.col("_sent")).alias("_old"))
+    met = met.join(here.groupBy(*session).agg(F.count("*").alias("_all")), session).join(numbers, "file_no").select(
+        F.struct(F.col("_name").alias("file"), F.col("session_no").alias("number")).alias("session"),
+        (F.col("_old") < F.col("_all")).alias("_mixed"))
+    met = _saved(store, met, f"{folder}/replayed={batch}")
+    kinds = {r["_mixed"]: r["count"] for r in met.groupBy("_mixed").count().collect()}
+    if not kinds:
         return events
-    sent = F.broadcast(again) if many <= SENT_REPLAYS else again
-    marked = keyed.join(sent, ["key", "session"], "left")
+    sent = F.broadcast(met) if sum(kinds.values()) <= SENT_REPLAYS else met
+    is_keyed = F.col("rec_type").isin(*KEYED_TYPES)
+    kept = events.where(~is_keyed).unionByName(events.where(is_keyed).join(sent, "session", "left_anti").select(events.columns))
+    if True not in kinds:
+        return kept
+    mixed = keyed.join(sent.where("_mixed"), "session", "left_semi")
+    marked = mixed.join(again, ["key", *session], "left")
     # only where a session sends a record more often than before does it matter which ones are new
-    nth = F.row_number().over(Window.partitionBy("key", "session").orderBy("arrival"))
+    nth = F.row_number().over(Window.partitionBy("key", *session).orderBy("arrival"))
     more = marked.where("_sent IS NOT NULL AND n > _sent").withColumn("_nth", nth).where("_nth > _sent")
-    kept = marked.where("_sent IS NULL").select(events.columns).unionByName(more.select(events.columns))
-    return events.where(~F.col("rec_type").isin(*KEYED_TYPES)).unionByName(kept)
+    fresh = marked.where("_sent IS NULL").select(events.columns).unionByName(more.select(events.columns))
+    return kept.unionByName(_saved(store, fresh, f"{folder}/fresh={batch}", "rec_type"))
+
+
+def _saved(store: Store, rows: DataFrame, path: str, *by: str) -> DataFrame:
+    rows.write.mode("overwrite").partitionBy(*by).parquet(path, compression=CODEC)
+    return store.spark.read.schema(rows.schema).parquet(path).select(rows.columns)
 
 
 def _stored_lines(store: Store, base: State, rows: DataFrame) -> DataFrame | None:
@@ -278,10 +298,12 @@ def _stored_lines(store: Store, base: State, rows: DataFrame) -> DataFrame | Non
 
 def fold(table: Table, stored: DataFrame | None, events: DataFrame, ctx) -> DataFrame:
     """Snapshot of a table after a batch, with the arrival of each row."""
-    rows = table.rows(events, ctx)
+    rows = table.latest(events, ctx)
     if stored is not None:
         kept = maintenance.after_restart(stored, ctx.restarts)
         rows = rows.unionByName(as_operations(table, kept, rows), allowMissingColumns=True)
+    elif table.late:
+        return rows
     return table.finish(rows, keep_order=True).drop("chunk", "session")
 
 

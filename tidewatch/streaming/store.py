@@ -35,6 +35,8 @@ DAY = "_day"
 #: days of a batch named one by one in a filter; more are given as a range
 NAMED_DAYS = 400
 
+#: how stored files are compressed
+CODEC = "zstd"
 #: commits whose files are kept for readers and slow writers
 KEPT = 8
 
@@ -239,7 +241,7 @@ class Store:
         """Write the rows of some cells; gives each cell's folder, none for cells without rows."""
         folder, root = f"{self.writer}.{batch}", f"{self.root}/current/{table}"
         dealt = rows.withColumn("bucket", self.bucket(keys)).hint("rebalance", "instance_id", "bucket")
-        dealt.write.mode("overwrite").partitionBy("instance_id", "bucket").parquet(f"{root}/commit={folder}")
+        dealt.write.mode("overwrite").partitionBy("instance_id", "bucket").parquet(f"{root}/commit={folder}", compression=CODEC)
         self._write(f"{root}/_schema", rows.schema.json())
         wrote = {
             f"{i.removeprefix('instance_id=')}/{b.removeprefix('bucket=')}"
@@ -271,17 +273,20 @@ class Store:
     # ---- records and histories ------------------------------------------------------------------
     def save_decoded(self, decoded: DataFrame, batch: int) -> DataFrame:
         path = f"{self.root}/decoded/writer={self.writer}/batch={batch}"
-        decoded.hint("rebalance", "rec_type").write.mode("overwrite").partitionBy("rec_type").parquet(path)
+        # rows come from bounded splits, gathered where these are small, so they are written where they are
+        decoded.write.mode("overwrite").partitionBy("rec_type").parquet(path, compression=CODEC)
         return self.spark.read.schema(decoded.schema).parquet(path)
 
-    def append_history(self, table: str, rows: DataFrame, batch: int, date_column: str | None) -> None:
+    def append_history(self, table: str, rows: DataFrame, batch: int, date_column: str | None, spread: bool = True) -> None:
+        """Write a batch's rows by day.  Rows that have been shuffled already need not be ``spread`` evenly."""
         path = f"{self.root}/history/{table}/writer={self.writer}/batch={batch}"
         self._write(f"{self.root}/history/{table}/_schema", rows.schema.json())
         if date_column is None:
-            rows.write.mode("overwrite").parquet(path)
+            rows.write.mode("overwrite").parquet(path, compression=CODEC)
             return
         dated = rows.withColumn("event_date", F.coalesce(F.to_date(date_column), F.lit("1970-01-01").cast("date")))
-        dated.hint("rebalance", "event_date").write.mode("overwrite").partitionBy("event_date").parquet(path)
+        dated = dated.hint("rebalance", "event_date") if spread else dated
+        dated.write.mode("overwrite").partitionBy("event_date").parquet(path, compression=CODEC)
 
     def _batches(self, table: str, state: State) -> list[tuple[str, int]]:
         root, out = f"{self.root}/history/{table}", []
@@ -367,7 +372,7 @@ class Store:
         number = time.time_ns() // 1000
         rows = rows.drop("writer", "batch", "event_date").withColumn("event_date", F.lit(day).cast("date"))
         path = f"{self.root}/history/{table}/writer={DAY}/batch={number}"
-        rows.hint("rebalance", "event_date").write.mode("overwrite").partitionBy("event_date").parquet(path)
+        rows.hint("rebalance", "event_date").write.mode("overwrite").partitionBy("event_date").parquet(path, compression=CODEC)
         return [number, dict(state.done)]
 
     def sweep_days(self, table: str, keep: int = KEPT) -> list[str]:
