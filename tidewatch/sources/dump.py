@@ -118,7 +118,7 @@ def parse_footer(frame) -> Column:
     text = F.concat(F.lit("\n"), wire.as_col(frame))
     before_next = F.substring_index(text, "\nHELLO\n", 1)
     return F.when(
-        before_next.rlike(r"(?dm)^1000$"),
+        F.contains(F.concat(before_next, F.lit("\n")), F.lit("\n1000\n")),
         wire.from_epoch(wire.to_long(F.regexp_extract(before_next, r"(?dm)^ENDTIME: ?(.*)$", 1))),
     )
 
