@@ -1,8 +1,10 @@
+import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidewatch.llm import ngram_join
-from tidewatch.llm.common import save
+from tidewatch.llm import language_id, ngram_join
+from tidewatch.llm.common import BATCH_BYTES, save
 
 from .test_documents import components_by_hand
 
@@ -50,3 +52,14 @@ def test_clashing_columns_null_ids_and_repeats(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
     linked = ngram_join.link(spark, docs)
     assert linked.count() == 5
+
+
+def test_rows_go_to_workers_in_batches_bounded_by_bytes(spark):
+    rows = spark.range(3000, numPartitions=1).selectExpr("id AS doc_id", "repeat('some words ', 1000) AS text")
+
+    @F.pandas_udf("long")
+    def taken(texts: pd.Series) -> pd.Series:
+        return pd.Series([texts.str.len().sum()] * len(texts))
+
+    language_id.predict(rows, language_id.train([], []))
+    assert rows.select(taken("text").alias("n")).agg(F.max("n")).first()[0] <= 2 * BATCH_BYTES

@@ -32,6 +32,22 @@ def save(spark: SparkSession, frame: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+#: bytes of the rows that one batch sends to a Python worker
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Cut what goes to Python workers by bytes, unless the session asks for less.
+
+    Spark's bound is 64 MB: each task then holds that much in Arrow buffers, and its worker several times that in Python
+    objects, and both processes keep what they once took.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    size = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name))
+    if not 0 < size <= BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def sent_if_small(frame: DataFrame, most: int) -> DataFrame:
     """A frame of keys marked for broadcast if it has at most ``most`` rows; otherwise the planner joins it."""
     return F.broadcast(frame) if frame.count() <= most else frame

@@ -34,6 +34,8 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 WIDTH, SHORTEST = 8, 4
 #: windows of the benchmark that are sent to the workers to drop what can't match before the join (50 MB); beyond
 #: this many the documents' windows all go to the join
@@ -229,6 +231,8 @@ def text_windows(words: tuple, lengths: list[int] | None, sent: tuple | None, wi
 
 
 def _windows(rows: DataFrame, key: str, text: str, lengths: list[int] | None, sent, width: int) -> DataFrame:
+    small_batches(rows.sparkSession)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = Words()
         for batch in batches:

@@ -23,6 +23,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 BUCKETS, ORDERS = 1 << 14, (1, 2, 3, 4)
 #: bytes of a text that are hashed at a time
 PIECE = 1 << 20
@@ -137,6 +139,7 @@ def fit(rows: DataFrame, learn: Column, key: str = "doc_id", text: str = "text",
     sizes = {r["lang"]: r["count"] for r in labelled.groupBy(F.col(lang).alias("lang")).count().collect()}
     if not sizes:
         return train([], [])
+    small_batches(rows.sparkSession)
     each = min(per_language, max(1, most_rows // len(sizes)))
     shares = {name: min(1.0, each / sizes[name]) for name in sorted(sizes)}
     place = (F.xxhash64(F.col(key)).cast("double") / 2.0**64) + 0.5
@@ -164,6 +167,7 @@ def fit(rows: DataFrame, learn: Column, key: str = "doc_id", text: str = "text",
 
 def predict(rows: DataFrame, model: LanguageModel, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows' columns, then lang_pred, score and accepted; the model (2 MB at most a language) is sent to workers."""
+    small_batches(rows.sparkSession)
     sent = rows.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double, accepted boolean")

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo
+from .common import Memo, small_batches
 
 MARK = "▁"
 #: piece types of the model file (fixed values)
@@ -411,6 +411,7 @@ def _model(blob: bytes) -> PieceModel:
 
 def _broadcast(rows: DataFrame, model_file: str):
     """The model's bytes (some 0.5 MB), read by the driver."""
+    small_batches(rows.sparkSession)
     with open(model_file, "rb") as file:
         return rows.sparkSession.sparkContext.broadcast(file.read())
 

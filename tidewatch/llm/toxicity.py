@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import save
+from .common import save, small_batches
 
 #: sentence ends as line feeds, other ASCII punctuation as spaces; lengths stay
 _PLAIN = bytes(10 if chr(c) in ".!?\n\r" else 32 if c < 128 and not chr(c).isalnum() else c for c in range(256))
@@ -209,6 +209,7 @@ def fit(rows: DataFrame, labels: DataFrame, learn: Column, key: str = "doc_id",
     sample = rows.select(F.col(key), F.col(text).alias("_text")).join(F.broadcast(chosen), key).groupBy(
         F.col(key).cast("string").alias("key"), "_label", place.alias("_place")).agg(F.min("_text").alias("_text"))
     spark = rows.sparkSession
+    small_batches(spark)
     sample = save(spark, sample.select(
         "key", "_label", "_place", F.coalesce(F.octet_length("_text"), F.lit(0)).alias("_bytes"), "_text").mapInArrow(
         _cut_rows, "key string, _label int, _place double, _bytes int, codes array<long>, sizes array<int>"), "toxic-sample")
@@ -235,6 +236,7 @@ def fit(rows: DataFrame, labels: DataFrame, learn: Column, key: str = "doc_id",
 
 def score(rows: DataFrame, model: ToxicityModel, text: str = "text", threshold: float = 0.3) -> DataFrame:
     """The rows' columns, then score, predicted and the offending sentences' byte ranges and scores."""
+    small_batches(rows.sparkSession)
     sent = rows.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("score double, offending array<struct<begin:int,end:int,score:double>>")
