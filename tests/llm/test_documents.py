@@ -57,6 +57,36 @@ def test_join_against_all_pairs(spark, texts, width, percent):
     assert got == components_by_hand(rows, width, percent)
 
 
+def test_join_by_blocks_of_a_list(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK", 3)
+    rnd = random.Random(8)
+    passage = [f"p{i}" for i in range(40)]
+    rows = []
+    for i in range(60):  # copies about as far apart as the similarity allows
+        words = [rnd.choice(passage[:4]) if rnd.random() < 0.04 else w for w in passage]
+        rows.append((i * 7 % 60, " ".join(words)))
+    got = ngram_join.link(spark, spark.createDataFrame(rows, "doc_id long, text string"), 4, 85)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == components_by_hand(rows, 4, 85)
+
+
+def test_join_writes_no_pairs_that_classes_tell_apart(spark, monkeypatch):
+    rnd = random.Random(9)
+    passage = " ".join(f"p{i}" for i in range(60))  # so much of each text that all meet on its shingles
+    rows = [(i, passage + " " + " ".join(f"w{rnd.randrange(10**6)}" for _ in range(8))) for i in range(150)]
+    written, save = [], ngram_join.save
+
+    def counted(spark, frame, label):
+        out = save(spark, frame, label)
+        if label == "pairs":
+            written.append(out.count())
+        return out
+
+    monkeypatch.setattr(ngram_join, "save", counted)
+    got = ngram_join.link(spark, spark.createDataFrame(rows, "doc_id long, text string"), 4, 85)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == components_by_hand(rows, 4, 85)
+    assert written[-1] <= len(rows)
+
+
 def test_join_edge_rows(spark):
     text = "one two three four five six seven eight"
     rows = [(5, text), (5, text), (None, text), (None, "only a null id here of course"), (9, None), (8, "")]

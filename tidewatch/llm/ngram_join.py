@@ -10,7 +10,8 @@ The search goes in three rounds.  First each document is asked for by one other,
 short lists, which links most of a group of near copies without pairing them.  Then the leader of each short list asks
 for those on it that still lie in other components.  Last, lists whose documents lie in different components are
 searched by all their documents outside the list's largest component: every link that could join two components has
-such an end.  A search heap-merges the query's short lists, counts how often each
+such an end.  Such a list is cut into blocks whose pairs are told apart where they meet, by the class counts that come
+with its rows, so that only pairs with room for T are written.  A search heap-merges the query's short lists, counts how often each
 candidate stands on them, and probes the long ones by binary search in the candidate's sorted shingles until T is
 reached or out of reach.
 
@@ -33,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import save, sent_if_small
+from .common import save, sent_if_small, small_batches
 from .components import components
 
 #: share of the documents from which list lengths are estimated, and the most shingles told apart as frequent (8 MB)
@@ -42,6 +43,8 @@ SAMPLE, FREQUENT = 1 / 16, 1_000_000
 PART = 256
 #: ids that are sent to where the rows are read (some 20 MB); more of them are joined
 SENT_IDS = 500_000
+#: documents of a list that meet those of another block, or each other, in one unit of work
+BLOCK = 2048
 #: classes a document's shingles are counted in, which bounds what two documents can share
 CLASSES = 128
 MEMO = 400_000
@@ -101,18 +104,25 @@ def _sketch(shingles: np.ndarray) -> bytes:
     return np.minimum(counts, 255).astype(np.uint8).tobytes()
 
 
+def _classes(sketches: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(sketches.to_pylist()), dtype=np.uint8).reshape(-1, CLASSES)
+
+
+def _room(x: np.ndarray, y: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int) -> np.ndarray:
+    """Whether the classes of sets of these sizes leave room for the required overlap."""
+    most = np.minimum(left, right).sum(axis=1, dtype=np.int64)
+    full = (np.maximum(left, right) == 255).any(axis=1)  # counts that are not known
+    return full | (most * (100 + percent) >= percent * (x + y))
+
+
 def _plausible(percent: int):
-    """Rows (a, b, keys, both sizes, both sketches): those whose classes leave room for the required overlap."""
+    """Rows (a, b, key, both sizes, both sketches): those whose classes leave room for the required overlap."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             x, y = (np.asarray(batch.column(i), dtype=np.int64) for i in (3, 4))
-            left, right = (np.frombuffer(b"".join(batch.column(i).to_pylist()), dtype=np.uint8).reshape(-1, CLASSES)
-                           for i in (5, 6))
-            most = np.minimum(left, right).sum(axis=1, dtype=np.int64)
-            full = (np.maximum(left, right) == 255).any(axis=1)  # counts that are not known
-            keep = full | (most * (100 + percent) >= percent * (x + y))
+            keep = _room(x, y, _classes(batch.column(5)), _classes(batch.column(6)), percent)
             yield batch.select([0, 1, 2]).filter(pa.array(keep))
     return run
 
@@ -172,35 +182,60 @@ def _shared_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _open_pairs(percent: int):
-    """Rows (key, component, doc, n, hub) in this order: pairs (a asks b) that may still join two components."""
-    def pairs(key: int, rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        part, doc, n, hub = rows
-        names, counts = np.unique(part, return_counts=True)
-        outside = part != names[counts.argmax()]
-        for i in np.flatnonzero(outside & (doc != hub)):
-            fits = (part != part[i]) & (doc != hub) & (~outside | (doc > doc[i]))
-            fits &= 100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i])
-            if fits.any():
-                size = int(fits.sum())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(size, doc[i])), pa.array(doc[fits]), pa.array(np.full(size, key))],
-                    names=["a", "b", "key"])
+    """Rows (key, i, j, block, outside, component, doc, n, sketch) by key, i and j: pairs that may still join two components.
+
+    A unit (key, i, j) holds two blocks of a list, or one if i = j.  The end outside the list's largest component asks.
+    """
+    def pairs(key: int, i: int, j: int, rows: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        block, outside, part, doc, n, classes = rows
+        place = np.arange(len(doc))
+        for at in place if i == j else np.flatnonzero(block == i):
+            fits = (place > at if i == j else block == j) & (part != part[at])
+            if not outside[at]:
+                fits &= outside
+            fits &= 100 * np.minimum(n, n[at]) >= percent * np.maximum(n, n[at])
+            others = np.flatnonzero(fits)
+            if len(others):
+                others = others[_room(n[at], n[others], classes[at], classes[others], percent)]
+            if len(others):
+                asks = outside[at] & (~outside[others] | (doc[others] > doc[at]))
+                yield (np.where(asks, doc[at], doc[others]), np.where(asks, doc[others], doc[at]),
+                       np.full(len(others), key))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, parts = None, []
+        unit, parts = None, []
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+        def given() -> pa.RecordBatch:
+            out = [pa.array(np.concatenate(x)) for x in zip(*found)]
+            found.clear()
+            return pa.RecordBatch.from_arrays(out, names=["a", "b", "key"])
+
+        def ended() -> Iterator[pa.RecordBatch]:
+            for some in pairs(*unit, [np.concatenate(x) for x in zip(*parts)]):
+                found.append(some)
+                if len(found) >= _ROWS:
+                    yield given()
+
         for batch in batches:
-            columns = [np.asarray(batch.column(i)) for i in range(5)]
-            cuts = [0, *(np.flatnonzero(np.diff(columns[0])) + 1), batch.num_rows]
+            units = [np.asarray(batch.column(i)) for i in range(3)]
+            columns = [np.asarray(batch.column(3)), batch.column(4).to_numpy(zero_copy_only=False),
+                       *(np.asarray(batch.column(i)) for i in (5, 6, 7)), _classes(batch.column(8))]
+            changes = np.any([u[1:] != u[:-1] for u in units], axis=0)
+            cuts = [0, *(np.flatnonzero(changes) + 1), batch.num_rows]
             for a, b in zip(cuts, cuts[1:]):
                 if a == b:
                     continue
-                if columns[0][a] != key:
+                now = tuple(int(u[a]) for u in units)
+                if now != unit:
                     if parts:
-                        yield from pairs(key, [np.concatenate(x) for x in zip(*parts)])
-                    key, parts = columns[0][a], []
-                parts.append([c[a:b] for c in columns[1:]])
+                        yield from ended()
+                    unit, parts = now, []
+                parts.append([c[a:b] for c in columns])
         if parts:
-            yield from pairs(key, [np.concatenate(x) for x in zip(*parts)])
+            yield from ended()
+        if found:
+            yield given()
     return run
 
 
@@ -268,13 +303,16 @@ def _search(width: int, percent: int):
     return run
 
 
-def _verified(spark: SparkSession, pairs: DataFrame, docs: DataFrame, sets: DataFrame, width: int,
-              percent: int) -> DataFrame:
-    """Links among rows (a, b, key), where a asks for b, which it meets on the short list key."""
+def _with_room(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Of rows (a, b, key) those whose classes leave room for the required overlap."""
     sketches = sets.select("doc", "n", "sketch").distinct()
-    asked = pairs.groupBy("a", "b").agg(F.collect_list("key").alias("keys"))
-    asked = asked.join(sketches.toDF("a", "na", "sa"), "a").join(sketches.toDF("b", "nb", "sb"), "b").select(
-        "a", "b", "keys", "na", "nb", "sa", "sb").mapInArrow(_plausible(percent), "a long, b long, keys array<long>")
+    return pairs.join(sketches.toDF("a", "na", "sa"), "a").join(sketches.toDF("b", "nb", "sb"), "b").select(
+        "a", "b", "key", "na", "nb", "sa", "sb").mapInArrow(_plausible(percent), "a long, b long, key long")
+
+
+def _verified(spark: SparkSession, pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links among rows (a, b, key), where a asks for b, which it meets on the short list key."""
+    asked = pairs.groupBy("a", "b").agg(F.collect_set("key").alias("keys"))
     asked = save(spark, asked, "asked")
     parts = asked.groupBy("a").agg(F.ceil(F.count("*") / F.lit(4 * PART)).cast("int").alias("parts"))
     members = asked.join(parts, "a").withColumn("part", F.pmod(F.xxhash64("b"), "parts").cast("int"))
@@ -296,6 +334,7 @@ def _sized(x: Column, y: Column, percent: int) -> Column:
 def link(spark: SparkSession, docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_id",
          text: str = "text") -> DataFrame:
     """Key, n_shingles and component_id (smallest key reachable by links) of every row."""
+    small_batches(spark)
     docs = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
     content = F.xxhash64("text")
     shared = save(spark, docs.where("doc IS NOT NULL").groupBy("doc").agg(F.min(content).alias("lo"), F.max(content).alias("hi")).where(
@@ -346,26 +385,38 @@ def _link(spark: SparkSession, docs: DataFrame, width: int, percent: int) -> Dat
         F.col("hub").alias("a"), F.col("doc").alias("b"), "key")
     nearest = led.groupBy("b").agg(F.min_by(F.struct("a", "key"), F.struct("a", "key")).alias("_m")).select(
         "_m.a", "b", "_m.key")
-    links = save(spark, _verified(spark, nearest, docs, sets, width, percent), "links")
+    links = save(spark, _verified(spark, _with_room(nearest, sets, percent), docs, width, percent), "links")
     named = components(spark, links)
 
     apart = led.join(named.toDF("a", "_ca"), "a", "left").join(named.toDF("b", "_cb"), "b", "left").where(
         F.coalesce("_ca", "a") != F.coalesce("_cb", "b")).select("a", "b", "key")
-    apart = save(spark, apart.join(nearest.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
-    links = save(spark, links.union(_verified(spark, apart, docs, sets, width, percent)), "links")
+    apart = apart.join(nearest.select("a", "b"), ["a", "b"], "left_anti").groupBy("a", "b").agg(F.min("key").alias("key"))
+    apart = save(spark, apart, "pairs")
+    links = save(spark, links.union(_verified(spark, _with_room(apart, sets, percent), docs, width, percent)), "links")
     named = components(spark, links)
 
-    rows = lists.join(named.withColumnRenamed("node", "doc"), "doc", "left").withColumn(
-        "component", F.coalesce("component", "doc"))
-    mixed = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    rows = rows.join(mixed.select("key"), "key", "left_semi").select("key", "component", "doc", "n", "hub")
-    opened = rows.repartition("key").sortWithinPartitions("key", "component", "doc").mapInArrow(
+    rows = lists.join(named.withColumnRenamed("node", "doc"), "doc", "left").select(
+        "key", F.coalesce("component", "doc").alias("component"), "doc", "n", "hub")
+    size = rows.groupBy("key", "component").agg(F.count("*").alias("size"))
+    mixed = size.groupBy("key").agg(
+        F.max_by("component", F.struct("size", "component")).alias("largest"), F.sum("size").alias("size"),
+        F.count("*").alias("several")).where("several > 1").select(
+        "key", "largest", F.ceil(F.col("size") / F.lit(BLOCK)).cast("int").alias("blocks"))
+    # the leader of a list has asked for all of it
+    rows = rows.where("doc <> hub").join(mixed, "key").join(sets.select("doc", "sketch").distinct(), "doc").select(
+        "key", F.pmod(F.xxhash64("doc"), "blocks").cast("int").alias("block"),
+        (F.col("component") != F.col("largest")).alias("outside"), "component", "doc", "n", "sketch",
+        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    rows = rows.select(
+        "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "outside",
+        "component", "doc", "n", "sketch")
+    opened = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(
         _open_pairs(percent), "a long, b long, key long")
     done = nearest.select("a", "b").union(apart.select("a", "b")).select(
         F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).distinct()
     opened = save(spark, opened.join(
         done, (F.least("a", "b") == F.col("lo")) & (F.greatest("a", "b") == F.col("hi")), "left_anti"), "pairs")
-    more = save(spark, _verified(spark, opened, docs, sets, width, percent), "links")
+    more = save(spark, _verified(spark, opened, docs, width, percent), "links")
     named = components(spark, links.union(more))
 
     owners = classes.join(named, classes["rep"] == named["node"], "left").select(
