@@ -67,6 +67,24 @@ def test_stretches_change_nothing(texts):
     assert [model.encode(t) for t in texts] == fast
 
 
+def test_stretches_of_a_batch_are_merged_together(monkeypatch):
+    model = piece_codec.PieceModel(open(PIECES, "rb").read())
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    sizes = (1, 2, piece_codec.LONGEST - 2, piece_codec.LONGEST - 1, piece_codec.LONGEST, 90)
+    odd = [f"  {c * n}\n {c}{n}. " for c in ("e", "é", "☃", "\t", "{", "the", "\x00") for n in sizes]
+    many = [" ".join(f"w{i}or{i * 7919}d{k}" for i in range(2000)) for k in range(6)]
+    texts = [None, "", " ", *odd, *many]
+    alone = []
+    one = piece_codec.PieceModel._stretch
+    monkeypatch.setattr(piece_codec.PieceModel, "_stretch", lambda self, m: alone.append(m) or one(self, m))
+    for text, (ids, spans) in zip(texts, model.encode_all(texts)):
+        assert ids == library.encode(text or "", add_eos=True), text
+        assert spans[-1][1] == len((text or "").encode())
+    # only what is long or takes several bytes a character is coded by itself
+    assert all(len(m) > piece_codec.LONGEST or not m.replace(piece_codec.MARK, "").isascii() for m in alone)
+    assert model.digest_all(texts) == [model.digest(t) for t in texts]
+
+
 def test_character_map_takes_the_longest_prefix():
     # a double array for the keys "a" -> "x" and "ab" -> "yz", laid out by hand
     def unit(label=0, offset=0, leaf=False):

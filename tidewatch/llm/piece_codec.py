@@ -5,8 +5,8 @@ records for each normalised character the bytes it came from.  Merging then work
 piece is projected to the original bytes of its characters.
 
 Where the model leaves characters as they are and no piece holds a space mark after another character - proven
-from its vocabulary - a text falls into stretches that cannot merge with each other; their codes are remembered in a
-table of bounded size.
+from its vocabulary - a text falls into stretches that cannot merge with each other.  The distinct stretches of a batch
+of texts are merged together, one pair of each a round, and forgotten with the batch.
 
 Edge cases: null and empty texts have the end id only; characters without a piece become byte pieces; repeated rows
 are encoded one by one; other columns of the input are ignored; an empty table gives an empty result.
@@ -18,24 +18,25 @@ import hashlib
 import heapq
 import re
 import struct
-from array import array
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, small_batches
+from .common import small_batches
 
 MARK = "▁"
 #: piece types of the model file (fixed values)
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-#: remembered stretches in a generation of a worker's table, some 300 bytes each, with spans more
-MEMO = 200_000
 #: symbols from which on a heap finds the best pair
 FEW = 24
+#: symbols of the longest stretch that is merged together with others, places of one in a column with both its ends,
+#: and stretches that are merged together
+LONGEST, PLACES, TOGETHER = 30, 32, 8192
+#: rank of what is no pair
+NO_PAIR = np.iinfo(np.int32).max
 _STRETCH = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 _LOADED: dict[str, PieceModel] = {}
 
@@ -106,15 +107,93 @@ class CharMap:
 _MARK_EXTRA = len(MARK.encode()) - 1
 
 
-@dataclass(frozen=True, slots=True)
-class Stretch:
-    """Codes of one stretch of text, as decimal text, the number of source bytes of each and the text they decode to.
+class Met(dict):
+    """Numbers of marked stretches, in the order in which they were met."""
 
-    The spans of the codes follow each other, and no byte piece meets one of the next stretch.
+    def __missing__(self, marked: str) -> int:
+        self[marked] = number = len(self)
+        return number
+
+
+class Merges:
+    """The pairs a vocabulary merges, as arrays; symbols are the known pieces by code + 1, then other single characters.
+
+    ``code`` is that of a symbol, or of its byte piece, and -1 where it takes several or has none.
     """
-    numerals: str
-    sizes: bytes
-    surface: str
+
+    def __init__(self, model: PieceModel):
+        symbols = {p: i + 1 for p, i in model.known.items()}
+        lone = {c for p in symbols for c in p}.union(map(chr, range(128))).difference(symbols)
+        symbols.update({c: len(model.pieces) + 1 + i for i, c in enumerate(sorted(lone))})
+        self.code = np.full(len(model.pieces) + 1 + len(lone), -1, dtype=np.int64)
+        for text, symbol in symbols.items():
+            if text not in lone:
+                self.code[symbol] = symbol - 1
+            elif model.fallback and text.isascii():
+                self.code[symbol] = model.bytes[ord(text)]
+        singles = [(ord(t), s) for t, s in symbols.items() if len(t) == 1]
+        self.char = np.zeros(0x110000, dtype=np.int32)
+        self.char[[c for c, _ in singles]] = [s for _, s in singles]
+        order = {score: i for i, score in enumerate(sorted(set(model.ranked.values())))}
+        pairs = sorted(
+            (symbols[a] * len(self.code) + symbols[b], order[model.ranked[p]], symbols[p])
+            for p in model.known for k in range(1, len(p)) if (a := p[:k]) in symbols and (b := p[k:]) in symbols)
+        columns = list(zip(*pairs)) or [(), (), ()]
+        self.key = np.array([*columns[0], np.iinfo(np.int64).max], dtype=np.int64)
+        self.rank, self.into = (np.array([*c, 0], dtype=np.int32) for c in columns[1:])
+        self.sieve = np.zeros(1 << (16 * len(self.key)).bit_length(), dtype=bool)
+        self.sieve[self._place(self.key[:-1])] = True
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        return (keys * 0x9E3779B1 >> 15) & (len(self.sieve) - 1)
+
+    def pairs(self, left: np.ndarray, right: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank of each pair with the place ``at`` in its last bits, or NO_PAIR, and the symbol it becomes."""
+        keys = left.astype(np.int64) * len(self.code) + right
+        rank, into = np.full(len(keys), NO_PAIR, dtype=np.int32), np.zeros(len(keys), dtype=np.int32)
+        some = np.flatnonzero(self.sieve[self._place(keys)])
+        entry = np.searchsorted(self.key, keys[some])
+        same = self.key[entry] == keys[some]
+        some, entry = some[same], entry[same]
+        rank[some], into[some] = self.rank[entry] * PLACES + at[some], self.into[entry]
+        return rank, into
+
+    def merge(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Codes of all texts one after another, with -1 for symbols without a code, and how many each text has.
+
+        A text is a column; in each round the best pair of every column, leftmost first, becomes one symbol.
+        """
+        sizes = np.array(list(map(len, texts)))
+        n, rows = len(texts), int(sizes.max()) + 2
+        chars = self.char[np.frombuffer("".join(texts).encode("utf-32-le"), dtype=np.uint32)]
+        column = np.repeat(np.arange(n), sizes)
+        place = np.arange(len(chars)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + 1
+        symbol = np.zeros((rows, n), dtype=np.int32)
+        symbol[place, column] = chars
+        there = np.zeros((rows, n), dtype=bool)
+        there[place, column] = True
+        after = np.repeat(np.arange(1, rows + 1, dtype=np.int32)[:, None], n, axis=1)
+        before = after - 2
+        rank, into = np.full((rows, n), NO_PAIR, dtype=np.int32), np.zeros((rows, n), dtype=np.int32)
+        for row in range(1, rows - 2):
+            rank[row], into[row] = self.pairs(symbol[row], symbol[row + 1], np.full(n, row))
+        active = np.arange(n)
+        while len(active):
+            best = rank.min(axis=0)
+            live = best < NO_PAIR
+            if not live.all():
+                active, rank, best = active[live], rank[:, live], best[live]
+            at, here = best & (PLACES - 1), np.arange(len(active))
+            gone = after[at, active]
+            then, ahead = after[gone, active], before[at, active]
+            made = into[at, active]
+            symbol[at, active], there[gone, active] = made, False
+            after[at, active], before[then, active] = then, at
+            rank[gone, here] = NO_PAIR
+            rank[ahead, here], into[ahead, active] = self.pairs(symbol[ahead, active], made, ahead)
+            rank[at, here], into[at, active] = self.pairs(made, symbol[then, active], at)
+        there = there.T
+        return self.code[symbol.T[there]], there.sum(axis=1)
 
 
 class PieceModel:
@@ -152,9 +231,9 @@ class PieceModel:
         self.ranked = {p: -self.scores[i] for p, i in self.known.items()}  # the least is the best
         self.apart = (
             not self.map.units and not frozen and self.dummy_prefix and not self.trim and self.escape
-            and MARK in self.known and not any(re.search(f"[^{MARK}]{MARK}", p) for p in self.known)
+            and self.fallback and MARK in self.known and not any(re.search(f"[^{MARK}]{MARK}", p) for p in self.known)
         )
-        self.marked = Memo(self._stretch, MEMO)
+        self.merges = Merges(self) if self.apart and self.simple else None
         self.numerals = [str(i) for i in range(len(self.pieces))]
         #: text of each piece by itself; bytes beyond ASCII have none, since they are joined into characters
         self.surfaces = [
@@ -162,6 +241,10 @@ class PieceModel:
             for p, t in zip(self.pieces, self.types)]
         for i, byte in self.byte_of.items():
             self.surfaces[i] = chr(byte) if byte < 128 else None
+        #: bytes that a piece stands for
+        self.sizes = np.array([
+            1 if t == BYTE else len(p.encode()) - _MARK_EXTRA * p.count(MARK) for p, t in zip(self.pieces, self.types)],
+            dtype=np.int64)
 
     # normalisation
 
@@ -280,43 +363,55 @@ class PieceModel:
             else:
                 yield self.unknown, span
 
-    def _stretch(self, marked: str) -> Stretch:
-        """Codes of a stretch of marked text whose marks stand for one byte each."""
-        ids: list[int] = []
-        sizes: list[int] = []
-        if self.simple and len(marked) < FEW:
-            known = self.known.get
-            for piece in self._merge_few(list(marked)):
-                code = known(piece)
-                if code is not None:
-                    ids.append(code)
-                    sizes.append(len(piece) if piece.isascii() else len(piece.encode()) - _MARK_EXTRA * piece.count(MARK))
-                elif self.fallback:
-                    ids += [self.bytes[byte] for byte in piece.encode()]
-                    sizes += [1] * len(piece.encode())
-                else:
-                    ids.append(self.unknown)
-                    sizes.append(len(piece.encode()))
-        else:
-            at, spans = 0, []
-            for char in marked:
-                size = 1 if char == MARK else len(char.encode())
-                spans.append((at, at + size))
-                at += size
-            for code, (begin, end) in self._codes(list(marked), spans):
-                ids.append(code)
-                sizes.append(end - begin)
-        return Stretch(" ".join([self.numerals[i] for i in ids]), array("H", sizes).tobytes(), self._surface(ids))
-
-    def _stretches(self, text: str | None) -> list[Stretch] | None:
-        """Stretches of a text that can be coded apart; None for another text."""
-        if not text or not self.apart or MARK in text:
-            return None
-        return list(map(self.marked.__getitem__, _STRETCH.findall(MARK + text.replace(" ", MARK))))
+    def _stretch(self, marked: str) -> list[int]:
+        """Codes of a stretch of marked text."""
+        chars = list(marked)
+        return [code for code, _ in self._codes(chars, [(i, i + 1) for i in range(len(chars))])]
+
+    def _coded(self, marked: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Codes of the stretches one after another, in any order, and where those of each stretch begin and end.
+
+        Short stretches are merged together; others, and those with characters of several byte pieces, one by one.
+        """
+        sizes = np.fromiter(map(len, marked), dtype=np.int64, count=len(marked))
+        order = np.argsort(sizes, kind="stable")
+        short = np.searchsorted(sizes[order], LONGEST, side="right") if self.merges else 0
+        begins, ends = np.zeros((2, len(marked)), dtype=np.int64)
+        flat, used, alone = [np.zeros(0, dtype=np.int64)], 0, order[short:].tolist()
+        for at in range(0, short, TOGETHER):
+            part = order[at:min(at + TOGETHER, short)]
+            codes, counts = self.merges.merge([marked[i] for i in part.tolist()])
+            ends[part] = used + np.cumsum(counts)
+            begins[part] = ends[part] - counts
+            alone += part[np.unique(np.searchsorted(ends[part], used + np.flatnonzero(codes < 0), side="right"))].tolist()
+            flat.append(codes)
+            used += len(codes)
+        for i in alone:
+            codes = self._stretch(marked[i])
+            begins[i], ends[i] = used, used + len(codes)
+            flat.append(np.array(codes, dtype=np.int64))
+            used += len(codes)
+        return np.concatenate(flat), begins, ends
+
+    def _apart(self, texts: Iterable[str | None]) -> Iterator[np.ndarray | None]:
+        """Codes of each text whose stretches can be coded apart; None for another text."""
+        met = Met()
+        parts = [
+            np.fromiter(map(met.__getitem__, _STRETCH.findall(MARK + text.replace(" ", MARK))), dtype=np.int64)
+            if text and self.apart and MARK not in text else None for text in texts]
+        codes, begins, ends = self._coded(list(met))
+        met.clear()
+        for part in parts:
+            if part is None:
+                yield None
+                continue
+            first, counts = begins[part], ends[part] - begins[part]
+            last = np.cumsum(counts)
+            yield codes[np.arange(last[-1]) + np.repeat(first - last + counts, counts)]
 
-    @staticmethod
-    def _bounds(parts: list[Stretch]) -> np.ndarray:
-        sizes = np.frombuffer(b"".join([p.sizes for p in parts]), dtype=np.uint16).astype("<i8")
+    def _bounds(self, codes: np.ndarray) -> np.ndarray:
+        """Begin and end of the codes of a text that was coded apart, and of the end id."""
+        sizes = self.sizes[codes]
         sizes[0] -= 1  # the first mark stands for no byte
         bounds = np.zeros((len(sizes) + 1, 2), dtype="<i8")
         np.cumsum(sizes, out=bounds[:-1, 1])
@@ -324,11 +419,10 @@ class PieceModel:
         bounds[1:, 0] = bounds[:-1, 1]
         return bounds
 
-    def _encoded(self, text: str | None) -> tuple[list[int], np.ndarray]:
+    def _encoded(self, text: str | None, codes: np.ndarray | None) -> tuple[list[int], np.ndarray]:
         """Ids with the end id, and a row (begin, end) in the bytes of the text for each; that of the end id is empty."""
-        parts = self._stretches(text)
-        if parts is not None:
-            ids, bounds = [int(i) for p in parts for i in p.numerals.split()], self._bounds(parts)
+        if codes is not None:
+            ids, bounds = codes.tolist(), self._bounds(codes)
         else:
             ids, spans = [], []
             for code, span in self._codes(*self.normalize(text)) if text else ():
@@ -341,20 +435,24 @@ class PieceModel:
 
     def encode(self, text: str | None) -> tuple[list[int], list[tuple[int, int]]]:
         """Ids with the end id, and each id's (begin, end) in the bytes of the text; the end id has an empty span."""
-        ids, bounds = self._encoded(text)
-        return ids, list(map(tuple, bounds.tolist()))
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str | None]) -> list[tuple[list[int], list[tuple[int, int]]]]:
+        """What ``encode`` gives for each text; the texts are coded together."""
+        coded = map(self._encoded, texts, self._apart(texts))
+        return [(ids, list(map(tuple, bounds.tolist()))) for ids, bounds in coded]
 
     def digest(self, text: str | None) -> tuple[int, str, str, str]:
         """(number of ids, hash of their decimal text, of the text they decode to, and of begin and end of each span)."""
-        parts = self._stretches(text)
-        if parts is not None:
-            # each stretch is decoded once and remembered with its codes; the prefix the model adds goes
-            bounds = self._bounds(parts)
-            decimal = " ".join([p.numerals for p in parts] + [self.numerals[self.end]])
-            decoded = "".join([p.surface for p in parts])[1:]
-        else:
-            ids, bounds = self._encoded(text)
-            decimal, decoded = " ".join(map(self.numerals.__getitem__, ids)), self.decode(ids)
+        return self.digest_all([text])[0]
+
+    def digest_all(self, texts: list[str | None]) -> list[tuple[int, str, str, str]]:
+        """What ``digest`` gives for each text; the texts are coded together."""
+        return list(map(self._digest, texts, self._apart(texts)))
+
+    def _digest(self, text: str | None, codes: np.ndarray | None) -> tuple[int, str, str, str]:
+        ids, bounds = self._encoded(text, codes)
+        decimal, decoded = " ".join(map(self.numerals.__getitem__, ids)), self.decode(ids)
         return (len(bounds), *(hashlib.sha256(x).hexdigest() for x in (decimal.encode(), decoded.encode(), bounds.tobytes())))
 
     # decoding
@@ -424,7 +522,7 @@ def encode(rows: DataFrame, model_file: str, key: str = "doc_id", text: str = "t
     def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = _model(blob.value)
         for texts in batches:
-            codes = [model.encode(t) for t in texts]
+            codes = model.encode_all(texts)
             yield pd.DataFrame({
                 "ids": [c[0] for c in codes],
                 "begins": [[s[0] for s in c[1]] for c in codes], "ends": [[s[1] for s in c[1]] for c in codes],
@@ -456,7 +554,7 @@ def digests(rows: DataFrame, model_file: str, keep: tuple[str, ...] = ("doc_id",
         model = _model(blob.value)
         for texts in batches:
             yield pd.DataFrame(
-                [model.digest(t) for t in texts],
+                model.digest_all(texts),
                 columns=["n_tokens", "ids_sha256", "decoded_sha256", "spans_sha256"])
 
     return rows.select(*keep, digested(F.col(text)).alias("_d")).select(*keep, "_d.*")
