@@ -147,6 +147,25 @@ def test_contamination_against_a_plain_search(spark):
     assert got == want and want
 
 
+def test_windows_are_made_only_where_the_benchmark_has_the_words():
+    rng = random.Random(3)
+    some = ["apples", "Then", "gave", "Bob", "Anna", "12", "7", "km", "euros", "of", "the", "to.", "and,", "New", "York"]
+    items = [" ".join(rng.choices(some, k=40)) for _ in range(40)]
+    texts = ["", *(" ".join(rng.choices(some, k=30)) for _ in range(60)), *(x.replace("gave", "lent") for x in items), "", "no such words " * 20000,
+             *(" ".join([*rng.choices(["other", "Mary", "stone"], k=9), items[i][rng.randrange(80):]]) for i in range(40)), *items, " "]
+    known = decontaminate.Words()
+    made, codes = [], []
+    for _, _, words in decontaminate.read(known, items):
+        made += [w[3] for w in decontaminate.text_windows(words, None, None)]
+        codes.append(words[2])
+    sent = decontaminate.sifted(np.unique(np.array(made, dtype=np.int64).view(np.uint64)))
+    lengths, all_words, few_words = [4, 8], decontaminate.Words(), decontaminate.Words(np.unique(np.concatenate(codes)))
+    want = sorted((i, *w) for i, _, t in decontaminate.read(all_words, texts) for w in decontaminate.text_windows(t, lengths, sent))
+    runs = list(decontaminate.read(few_words, texts, 4))
+    assert sorted(decontaminate.run_windows(runs, lengths, sent)) == want and want
+    assert sum(len(t[0]) for _, _, t in runs) < 10000
+
+
 def _kinds(spark, item, *texts):
     d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = decontaminate.contaminated(d, spark.createDataFrame([(1, item)], "item_id long, text string")).collect()

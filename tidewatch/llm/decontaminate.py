@@ -17,6 +17,9 @@ question with other values shares its wording too.  Re-parameterised hits count
 alignment together with those up to ``SHIFT`` words away, as far as the slots agree.
 Items shorter than a window are one window of their own length, with at least ``SHORTEST`` words.
 
+A window that matches has no plain word that the benchmark lacks.  So while the benchmark's words are sent to the workers,
+windows are made only within runs of words that occur there or can be slots.
+
 Edge cases: null and empty texts and null ids have no windows; repeated rows add no further pairs; other columns
 are ignored; an empty table on either side gives an empty result.
 """
@@ -69,11 +72,12 @@ class Words(dict):
     """Numbers of raw words (what stands between white space), and what is known of each number.
 
     ``literal``: code of the lower-cased core (0: no word); ``kind``: slot it can be (0 none, 1 number, 2 unit,
-    3 name); ``ends``: whether it ends a sentence.
+    3 name); ``ends``: whether it ends a sentence.  ``vocabulary``: sorted codes of the words that can match, if not all can.
     """
 
-    def __init__(self):
+    def __init__(self, vocabulary: np.ndarray | None = None):
         super().__init__()
+        self.vocabulary = vocabulary
         self.literal = np.zeros(1024, dtype=np.uint64)
         self.kind, self.ends = np.zeros(1024, dtype=np.int8), np.zeros(1024, dtype=bool)
         self._fresh: list[tuple[int, int, bool]] = []
@@ -97,6 +101,21 @@ class Words(dict):
             self._fresh.clear()
         return out
 
+    def runs(self, literal: np.ndarray, kinds: np.ndarray, bounds: np.ndarray, least: int) -> Iterator[np.ndarray]:
+        """Text, begin and end of each run of at least ``least`` words that can match."""
+        can = kinds > 0
+        if len(self.vocabulary):
+            at = np.minimum(np.searchsorted(self.vocabulary, literal), len(self.vocabulary) - 1)
+            can |= self.vocabulary[at] == literal
+        edge = np.zeros(len(can) + 1, dtype=bool)
+        edge[bounds] = True
+        edge[1:-1] |= can[1:] != can[:-1]
+        cuts = np.flatnonzero(edge)
+        begins, ends = cuts[:-1], cuts[1:]
+        some = can[begins] & (ends - begins >= least)
+        begins, ends = begins[some], ends[some]
+        return zip(np.searchsorted(bounds, begins, side="right") - 1, begins, ends)
+
     @staticmethod
     def _look(raw: str) -> tuple[int, int, bool]:
         ends = False
@@ -125,9 +144,10 @@ def _code(word: str) -> int:
 _SLOT_CODES = np.array([0, _code(NUMBER), _code(UNIT), _code(NAME)], dtype=np.uint64)
 
 
-def read(words: Words, texts: list[str]) -> Iterator[tuple[np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray]]:
-    """For each text its words as places in a list of raw words, that list, and of each word the literal code, the
-    slot kind and whether it starts a sentence.
+def read(words: Words, texts: list[str], least: int = 1) -> Iterator[tuple[int, int, tuple]]:
+    """Of each text, or of each run of at least ``least`` words in it that can match: its number, the number of its first
+    word, and its words as places in a list of raw words, that list, and of each word the literal code, the slot kind and
+    whether it starts a sentence.
 
     The texts are split together, so that a word is looked up once for all of them.
     """
@@ -147,8 +167,10 @@ def read(words: Words, texts: list[str]) -> Iterator[tuple[np.ndarray, list[str]
     bounds = np.searchsorted(keep, bounds)
     starts[bounds[:-1][bounds[:-1] < bounds[1:]]] = True
     places, literal, kinds = places[keep], literal[keep], words.kind[numbers[keep]]
-    for begin, end in zip(bounds[:-1], bounds[1:]):
-        yield places[begin:end], raw, literal[begin:end], kinds[begin:end], starts[begin:end]
+    whole = zip(range(len(texts)), bounds[:-1], bounds[1:])
+    for text, begin, end in whole if words.vocabulary is None else words.runs(literal, kinds, bounds, least):
+        yield int(text), int(begin - bounds[text]), (
+            places[begin:end], raw, literal[begin:end], kinds[begin:end], starts[begin:end])
 
 
 def window_hashes(codes: np.ndarray, length: int) -> np.ndarray:
@@ -230,17 +252,49 @@ def text_windows(words: tuple, lengths: list[int] | None, sent: tuple | None, wi
         yield *key[:5], list(key[5]), bits
 
 
+def run_windows(runs: list[tuple[int, int, tuple]], lengths: list[int], sent: tuple):
+    """Text and windows of runs that were read together, as one text in which a word of no text precedes each run."""
+    if not runs:
+        return
+    texts, starts, parts = zip(*runs)
+    gap, sizes = (np.zeros(1, np.int64),) * 5, np.array([len(p[0]) for p in parts])
+    begins = np.cumsum(sizes + 1) - sizes
+    columns = [np.concatenate([x[i].astype(p[i].dtype) for p in parts for x in (gap, p)]) for i in (0, 2, 3, 4)]
+    for length, pos, stop, *more in text_windows((columns[0], parts[0][1], *columns[1:]), lengths, sent):
+        run = np.searchsorted(begins, pos, side="right") - 1
+        back = starts[run] - int(begins[run])
+        yield texts[run], length, pos + back, stop + back, *more
+
+
+def _vocabulary(benchmark: DataFrame, text: str, most: int) -> np.ndarray | None:
+    """Codes of the benchmark's words in order, if these are at most ``most``."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        words = Words()
+        for batch in batches:
+            codes = [w[2] for _, _, w in read(words, batch["text"].dropna().tolist())]
+            yield pd.DataFrame({"code": np.unique(np.concatenate([np.zeros(0, np.uint64), *codes])).view(np.int64)})
+
+    few = benchmark.select(F.col(text).alias("text")).mapInPandas(run, "code long").distinct().limit(most + 1)
+    codes = np.array([r[0] for r in few.collect()], dtype=np.int64).view(np.uint64)
+    return np.sort(codes) if len(codes) <= most else None
+
+
 def _windows(rows: DataFrame, key: str, text: str, lengths: list[int] | None, sent, width: int) -> DataFrame:
     small_batches(rows.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = Words()
+        words = Words(sent.value[2] if sent else None)
         for batch in batches:
             batch = batch[batch["text"].notna()]
             read_first = batch["text"].str.len().cumsum() // READ_TOGETHER
             for _, part in batch.groupby(read_first):
-                out = [(k, *w) for k, t in zip(part["key"], read(words, part["text"].tolist()))
-                       for w in text_windows(t, lengths, sent.value if sent else None, width)]
+                keys = part["key"].tolist()
+                runs = read(words, part["text"].tolist(), min(lengths or [1]))
+                if words.vocabulary is not None:
+                    out = [(keys[i], *w) for i, *w in run_windows(list(runs), lengths, sent.value)]
+                else:
+                    out = [(keys[i], *w) for i, _, t in runs
+                           for w in text_windows(t, lengths, sent.value if sent else None, width)]
                 yield pd.DataFrame(out, columns=["key", "length", "pos", "stop", "hash", "types", "slots", "views"])
 
     return rows.where(F.col(key).isNotNull()).select(
@@ -283,7 +337,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
     lengths = sorted(r[0] for r in known.select("length").distinct().collect()) or [width]
     few = known.select("hash").distinct().limit(max_sent + 1)
     hashes = np.array([r[0] for r in few.collect()], dtype=np.int64).view(np.uint64)
-    sent = docs.sparkSession.sparkContext.broadcast(sifted(hashes)) if len(hashes) <= max_sent else None
+    sent = docs.sparkSession.sparkContext.broadcast(
+        (*sifted(hashes), _vocabulary(benchmark, item_text, max_sent))) if len(hashes) <= max_sent else None
     found = _windows(docs, key, text, lengths, sent, width).withColumnRenamed("key", "_doc")
 
     hits = found.join(known, ["length", "hash", "types"]).withColumn("_both", F.col("views").bitwiseAND(F.col("_views")))
