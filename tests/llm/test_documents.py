@@ -147,6 +147,14 @@ def test_contamination_against_a_plain_search(spark):
     assert got == want and want
 
 
+def test_workers_remember_few_words():
+    text = " ".join(f"word{i}" for i in range(60_000))
+    shingler, known = ngram_join.Shingler(5), {}
+    assert len(shingler(text)) == 59_996 and len(shingler.codes) <= 32_768
+    toxicity.cut(text, known)
+    assert len(known) <= 16_384
+
+
 def test_windows_are_made_only_where_the_benchmark_has_the_words():
     rng = random.Random(3)
     some = ["apples", "Then", "gave", "Bob", "Anna", "12", "7", "km", "euros", "of", "the", "to.", "and,", "New", "York"]

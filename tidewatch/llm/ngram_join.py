@@ -47,7 +47,8 @@ SENT_IDS = 500_000
 BLOCK = 2048
 #: classes a document's shingles are counted in, which bounds what two documents can share
 CLASSES = 128
-MEMO = 400_000
+#: remembered words in a worker, some 150 bytes each; hashing one anew costs little
+MEMO = 32_768
 _ROWS = 256
 
 

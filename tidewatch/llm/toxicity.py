@@ -34,6 +34,8 @@ _PLAIN = bytes(10 if chr(c) in ".!?\n\r" else 32 if c < 128 and not chr(c).isaln
 BEGINNINGS = (4, 5, 6, 7, 8)
 #: remembered words in a worker, some 100 bytes each; the table starts anew when it is full
 MEMO = 100_000
+#: remembered words while the training texts are cut, with all their features, some 500 bytes each
+CUT_MEMO = 16_384
 #: rows cut at a time
 _ROWS = 128
 #: longest word remembered
@@ -150,7 +152,7 @@ def cut(text: str | None, known: dict[bytes, list[int]]) -> tuple[np.ndarray, np
         found: set[int] = set()
         for word in set(words.split()):
             if word not in known:
-                if len(known) >= MEMO:
+                if len(known) >= CUT_MEMO:
                     known.clear()
                 known[word] = codes(word)
             found.update(known[word])
