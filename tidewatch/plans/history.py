@@ -107,26 +107,28 @@ def _contactnotification_id():
     return ids.row_id("contactnotifications", "instance_id", contact, *_started())
 
 
-def parent_linkage(records: DataFrame, start_type: int, parent_id, child_type: int, out: str) -> DataFrame:
-    """Child records with the id of the last started parent of their session, 0 before the first.
+def parent_linkage(records: DataFrame, table: Table, start_type: int, parent_id, child_type: int, column: str) -> DataFrame:
+    """Rows of the child records; ``column`` is the id of the last started parent of their session, 0 before the first.
 
-    ``records`` holds parents and children; the session is scanned in arrival order.
+    ``records`` holds parents and children; the session is scanned in arrival order.  Children are typed before the
+    rows are shuffled, and of parents only the ids of those that start are: neither text nor other records move.
     """
-    started = F.when((F.col("rec_type") != child_type) & (neb_type() == start_type), parent_id)
-    # only parents pay for their id; names, and the text of parents, are dropped again before the rows are shuffled
-    told = F.when(F.col("rec_type") == child_type, F.col("body")).alias("body")
-    kept = [told if c == "body" else F.col(c) for c in records.columns]
-    marked = with_names(records).withColumn("_started", started).select(*kept, "_started")
-    linked = carry_forward(marked, "session", F.col("_started"), out).drop("_started")
-    return linked.where(F.col("rec_type") == child_type).withColumn(out, F.coalesce(out, F.lit(0)))
+    child = F.col("rec_type") == child_type
+    started = with_names(records.where(~child & (neb_type() == start_type))).select(*EVENT, parent_id.alias("_started"))
+    own = [c for c in table.column_names if c not in (column, table.id_column)]
+    children = table.typed(records.where(child), own).withColumn("_child", F.lit(True))
+    marked = children.unionByName(started.withColumn("_child", F.lit(False)), allowMissingColumns=True)
+    linked = carry_forward(marked, "session", F.col("_started"), "_parent").where("_child")
+    linked = linked.withColumn(column, F.coalesce("_parent", F.lit(0)))
+    return linked.withColumn(table.id_column, table.key_id()).select(*table.column_names, *EVENT)
 
 
 def _contactnotification_rows(picked: DataFrame, table: Table) -> DataFrame:
-    return table.typed(parent_linkage(picked, 600, _notification_id(), 220, "_parent"))
+    return parent_linkage(picked, table, 600, _notification_id(), 220, "notification_id")
 
 
 def _method_rows(picked: DataFrame, table: Table) -> DataFrame:
-    return table.typed(parent_linkage(picked, 602, _contactnotification_id(), 221, "_parent"))
+    return parent_linkage(picked, table, 602, _contactnotification_id(), 221, "contactnotification_id")
 
 
 CONTACTNOTIFICATIONS = Table(
@@ -135,7 +137,6 @@ CONTACTNOTIFICATIONS = Table(
     start_time tv 117, start_time_usec us 117, end_time tv 33, end_time_usec us 33
     """,
     keys=("instance_id", "contact_object_id", "start_time", "start_time_usec"),
-    given=lambda: {"notification_id": F.col("_parent")},
     rows_from=_contactnotification_rows,
     id_column="contactnotification_id",
     id_parts=("instance_id", "contact_object_id", "start_time", "start_time_usec"),
@@ -148,7 +149,7 @@ CONTACTNOTIFICATIONMETHODS = Table(
     start_time_usec us 117, end_time tv 33, end_time_usec us 33, command_object_id =, command_args str 13
     """,
     keys=("instance_id", "contactnotification_id", "start_time", "start_time_usec"),
-    given=lambda: {"contactnotification_id": F.col("_parent"), "command_object_id": _command()},
+    given=lambda: {"command_object_id": _command()},
     rows_from=_method_rows,
     id_column="contactnotificationmethod_id",
     id_parts=("instance_id", "contactnotification_id", "start_time", "start_time_usec"),

@@ -7,8 +7,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import ids
 from ..operators.filters import past_events, retained_config
 from ..operators.lookup import with_instance, with_object
+from ..steps import Steps
 
 NAMES = {"objecttype_id": "objecttype_id", "name1": "host_name", "name2": "service_description"}
 
@@ -181,35 +183,54 @@ def _membership(tables, group: str, member: str, entity: str, names: dict[str, s
     )
 
 
+def _of_type(objects: DataFrame, objecttype: int) -> DataFrame:
+    """Objects of one type, few enough for some types that adaptive execution broadcasts them."""
+    return objects.where(F.col("objecttype_id") == objecttype)
+
+
+def _notified(tables) -> DataFrame:
+    """Notifications with the names of what they are about, which are looked up before the many rows that notify contacts."""
+    return with_object(tables["notifications"].select(*_NOTIFIED), tables["objects"], "object_id", NAMES)
+
+
+def _step(steps: Steps | None, name: str, rows: DataFrame, *used: str) -> DataFrame:
+    """The rows, saved if the work is done in steps; what was ``used`` for them is then deleted."""
+    if steps is None:
+        return rows
+    rows = steps.saved(name, rows)
+    steps.drop(*used)
+    return rows
+
+
 def _contact_notifications(tables, limit=None) -> DataFrame:
     sent = tables["contactnotifications"].drop("instance_id")
-    about = tables["notifications"].select("notification_id", "instance_id", "object_id")
-    rows = with_object(sent.join(about, "notification_id"), tables["objects"], "object_id", NAMES)
-    rows = with_object(rows, tables["objects"], "contact_object_id", {"name1": "contact_name"})
+    rows = sent.join(_notified(tables), "notification_id")
+    rows = with_object(rows, _of_type(tables["objects"], ids.CONTACT), "contact_object_id", {"name1": "contact_name"})
     rows = with_instance(rows, tables["instances"])
-    head = ["instance_id", "instance_name", "object_id", *NAMES.values(), "contact_name"]
-    rows = _sorted(rows, ("-start_time", "-start_time_usec", "-contactnotification_id"), limit)
-    return rows.select(*head, *sent.columns)
+    rows = rows.select("instance_id", "instance_name", "object_id", *NAMES.values(), "contact_name", *sent.columns)
+    return _sorted(rows, ("-start_time", "-start_time_usec", "-contactnotification_id"), limit)
 
 
-def _contact_notification_methods(tables, limit=None) -> DataFrame:
+def _contact_notification_methods(tables, limit=None, steps: Steps | None = None) -> DataFrame:
     methods = tables["contactnotificationmethods"].drop("instance_id")
     sent = tables["contactnotifications"].select(
         "contactnotification_id", "notification_id", "contact_object_id",
         *[F.col(c).alias(f"notification_{c}") for c in ("start_time", "start_time_usec", "end_time", "end_time_usec")],
     )
-    about = tables["notifications"].select("notification_id", "instance_id", "object_id")
-    rows = methods.join(sent, "contactnotification_id").join(about, "notification_id")
-    rows = with_object(rows, tables["objects"], "object_id", NAMES)
-    rows = with_object(rows, tables["objects"], "contact_object_id", {"name1": "contact_name"})
-    rows = with_object(rows, tables["objects"], "command_object_id", {"name1": "notification_command_name"})
+    rows = methods.join(sent, "contactnotification_id")
+    rows = _step(steps, "sent", rows, "contactnotificationmethods", "contactnotifications")
+    rows = _step(steps, "notified", rows.join(_notified(tables), "notification_id"), "sent", "notifications")
+    rows = with_object(rows, _of_type(tables["objects"], ids.CONTACT), "contact_object_id", {"name1": "contact_name"})
+    rows = with_object(
+        rows, _of_type(tables["objects"], ids.COMMAND), "command_object_id", {"name1": "notification_command_name"})
     rows = with_instance(rows, tables["instances"])
-    rows = _sorted(rows, ("-start_time", "-start_time_usec", "-contactnotificationmethod_id"), limit)
-    return rows.select(
+    rows = rows.select(
         "instance_id", "instance_name", "object_id", *NAMES.values(), "contact_name", "notification_start_time",
         "notification_start_time_usec", "notification_end_time", "notification_end_time_usec",
         "notification_command_name", *methods.columns,
     )
+    rows = _step(steps, "named", rows, "notified", "objects")
+    return _sorted(rows, ("-start_time", "-start_time_usec", "-contactnotificationmethod_id"), limit)
 
 
 _HOST = {"name1": "host_name"}
@@ -217,8 +238,14 @@ _SERVICE = {"name1": "host_name", "name2": "service_description"}
 _CONTACT = {"name1": "contact_name"}
 
 
-def report(name: str, tables: dict[str, DataFrame], limit=None, as_of: Column | None = None, config_type=None) -> DataFrame:
-    """One report over warehouse tables.  ``limit`` turns the full sort into a top-k."""
+def report(
+    name: str, tables: dict[str, DataFrame], limit=None, as_of: Column | None = None, config_type=None,
+    steps: Steps | None = None,
+) -> DataFrame:
+    """One report over warehouse tables.  ``limit`` turns the full sort into a top-k.
+
+    With ``steps`` the joins of the contact notification methods are done at once, and tables saved there are used up.
+    """
     if name in OBJECT_REPORTS:
         return object_report(OBJECT_REPORTS[name], tables, limit, as_of)
     if name == "contact_status":
@@ -244,7 +271,7 @@ def report(name: str, tables: dict[str, DataFrame], limit=None, as_of: Column |
     if name == "contact_notifications":
         return _contact_notifications(tables, limit)
     if name == "contact_notification_methods":
-        return _contact_notification_methods(tables, limit)
+        return _contact_notification_methods(tables, limit, steps)
     raise KeyError(name)
 
 

@@ -32,6 +32,11 @@ class Spark:
     def micros(col):
         return f"unix_micros(CAST({col} AS TIMESTAMP))"
 
+    @staticmethod
+    def dealt(name, key):
+        """A table dealt by a key, so that grouping by more keys and a join on this one need no other shuffle."""
+        return f"(SELECT * FROM {{{name}}} DISTRIBUTE BY {key})"
+
     div = "div"
 
 
@@ -87,13 +92,17 @@ def source_sql(name: str, d=Duck) -> str:
     if name == "line":
         us = d.micros("l.shipdate")
         odate = d.micros("o.o_orderdate")
+        lines, at = t("lineitem"), "ON l.l_orderkey = o.o_orderkey"
+        named = f"""JOIN {t('customer')} c ON o.o_custkey = c.c_custkey
+            JOIN {t('nation')} n ON c.c_nationkey = n.n_nationkey"""
+        ordered = f"{t('orders')} o {at}\n            {named}"
+        if d is Spark:  # names are brought to the orders, before those meet their many lines
+            lines, ordered = d.dealt("lineitem", "l_orderkey"), f"({t('orders')} o {named}) {at}"
         return f"""SELECT l.l_orderkey AS o_orderkey, l.l_partkey, l.l_linenumber, {us} {d.div} 1000000 AS sec,
             {odate} {d.div} 1000000 AS order_sec, o.o_orderpriority, c.c_name AS host, s.s_name AS contact, {inst}
             FROM (SELECT l_orderkey, l_partkey, l_linenumber, min(l_suppkey) AS suppkey, min(l_shipdate) AS shipdate
-                  FROM {t('lineitem')} GROUP BY l_orderkey, l_partkey, l_linenumber) l
-            JOIN {t('orders')} o ON l.l_orderkey = o.o_orderkey
-            JOIN {t('customer')} c ON o.o_custkey = c.c_custkey
-            JOIN {t('nation')} n ON c.c_nationkey = n.n_nationkey
+                  FROM {lines} GROUP BY l_orderkey, l_partkey, l_linenumber) l
+            JOIN {ordered}
             JOIN {t('supplier')} s ON l.suppkey = s.s_suppkey"""
     raise KeyError(name)
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import dimensions
 from ..plans import reports, warehouse
 from ..plans.table import Context
+from ..steps import Steps
 from . import feeds
 from .entries import query
 from .feeds import INSTANCES_SQL, Feed, arrival_sql, object_sql, row_sql, stamp_sql, union
@@ -24,6 +25,26 @@ def tables_for(spark, sf_dir, events, names, report=None):
     return out
 
 
+def tables_in_steps(spark, sf_dir, events, names, report, steps):
+    """The tables of :func:`tables_for`, each saved as a step, and so are the records and the rows that are folded."""
+    events = steps.saved("events", events)
+    tables = {n: warehouse.TABLES[n] for n in names}
+    rec_types = {t for table in tables.values() for t in table.rec_types}
+    objects = dimensions.build_objects(events, rec_types=rec_types, kinds=reports.KINDS.get(report))
+    out = {"objects": steps.saved("objects", objects), "instances": feeds.instances(spark, sf_dir)}
+    rows = {}
+    for n, table in tables.items():
+        if table.late:
+            out[n] = steps.saved(n, table.build(events, Context(), reports.used(report, n)))
+        else:
+            rows[n] = steps.saved(f"{n}-rows", table.rows(events, Context()))
+    steps.drop("events")
+    for n in rows:
+        out[n] = steps.saved(n, tables[n].finish(rows[n]))
+        steps.drop(f"{n}-rows")
+    return out
+
+
 def _columns(table: str) -> list[str]:
     return warehouse.TABLES[table].column_names
 
@@ -247,10 +268,11 @@ _METHOD_ROWS = latest_sql(
     LEFT JOIN ({INSTANCES_SQL}) i ON t.instance_id = i.instance_id""")
 def contact_notification_methods(spark, sf_dir):
     """How each contact was notified."""
-    events = contact_events(spark, sf_dir)
-    return reports.report("contact_notification_methods", tables_for(
-        spark, sf_dir, events, ("notifications", "contactnotifications", "contactnotificationmethods"),
-        "contact_notification_methods"))
+    steps = Steps(spark)
+    tables = tables_in_steps(
+        spark, sf_dir, contact_events(spark, sf_dir), ("notifications", "contactnotifications", "contactnotificationmethods"),
+        "contact_notification_methods", steps)
+    return reports.report("contact_notification_methods", tables, steps=steps)
 
 
 # ---- comments: events add, load and delete ------------------------------------------------------
