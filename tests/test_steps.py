@@ -77,6 +77,11 @@ def test_contact_notification_methods_in_steps(spark, tmp_path):
                      ("notifications", "contactnotifications", "contactnotificationmethods"), "named")
 
 
+def test_contact_notifications_in_steps(spark, tmp_path):
+    reports_in_steps(
+        spark, tables(spark, tmp_path), "contact_notifications", ("notifications", "contactnotifications"), "named")
+
+
 def test_linked_rows_are_shuffled_without_their_text(spark):
     def event(n, rec_type, *pairs):
         return (1, (0, "", n), ("", n // 3), ("", 1), rec_type, 0, "".join(f"\n{k}={v}" for k, v in pairs))

@@ -202,12 +202,14 @@ def _step(steps: Steps | None, name: str, rows: DataFrame, *used: str) -> DataFr
     return rows
 
 
-def _contact_notifications(tables, limit=None) -> DataFrame:
+def _contact_notifications(tables, limit=None, steps: Steps | None = None) -> DataFrame:
     sent = tables["contactnotifications"].drop("instance_id")
     rows = sent.join(_notified(tables), "notification_id")
+    rows = _step(steps, "notified", rows, "contactnotifications", "notifications")
     rows = with_object(rows, _of_type(tables["objects"], ids.CONTACT), "contact_object_id", {"name1": "contact_name"})
     rows = with_instance(rows, tables["instances"])
     rows = rows.select("instance_id", "instance_name", "object_id", *NAMES.values(), "contact_name", *sent.columns)
+    rows = _step(steps, "named", rows, "notified", "objects")
     return _sorted(rows, ("-start_time", "-start_time_usec", "-contactnotification_id"), limit)
 
 
@@ -244,7 +246,7 @@ def report(
 ) -> DataFrame:
     """One report over warehouse tables.  ``limit`` turns the full sort into a top-k.
 
-    With ``steps`` the joins of the contact notification methods are done at once, and tables saved there are used up.
+    With ``steps`` the joins of the contact notification reports are done at once, and tables saved there are used up.
     """
     if name in OBJECT_REPORTS:
         return object_report(OBJECT_REPORTS[name], tables, limit, as_of)
@@ -269,7 +271,7 @@ def report(
     if name == "contactgroup_membership":
         return _membership(tables, "contactgroup", "contact_object_id", "contacts", _CONTACT, config_type)
     if name == "contact_notifications":
-        return _contact_notifications(tables, limit)
+        return _contact_notifications(tables, limit, steps)
     if name == "contact_notification_methods":
         return _contact_notification_methods(tables, limit, steps)
     raise KeyError(name)

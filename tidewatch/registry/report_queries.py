@@ -27,9 +27,9 @@ def tables_for(spark, sf_dir, events, names, report=None):
 
 def tables_in_steps(spark, sf_dir, events, names, report, steps):
     """The tables of :func:`tables_for`, each saved as a step, and so are the records and the rows that are folded."""
-    events = steps.saved("events", events)
     tables = {n: warehouse.TABLES[n] for n in names}
     rec_types = {t for table in tables.values() for t in table.rec_types}
+    events = steps.saved("events", events.where(F.col("rec_type").isin(*sorted(rec_types))))
     objects = dimensions.build_objects(events, rec_types=rec_types, kinds=reports.KINDS.get(report))
     out = {"objects": steps.saved("objects", objects), "instances": feeds.instances(spark, sf_dir)}
     rows = {}
@@ -236,11 +236,10 @@ _NAMED = "t.object_id, CAST(t.otype AS SMALLINT) AS objecttype_id, t.host AS hos
     FROM ({_CN_ROWS}) t LEFT JOIN ({INSTANCES_SQL}) i ON t.instance_id = i.instance_id""")
 def contact_notifications(spark, sf_dir):
     """Contact notifications with the notification they belong to."""
-    events = contact_events(spark, sf_dir)
-    return reports.report(
-        "contact_notifications",
-        tables_for(spark, sf_dir, events, ("notifications", "contactnotifications"), "contact_notifications")
-    )
+    steps = Steps(spark)
+    tables = tables_in_steps(
+        spark, sf_dir, contact_events(spark, sf_dir), ("notifications", "contactnotifications"), "contact_notifications", steps)
+    return reports.report("contact_notifications", tables, steps=steps)
 
 
 _METHOD_ROWS = latest_sql(
