@@ -117,8 +117,9 @@ def parent_linkage(records: DataFrame, table: Table, start_type: int, parent_id,
     started = with_names(records.where(~child & (neb_type() == start_type))).select(*EVENT, parent_id.alias("_started"))
     own = [c for c in table.column_names if c not in (column, table.id_column)]
     children = table.typed(records.where(child), own).withColumn("_child", F.lit(True))
-    marked = children.unionByName(started.withColumn("_child", F.lit(False)), allowMissingColumns=True)
-    linked = carry_forward(marked, "session", F.col("_started"), "_parent").where("_child")
+    marked = started.withColumn("_child", F.lit(False)).unionByName(children, allowMissingColumns=True)
+    # parents come before children of the same arrival, as where the arrival is not known
+    linked = carry_forward(marked, "session", F.col("_started"), "_parent", order=("arrival", "_child")).where("_child")
     linked = linked.withColumn(column, F.coalesce("_parent", F.lit(0)))
     return linked.withColumn(table.id_column, table.key_id()).select(*table.column_names, *EVENT)
 
